@@ -27,9 +27,8 @@ def source_database(spark: SparkSession, sf_dir: str) -> str:
     if not spark.catalog.databaseExists(db):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} "
                   f"LOCATION '{scratch_root(spark)}/quarry/{db}'")
-    existing = {t.name for t in spark.catalog.listTables(db)}
     for t in TABLES:
-        if t not in existing:
+        if not spark.catalog.tableExists(f"{db}.{t}"):
             spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.{t} USING parquet "
                       f"LOCATION '{sf_dir}/{t}.parquet'")
     return db

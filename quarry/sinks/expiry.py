@@ -32,8 +32,11 @@ def expired_days(days: list[str], expiration_ms: int, as_of: dt.datetime) -> lis
     return out
 
 
-def expire_partitions(spark: SparkSession, target: str, as_of: dt.datetime | None = None) -> list[str]:
-    props = catalog.properties(spark, target)
+def expire_partitions(spark: SparkSession, target: str, as_of: dt.datetime | None = None,
+                      props: dict[str, str] | None = None) -> list[str]:
+    """Apply the table's recorded expiry; ``props`` saves reading them again."""
+    if props is None:
+        props = catalog.properties(spark, target)
     day_col = props.get(catalog.PROP_DAY_COLUMN)
     ms = props.get(catalog.PROP_EXPIRATION_MS)
     if not day_col or ms is None:

@@ -150,19 +150,20 @@ def load_table(
         if exists and catalog.object_type(spark, target) == "VIEW":
             raise TypeError(f"{target} is a view; load writes tables only")
 
-        staging_root = staging_dir or (staging.default_staging_root(spark, target))
+        old_props = catalog.properties(spark, target) if exists else {}
         if exists and mode == "Append":
-            _append(spark, df, target, partition_field, expiration, clustered, required,
-                    allow_field_addition, allow_field_relaxation, detail)
+            props = _append(spark, df, target, old_props, partition_field, expiration, clustered,
+                            required, allow_field_addition, allow_field_relaxation, detail)
             out = df
         else:
-            _replace(spark, df, target, partition_field, expiration, clustered, required,
-                     staging_root, detail)
+            staging_root = staging_dir or staging.default_staging_root(spark, target)
+            props = _replace(spark, df, target, old_props if exists else None, partition_field,
+                             expiration, clustered, required, staging_root, detail)
             out = spark.table(target)
-            if out.columns and catalog.DERIVED_DAY in out.columns:
+            if catalog.DERIVED_DAY in out.columns:
                 out = out.drop(catalog.DERIVED_DAY)
         detail["written"] = True
-        dropped = expiry.expire_partitions(spark, target, as_of)
+        dropped = expiry.expire_partitions(spark, target, as_of, props)
         detail["expiredPartitions"] = dropped
         return out
     except StageError:
@@ -171,10 +172,11 @@ def load_table(
         raise wrap(STAGE, detail, exc) from exc
 
 
-def _replace(spark: SparkSession, df: DataFrame, target: str, partition_field: str | None,
-             expiration: int | None, clustered: list[str], required: list[str],
-             staging_root: str, detail: dict) -> None:
-    props: dict[str, str] = {}
+def _replace(spark: SparkSession, df: DataFrame, target: str, old_props: dict | None,
+             partition_field: str | None, expiration: int | None, clustered: list[str],
+             required: list[str], staging_root: str, detail: dict) -> dict[str, str]:
+    """Staged write of a new table version; returns the properties it records."""
+    props: dict[str, str] = {catalog.PROP_OWNED: "true"}
     day_col = None
     if partition_field:
         df, day_col = layout.day_column(df, partition_field)
@@ -197,13 +199,15 @@ def _replace(spark: SparkSession, df: DataFrame, target: str, partition_field: s
     side, directory = staging.write_version(spark, df, target, staging_root=staging_root,
                                             partition_cols=[day_col] if day_col else [], props=props)
     detail["stagedAt"] = directory
-    staging.publish(spark, side, target)
+    staging.publish(spark, side, target, old_props)
+    return props
 
 
-def _append(spark: SparkSession, df: DataFrame, target: str, partition_field: str | None,
-            expiration: int | None, clustered: list[str], required: list[str],
-            allow_add: bool, allow_relax: bool, detail: dict) -> None:
-    props = catalog.properties(spark, target)
+def _append(spark: SparkSession, df: DataFrame, target: str, props: dict[str, str],
+            partition_field: str | None, expiration: int | None, clustered: list[str],
+            required: list[str], allow_add: bool, allow_relax: bool, detail: dict) -> dict[str, str]:
+    """Insert into the existing table, evolving its schema as allowed; returns
+    the table's properties after the append."""
     recorded_field = props.get(catalog.PROP_PARTITION_FIELD)
     if partition_field and recorded_field and partition_field.lower() != recorded_field.lower():
         raise ValueError(f"{target} is partitioned by {recorded_field!r}, not {partition_field!r}")
@@ -239,3 +243,4 @@ def _append(spark: SparkSession, df: DataFrame, target: str, partition_field: st
         new_props[catalog.PROP_EXPIRATION_MS] = str(expiration)
     catalog.set_properties(spark, target, new_props)
     spark.catalog.refreshTable(target)
+    return {**props, **new_props}

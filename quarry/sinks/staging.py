@@ -40,7 +40,12 @@ def write_version(spark: SparkSession, df: DataFrame, target: str, *, staging_ro
     directory = f"{staging_root.rstrip('/')}/{table}-{token}"
     side = sibling(target, f"{table}__quarry_{token}")
     try:
-        w = df.write.format("parquet").option("path", directory)
+        # The directory is private until publish, so the committer may move
+        # task output into place at task commit (in parallel) instead of
+        # renaming every file from the driver at job commit; a failed job's
+        # partial output is deleted below and never becomes visible.
+        w = (df.write.format("parquet").option("path", directory)
+             .option("mapreduce.fileoutputcommitter.algorithm.version", "2"))
         if partition_cols:
             w = w.partitionBy(*partition_cols)
         w.mode("errorifexists").saveAsTable(side)
@@ -52,17 +57,18 @@ def write_version(spark: SparkSession, df: DataFrame, target: str, *, staging_ro
     return side, directory
 
 
-def publish(spark: SparkSession, side: str, target: str) -> None:
-    """Swap the side table in under the target's name; drop the old version."""
+def publish(spark: SparkSession, side: str, target: str, old_props: dict[str, str] | None) -> None:
+    """Swap the side table in under the target's name; drop the old version.
+
+    ``old_props`` are the replaced table's properties (None if there was no
+    table); its directory is deleted only if the engine made it."""
     old_dir = None
-    if spark.catalog.tableExists(target):
-        props = catalog.properties(spark, target)
-        if props.get(catalog.PROP_OWNED) == "true":
+    if old_props is not None:
+        if old_props.get(catalog.PROP_OWNED) == "true":
             old_dir = catalog.location(spark, target)
         spark.sql(f"DROP TABLE {target}")
     spark.sql(f"ALTER TABLE {side} RENAME TO {target}")
-    spark.catalog.refreshTable(target)
-    if old_dir and not files.same_path(old_dir, catalog.location(spark, target) or ""):
+    if old_dir:
         files.delete_tree(spark, old_dir)
 
 

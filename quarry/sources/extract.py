@@ -174,8 +174,9 @@ def _day_partitions(spark: SparkSession, target: str, df: DataFrame,
     ``__day`` partition column. A filter on the timestamp cannot prune it,
     a filter on ``__day`` can: that is what ``day_range`` is for.
     """
-    props = catalog.properties(spark, target)
-    day_col = props.get(catalog.PROP_DAY_COLUMN)
+    if day_range is None and catalog.DERIVED_DAY not in df.columns:
+        return df  # nothing to prune or hide: skip the catalog round trip
+    day_col = catalog.properties(spark, target).get(catalog.PROP_DAY_COLUMN)
     if day_range is not None:
         if not day_col:
             raise ValueError(f"day_range given but {target} is not day-partitioned")
