@@ -7,15 +7,20 @@ Plans, by case:
 * unpartitioned, clustered: range-partition on the clustered fields, then
   sort within partitions. Files hold disjoint key ranges, so parquet
   row-group min/max statistics skip whole files for a range filter. A
-  tie-breaker (a row id) is the last range key, so one hot key value --
-  even a third of all rows -- is split over several tasks instead of
-  landing in one.
+  tie-breaker is the last range key, so one hot key value -- even a third
+  of all rows -- is split over several tasks instead of landing in one.
+  The tie-breaker is a hash of the row and its input partition number:
+  it does not depend on row order, so a retried task sends every row to
+  the same range again, and exact copies of a row spread with their input
+  partitions. (Range partitioning samples its input first: one extra pass.)
 * day-partitioned (clustered or not): ``REBALANCE`` on the day column.
   Each task then holds whole days, so a day is one file, not one file per
   input task; adaptive execution splits an oversized (skewed) day into
   advisory-size pieces and merges small ones. With clustering, rows are
   sorted by day and the clustered fields inside each task, so every file
   is sorted and its row groups skip well. No sampling pass is needed.
+  Splitting a skewed day is adaptive execution's work; with it switched
+  off, the day is range-partitioned with the tie-breaker instead.
 """
 
 from __future__ import annotations
@@ -54,15 +59,29 @@ def check_clustered(df: DataFrame, fields: Sequence[str]) -> list[str]:
 def lay_out(df: DataFrame, day_col: str | None, clustered: Sequence[str]) -> DataFrame:
     clustered = list(clustered)
     if day_col:
-        df = df.hint("rebalance", day_col)
+        if _adaptive(df):
+            df = df.hint("rebalance", day_col)
+        else:
+            df = _ranged(df, [day_col, *clustered])
         return df.sortWithinPartitions(day_col, *clustered) if clustered else df
     if clustered:
-        ranged = (df.withColumn(_TIEBREAK, F.monotonically_increasing_id())
-                    .repartitionByRange(*clustered, _TIEBREAK))
-        return ranged.sortWithinPartitions(*clustered).drop(_TIEBREAK)
+        return _ranged(df, clustered).sortWithinPartitions(*clustered)
     return df
 
 
+def _ranged(df: DataFrame, keys: list[str]) -> DataFrame:
+    # Spark cannot hash maps; the other columns identify the row well enough.
+    hashable = [F.col(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    row_hash = F.xxhash64(F.spark_partition_id(), *hashable)
+    return df.withColumn(_TIEBREAK, row_hash).repartitionByRange(*keys, _TIEBREAK).drop(_TIEBREAK)
+
+
+def _adaptive(df: DataFrame) -> bool:
+    conf = df.sparkSession.conf
+    return (conf.get("spark.sql.adaptive.enabled", "true") == "true"
+            and conf.get("spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled", "true") == "true")
+
+
 def _field(df: DataFrame, name: str):
     if "." in name:
         raise ValueError(f"{name!r}: only top-level columns can partition or cluster a table")

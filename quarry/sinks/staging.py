@@ -40,12 +40,9 @@ def write_version(spark: SparkSession, df: DataFrame, target: str, *, staging_ro
     directory = f"{staging_root.rstrip('/')}/{table}-{token}"
     side = sibling(target, f"{table}__quarry_{token}")
     try:
-        # The directory is private until publish, so the committer may move
-        # task output into place at task commit (in parallel) instead of
-        # renaming every file from the driver at job commit; a failed job's
-        # partial output is deleted below and never becomes visible.
-        w = (df.write.format("parquet").option("path", directory)
-             .option("mapreduce.fileoutputcommitter.algorithm.version", "2"))
+        # Spark's default commit protocol: a task attempt lost mid-commit
+        # never leaves its files behind, so a retried task cannot duplicate rows.
+        w = df.write.format("parquet").option("path", directory)
         if partition_cols:
             w = w.partitionBy(*partition_cols)
         w.mode("errorifexists").saveAsTable(side)

@@ -178,6 +178,24 @@ def test_hot_key_is_split_across_tasks(spark, ws):
     assert n_files > 1
 
 
+def test_clustering_with_a_map_column(spark, ws):
+    df = ws.read("nation").withColumn("m", F.create_map(F.lit("k"), F.col("n_regionkey")))
+    load_table(spark, ws.view(df, "nm"), "nm", dataset=ws.db, clustered_fields="n_regionkey")
+    assert spark.table(ws.table("nm")).count() == 25
+
+
+def test_day_partitions_without_adaptive_execution(spark, ws):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        load_table(spark, ws.view(ws.read("events"), "ev"), "ev", dataset=ws.db, partition_field="ts",
+                   clustered_fields="user_id")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    t = spark.table(ws.table("ev"))
+    assert t.count() == ws.read("events").count()
+    assert t.filter(F.to_date("ts") != F.col("__day")).count() == 0
+
+
 def test_field_addition(spark, ws):
     docs = ws.read("documents")
     load_table(spark, ws.view(docs.filter("lang = 'de'").select("doc_id", "lang"), "de"), "d", dataset=ws.db)
