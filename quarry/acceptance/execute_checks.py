@@ -58,14 +58,15 @@ def execute_params(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def execute_error(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A job that fails at run time (ANSI cast of text to INT) raises."""
+    """A job that fails at run time (a data check on every row) raises, with
+    the stage detail, and creates nothing."""
     ws = Workspace(spark, sf_dir, "execute_error")
     raised = False
     try:
-        execute_sql(spark, f"CREATE TABLE {ws.table('bad')} AS "
-                           "SELECT CAST(o_orderpriority AS INT) AS p FROM orders", dataset=ws.src)
+        execute_sql(spark, f"CREATE TABLE {ws.table('bad')} AS SELECT o_orderkey, "
+                           "assert_true(o_totalprice < 0) AS checked FROM orders", dataset=ws.src)
     except StageError as exc:
-        raised = "sql" in exc.detail
+        raised = "sql" in exc.detail and not spark.catalog.tableExists(ws.table("bad"))
     return ws.read("orders").agg(F.lit(raised).alias("raised"))
 
 

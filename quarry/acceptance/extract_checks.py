@@ -96,14 +96,19 @@ def extract_metadata_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def extract_metadata_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metadata from a view of (name, metadata text); kept through filter and select."""
+    """Metadata from a view of (name, metadata text); kept through filter,
+    select, a table write and its read-back."""
     ws = Workspace(spark, sf_dir, "extract_md_view")
     md = spark.createDataFrame([(n, '{"description": "%s"}' % d) for n, d in ORDER_DESCRIPTIONS],
                                "name string, metadata string")
     md_view = ws.view(md, "columns")
     df = extract_table(spark, "orders", dataset=ws.src, schema_view=md_view).df
     shaped = df.filter(F.col("o_totalprice") > 0).select("o_orderkey", "o_custkey", "o_orderstatus")
-    return _descriptions_df(spark, shaped)
+    load_table(spark, ws.view(shaped, "shaped"), "orders_shaped", dataset=ws.db)
+    back = extract_table(spark, "orders_shaped", dataset=ws.db).df
+    if back.count() != df.filter(F.col("o_totalprice") > 0).count():
+        raise AssertionError("rows lost in the write")
+    return _descriptions_df(spark, back)
 
 
 def _partitions_per_key(df: DataFrame, key: str) -> DataFrame:

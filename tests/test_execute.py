@@ -50,15 +50,15 @@ def test_unbound_marker_fails_at_run_time(spark, ws):
 
 def test_runtime_error_carries_detail(spark, ws):
     with pytest.raises(StageError) as e:
-        execute_sql(spark, "SELECT CAST(o_orderpriority AS INT) FROM orders", dataset=ws.src, job_name="boom")
+        execute_sql(spark, "SELECT assert_true(o_totalprice < 0) FROM orders", dataset=ws.src, job_name="boom")
     assert e.value.detail["jobName"] == "boom"
-    assert "CAST(o_orderpriority AS INT)" in e.value.detail["sql"]
+    assert "assert_true(o_totalprice < 0)" in e.value.detail["sql"]
 
 
 def test_bare_select_is_forced(spark, ws):
-    # lazily this would succeed; forced, the bad cast fails the job
+    # lazily this would succeed; forced, the failing check fails the job
     with pytest.raises(StageError):
-        execute_sql(spark, "SELECT CAST(n_name AS INT) FROM nation", dataset=ws.src)
+        execute_sql(spark, "SELECT assert_true(n_nationkey < 0) FROM nation", dataset=ws.src)
 
 
 def test_namespace_restored_after_failure(spark, ws):

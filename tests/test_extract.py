@@ -18,6 +18,13 @@ def test_qualify_names():
     assert split_name("`a.b`.c") == ["a.b", "c"]
 
 
+def test_project_is_a_catalog(spark, ws):
+    df = extract_table(spark, "nation", dataset=ws.src, project="spark_catalog").df
+    assert df.count() == 25
+    with pytest.raises(StageError):
+        extract_table(spark, "nation", dataset=ws.src, project="no_such_catalog")
+
+
 def test_scan_is_lazy_and_registers_view(spark, ws):
     r = extract_table(spark, "orders", dataset=ws.src, output_view="t_orders")
     assert r.stats == {"output_columns": 6}

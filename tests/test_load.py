@@ -3,7 +3,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import explain
+from conftest import SF001, explain
+from quarry.acceptance.load_checks import QUERIES as LOAD_QUERIES
 from quarry import ConfigError, StageError, extract_table, load_table
 from quarry.operators.evolution import SchemaMismatch
 from quarry.sinks import expiry
@@ -282,9 +283,8 @@ def test_streaming_input_refused(spark, ws):
     assert not spark.catalog.tableExists(ws.table("never"))
 
 
-def test_repeat_runs_give_same_answer(spark):
-    from quarry.acceptance.load_checks import load_append
-    from conftest import SF001
-    a = _rows(load_append(spark, SF001))
-    b = _rows(load_append(spark, SF001))
+@pytest.mark.parametrize("name", sorted(LOAD_QUERIES))
+def test_repeat_runs_give_same_answer(spark, name):
+    a = _rows(LOAD_QUERIES[name](spark, SF001))
+    b = _rows(LOAD_QUERIES[name](spark, SF001))
     assert a == b
