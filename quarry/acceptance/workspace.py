@@ -20,10 +20,18 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+_REGISTERED: set[tuple[str, str]] = set()
+
+
 def source_database(spark: SparkSession, sf_dir: str) -> str:
-    """Database holding one external table per given parquet table."""
+    """Database holding one external table per given parquet table.
+
+    Registered once per application; later calls only check the database."""
     sf_dir = sf_dir.rstrip("/")
     db = "quarry_src_" + hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
+    key = (spark.sparkContext.applicationId, db)
+    if key in _REGISTERED and spark.catalog.databaseExists(db):
+        return db
     if not spark.catalog.databaseExists(db):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} "
                   f"LOCATION '{scratch_root(spark)}/quarry/{db}'")
@@ -31,6 +39,7 @@ def source_database(spark: SparkSession, sf_dir: str) -> str:
         if not spark.catalog.tableExists(f"{db}.{t}"):
             spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.{t} USING parquet "
                       f"LOCATION '{sf_dir}/{t}.parquet'")
+    _REGISTERED.add(key)
     return db
 
 

@@ -11,6 +11,7 @@ bring the rows back. NULL days (``__HIVE_DEFAULT_PARTITION__``) never expire.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -55,8 +56,10 @@ def expire_partitions(spark: SparkSession, target: str, as_of: dt.datetime | Non
     spark.sql(f"ALTER TABLE {target} DROP IF EXISTS {specs}")
     if props.get(catalog.PROP_OWNED) == "true":
         root = (catalog.location(spark, target) or "").rstrip("/")
-        for d in gone:
-            files.delete_tree(spark, f"{root}/{day_col}={d}")
+        # Directory deletes are metadata calls; on an object store each one
+        # lists and deletes many keys, so run them side by side.
+        with ThreadPoolExecutor(max_workers=min(16, len(gone))) as pool:
+            list(pool.map(lambda d: files.delete_tree(spark, f"{root}/{day_col}={d}"), gone))
     spark.catalog.refreshTable(target)
     return gone
 
