@@ -32,6 +32,7 @@ def execute_sql(
     dataset: str | None = None,
     job_name: str | None = None,
     job_id: str | None = None,
+    ansi: bool = True,
     name: str | None = None,
     description: str | None = None,
     params: dict[str, str] | None = None,
@@ -43,7 +44,8 @@ def execute_sql(
     current catalog / database for the call and are restored afterwards.
     ``job_name`` (default ``jobId_[<job_id>_]<uuid>``) tags every Spark job
     the statement runs, as job group and session tag, so it can be found
-    and cancelled.
+    and cancelled. ``ansi`` runs the text in standard-SQL mode
+    (``spark.sql.ansi.enabled``) whatever the session says, restored after.
     """
     chk = Checks(STAGE)
     chk.require(input_uri is not None or sql is not None, "one of sql or input_uri is required")
@@ -53,6 +55,7 @@ def execute_sql(
     chk.text("dataset", dataset)
     chk.text("job_name", job_name)
     chk.require(sql_params is None or isinstance(sql_params, dict), "sql_params must be a dict")
+    chk.boolean("ansi", ansi)
     if sql is not None and input_uri is None and isinstance(sql, str):
         try:
             substitute(sql, sql_params)
@@ -73,7 +76,7 @@ def execute_sql(
         final = substitute(text, sql_params)
         detail["sql"] = final
         bind = {k: v for k, v in sql_params.items() if k not in text_placeholders(text)}
-        with _current_namespace(spark, project, dataset), _tagged(spark, tag):
+        with _current_namespace(spark, project, dataset), _tagged(spark, tag), _ansi(spark, ansi):
             result = spark.sql(final, args=bind) if bind else spark.sql(final)
             result.write.format("noop").mode("overwrite").save()
         return None
@@ -108,6 +111,17 @@ def _current_namespace(spark: SparkSession, project: str | None, dataset: str |
         spark.sql(f"USE {quote(old_db)}")
 
 
+@contextlib.contextmanager
+def _ansi(spark: SparkSession, on: bool):
+    key = "spark.sql.ansi.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "true" if on else "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 @contextlib.contextmanager
 def _tagged(spark: SparkSession, tag: str):
     sc = spark.sparkContext

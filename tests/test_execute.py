@@ -85,3 +85,16 @@ def test_scripting_block_runs(spark, ws):
     execute_sql(spark, f"BEGIN CREATE TABLE {ws.table('a')} AS SELECT 1 AS x; "
                        f"INSERT INTO {ws.table('a')} VALUES (2); END")
     assert spark.table(ws.table("a")).count() == 2
+
+
+def test_standard_sql_mode_for_the_call(spark, ws):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(StageError):  # ANSI cast error despite the session setting
+            execute_sql(spark, "SELECT CAST(n_name AS INT) FROM nation", dataset=ws.src)
+        assert spark.conf.get("spark.sql.ansi.enabled") == "false"
+        execute_sql(spark, f"CREATE TABLE {ws.table('lax')} AS SELECT CAST(n_name AS INT) AS x FROM nation",
+                    dataset=ws.src, ansi=False)
+        assert spark.table(ws.table("lax")).filter("x IS NULL").count() == 25
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
