@@ -14,6 +14,7 @@ PROP_DAY_COLUMN = "quarry.day_column"            # physical partition column
 PROP_EXPIRATION_MS = "quarry.partition_expiration_ms"
 PROP_CLUSTERED = "quarry.clustered_fields"
 PROP_REQUIRED = "quarry.required_columns"
+PROP_EXPIRES_AT = "quarry.expires_at"             # materialised view results
 DERIVED_DAY = "__day"
 
 ENGINE_PROPS = (PROP_OWNED, PROP_PARTITION_FIELD, PROP_DAY_COLUMN, PROP_EXPIRATION_MS,

@@ -48,6 +48,7 @@ def extract_table(
     views_enabled: bool = False,
     view_materialization_project: str | None = None,
     view_materialization_dataset: str | None = None,
+    materialization_expiration_minutes: int = 24 * 60,
     schema_uri: str | None = None,
     schema_view: str | None = None,
     num_partitions: int | None = None,
@@ -65,7 +66,9 @@ def extract_table(
     * ``max_parallelism`` caps the scan's partitions (coalesce, no shuffle).
     * A persistent view is read only with ``views_enabled``; with a
       ``view_materialization_dataset`` its result is first written there as
-      a table and that table is read (the view then runs once).
+      a table and that table is read (the view then runs once). Such
+      tables expire after ``materialization_expiration_minutes``; expired
+      ones in the dataset are dropped when the next one is made.
     * ``schema_view`` (wins) or ``schema_uri`` adds column metadata.
     * ``num_partitions`` / ``partition_by`` repartition as in
       :func:`quarry.operators.distribute.repartition`.
@@ -86,6 +89,7 @@ def extract_table(
         chk.text(k, v)
     chk.positive_int("max_parallelism", max_parallelism)
     chk.positive_int("num_partitions", num_partitions)
+    chk.positive_int("materialization_expiration_minutes", materialization_expiration_minutes)
     for k, v in (("immutable_view", immutable_view), ("views_enabled", views_enabled),
                  ("persist", persist), ("collect_stats", collect_stats)):
         chk.boolean(k, v)
@@ -119,7 +123,8 @@ def extract_table(
             if not views_enabled:
                 raise ViewsNotEnabled(f"{target} is a view; reading views needs views_enabled=True")
             if view_materialization_dataset:
-                df = _materialize(spark, df, view_materialization_project, view_materialization_dataset, detail)
+                df = _materialize(spark, df, view_materialization_project, view_materialization_dataset,
+                                  materialization_expiration_minutes, detail)
         elif kind != "TEMPORARY":
             df = _day_partitions(spark, target, df, day_range)
 
@@ -157,15 +162,34 @@ def extract_table(
         raise wrap(STAGE, detail, exc) from exc
 
 
+_MATERIALIZED_PREFIX = "_quarry_view_"
+
+
 def _materialize(spark: SparkSession, df: DataFrame, project: str | None, dataset: str,
-                 detail: dict) -> DataFrame:
+                 expiration_minutes: int, detail: dict) -> DataFrame:
     """Write the view's result once as a table in ``dataset`` and read that."""
-    target = qualify(f"_quarry_view_{uuid.uuid4().hex[:16]}", dataset, project)
+    _drop_expired_materializations(spark, project, dataset)
+    target = qualify(f"{_MATERIALIZED_PREFIX}{uuid.uuid4().hex[:16]}", dataset, project)
     df.write.format("parquet").mode("errorifexists").saveAsTable(target)
+    expires = dt.datetime.now(dt.timezone.utc) + dt.timedelta(minutes=expiration_minutes)
+    catalog.set_properties(spark, target, {catalog.PROP_EXPIRES_AT: expires.isoformat()})
     detail["materializedAs"] = target
     return spark.table(target)
 
 
+def _drop_expired_materializations(spark: SparkSession, project: str | None, dataset: str) -> None:
+    """Catalog-only sweep: names by pattern, then each candidate's expiry."""
+    ns = qualify("x", dataset, project).rsplit(".", 1)[0]
+    now = dt.datetime.now(dt.timezone.utc)
+    for row in spark.sql(f"SHOW TABLES IN {ns} LIKE '{_MATERIALIZED_PREFIX}*'").collect():
+        if row["isTemporary"]:
+            continue
+        name = f"{ns}.`{row['tableName']}`"
+        expires = catalog.properties(spark, name).get(catalog.PROP_EXPIRES_AT)
+        if expires and dt.datetime.fromisoformat(expires) <= now:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def _day_partitions(spark: SparkSession, target: str, df: DataFrame,
                     day_range: tuple[Any, Any] | None) -> DataFrame:
     """Prune to ``day_range`` and hide a derived day column.

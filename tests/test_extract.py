@@ -81,6 +81,18 @@ def test_view_materialization_reads_a_table(spark, ws):
     assert "Exchange" not in explain(spark, r.df)  # the aggregate already ran once
 
 
+def test_expired_materializations_are_dropped(spark, ws):
+    spark.sql(f"CREATE VIEW {ws.table('v')} AS SELECT n_regionkey, count(*) AS n "
+              f"FROM {ws.source('nation')} GROUP BY n_regionkey")
+    first = extract_table(spark, "v", dataset=ws.db, views_enabled=True, view_materialization_dataset=ws.db)
+    old = first.detail["materializedAs"]
+    spark.sql(f"ALTER TABLE {old} SET TBLPROPERTIES ('quarry.expires_at' = '2000-01-01T00:00:00+00:00')")
+    second = extract_table(spark, "v", dataset=ws.db, views_enabled=True, view_materialization_dataset=ws.db)
+    assert not spark.catalog.tableExists(old)
+    assert spark.catalog.tableExists(second.detail["materializedAs"])
+    assert second.df.count() == 5
+
+
 def test_metadata_view_wins_over_file(spark, ws):
     path = f"{ws.dir}/md.json"
     files.write_text(spark, path, '{"name": "o_orderkey", "metadata": {"description": "from file"}}\n')
