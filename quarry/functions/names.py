@@ -52,9 +52,3 @@ def sibling(name: str, table: str) -> str:
     parts = split_name(name)
     return ".".join(quote(p) for p in [*parts[:-1], table])
 
-
-def database_of(name: str) -> str | None:
-    parts = split_name(name)
-    if len(parts) < 2:
-        return None
-    return ".".join(quote(p) for p in parts[:-1])

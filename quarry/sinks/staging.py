@@ -69,7 +69,3 @@ def publish(spark: SparkSession, side: str, target: str, old_props: dict[str, st
         files.delete_tree(spark, old_dir)
 
 
-def discard(spark: SparkSession, side: str, directory: str) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {side}")
-    files.delete_tree(spark, directory)
-

@@ -17,10 +17,6 @@ PROP_REQUIRED = "quarry.required_columns"
 PROP_EXPIRES_AT = "quarry.expires_at"             # materialised view results
 DERIVED_DAY = "__day"
 
-ENGINE_PROPS = (PROP_OWNED, PROP_PARTITION_FIELD, PROP_DAY_COLUMN, PROP_EXPIRATION_MS,
-                PROP_CLUSTERED, PROP_REQUIRED)
-
-
 def object_type(spark: SparkSession, name: str) -> str | None:
     """``MANAGED``, ``EXTERNAL``, ``VIEW``, ``TEMPORARY`` or None if absent."""
     if not spark.catalog.tableExists(name):
@@ -51,12 +47,6 @@ def set_properties(spark: SparkSession, name: str, props: dict[str, str]) -> Non
     spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({body})")
 
 
-def unset_properties(spark: SparkSession, name: str, keys: list[str]) -> None:
-    if keys:
-        body = ", ".join(f"'{k}'" for k in keys)
-        spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES IF EXISTS ({body})")
-
-
 def _esc(v: str) -> str:
     return str(v).replace("\\", "\\\\").replace("'", "\\'")
 
