@@ -106,11 +106,29 @@ def load_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .groupBy(F.col("_metadata.file_path").alias("file"))
                 .agg(F.min("o_custkey").alias("lo"), F.max("o_custkey").alias("hi"),
                      F.count("*").alias("n")))
-    # One row per file: ordering them globally is cheap.
-    before = Window.orderBy("lo", "hi").rowsBetween(Window.unboundedPreceding, -1)
-    flagged = per_file.withColumn("prev_hi", F.max("hi").over(before))
+    flagged = overlapping(per_file, "lo", "hi")
     return flagged.agg(F.sum("n").alias("n_rows"),
-                       F.count(F.when(F.col("lo") < F.col("prev_hi"), 1)).alias("overlapping_files"))
+                       F.count(F.when(F.col("overlaps"), 1)).alias("overlapping_files"))
+
+
+def overlapping(ranges: DataFrame, lo: str, hi: str) -> DataFrame:
+    """Flag each range whose start lies before the end of a range that starts
+    earlier (ties broken by end), without sending all ranges to one task.
+
+    Ranges are range-partitioned on the start; each task takes a running
+    maximum of the ends; the maximum end of all *earlier* partitions comes
+    from a table with one row per partition (bounded by the partition
+    count, so it is broadcast safely)."""
+    ranged = ranges.repartitionByRange(lo, hi).withColumn("_part", F.spark_partition_id())
+    within = Window.partitionBy("_part").orderBy(lo, hi).rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.withColumn("_prev_local", F.max(hi).over(within))
+    part_end = ranged.groupBy("_part").agg(F.max(hi).alias("_part_hi"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = part_end.select("_part", F.max("_part_hi").over(earlier).alias("_prev_parts"))
+    out = local.join(F.broadcast(carried), "_part")
+    prev = F.greatest(F.col("_prev_local"), F.col("_prev_parts"))
+    return out.withColumn("overlaps", F.coalesce(F.col(lo) < prev, F.lit(False))) \
+              .drop("_part", "_prev_local", "_prev_parts")
 
 
 def load_field_addition(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -288,3 +288,22 @@ def test_repeat_runs_give_same_answer(spark, name):
     a = _rows(LOAD_QUERIES[name](spark, SF001))
     b = _rows(LOAD_QUERIES[name](spark, SF001))
     assert a == b
+
+
+def test_overlapping_matches_brute_force(spark):
+    import random
+    from quarry.acceptance.load_checks import overlapping
+    rnd = random.Random(7)
+    for trial in range(4):
+        rows = []
+        for i in range(60):
+            lo = rnd.randint(0, 200) if trial % 2 else i * 10
+            hi = lo + (rnd.randint(0, 30) if trial % 2 else rnd.randint(0, 9))
+            rows.append((i, lo, hi))
+        df = spark.createDataFrame(rows, "id int, lo int, hi int").repartition(5)
+        got = {r["id"]: r["overlaps"] for r in overlapping(df, "lo", "hi").collect()}
+        order = sorted(rows, key=lambda r: (r[1], r[2]))
+        want = {}
+        for k, (i, lo, hi) in enumerate(order):
+            want[i] = any(lo < h for _, _, h in order[:k])
+        assert got == want
