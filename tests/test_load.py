@@ -307,3 +307,20 @@ def test_overlapping_matches_brute_force(spark):
         for k, (i, lo, hi) in enumerate(order):
             want[i] = any(lo < h for _, _, h in order[:k])
         assert got == want
+
+
+def test_hot_day_is_split_over_files(spark, ws):
+    # a third of the events land on one day; the write must not funnel it into one task
+    ev = ws.read("events").repartition(4)
+    hot = ev.withColumn("ts", F.when(F.col("event_id") % 3 == 0, F.lit("2024-01-07 12:00:00")
+                                     .cast("timestamp_ntz")).otherwise(F.col("ts")))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8k")
+    try:
+        load_table(spark, ws.view(hot, "hot"), "hot", dataset=ws.db, partition_field="ts")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files_per_day = (spark.table(ws.table("hot")).groupBy("__day")
+                     .agg(F.countDistinct("_metadata.file_path").alias("files"), F.count("*").alias("n")))
+    hot_day = files_per_day.orderBy(F.desc("n")).first()
+    assert str(hot_day["__day"]) == "2024-01-07" and hot_day["files"] > 1
+    assert spark.table(ws.table("hot")).count() == ev.count()
