@@ -39,7 +39,7 @@ def qualify(table: str, dataset: str | None = None, project: str | None = None)
     if dataset:
         parts = split_name(dataset) + parts[-1:]
     if project:
-        parts = [project, *parts[-2:]]
+        parts = [*split_name(project), *parts[-2:]]
     return ".".join(quote(p) for p in parts)
 
 
