@@ -16,7 +16,7 @@ from typing import Any
 from pyspark.sql import SparkSession
 
 from ..errors import Checks, StageError, wrap
-from ..functions.names import quote
+from ..functions.names import quote, split_name
 from ..functions.params import substitute, text_placeholders
 
 STAGE = "execute_sql"
@@ -104,7 +104,7 @@ def _current_namespace(spark: SparkSession, project: str | None, dataset: str |
         if project:
             cat.setCurrentCatalog(project)
         if dataset:
-            spark.sql(f"USE {'.'.join(quote(p) for p in dataset.split('.'))}")
+            spark.sql(f"USE {'.'.join(quote(p) for p in split_name(dataset))}")
         yield
     finally:
         cat.setCurrentCatalog(old_catalog)
