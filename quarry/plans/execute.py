@@ -17,6 +17,7 @@ from pyspark.sql import SparkSession
 
 from ..errors import Checks, StageError, wrap
 from ..functions.names import quote, split_name
+from ..logs import timed
 from ..functions.params import substitute, text_placeholders
 
 STAGE = "execute_sql"
@@ -72,14 +73,15 @@ def execute_sql(
         "project": project, "dataset": dataset, "jobName": tag,
     }
     try:
-        text = _read_text(spark, input_uri) if input_uri is not None else sql
-        final = substitute(text, sql_params)
-        detail["sql"] = final
-        bind = {k: v for k, v in sql_params.items() if k not in text_placeholders(text)}
-        with _current_namespace(spark, project, dataset), _tagged(spark, tag), _ansi(spark, ansi):
-            result = spark.sql(final, args=bind) if bind else spark.sql(final)
-            result.write.format("noop").mode("overwrite").save()
-        return None
+        with timed(detail):
+            text = _read_text(spark, input_uri) if input_uri is not None else sql
+            final = substitute(text, sql_params)
+            detail["sql"] = final
+            bind = {k: v for k, v in sql_params.items() if k not in text_placeholders(text)}
+            with _current_namespace(spark, project, dataset), _tagged(spark, tag), _ansi(spark, ansi):
+                result = spark.sql(final, args=bind) if bind else spark.sql(final)
+                result.write.format("noop").mode("overwrite").save()
+            return None
     except StageError:
         raise
     except Exception as exc:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..errors import Checks, StageError, wrap
 from ..functions.names import qualify
+from ..logs import timed
 from ..operators import distribute
 from ..streaming.guards import refuse_streaming
 from . import catalog, metadata
@@ -110,52 +111,53 @@ def extract_table(
         "viewMaterializationDataset": view_materialization_dataset,
     }
     try:
-        target = qualify(table, dataset, project)
-        detail["resolved"] = target
-        kind = catalog.object_type(spark, target)
-        if kind is None:
-            raise LookupError(f"table or view {target} not found")
-        df = spark.table(target)
-        refuse_streaming(df, STAGE, target)
-        detail["objectType"] = kind
-
-        if kind == "VIEW":
-            if not views_enabled:
-                raise ViewsNotEnabled(f"{target} is a view; reading views needs views_enabled=True")
-            if view_materialization_dataset:
-                df = _materialize(spark, df, view_materialization_project, view_materialization_dataset,
-                                  materialization_expiration_minutes, detail)
-        elif kind != "TEMPORARY":
-            df = _day_partitions(spark, target, df, day_range)
-
-        pairs = None
-        if schema_view:
-            pairs = metadata.read_metadata_view(spark, schema_view)
-        elif schema_uri:
-            pairs = metadata.read_metadata_file(spark, schema_uri)
-        if pairs:
-            df = metadata.attach_metadata(df, pairs)
-
-        df = distribute.cap_parallelism(df, max_parallelism)
-        df = distribute.repartition(df, num_partitions, partition_by)
-
-        if output_view:
-            if immutable_view:
-                df.createTempView(output_view)
-            else:
-                df.createOrReplaceTempView(output_view)
-
-        stats: dict[str, Any] = {"output_columns": len(df.schema)}
-        if persist:
-            df, stats["records"] = distribute.persist(df, storage_level)
-        if collect_stats or persist:
-            stats["num_partitions"] = distribute.partition_count(df)
-        detail.update({"outputColumns": stats["output_columns"]})
-        if "records" in stats:
-            detail["records"] = stats["records"]
-        if "num_partitions" in stats:
-            detail["numPartitions"] = stats["num_partitions"]
-        return ExtractResult(df, stats, detail)
+        with timed(detail):
+            target = qualify(table, dataset, project)
+            detail["resolved"] = target
+            kind = catalog.object_type(spark, target)
+            if kind is None:
+                raise LookupError(f"table or view {target} not found")
+            df = spark.table(target)
+            refuse_streaming(df, STAGE, target)
+            detail["objectType"] = kind
+
+            if kind == "VIEW":
+                if not views_enabled:
+                    raise ViewsNotEnabled(f"{target} is a view; reading views needs views_enabled=True")
+                if view_materialization_dataset:
+                    df = _materialize(spark, df, view_materialization_project, view_materialization_dataset,
+                                      materialization_expiration_minutes, detail)
+            elif kind != "TEMPORARY":
+                df = _day_partitions(spark, target, df, day_range)
+
+            pairs = None
+            if schema_view:
+                pairs = metadata.read_metadata_view(spark, schema_view)
+            elif schema_uri:
+                pairs = metadata.read_metadata_file(spark, schema_uri)
+            if pairs:
+                df = metadata.attach_metadata(df, pairs)
+
+            df = distribute.cap_parallelism(df, max_parallelism)
+            df = distribute.repartition(df, num_partitions, partition_by)
+
+            if output_view:
+                if immutable_view:
+                    df.createTempView(output_view)
+                else:
+                    df.createOrReplaceTempView(output_view)
+
+            stats: dict[str, Any] = {"output_columns": len(df.schema)}
+            if persist:
+                df, stats["records"] = distribute.persist(df, storage_level)
+            if collect_stats or persist:
+                stats["num_partitions"] = distribute.partition_count(df)
+            detail.update({"outputColumns": stats["output_columns"]})
+            if "records" in stats:
+                detail["records"] = stats["records"]
+            if "num_partitions" in stats:
+                detail["numPartitions"] = stats["num_partitions"]
+            return ExtractResult(df, stats, detail)
     except StageError:
         raise
     except Exception as exc:  # every failure carries the stage detail

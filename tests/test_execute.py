@@ -98,3 +98,17 @@ def test_standard_sql_mode_for_the_call(spark, ws):
         assert spark.table(ws.table("lax")).filter("x IS NULL").count() == 25
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_stage_logs_detail_with_duration(spark, ws, caplog):
+    import json
+    import logging
+    with caplog.at_level(logging.INFO, logger="quarry"):
+        execute_sql(spark, "SELECT 1", job_name="logged")
+        with pytest.raises(StageError):
+            execute_sql(spark, "SELECT * FROM nope", job_name="logged-fail")
+    events = [json.loads(r.getMessage()) for r in caplog.records if r.name == "quarry"]
+    ok = [e for e in events if e["jobName"] == "logged"][0]
+    bad = [e for e in events if e["jobName"] == "logged-fail"][0]
+    assert ok["event"] == "exit" and ok["durationMs"] >= 0 and ok["sql"] == "SELECT 1"
+    assert bad["event"] == "failed"
