@@ -55,7 +55,7 @@ def expire_partitions(spark: SparkSession, target: str, as_of: dt.datetime | Non
     specs = ", ".join(f"PARTITION ({quote(day_col)} = DATE'{d}')" for d in gone)
     spark.sql(f"ALTER TABLE {target} DROP IF EXISTS {specs}")
     if props.get(catalog.PROP_OWNED) == "true":
-        root = (catalog.location(spark, target) or "").rstrip("/")
+        root = (props.get(catalog.PROP_LOCATION) or catalog.location(spark, target) or "").rstrip("/")
         # Directory deletes are metadata calls; on an object store each one
         # lists and deletes many keys, so run them side by side.
         with ThreadPoolExecutor(max_workers=min(16, len(gone))) as pool:

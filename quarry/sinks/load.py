@@ -202,7 +202,7 @@ def _replace(spark: SparkSession, df: DataFrame, target: str, old_props: dict |
                                             partition_cols=[day_col] if day_col else [], props=props)
     detail["stagedAt"] = directory
     staging.publish(spark, side, target, old_props)
-    return props
+    return {**props, catalog.PROP_LOCATION: directory}
 
 
 def _append(spark: SparkSession, df: DataFrame, target: str, props: dict[str, str],

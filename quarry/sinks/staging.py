@@ -46,7 +46,8 @@ def write_version(spark: SparkSession, df: DataFrame, target: str, *, staging_ro
         if partition_cols:
             w = w.partitionBy(*partition_cols)
         w.mode("errorifexists").saveAsTable(side)
-        catalog.set_properties(spark, side, {catalog.PROP_OWNED: "true", **props})
+        catalog.set_properties(spark, side, {catalog.PROP_OWNED: "true", **props,
+                                             catalog.PROP_LOCATION: directory})
     except BaseException:
         spark.sql(f"DROP TABLE IF EXISTS {side}")
         files.delete_tree(spark, directory)
@@ -62,7 +63,7 @@ def publish(spark: SparkSession, side: str, target: str, old_props: dict[str, st
     old_dir = None
     if old_props is not None:
         if old_props.get(catalog.PROP_OWNED) == "true":
-            old_dir = catalog.location(spark, target)
+            old_dir = old_props.get(catalog.PROP_LOCATION) or catalog.location(spark, target)
         spark.sql(f"DROP TABLE {target}")
     spark.sql(f"ALTER TABLE {side} RENAME TO {target}")
     if old_dir:

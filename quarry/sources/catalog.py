@@ -5,10 +5,12 @@ All of these read catalog metadata only; none scans table data.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 # Fixed table-property keys the engine records on the tables it writes.
 PROP_OWNED = "quarry.owned"                      # engine made the location, may delete it
+PROP_LOCATION = "quarry.location"                # the directory the engine wrote
 PROP_PARTITION_FIELD = "quarry.partition_field"  # user's date/timestamp field
 PROP_DAY_COLUMN = "quarry.day_column"            # physical partition column
 PROP_EXPIRATION_MS = "quarry.partition_expiration_ms"
@@ -19,9 +21,12 @@ DERIVED_DAY = "__day"
 
 def object_type(spark: SparkSession, name: str) -> str | None:
     """``MANAGED``, ``EXTERNAL``, ``VIEW``, ``TEMPORARY`` or None if absent."""
-    if not spark.catalog.tableExists(name):
-        return None
-    return spark.catalog.getTable(name).tableType
+    try:
+        return spark.catalog.getTable(name).tableType
+    except AnalysisException as exc:
+        if "NOT_FOUND" in str(exc) or "not found" in str(exc).lower():
+            return None
+        raise
 
 
 def properties(spark: SparkSession, name: str) -> dict[str, str]:
