@@ -139,7 +139,8 @@ def load_table(
             refuse_streaming(df, STAGE, input_view)
             target = qualify(table, dataset, project)
             detail["resolved"] = target
-            exists = spark.catalog.tableExists(target)
+            kind = catalog.object_type(spark, target)
+            exists = kind is not None
             detail["tableExisted"] = exists
 
             if not exists and create_disposition == "CREATE_NEVER":
@@ -149,7 +150,7 @@ def load_table(
             if exists and mode == "Ignore":
                 detail["written"] = False
                 return df
-            if exists and catalog.object_type(spark, target) == "VIEW":
+            if kind in ("VIEW", "TEMPORARY"):
                 raise TypeError(f"{target} is a view; load writes tables only")
 
             old_props = catalog.properties(spark, target) if exists else {}
@@ -216,6 +217,8 @@ def _append(spark: SparkSession, df: DataFrame, target: str, props: dict[str, st
     if partition_field and not recorded_field:
         raise ValueError(f"{target} is not day-partitioned; cannot append with partition_field")
     day_col = props.get(catalog.PROP_DAY_COLUMN)
+    if expiration is not None and not day_col:
+        raise ValueError("partition_expiration_ms needs a day-partitioned table")
     if recorded_field and day_col == catalog.DERIVED_DAY:
         df, _ = layout.day_column(df, recorded_field)
     req = sorted(set(catalog.csv(props.get(catalog.PROP_REQUIRED))) | set(required))
@@ -240,8 +243,6 @@ def _append(spark: SparkSession, df: DataFrame, target: str, props: dict[str, st
     if plan.relaxed:
         detail["relaxedColumns"] = plan.relaxed
     if expiration is not None:
-        if not day_col:
-            raise ValueError("partition_expiration_ms needs a day-partitioned table")
         new_props[catalog.PROP_EXPIRATION_MS] = str(expiration)
     catalog.set_properties(spark, target, new_props)
     spark.catalog.refreshTable(target)

@@ -324,3 +324,20 @@ def test_hot_day_is_split_over_files(spark, ws):
     hot_day = files_per_day.orderBy(F.desc("n")).first()
     assert str(hot_day["__day"]) == "2024-01-07" and hot_day["files"] > 1
     assert spark.table(ws.table("hot")).count() == ev.count()
+
+
+def test_expiry_on_unpartitioned_append_refused_before_writing(spark, ws):
+    load_table(spark, _orders(ws, "F"), "t", dataset=ws.db)
+    n = spark.table(ws.table("t")).count()
+    with pytest.raises(StageError):
+        load_table(spark, _orders(ws, "O"), "t", dataset=ws.db, save_mode="Append",
+                   partition_expiration_ms=1000)
+    assert spark.table(ws.table("t")).count() == n
+
+
+def test_load_refuses_to_overwrite_a_view(spark, ws):
+    spark.sql(f"CREATE VIEW {ws.table('v')} AS SELECT * FROM {ws.source('nation')}")
+    with pytest.raises(StageError) as e:
+        load_table(spark, _orders(ws), "v", dataset=ws.db)
+    assert isinstance(e.value.__cause__, TypeError)
+    assert spark.catalog.getTable(ws.table("v")).tableType == "VIEW"
