@@ -14,7 +14,9 @@ Rules for appending ``incoming`` to a table with schema ``target``:
 * with ``allow_field_relaxation`` a required column becomes nullable when
   the incoming column is nullable or absent (decided from the schema, no
   extra pass over the data);
-* a column in both with a different type is refused.
+* a column in both with a different type is refused, unless the incoming
+  type widens losslessly to the table's (int to bigint, float to double),
+  in which case it is cast.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
+from ..functions.columns import col, widens_to
+
 
 class SchemaMismatch(ValueError):
     pass
@@ -55,7 +59,8 @@ def plan_append(target: StructType, partition_cols: list[str], incoming: DataFra
     if added and not allow_field_addition:
         problems.append(f"new column(s) {[f.name for f in added]} need allow_field_addition=True")
     for k, f in inc.items():
-        if k in tgt and _canon(tgt[k].dataType) != _canon(f.dataType):
+        if (k in tgt and _canon(tgt[k].dataType) != _canon(f.dataType)
+                and not widens_to(f.dataType, tgt[k].dataType)):
             problems.append(f"column {f.name!r} is {_canon(f.dataType)}, the table has "
                             f"{_canon(tgt[k].dataType)}")
     missing = [f for k, f in tgt.items() if k not in inc]
@@ -76,7 +81,12 @@ def plan_append(target: StructType, partition_cols: list[str], incoming: DataFra
     cols = []
     for f in [*data_cols, *added, *part_cols]:
         k = f.name.lower()
-        c = F.col(inc[k].name) if k in inc else F.lit(None).cast(f.dataType)
+        if k not in inc:
+            c = F.lit(None).cast(f.dataType)
+        elif k in tgt and _canon(inc[k].dataType) != _canon(tgt[k].dataType):
+            c = col(inc[k].name).cast(tgt[k].dataType)
+        else:
+            c = col(inc[k].name)
         cols.append(c.alias(f.name))
     return AppendPlan(cols, added, relaxed, still)
 
@@ -88,7 +98,7 @@ def guard_required(df: DataFrame, required: list[str], table: str) -> DataFrame:
     types = {f.name.lower(): f for f in df.schema.fields}
     out = []
     for f in df.schema.fields:
-        c = F.col(f.name)
+        c = col(f.name)
         if f.name.lower() in {r.lower() for r in required}:
             msg = F.lit(f"NULL in required column {f.name} of {table}")
             c = F.when(c.isNull(), F.raise_error(msg).cast(types[f.name.lower()].dataType)).otherwise(c)

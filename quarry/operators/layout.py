@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
+from ..functions.columns import col
 from ..sources.catalog import DERIVED_DAY
 
 MAX_CLUSTERED_FIELDS = 4
@@ -45,7 +46,7 @@ def day_column(df: DataFrame, partition_field: str) -> tuple[DataFrame, str]:
     if isinstance(field.dataType, DateType):
         return df, field.name
     if isinstance(field.dataType, (TimestampType, TimestampNTZType)):
-        return df.withColumn(DERIVED_DAY, F.to_date(F.col(field.name))), DERIVED_DAY
+        return df.withColumn(DERIVED_DAY, F.to_date(col(field.name))), DERIVED_DAY
     raise TypeError(f"partition_field {partition_field!r} must be a DATE or TIMESTAMP column, "
                     f"not {field.dataType.simpleString()}")
 
@@ -60,20 +61,21 @@ def lay_out(df: DataFrame, day_col: str | None, clustered: Sequence[str]) -> Dat
     clustered = list(clustered)
     if day_col:
         if _adaptive(df):
-            df = df.hint("rebalance", day_col)
+            df = df.hint("rebalance", col(day_col))
         else:
             df = _ranged(df, [day_col, *clustered])
-        return df.sortWithinPartitions(day_col, *clustered) if clustered else df
+        return df.sortWithinPartitions(*[col(c) for c in (day_col, *clustered)]) if clustered else df
     if clustered:
-        return _ranged(df, clustered).sortWithinPartitions(*clustered)
+        return _ranged(df, clustered).sortWithinPartitions(*[col(c) for c in clustered])
     return df
 
 
 def _ranged(df: DataFrame, keys: list[str]) -> DataFrame:
     # Spark cannot hash maps; the other columns identify the row well enough.
-    hashable = [F.col(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    hashable = [col(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
     row_hash = F.xxhash64(F.spark_partition_id(), *hashable)
-    return df.withColumn(_TIEBREAK, row_hash).repartitionByRange(*keys, _TIEBREAK).drop(_TIEBREAK)
+    ranged = df.withColumn(_TIEBREAK, row_hash).repartitionByRange(*[col(k) for k in keys], col(_TIEBREAK))
+    return ranged.drop(_TIEBREAK)
 
 
 def _adaptive(df: DataFrame) -> bool:
@@ -83,9 +85,9 @@ def _adaptive(df: DataFrame) -> bool:
 
 
 def _field(df: DataFrame, name: str):
-    if "." in name:
-        raise ValueError(f"{name!r}: only top-level columns can partition or cluster a table")
     for f in df.schema.fields:
         if f.name.lower() == name.lower():
             return f
+    if "." in name:
+        raise ValueError(f"{name!r}: only top-level columns can partition or cluster a table")
     raise ValueError(f"column {name!r} not in {df.columns}")

@@ -341,3 +341,21 @@ def test_load_refuses_to_overwrite_a_view(spark, ws):
         load_table(spark, _orders(ws), "v", dataset=ws.db)
     assert isinstance(e.value.__cause__, TypeError)
     assert spark.catalog.getTable(ws.table("v")).tableType == "VIEW"
+
+
+def test_append_widens_int_to_bigint(spark, ws):
+    base = ws.read("nation").select(F.col("n_nationkey").cast("bigint").alias("k"), "n_name")
+    load_table(spark, ws.view(base, "b"), "w", dataset=ws.db)
+    narrow = ws.read("nation").select(F.col("n_nationkey").alias("k"), "n_name")  # int
+    load_table(spark, ws.view(narrow, "n"), "w", dataset=ws.db, save_mode="Append")
+    t = spark.table(ws.table("w"))
+    assert dict(t.dtypes)["k"] == "bigint" and t.count() == 50
+
+
+def test_dotted_column_names(spark, ws):
+    df = ws.read("nation").select(F.col("n_nationkey").alias("a.b"), F.col("n_regionkey").alias("r.k"),
+                                  F.lit("2024-01-01").cast("date").alias("d.d"))
+    load_table(spark, ws.view(df, "dotted"), "dotted", dataset=ws.db, clustered_fields="r.k",
+               required_columns=["a.b"])
+    load_table(spark, ws.view(df, "dotted"), "dotted", dataset=ws.db, save_mode="Append")
+    assert spark.table(ws.table("dotted")).count() == 50
