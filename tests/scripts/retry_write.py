@@ -37,8 +37,10 @@ def main(sf_dir: str) -> None:
     view = ws.view(src, "flaky")
     load_table(spark, view, "clustered", dataset=ws.db, clustered_fields="user_id")
     load_table(spark, view, "by_day", dataset=ws.db, partition_field="ts", clustered_fields="user_id")
+    load_table(spark, view, "appended", dataset=ws.db, partition_field="ts")
+    load_table(spark, view, "appended", dataset=ws.db, save_mode="Append")
     out = {}
-    for t in ("clustered", "by_day"):
+    for t in ("clustered", "by_day", "appended"):
         df = spark.table(ws.table(t))
         out[t] = {"rows": df.count(), "distinct": df.select("event_id").distinct().count()}
     out["expected"] = events.count()

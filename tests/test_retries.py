@@ -18,4 +18,5 @@ def test_retried_tasks_neither_duplicate_nor_lose_rows():
     n = out["expected"]
     for t in ("clustered", "by_day"):
         assert out[t] == {"rows": n, "distinct": n}, out
+    assert out["appended"] == {"rows": 2 * n, "distinct": n}, out
     assert "injected task failure" in proc.stderr
