@@ -49,11 +49,15 @@ def execute_uri(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def execute_params(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``${status}`` is substituted as text, ``:min_price`` bound as a value."""
+    """An INSERT with parameters: ``${status}`` is substituted as text,
+    ``:min_price`` bound as a value, ``:target`` names the table."""
     ws = Workspace(spark, sf_dir, "execute_params")
-    sql = (f"CREATE TABLE {ws.table('big_orders')} AS SELECT o_orderkey, o_totalprice FROM orders "
+    execute_sql(spark, f"CREATE TABLE {ws.table('big_orders')} (o_orderkey BIGINT, o_totalprice DOUBLE) "
+                       "USING parquet")
+    sql = ("INSERT INTO IDENTIFIER(:target) SELECT o_orderkey, o_totalprice FROM orders "
            "WHERE o_totalprice > :min_price AND o_orderstatus = '${status}'")
-    execute_sql(spark, sql, sql_params={"min_price": 100000, "status": "F"}, dataset=ws.src)
+    execute_sql(spark, sql, sql_params={"target": ws.table("big_orders"), "min_price": 100000, "status": "F"},
+                dataset=ws.src)
     return extract_table(spark, "big_orders", dataset=ws.db).df
 
 
