@@ -34,6 +34,7 @@ def execute_sql(
     job_name: str | None = None,
     job_id: str | None = None,
     ansi: bool = True,
+    id: str | None = None,  # noqa: A002 -- the stage key is called id
     name: str | None = None,
     description: str | None = None,
     params: dict[str, str] | None = None,
@@ -68,7 +69,7 @@ def execute_sql(
     generated = f"jobId_{job_id}_{uuid.uuid4()}" if job_id else f"jobId_{uuid.uuid4()}"
     tag = job_name or generated
     detail: dict[str, Any] = {
-        "type": "execute", "name": name or tag, "description": description,
+        "type": "execute", "id": id, "name": name or tag, "description": description,
         "inputURI": input_uri, "sqlParams": sql_params, "params": dict(params or {}),
         "project": project, "dataset": dataset, "jobName": tag,
     }

@@ -70,6 +70,7 @@ def load_table(
     allow_field_relaxation: bool = False,
     required_columns: Sequence[str] = (),
     staging_dir: str | None = None,
+    id: str | None = None,  # noqa: A002 -- the stage key is called id
     name: str | None = None,
     description: str | None = None,
     params: dict[str, str] | None = None,
@@ -125,7 +126,7 @@ def load_table(
     chk.raise_if_any()
 
     detail: dict[str, Any] = {
-        "type": "load", "name": name or table, "description": description,
+        "type": "load", "id": id, "name": name or table, "description": description,
         "inputView": input_view, "table": table, "dataset": dataset, "project": project,
         "saveMode": (mode or "").lower(), "createDisposition": create_disposition,
         "partitionField": partition_field, "partitionExpirationMs": expiration,

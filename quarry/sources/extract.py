@@ -58,6 +58,7 @@ def extract_table(
     persist: bool = False,
     storage_level: str | None = None,
     collect_stats: bool = False,
+    id: str | None = None,  # noqa: A002 -- the stage key is called id
     name: str | None = None,
     description: str | None = None,
     params: dict[str, str] | None = None,
@@ -103,7 +104,7 @@ def extract_table(
     chk.raise_if_any()
 
     detail: dict[str, Any] = {
-        "type": "extract", "name": name or output_view or table, "description": description,
+        "type": "extract", "id": id, "name": name or output_view or table, "description": description,
         "table": table, "dataset": dataset, "project": project, "outputView": output_view,
         "persist": persist, "viewsEnabled": views_enabled, "params": dict(params or {}),
         "maxParallelism": max_parallelism, "numPartitions": num_partitions,
