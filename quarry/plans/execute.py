@@ -13,6 +13,7 @@ import contextlib
 import uuid
 from typing import Any
 
+from pyspark.errors import ParseException
 from pyspark.sql import SparkSession
 
 from ..errors import Checks, StageError, wrap
@@ -34,6 +35,7 @@ def execute_sql(
     job_name: str | None = None,
     job_id: str | None = None,
     ansi: bool = True,
+    script: bool | None = None,
     id: str | None = None,  # noqa: A002 -- the stage key is called id
     name: str | None = None,
     description: str | None = None,
@@ -48,6 +50,11 @@ def execute_sql(
     the statement runs, as job group and session tag, so it can be found
     and cancelled. ``ansi`` runs the text in standard-SQL mode
     (``spark.sql.ansi.enabled``) whatever the session says, restored after.
+    ``script``: text with several ``;``-separated statements runs as one
+    SQL script (``BEGIN ... END``). ``None`` (default) tries the text as it
+    is and, if it does not parse and holds a ``;``, runs it as a script --
+    a parse error has run nothing, so the retry is safe. ``True`` always
+    wraps, ``False`` never does.
     """
     chk = Checks(STAGE)
     chk.require(input_uri is not None or sql is not None, "one of sql or input_uri is required")
@@ -58,6 +65,7 @@ def execute_sql(
     chk.text("job_name", job_name)
     chk.require(sql_params is None or isinstance(sql_params, dict), "sql_params must be a dict")
     chk.boolean("ansi", ansi)
+    chk.require(script in (None, True, False), f"script must be None, True or False, got {script!r}")
     if sql is not None and input_uri is None and isinstance(sql, str):
         try:
             substitute(sql, sql_params)
@@ -80,7 +88,7 @@ def execute_sql(
             detail["sql"] = final
             bind = {k: v for k, v in sql_params.items() if k not in text_placeholders(text)}
             with _current_namespace(spark, project, dataset), _tagged(spark, tag), _ansi(spark, ansi):
-                result = spark.sql(final, args=bind) if bind else spark.sql(final)
+                result = _run(spark, final, bind, script, detail)
                 result.write.format("noop").mode("overwrite").save()
             return None
     except StageError:
@@ -89,6 +97,37 @@ def execute_sql(
         raise wrap(STAGE, detail, exc) from exc
 
 
+def _script_forms(text: str) -> list[str]:
+    """``BEGIN ... END`` around the text; the last statement needs a ``;``
+    unless it already has one (possibly hidden behind a trailing comment),
+    so both forms are offered and the first that parses is used."""
+    body = text.strip()
+    if body[:5].upper() == "BEGIN" and body.rstrip(";").rstrip()[-3:].upper() == "END":
+        return [body]
+    body = body.rstrip(";").rstrip()
+    return [f"BEGIN\n{body}\n;\nEND", f"BEGIN\n{body}\nEND"]
+
+
+def _run(spark: SparkSession, text: str, bind: dict, script: bool | None, detail: dict):
+    def sql(t: str):
+        return spark.sql(t, args=bind) if bind else spark.sql(t)
+    if not script:
+        try:
+            return sql(text)
+        except ParseException:
+            if script is False or ";" not in text.strip().rstrip(";"):
+                raise
+    forms = _script_forms(text)
+    for i, form in enumerate(forms):
+        detail["sql"] = form
+        try:
+            return sql(form)
+        except ParseException as exc:
+            # only the ';' we added can be at fault for the next form to help
+            if i == len(forms) - 1 or "';'" not in str(exc):
+                raise
+
+
 def _read_text(spark: SparkSession, uri: str) -> str:
     rows = spark.read.text(uri, wholetext=True).collect()
     if len(rows) != 1:

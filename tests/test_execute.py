@@ -112,3 +112,20 @@ def test_stage_logs_detail_with_duration(spark, ws, caplog):
     bad = [e for e in events if e["jobName"] == "logged-fail"][0]
     assert ok["event"] == "exit" and ok["durationMs"] >= 0 and ok["sql"] == "SELECT 1"
     assert bad["event"] == "failed"
+
+
+def test_multi_statement_text_runs_as_a_script(spark, ws):
+    text = (f"CREATE TABLE {ws.table('s')} AS SELECT n_nationkey FROM nation;\n"
+            f"INSERT INTO {ws.table('s')} SELECT r_regionkey FROM region; -- five more\n")
+    execute_sql(spark, text, dataset=ws.src)
+    assert spark.table(ws.table("s")).count() == 30
+    with pytest.raises(StageError):
+        execute_sql(spark, f"CREATE TABLE {ws.table('s2')} AS SELECT 1 AS x; SELECT 2", script=False)
+    assert not spark.catalog.tableExists(ws.table("s2"))
+
+
+def test_script_with_a_failing_statement_raises(spark, ws):
+    with pytest.raises(StageError) as e:
+        execute_sql(spark, f"CREATE TABLE {ws.table('f')} AS SELECT 1 AS x; SELECT * FROM missing_table",
+                    dataset=ws.src)
+    assert e.value.detail["sql"].startswith("BEGIN")
