@@ -140,7 +140,8 @@ def load_table(
             refuse_streaming(df, STAGE, input_view)
             target = qualify(table, dataset, project)
             detail["resolved"] = target
-            kind = catalog.object_type(spark, target)
+            info = catalog.table_info(spark, target)
+            kind = info.tableType if info else None
             exists = kind is not None
             detail["tableExisted"] = exists
 
@@ -161,8 +162,11 @@ def load_table(
                 out = df
             else:
                 staging_root = staging_dir or staging.default_staging_root(spark, target)
+                kept = catalog.user_properties(old_props)
+                if info is not None and info.description:
+                    kept["comment"] = info.description
                 props = _replace(spark, df, target, old_props if exists else None, partition_field,
-                                 expiration, clustered, required, staging_root, detail)
+                                 expiration, clustered, required, staging_root, detail, kept)
                 out = spark.table(target)
                 if catalog.DERIVED_DAY in out.columns:
                     out = out.drop(catalog.DERIVED_DAY)
@@ -178,9 +182,13 @@ def load_table(
 
 def _replace(spark: SparkSession, df: DataFrame, target: str, old_props: dict | None,
              partition_field: str | None, expiration: int | None, clustered: list[str],
-             required: list[str], staging_root: str, detail: dict) -> dict[str, str]:
-    """Staged write of a new table version; returns the properties it records."""
-    props: dict[str, str] = {catalog.PROP_OWNED: "true"}
+             required: list[str], staging_root: str, detail: dict,
+             kept: dict[str, str]) -> dict[str, str]:
+    """Staged write of a new table version; returns the properties it records.
+
+    ``kept`` are the replaced table's own properties and comment: the rows
+    and schema are replaced, the table's description is not."""
+    props: dict[str, str] = {**kept, catalog.PROP_OWNED: "true"}
     day_col = None
     if partition_field:
         df, day_col = layout.day_column(df, partition_field)

@@ -19,16 +19,32 @@ PROP_REQUIRED = "quarry.required_columns"
 PROP_EXPIRES_AT = "quarry.expires_at"             # materialised view results
 DERIVED_DAY = "__day"
 
-def object_type(spark: SparkSession, name: str) -> str | None:
-    """``MANAGED``, ``EXTERNAL``, ``VIEW``, ``TEMPORARY`` or None if absent."""
+def table_info(spark: SparkSession, name: str):
+    """The catalog's ``Table`` entry, or None if there is no such object."""
     try:
-        return spark.catalog.getTable(name).tableType
+        return spark.catalog.getTable(name)
     except AnalysisException as exc:
         if "NOT_FOUND" in str(exc) or "not found" in str(exc).lower():
             return None
         raise
 
 
+def object_type(spark: SparkSession, name: str) -> str | None:
+    """``MANAGED``, ``EXTERNAL``, ``VIEW``, ``TEMPORARY`` or None if absent."""
+    info = table_info(spark, name)
+    return info.tableType if info else None
+
+
+# Properties Spark reserves or manages itself.
+_RESERVED = {"owner", "provider", "location", "comment", "external", "is_managed_location"}
+
+
+def user_properties(props: dict[str, str]) -> dict[str, str]:
+    """Properties a user set, which an overwrite must keep."""
+    return {k: v for k, v in props.items()
+            if not k.startswith(("quarry.", "spark.", "transient_")) and k not in _RESERVED}
+
+
 def properties(spark: SparkSession, name: str) -> dict[str, str]:
     rows = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
     return {r["key"]: r["value"] for r in rows}

@@ -359,3 +359,12 @@ def test_dotted_column_names(spark, ws):
                required_columns=["a.b"])
     load_table(spark, ws.view(df, "dotted"), "dotted", dataset=ws.db, save_mode="Append")
     assert spark.table(ws.table("dotted")).count() == 50
+
+
+def test_overwrite_keeps_user_properties_and_comment(spark, ws):
+    load_table(spark, _orders(ws, "F"), "t", dataset=ws.db)
+    spark.sql(f"ALTER TABLE {ws.table('t')} SET TBLPROPERTIES ('team' = 'sales', 'comment' = 'orders by status')")
+    load_table(spark, _orders(ws, "O"), "t", dataset=ws.db)
+    props = catalog.properties(spark, ws.table("t"))
+    assert props["team"] == "sales"
+    assert spark.catalog.getTable(ws.table("t")).description == "orders by status"
