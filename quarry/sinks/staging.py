@@ -21,14 +21,14 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.names import parts_of, sibling
+from ..functions.names import parts_of, quote, sibling
 from ..sources import catalog, files
 
 
 def default_staging_root(spark: SparkSession, target: str) -> str:
     """The target database's location: shared storage the catalog already uses."""
     parts = parts_of(target)
-    db = ".".join(parts[:-1]) if len(parts) > 1 else spark.catalog.currentDatabase()
+    db = ".".join(quote(p) for p in parts[:-1]) if len(parts) > 1 else spark.catalog.currentDatabase()
     return spark.catalog.getDatabase(db).locationUri.rstrip("/")
 
 
@@ -65,7 +65,11 @@ def publish(spark: SparkSession, side: str, target: str, old_props: dict[str, st
         if old_props.get(catalog.PROP_OWNED) == "true":
             old_dir = old_props.get(catalog.PROP_LOCATION) or catalog.location(spark, target)
         spark.sql(f"DROP TABLE {target}")
-    spark.sql(f"ALTER TABLE {side} RENAME TO {target}")
+    try:
+        spark.sql(f"ALTER TABLE {side} RENAME TO {target}")
+    except Exception as exc:
+        raise RuntimeError(f"{target} was dropped but the new version could not be renamed into "
+                           f"place; its rows are in table {side}: {exc}") from exc
     if old_dir:
         files.delete_tree(spark, old_dir)
 
