@@ -157,7 +157,11 @@ def _current_namespace(spark: SparkSession, project: str | None, dataset: str |
 def _ansi(spark: SparkSession, on: bool):
     key = "spark.sql.ansi.enabled"
     old = spark.conf.get(key)
-    spark.conf.set(key, "true" if on else "false")
+    want = "true" if on else "false"
+    if old == want:
+        yield
+        return
+    spark.conf.set(key, want)
     try:
         yield
     finally:
