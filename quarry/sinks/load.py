@@ -208,6 +208,10 @@ def _replace(spark: SparkSession, df: DataFrame, target: str, old_props: dict |
         props[catalog.PROP_REQUIRED] = ",".join(required)
     df = evolution.guard_required(df, required, target)
     df = layout.lay_out(df, day_col, clustered)
+    live = (old_props or {}).get(catalog.PROP_LOCATION)
+    swept = staging.sweep_leftovers(spark, target, staging_root, keep=live)
+    if swept:
+        detail["sweptLeftovers"] = swept
     side, directory = staging.write_version(spark, df, target, staging_root=staging_root,
                                             partition_cols=[day_col] if day_col else [], props=props)
     detail["stagedAt"] = directory

@@ -17,6 +17,8 @@ may be overwritten from itself ("UPDATE/DELETE as SELECT").
 
 from __future__ import annotations
 
+import re
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +34,43 @@ def default_staging_root(spark: SparkSession, target: str) -> str:
     return spark.catalog.getDatabase(db).locationUri.rstrip("/")
 
 
+def sweep_leftovers(spark: SparkSession, target: str, staging_root: str, *,
+                    grace_hours: float = 24.0, keep: str | None = None) -> list[str]:
+    """Remove what an interrupted load of ``target`` left behind.
+
+    A driver lost between writing a version and publishing it leaves a
+    version directory (and perhaps a side table) that nothing points to.
+    Those of this table older than ``grace_hours`` are dropped; younger
+    ones may belong to a load still running and are left alone, as is the
+    live version ``keep``.
+    """
+    table = parts_of(target)[-1]
+    cutoff = (time.time() - grace_hours * 3600) * 1000
+    swept = []
+    db = ".".join(quote(p) for p in parts_of(target)[:-1]) or quote(spark.catalog.currentDatabase())
+    side_name = re.compile(re.escape(table) + r"__quarry_[0-9a-f]{16}", re.IGNORECASE)
+    for row in spark.sql(f"SHOW TABLES IN {db} LIKE '{_like(table)}__quarry_*'").collect():
+        if row["isTemporary"] or not side_name.fullmatch(row["tableName"]):
+            continue
+        side = sibling(target, row["tableName"])
+        loc = catalog.location(spark, side) or ""
+        mtimes = dict(files.children_with_mtime(spark, loc.rsplit("/", 1)[0])) if loc else {}
+        if mtimes.get(loc.rsplit("/", 1)[-1], 0) < cutoff:
+            spark.sql(f"DROP TABLE IF EXISTS {side}")
+            swept.append(side)
+    pattern = re.compile(re.escape(table) + r"-[0-9a-f]{16}")
+    for name, mtime in files.children_with_mtime(spark, staging_root):
+        path = f"{staging_root.rstrip('/')}/{name}"
+        if pattern.fullmatch(name) and mtime < cutoff and not (keep and files.same_path(path, keep)):
+            files.delete_tree(spark, path)
+            swept.append(path)
+    return swept
+
+
+def _like(name: str) -> str:
+    return name.replace("'", "")
+
+
 def write_version(spark: SparkSession, df: DataFrame, target: str, *, staging_root: str,
                   partition_cols: list[str], props: dict[str, str]) -> tuple[str, str]:
     """Write ``df`` as a new table version; returns (side table, its directory)."""

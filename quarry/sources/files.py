@@ -37,6 +37,19 @@ def list_children(spark: SparkSession, path: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fs.listStatus(p))
 
 
+def children_with_mtime(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(name, modification time in ms) of each entry directly below ``path``."""
+    fs, p = _fs_and_path(spark, path)
+    if not fs.exists(p):
+        return []
+    return [(st.getPath().getName(), int(st.getModificationTime())) for st in fs.listStatus(p)]
+
+
+def set_mtime(spark: SparkSession, path: str, mtime_ms: int) -> None:
+    fs, p = _fs_and_path(spark, path)
+    fs.setTimes(p, mtime_ms, -1)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write one small text file (SQL scripts, metadata lists)."""
     fs, p = _fs_and_path(spark, path)

@@ -368,3 +368,27 @@ def test_overwrite_keeps_user_properties_and_comment(spark, ws):
     props = catalog.properties(spark, ws.table("t"))
     assert props["team"] == "sales"
     assert spark.catalog.getTable(ws.table("t")).description == "orders by status"
+
+
+def test_leftovers_of_an_interrupted_load_are_swept(spark, ws):
+    import time as _time
+    from quarry.sinks.staging import write_version
+    stage = f"{ws.dir}/staging"
+    load_table(spark, _orders(ws, "F"), "t", dataset=ws.db, staging_dir=stage)
+    live = files.list_children(spark, stage)
+    # a load whose driver died after writing but before publishing
+    side, orphan = write_version(spark, ws.read("nation"), ws.table("t"), staging_root=stage,
+                                 partition_cols=[], props={})
+    fresh_side, fresh = write_version(spark, ws.read("region"), ws.table("t"), staging_root=stage,
+                                      partition_cols=[], props={})
+    old = int((_time.time() - 3 * 86400) * 1000)
+    files.set_mtime(spark, orphan, old)
+    for name in live:
+        files.set_mtime(spark, f"{stage}/{name}", old)   # old, but live: must stay
+    load_table(spark, _orders(ws, "O"), "t", dataset=ws.db, staging_dir=stage)
+    left = files.list_children(spark, stage)
+    assert orphan.rsplit("/", 1)[-1] not in left            # swept
+    assert fresh.rsplit("/", 1)[-1] in left                 # too young to touch
+    assert not spark.catalog.tableExists(side)
+    assert spark.catalog.tableExists(fresh_side)
+    assert spark.table(ws.table("t")).count() == spark.table(_orders(ws, "O")).count()
