@@ -222,4 +222,8 @@ def _as_date(x: Any) -> dt.date | None:
         return x
     if isinstance(x, dt.datetime):
         return x.date()
-    return dt.date.fromisoformat(str(x))
+    text = str(x).strip()
+    try:
+        return dt.date.fromisoformat(text)
+    except ValueError:
+        return dt.datetime.fromisoformat(text).date()

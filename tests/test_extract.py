@@ -176,3 +176,12 @@ def test_empty_table(spark, ws):
     r = extract_table(spark, "empty", dataset=ws.db, persist=True)
     assert r.stats["records"] == 0
     assert r.df.columns == ws.read("orders").columns
+
+
+def test_day_range_accepts_dates_datetimes_and_open_ends():
+    import datetime as dt
+    from quarry.sources.extract import _as_date
+    assert _as_date("2024-01-03") == dt.date(2024, 1, 3)
+    assert _as_date("2024-01-03T10:00:00") == dt.date(2024, 1, 3)
+    assert _as_date(dt.datetime(2024, 1, 3, 5)) == dt.date(2024, 1, 3)
+    assert _as_date(None) is None
