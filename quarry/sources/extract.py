@@ -78,8 +78,10 @@ def extract_table(
       written by ``load_table``; the filter is on the partition column, so
       only those partitions are listed and read.
     * ``persist`` caches and counts; ``stats['records']`` is then set.
-    * ``collect_stats`` also reports the partition count, which after a
-      shuffle costs running it.
+    * ``stats['num_partitions']`` is reported when it is free (an explicit
+      ``num_partitions``) or asked for with ``collect_stats`` (or
+      ``persist``): otherwise it costs a query planning (~60 ms) for a scan,
+      and running the shuffles for views and key-only repartitioning.
     """
     partition_by = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
     chk = Checks(STAGE)
@@ -153,6 +155,8 @@ def extract_table(
                 df, stats["records"] = distribute.persist(df, storage_level)
             if collect_stats or persist:
                 stats["num_partitions"] = distribute.partition_count(df)
+            elif num_partitions is not None:
+                stats["num_partitions"] = num_partitions  # D2/D3 give exactly this many
             detail.update({"outputColumns": stats["output_columns"]})
             if "records" in stats:
                 detail["records"] = stats["records"]
