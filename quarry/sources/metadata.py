@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from ..functions.columns import col
+
 
 def read_metadata_file(spark: SparkSession, uri: str) -> list[tuple[str, dict]]:
     """JSON lines, or one JSON array, at any Hadoop URI (a small config file)."""
@@ -60,15 +62,25 @@ def _to_pairs(rows) -> list[tuple[str, dict]]:
 
 
 def attach_metadata(df: DataFrame, pairs: list[tuple[str, dict]]) -> DataFrame:
-    """Merge each entry into the column's existing metadata (new keys win)."""
-    fields = {f.name: f for f in df.schema.fields}
-    missing = [n for n, _ in pairs if n not in fields]
+    """Merge each entry into its column's existing metadata (new keys win).
+
+    Names match as Spark resolves them (case-insensitively). One projection
+    for all columns, so a wide table costs one plan node, not one per column.
+    """
+    by_name = {f.name.lower(): f for f in df.schema.fields}
+    missing = [n for n, _ in pairs if n.lower() not in by_name]
     if missing:
         raise ValueError(f"metadata names columns the table does not have: {missing}")
+    extra: dict[str, dict] = {}
     for name, md in pairs:
-        merged = {**fields[name].metadata, **md}
-        df = df.withMetadata(name, merged)
-    return df
+        extra.setdefault(name.lower(), {}).update(md)
+    cols = []
+    for f in df.schema.fields:
+        c = col(f.name)
+        if f.name.lower() in extra:
+            c = c.alias(f.name, metadata={**f.metadata, **extra[f.name.lower()]})
+        cols.append(c)
+    return df.select(*cols)
 
 
 def column_descriptions(df: DataFrame) -> list[tuple[str, str]]:

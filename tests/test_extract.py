@@ -188,3 +188,12 @@ def test_day_range_accepts_dates_datetimes_and_open_ends():
     assert _as_date("2024-01-03T10:00:00") == dt.date(2024, 1, 3)
     assert _as_date(dt.datetime(2024, 1, 3, 5)) == dt.date(2024, 1, 3)
     assert _as_date(None) is None
+
+
+def test_metadata_on_a_wide_frame_is_one_projection(spark, ws):
+    from quarry.sources.metadata import attach_metadata
+    wide = spark.range(3).select(*[F.col("id").alias(f"c{i}") for i in range(300)])
+    pairs = [(f"C{i}", {"description": f"column {i}"}) for i in range(300)]
+    out = attach_metadata(wide, pairs)
+    assert out.schema["c299"].metadata == {"description": "column 299"}
+    assert out.count() == 3
