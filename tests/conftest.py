@@ -29,8 +29,9 @@ def ws(spark):
     return Workspace(spark, SF001, "test")
 
 
-def explain(spark, df) -> str:
-    """The formatted physical plan, via the public EXPLAIN statement."""
+def explain(spark, df, mode: str = "FORMATTED") -> str:
+    """The physical plan, via the public EXPLAIN statement (FORMATTED lists
+    each node's details; "" gives the one-line-per-node tree)."""
     name = f"explain_{id(df)}"
     df.createOrReplaceTempView(name)
-    return spark.sql(f"EXPLAIN FORMATTED SELECT * FROM {name}").collect()[0][0]
+    return spark.sql(f"EXPLAIN {mode} SELECT * FROM {name}").collect()[0][0]

@@ -197,3 +197,9 @@ def test_metadata_on_a_wide_frame_is_one_projection(spark, ws):
     out = attach_metadata(wide, pairs)
     assert out.schema["c299"].metadata == {"description": "column 299"}
     assert out.count() == 3
+
+
+def test_cap_plan_is_a_coalesce_without_shuffle(spark, ws):
+    df = extract_table(spark, "lineitem", dataset=ws.src, max_parallelism=3).df
+    plan = explain(spark, df, "")
+    assert "Coalesce 3" in plan and "Exchange" not in plan

@@ -392,3 +392,18 @@ def test_leftovers_of_an_interrupted_load_are_swept(spark, ws):
     assert not spark.catalog.tableExists(side)
     assert spark.catalog.tableExists(fresh_side)
     assert spark.table(ws.table("t")).count() == spark.table(_orders(ws, "O")).count()
+
+
+def test_write_plans(spark, ws):
+    from quarry.operators import layout
+    ev = ws.read("events")
+    day_df, day_col = layout.day_column(ev, "ts")
+    plan = explain(spark, layout.lay_out(day_df, day_col, []), "")
+    assert plan.count("Exchange ") == 1 and "REBALANCE_PARTITIONS_BY_COL" in plan
+    assert "Sort [" not in plan                        # the writer sorts by the day itself
+    plan = explain(spark, layout.lay_out(day_df, day_col, ["user_id"]), "")
+    assert plan.count("Exchange ") == 1 and "Sort [__day" in plan
+    plan = explain(spark, layout.lay_out(ws.read("orders"), None, ["o_custkey"]), "")
+    assert "rangepartitioning(o_custkey" in plan and "__quarry_row" in plan and "Sort [o_custkey" in plan
+    plan = explain(spark, layout.lay_out(ws.read("orders"), None, []), "")
+    assert "Exchange" not in plan                      # unpartitioned, unclustered: no shuffle added
