@@ -129,3 +129,17 @@ def test_script_with_a_failing_statement_raises(spark, ws):
         execute_sql(spark, f"CREATE TABLE {ws.table('f')} AS SELECT 1 AS x; SELECT * FROM missing_table",
                     dataset=ws.src)
     assert e.value.detail["sql"].startswith("BEGIN")
+
+
+def test_join_strategy_is_catalysts_size_checked_choice(spark, ws):
+    from quarry.plans.statements import SPARK
+    spark.sql(f"USE {ws.src}")
+    try:
+        plan = spark.sql("EXPLAIN " + SPARK["sql_inner_join"]).collect()[0][0]
+        assert "BroadcastHashJoin" in plan                 # dimensions far under the threshold
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = spark.sql("EXPLAIN " + SPARK["sql_inner_join"]).collect()[0][0]
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("USE default")
