@@ -215,7 +215,7 @@ def _replace(spark: SparkSession, df: DataFrame, target: str, old_props: dict |
     side, directory = staging.write_version(spark, df, target, staging_root=staging_root,
                                             partition_cols=[day_col] if day_col else [], props=props)
     detail["stagedAt"] = directory
-    staging.publish(spark, side, target, old_props)
+    detail["publish"] = staging.publish(spark, side, target, old_props, props, directory)
     return {**props, catalog.PROP_LOCATION: directory}
 
 

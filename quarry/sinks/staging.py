@@ -94,11 +94,33 @@ def write_version(spark: SparkSession, df: DataFrame, target: str, *, staging_ro
     return side, directory
 
 
-def publish(spark: SparkSession, side: str, target: str, old_props: dict[str, str] | None) -> None:
-    """Swap the side table in under the target's name; drop the old version.
+def publish(spark: SparkSession, side: str, target: str, old_props: dict[str, str] | None,
+            props: dict[str, str], directory: str) -> str:
+    """Put the side table's version in place under the target's name; drop
+    the old version. Returns how: ``"set_location"`` or ``"rename"``.
+
+    When the engine owns the old table, both are unpartitioned and the
+    columns are unchanged, one ``ALTER TABLE ... SET LOCATION`` repoints the
+    table: a single catalog update, so readers never find it missing.
+    Otherwise the old table is dropped and the side table renamed -- two
+    catalog updates with a moment in between where the name is free.
 
     ``old_props`` are the replaced table's properties (None if there was no
     table); its directory is deleted only if the engine made it."""
+    if old_props is not None and old_props.get(catalog.PROP_OWNED) == "true":
+        shape = catalog.column_shape(spark, target)
+        if shape == catalog.column_shape(spark, side) and not any(c[4] or c[5] for c in shape):
+            old_dir = old_props.get(catalog.PROP_LOCATION) or catalog.location(spark, target)
+            spark.sql(f"ALTER TABLE {target} SET LOCATION {catalog.quote_path(directory)}")
+            new = {**props, catalog.PROP_OWNED: "true", catalog.PROP_LOCATION: directory}
+            catalog.set_properties(spark, target, new)
+            catalog.unset_properties(spark, target, [k for k in old_props
+                                                     if k.startswith("quarry.") and k not in new])
+            spark.sql(f"DROP TABLE {side}")  # external: its files are now the target's
+            spark.catalog.refreshTable(target)
+            if old_dir and not files.same_path(old_dir, directory):
+                files.delete_tree(spark, old_dir)
+            return "set_location"
     old_dir = None
     if old_props is not None:
         if old_props.get(catalog.PROP_OWNED) == "true":
@@ -111,5 +133,6 @@ def publish(spark: SparkSession, side: str, target: str, old_props: dict[str, st
                            f"place; its rows are in table {side}: {exc}") from exc
     if old_dir:
         files.delete_tree(spark, old_dir)
+    return "rename"
 
 

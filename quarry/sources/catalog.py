@@ -68,6 +68,22 @@ def set_properties(spark: SparkSession, name: str, props: dict[str, str]) -> Non
     spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({body})")
 
 
+def unset_properties(spark: SparkSession, name: str, keys: list[str]) -> None:
+    if keys:
+        body = ", ".join(f"'{_esc(k)}'" for k in keys)
+        spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES IF EXISTS ({body})")
+
+
+def column_shape(spark: SparkSession, name: str) -> list[tuple]:
+    """Name, type, nullability, comment and role of each column, from the catalog."""
+    return [(c.name, c.dataType, c.nullable, c.description, c.isPartition, c.isBucket)
+            for c in spark.catalog.listColumns(name)]
+
+
+def quote_path(path: str) -> str:
+    return "'" + _esc(path) + "'"
+
+
 def _esc(v: str) -> str:
     return str(v).replace("\\", "\\\\").replace("'", "\\'")
 

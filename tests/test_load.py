@@ -407,3 +407,33 @@ def test_write_plans(spark, ws):
     assert "rangepartitioning(o_custkey" in plan and "__quarry_row" in plan and "Sort [o_custkey" in plan
     plan = explain(spark, layout.lay_out(ws.read("orders"), None, []), "")
     assert "Exchange" not in plan                      # unpartitioned, unclustered: no shuffle added
+
+
+def test_same_shape_overwrite_repoints_in_one_step(spark, ws):
+    from quarry.sources.extract import extract_table as _extract
+    stage = f"{ws.dir}/staging"
+    load_table(spark, _orders(ws, "F"), "t", dataset=ws.db, staging_dir=stage, clustered_fields="o_custkey")
+    spark.sql(f"ALTER TABLE {ws.table('t')} SET TBLPROPERTIES ('team' = 'sales')")
+    load_table(spark, _orders(ws, "O"), "t", dataset=ws.db, staging_dir=stage)
+    props = catalog.properties(spark, ws.table("t"))
+    assert catalog.PROP_CLUSTERED not in props and props["team"] == "sales"
+    assert len(files.list_children(spark, stage)) == 1
+    assert files.same_path(catalog.location(spark, ws.table("t")), props[catalog.PROP_LOCATION])
+    assert _tables(spark, ws) == ["t"]
+    assert _rows(_extract(spark, "t", dataset=ws.db).df) == _rows(spark.table(_orders(ws, "O")))
+    # a changed schema still publishes, by drop and rename
+    narrow = ws.view(ws.read("orders").select("o_orderkey", "o_custkey"), "narrow")
+    load_table(spark, narrow, "t", dataset=ws.db, staging_dir=stage)
+    assert spark.table(ws.table("t")).columns == ["o_orderkey", "o_custkey"]
+    assert len(files.list_children(spark, stage)) == 1
+
+
+def test_publish_method_is_recorded(spark, ws, caplog):
+    import json
+    import logging
+    with caplog.at_level(logging.INFO, logger="quarry"):
+        load_table(spark, _orders(ws, "F"), "p", dataset=ws.db)
+        load_table(spark, _orders(ws, "O"), "p", dataset=ws.db)
+    loads = [json.loads(r.getMessage()) for r in caplog.records if r.name == "quarry"]
+    loads = [e for e in loads if e.get("type") == "load"]
+    assert [e["publish"] for e in loads] == ["rename", "set_location"]
