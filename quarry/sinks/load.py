@@ -246,9 +246,25 @@ def _append(spark: SparkSession, df: DataFrame, target: str, props: dict[str, st
 
     if plan.added:
         cols = ", ".join(f"{quote(f.name)} {evolution.ddl_type(f)}" for f in plan.added)
-        spark.sql(f"ALTER TABLE {target} ADD COLUMNS ({cols})")
+        add_columns = f"ALTER TABLE {target} ADD COLUMNS ({cols})"
         detail["addedColumns"] = [f.name for f in plan.added]
-    aligned.write.insertInto(target, overwrite=False)
+        if props.get(catalog.PROP_OWNED) == "true":
+            # The engine's own parquet table: write the rows first (visible
+            # only when the job commits), then widen the schema, so a failed
+            # job changes neither the rows nor the schema.
+            location = props.get(catalog.PROP_LOCATION) or catalog.location(spark, target)
+            w = aligned.write.mode("append").format("parquet")
+            if part_cols:
+                w = w.partitionBy(*part_cols)
+            w.save(location)
+            spark.sql(add_columns)
+            if part_cols:
+                spark.sql(f"ALTER TABLE {target} RECOVER PARTITIONS")
+        else:
+            spark.sql(add_columns)
+            aligned.write.insertInto(target, overwrite=False)
+    else:
+        aligned.write.insertInto(target, overwrite=False)
 
     new_props = {}
     if set(plan.still_required) != set(catalog.csv(props.get(catalog.PROP_REQUIRED))) or required:

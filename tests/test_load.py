@@ -437,3 +437,29 @@ def test_publish_method_is_recorded(spark, ws, caplog):
     loads = [json.loads(r.getMessage()) for r in caplog.records if r.name == "quarry"]
     loads = [e for e in loads if e.get("type") == "load"]
     assert [e["publish"] for e in loads] == ["rename", "set_location"]
+
+
+def test_failed_field_addition_changes_nothing(spark, ws):
+    load_table(spark, _orders(ws, "F"), "t", dataset=ws.db, required_columns=["o_custkey"])
+    before_cols = spark.table(ws.table("t")).columns
+    n = spark.table(ws.table("t")).count()
+    bad = ws.read("orders").withColumn("o_custkey", F.lit(None).cast("bigint")).withColumn("extra", F.lit(1))
+    with pytest.raises(StageError):
+        load_table(spark, ws.view(bad, "bad"), "t", dataset=ws.db, save_mode="Append",
+                   allow_field_addition=True)
+    assert spark.table(ws.table("t")).columns == before_cols
+    assert spark.table(ws.table("t")).count() == n
+
+
+def test_field_addition_registers_new_days(spark, ws):
+    ev = ws.read("events")
+    first = ev.filter("ts < TIMESTAMP_NTZ'2024-01-10 00:00:00'").select("event_id", "ts")
+    rest = ev.filter("ts >= TIMESTAMP_NTZ'2024-01-10 00:00:00'").select("event_id", "ts", "value")
+    load_table(spark, ws.view(first, "first"), "ev", dataset=ws.db, partition_field="ts")
+    load_table(spark, ws.view(rest, "rest"), "ev", dataset=ws.db, save_mode="Append",
+               allow_field_addition=True)
+    t = spark.table(ws.table("ev"))
+    assert t.count() == ev.count()
+    assert t.filter("value IS NOT NULL").count() == rest.count()
+    days = spark.sql(f"SHOW PARTITIONS {ws.table('ev')}").count()
+    assert days == ev.select(F.to_date("ts")).distinct().count()
