@@ -34,9 +34,11 @@ def extract_qualified(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def extract_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem in 16 files, read with at most 2 partitions."""
+    """lineitem in many files (at least 16, about 128 MB each at scale), read
+    with at most 2 partitions."""
     ws = Workspace(spark, sf_dir, "extract_capped")
-    ws.read("lineitem").repartition(16).write.saveAsTable(ws.table("lineitem16"))
+    n_files = max(16, files.total_bytes(spark, f"{ws.sf_dir}/lineitem.parquet") // (128 << 20) + 1)
+    ws.read("lineitem").repartition(n_files).write.saveAsTable(ws.table("lineitem16"))
     df = extract_table(spark, "lineitem16", dataset=ws.db, max_parallelism=2).df
     return (df.withColumn("pid", F.spark_partition_id())
               .agg(F.count("*").alias("n_rows"), (F.countDistinct("pid") <= 2).alias("within_cap")))

@@ -37,6 +37,12 @@ def list_children(spark: SparkSession, path: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fs.listStatus(p))
 
 
+def total_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes under ``path`` (one metadata call, no data read)."""
+    fs, p = _fs_and_path(spark, path)
+    return int(fs.getContentSummary(p).getLength())
+
+
 def children_with_mtime(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     """(name, modification time in ms) of each entry directly below ``path``."""
     fs, p = _fs_and_path(spark, path)
