@@ -463,3 +463,13 @@ def test_field_addition_registers_new_days(spark, ws):
     assert t.filter("value IS NOT NULL").count() == rest.count()
     days = spark.sql(f"SHOW PARTITIONS {ws.table('ev')}").count()
     assert days == ev.select(F.to_date("ts")).distinct().count()
+
+
+def test_clustered_range_count_follows_initial_partition_num(spark, ws):
+    from quarry.operators import layout
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "64")
+    try:
+        plan = explain(spark, layout.lay_out(ws.read("orders"), None, ["o_custkey"]), "")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    assert "rangepartitioning(o_custkey" in plan and ", 64), REPARTITION_BY_COL" in plan
