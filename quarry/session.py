@@ -58,9 +58,9 @@ def scratch_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="run-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.sparkContext.setCheckpointDir(root)
-        spark.conf.set("spark.checkpoint.dir", root)
+        spark.sparkContext.setCheckpointDir(
+            tempfile.mkdtemp(prefix="run-", dir=os.environ.get("TMPDIR", "/tmp")))
+        root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
 
 

@@ -16,10 +16,8 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     s = build_session("local[*]", shuffle_partitions=8)
     # The cluster names the shared scratch folder; set one only where unset.
-    if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        s.sparkContext.setCheckpointDir(d)
-        s.conf.set("spark.checkpoint.dir", d)
+    if not (s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getCheckpointDir()):
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
     yield s
 
 
