@@ -9,6 +9,7 @@ the files alone. They are only ever read.
 from __future__ import annotations
 
 import hashlib
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,11 +24,19 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 _REGISTERED: set[tuple[str, str]] = set()
 
 
+def absolute(path: str) -> str:
+    """A local path without a scheme made absolute; URIs are left alone."""
+    path = path.rstrip("/")
+    if "://" in path or path.startswith("file:"):
+        return path
+    return os.path.abspath(path)
+
+
 def source_database(spark: SparkSession, sf_dir: str) -> str:
     """Database holding one external table per given parquet table.
 
     Registered once per application; later calls only check the database."""
-    sf_dir = sf_dir.rstrip("/")
+    sf_dir = absolute(sf_dir)
     db = "quarry_src_" + hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
     key = (spark.sparkContext.applicationId, db)
     if key in _REGISTERED and spark.catalog.databaseExists(db):
@@ -48,7 +57,7 @@ class Workspace:
 
     def __init__(self, spark: SparkSession, sf_dir: str, label: str):
         self.spark = spark
-        self.sf_dir = sf_dir.rstrip("/")
+        self.sf_dir = absolute(sf_dir)
         self.src = source_database(spark, self.sf_dir)
         self.dir = fresh_dir(spark, label)
         self.db = f"q_{label}_{uuid.uuid4().hex[:10]}"
