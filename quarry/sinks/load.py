@@ -93,7 +93,12 @@ def load_table(
     append add nullable columns / make required columns nullable.
 
     ``staging_dir`` is where new table versions are written (default: the
-    database's location); the published table lives there.
+    database's location); the published table lives there. A replacing
+    write is published by one ``SET LOCATION`` (own unpartitioned table,
+    same columns) or by drop + rename; the table's own properties and
+    comment are kept; leftovers of an interrupted load older than a day are
+    swept first. Appends that add columns to the engine's own table write
+    the rows before widening the schema, so a failure changes nothing.
 
     Returns the input rows: for ``Append``/``Ignore`` the input frame; for
     a write that replaced or created the table, a frame over the written
