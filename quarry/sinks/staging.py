@@ -4,12 +4,17 @@
    staging root, and registered as a side table ``<table>__quarry_<id>``.
    ``saveAsTable`` with a path does both and registers partitions. A
    failed job leaves the live table untouched; its directory is removed.
-2. Publish is metadata only: ``DROP TABLE`` the old one, then
-   ``ALTER TABLE ... RENAME`` the side table. The written files become the
-   table where they are -- no copy, no per-file rename, which on object
-   stores would be a copy of every byte. The two commands are not one
-   transaction: a reader between them sees no table.
+2. Publish is metadata only. The written files become the table where
+   they are -- no copy, no per-file rename, which on object stores would be
+   a copy of every byte. When the engine's own unpartitioned table keeps
+   its columns, one ``ALTER TABLE ... SET LOCATION`` repoints it (a single
+   catalog update). Otherwise ``DROP TABLE`` the old one, then ``ALTER
+   TABLE ... RENAME`` the side table: two commands, not one transaction,
+   so a reader between them sees no table.
 3. The old table's directory is deleted only if the engine made it.
+4. A driver lost between 1 and 2 leaves a directory (and perhaps a side
+   table) behind; the next overwrite of the same table sweeps those older
+   than a grace period.
 
 Because the source is read fully before the old table is dropped, a table
 may be overwritten from itself ("UPDATE/DELETE as SELECT").
