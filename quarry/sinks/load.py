@@ -218,7 +218,7 @@ def _replace(spark: SparkSession, df: DataFrame, target: str, old_props: dict |
     if swept:
         detail["sweptLeftovers"] = swept
     side, directory = staging.write_version(spark, df, target, staging_root=staging_root,
-                                            partition_cols=[day_col] if day_col else [], props=props)
+                                            partition_cols=[day_col] if day_col else [])
     detail["stagedAt"] = directory
     detail["publish"] = staging.publish(spark, side, target, old_props, props, directory)
     return {**props, catalog.PROP_LOCATION: directory}

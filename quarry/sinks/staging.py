@@ -77,8 +77,9 @@ def _like(name: str) -> str:
 
 
 def write_version(spark: SparkSession, df: DataFrame, target: str, *, staging_root: str,
-                  partition_cols: list[str], props: dict[str, str]) -> tuple[str, str]:
-    """Write ``df`` as a new table version; returns (side table, its directory)."""
+                  partition_cols: list[str]) -> tuple[str, str]:
+    """Write ``df`` as a new table version; returns (side table, its directory).
+    Its properties are set by :func:`publish`, on whichever table keeps them."""
     token = uuid.uuid4().hex[:16]
     table = parts_of(target)[-1]
     directory = f"{staging_root.rstrip('/')}/{table}-{token}"
@@ -90,8 +91,6 @@ def write_version(spark: SparkSession, df: DataFrame, target: str, *, staging_ro
         if partition_cols:
             w = w.partitionBy(*partition_cols)
         w.mode("errorifexists").saveAsTable(side)
-        catalog.set_properties(spark, side, {catalog.PROP_OWNED: "true", **props,
-                                             catalog.PROP_LOCATION: directory})
     except BaseException:
         spark.sql(f"DROP TABLE IF EXISTS {side}")
         files.delete_tree(spark, directory)
@@ -126,6 +125,8 @@ def publish(spark: SparkSession, side: str, target: str, old_props: dict[str, st
             if old_dir and not files.same_path(old_dir, directory):
                 files.delete_tree(spark, old_dir)
             return "set_location"
+    catalog.set_properties(spark, side, {**props, catalog.PROP_OWNED: "true",
+                                         catalog.PROP_LOCATION: directory})
     old_dir = None
     if old_props is not None:
         if old_props.get(catalog.PROP_OWNED) == "true":

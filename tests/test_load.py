@@ -378,9 +378,9 @@ def test_leftovers_of_an_interrupted_load_are_swept(spark, ws):
     live = files.list_children(spark, stage)
     # a load whose driver died after writing but before publishing
     side, orphan = write_version(spark, ws.read("nation"), ws.table("t"), staging_root=stage,
-                                 partition_cols=[], props={})
+                                 partition_cols=[])
     fresh_side, fresh = write_version(spark, ws.read("region"), ws.table("t"), staging_root=stage,
-                                      partition_cols=[], props={})
+                                      partition_cols=[])
     old = int((_time.time() - 3 * 86400) * 1000)
     files.set_mtime(spark, orphan, old)
     for name in live:
