@@ -83,7 +83,9 @@ def extract_table(
       ``persist``): otherwise it costs a query planning (~60 ms) for a scan,
       and running the shuffles for views and key-only repartitioning.
     """
-    partition_by = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
+    if isinstance(partition_by, str):
+        partition_by = [c.strip() for c in partition_by.split(",") if c.strip()]
+    partition_by = list(partition_by or [])
     chk = Checks(STAGE)
     chk.text("table", table, required=True)
     for k, v in (("dataset", dataset), ("project", project), ("output_view", output_view),

@@ -203,3 +203,8 @@ def test_cap_plan_is_a_coalesce_without_shuffle(spark, ws):
     df = extract_table(spark, "lineitem", dataset=ws.src, max_parallelism=3).df
     plan = explain(spark, df, "")
     assert "Coalesce 3" in plan and "Exchange" not in plan
+
+
+def test_partition_by_accepts_a_comma_separated_string(spark, ws):
+    df = extract_table(spark, "lineitem", dataset=ws.src, partition_by="l_orderkey, l_linenumber").df
+    assert "hashpartitioning(l_orderkey#" in explain(spark, df, "") and "l_linenumber#" in explain(spark, df, "")
