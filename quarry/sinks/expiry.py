@@ -42,7 +42,7 @@ def expire_partitions(spark: SparkSession, target: str, as_of: dt.datetime | Non
     ms = props.get(catalog.PROP_EXPIRATION_MS)
     if not day_col or ms is None:
         return []
-    as_of = _naive_utc(as_of)
+    as_of = as_utc(as_of)
     prefix = f"{day_col}="
     days = []
     for r in spark.sql(f"SHOW PARTITIONS {target}").collect():
@@ -64,7 +64,8 @@ def expire_partitions(spark: SparkSession, target: str, as_of: dt.datetime | Non
     return gone
 
 
-def _naive_utc(as_of: dt.datetime | dt.date | str | None) -> dt.datetime:
+def as_utc(as_of: dt.datetime | dt.date | str | None) -> dt.datetime:
+    """``as_of`` as a naive UTC datetime (now if None)."""
     if as_of is None:
         return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     if isinstance(as_of, str):

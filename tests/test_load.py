@@ -61,8 +61,8 @@ def test_create_never(spark, ws):
 def test_config_errors_are_listed_together(spark):
     with pytest.raises(ConfigError) as e:
         load_table(spark, "v", "t", save_mode="Upsert", create_disposition="MAYBE",
-                   partition_expiration_ms="soon", clustered_fields="a,b,c,d,e")
-    assert len(e.value.errors) == 4
+                   partition_expiration_ms="soon", clustered_fields="a,b,c,d,e", as_of="yesterday")
+    assert len(e.value.errors) == 5
 
 
 def test_staging_keeps_only_the_live_version(spark, ws):
