@@ -128,7 +128,7 @@ def load_table(
             chk.require(False, f"partition_expiration_ms must be an integer, got {partition_expiration_ms!r}")
     try:
         expiry.as_utc(as_of)
-    except (TypeError, ValueError):
+    except (TypeError, ValueError, AttributeError):
         chk.require(False, f"as_of must be a datetime, date or ISO-8601 text, got {as_of!r}")
     chk.require(len(clustered) <= layout.MAX_CLUSTERED_FIELDS,
                 f"at most {layout.MAX_CLUSTERED_FIELDS} clustered_fields, got {clustered}")
