@@ -63,7 +63,7 @@ def sweep_leftovers(spark: SparkSession, target: str, staging_root: str, *,
         if mtimes.get(loc.rsplit("/", 1)[-1], 0) < cutoff:
             spark.sql(f"DROP TABLE IF EXISTS {side}")
             swept.append(side)
-    pattern = re.compile(re.escape(table) + r"-[0-9a-f]{16}")
+    pattern = re.compile(re.escape(table) + r"-[0-9a-f]{16}", re.IGNORECASE)
     for name, mtime in files.children_with_mtime(spark, staging_root):
         path = f"{staging_root.rstrip('/')}/{name}"
         if pattern.fullmatch(name) and mtime < cutoff and not (keep and files.same_path(path, keep)):
