@@ -113,7 +113,7 @@ def publish(spark: SparkSession, side: str, target: str, old_props: dict[str, st
     table); its directory is deleted only if the engine made it."""
     if old_props is not None and old_props.get(catalog.PROP_OWNED) == "true":
         shape = catalog.column_shape(spark, target)
-        if shape == catalog.column_shape(spark, side) and not any(c[4] or c[5] for c in shape):
+        if catalog.is_plain(shape) and shape == catalog.column_shape(spark, side):
             old_dir = old_props.get(catalog.PROP_LOCATION) or catalog.location(spark, target)
             spark.sql(f"ALTER TABLE {target} SET LOCATION {catalog.quote_path(directory)}")
             new = {**props, catalog.PROP_OWNED: "true", catalog.PROP_LOCATION: directory}

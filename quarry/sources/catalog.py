@@ -75,9 +75,16 @@ def unset_properties(spark: SparkSession, name: str, keys: list[str]) -> None:
 
 
 def column_shape(spark: SparkSession, name: str) -> list[tuple]:
-    """Name, type, nullability, comment and role of each column, from the catalog."""
-    return [(c.name, c.dataType, c.nullable, c.description, c.isPartition, c.isBucket)
-            for c in spark.catalog.listColumns(name)]
+    """Name, type and comment of each column, plus any partition or bucket
+    section, as ``DESCRIBE`` reports them: catalog metadata only, no file
+    listing (``listColumns`` resolves the table, which lists its files)."""
+    return [(r["col_name"], r["data_type"], r["comment"])
+            for r in spark.sql(f"DESCRIBE TABLE {name}").collect()]
+
+
+def is_plain(shape: list[tuple]) -> bool:
+    """No partition or bucket section in a ``DESCRIBE`` result."""
+    return not any(str(c[0]).startswith("#") for c in shape)
 
 
 def quote_path(path: str) -> str:
