@@ -58,7 +58,16 @@ def location(spark: SparkSession, name: str) -> str | None:
 
 
 def partition_columns(spark: SparkSession, name: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    """Partition columns, from ``DESCRIBE`` (catalog metadata only)."""
+    out, section = [], None
+    for r in spark.sql(f"DESCRIBE TABLE {name}").collect():
+        col = str(r["col_name"])
+        if col.startswith("#"):
+            section = col if col != "# col_name" else section
+            continue
+        if section == "# Partition Information" and col:
+            out.append(col)
+    return out
 
 
 def set_properties(spark: SparkSession, name: str, props: dict[str, str]) -> None:
