@@ -47,3 +47,16 @@ def test_expiry_rule(ds, ms, as_of):
     for d in ds:
         start = dt.datetime.combine(d, dt.time())
         assert (d.isoformat() in gone) == (start + dt.timedelta(milliseconds=ms) <= as_of)
+
+
+def test_same_path_ignores_scheme_and_trailing_slash():
+    from quarry.sources.files import same_path
+    assert same_path("file:/tmp/a/", "/tmp/a")
+    assert same_path("file:///tmp/a", "/tmp/a")
+    assert not same_path("/tmp/a", "/tmp/b")
+
+
+def test_sibling_keeps_the_namespace():
+    from quarry.functions.names import sibling
+    assert sibling("`c`.`db`.`t`", "t__x") == "`c`.`db`.`t__x`"
+    assert sibling("`t`", "u") == "`u`"
