@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,6 +17,10 @@ SPACES = (9, 10, 11, 12, 13, 32)  # the bytes that separate words
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table. Python workers that start on this machine are told where
+    this package lies; on a cluster it is installed or sent along (--py-files)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

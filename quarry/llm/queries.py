@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_dir
-from . import exact_dedup, token_counts
+from . import exact_dedup, packing, sentencepiece_prefix, token_counts
 from .common import table
 
 
@@ -27,7 +27,20 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decided.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_dedup)}
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = sentencepiece_prefix.encode_decode(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), packing.bpe_with_end(tokenizer("word_bpe_49k.json"), 2))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+                         "offset", "loss_tokens")
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op4_sentencepiece, op6_packing)}
 
 ORACLE = {
     "op2_exact_dedup": """
