@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_dir
-from . import exact_dedup, packing, sentencepiece_prefix, token_counts
+from . import exact_dedup, packing, sentencepiece_prefix, token_counts, toxicity
 from .common import table
 
 
@@ -40,7 +40,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "offset", "loss_tokens")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op4_sentencepiece, op6_packing)}
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op4_sentencepiece, op6_packing, op8_toxicity)}
 
 ORACLE = {
     "op2_exact_dedup": """
