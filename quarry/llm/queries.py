@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_dir
-from . import exact_dedup, packing, sentencepiece_prefix, token_counts, toxicity
+from . import exact_dedup, packing, quality_rules, sentencepiece_prefix, token_counts, toxicity
 from .common import table
 
 
@@ -44,7 +44,13 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op4_sentencepiece, op6_packing, op8_toxicity)}
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judged(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "d2")
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op4_sentencepiece, op6_packing, op8_toxicity,
+                                  op9_quality_rules)}
 
 ORACLE = {
     "op2_exact_dedup": """
