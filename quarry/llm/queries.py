@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_dir
-from . import exact_dedup, packing, quality_rules, sentencepiece_prefix, token_counts, toxicity
+from . import exact_dedup, packing, quality_rules, sentencepiece_prefix, token_counts, toxicity, url_templates
 from .common import table
 
 
@@ -27,6 +27,15 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decided.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+#: (host, path, verdict)
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+             ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+def op3_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_templates.judged(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = sentencepiece_prefix.encode_decode(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
@@ -49,12 +58,13 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "d2")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op4_sentencepiece, op6_packing, op8_toxicity,
-                                  op9_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_url_templates, op4_sentencepiece,
+                                  op6_packing, op8_toxicity, op9_quality_rules)}
 
 ORACLE = {
     "op2_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
+    "op3_url_templates": url_templates.duckdb_sql(URL_RULES),
 }
