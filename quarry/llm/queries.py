@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_dir
-from . import exact_dedup, packing, quality_rules, sentencepiece_prefix, token_counts, toxicity, url_templates
+from . import (exact_dedup, packing, phrase_automata, quality_rules, sentencepiece_prefix, suffix_dedup,
+               token_counts, toxicity, url_templates)
 from .common import table
 
 
@@ -43,6 +44,12 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = suffix_dedup.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select(F.col("c0").alias("doc_id"), "n_bytes", "n_removed",
+                          F.floor(F.size("spans") / 2).alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), packing.bpe_with_end(tokenizer("word_bpe_49k.json"), 2))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
@@ -58,13 +65,32 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "d2")
 
 
+def op10_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = phrase_automata.deduplicated(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_url_templates, op4_sentencepiece,
-                                  op6_packing, op8_toxicity, op9_quality_rules)}
+                                  op5_suffix_dedup, op6_packing, op8_toxicity, op9_quality_rules,
+                                  op10_phrase_automata)}
 
 ORACLE = {
     "op2_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
+    "op10_phrase_automata": """
+        WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0b\f\r]+'),
+                                              lambda x: x <> '') AS words FROM documents),
+        s AS (SELECT doc_id, i, md5(array_to_string(words[i:i + 19], ' ')) AS h
+              FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM w)),
+        r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) > 1 AS later FROM s),
+        g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM r WHERE later),
+        p AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM w),
+        k AS (SELECT p.doc_id, count(g.i) AS n_removed, string_agg(word, ' ' ORDER BY p.i) FILTER (g.i IS NULL) AS kept
+              FROM p LEFT JOIN g USING (doc_id, i) GROUP BY 1)
+        SELECT doc_id, len(words) AS n_words, coalesce(n_removed, 0) AS n_removed,
+               sha256(coalesce(kept, '')) AS kept_sha256
+        FROM w LEFT JOIN k USING (doc_id)""",
     "op3_url_templates": url_templates.duckdb_sql(URL_RULES),
 }
