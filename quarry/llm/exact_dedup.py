@@ -22,7 +22,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import fresh_dir
 from .common import content, mixed, stored
 
 #: Digests in one filter, at most about this many; a shard is built and probed in one task.
@@ -226,10 +225,10 @@ def kept_rows(docs: DataFrame) -> DataFrame:
     rows = docs.withColumn("__digest", digest_of(content()))
     staying = rows.join(decided.select(F.col("digest").alias("__d"), F.col("doc_id").alias("__i")),
                         (F.col("__digest") == F.col("__d")) & F.col("doc_id").eqNullSafe(F.col("__i")), "left_semi")
-    return _one_of_repeats(staying, docs.columns)
+    return one_of_repeats(staying, docs.columns)
 
 
-def _one_of_repeats(rows: DataFrame, columns: list[str]) -> DataFrame:
+def one_of_repeats(rows: DataFrame, columns: list[str]) -> DataFrame:
     """One row per (id, text): repeats of the very row that stays are dropped.
     Only when there are any, told by a count over ids and digests, are rows moved."""
     twice = rows.groupBy("__digest", "doc_id").count().where("count > 1")
@@ -237,6 +236,3 @@ def _one_of_repeats(rows: DataFrame, columns: list[str]) -> DataFrame:
         return rows.select(columns)
     return rows.dropDuplicates(["__digest", "doc_id"]).select(columns)
 
-
-__all__ = ["Snapshot", "arrivals", "build_filter", "dedup", "fresh_dir", "kept_rows", "probe_filter", "screen",
-           "snapshot"]

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_dir
-from . import (exact_dedup, packing, phrase_automata, quality_rules, sentencepiece_prefix, suffix_dedup,
-               token_counts, toxicity, url_templates)
+from . import (bagminhash, exact_dedup, packing, phrase_automata, quality_rules, sentencepiece_prefix,
+               suffix_dedup, token_counts, toxicity, url_templates)
 from .common import table
 
 
@@ -56,6 +56,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "offset", "loss_tokens")
 
 
+def op7_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes, _ = bagminhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return classes.select("doc_id", "class_id", "class_size", "kept")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -71,8 +76,8 @@ def op10_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_url_templates, op4_sentencepiece,
-                                  op5_suffix_dedup, op6_packing, op8_toxicity, op9_quality_rules,
-                                  op10_phrase_automata)}
+                                  op5_suffix_dedup, op6_packing, op7_bagminhash, op8_toxicity,
+                                  op9_quality_rules, op10_phrase_automata)}
 
 ORACLE = {
     "op2_exact_dedup": """
