@@ -40,14 +40,10 @@ def with_digest(docs: DataFrame) -> DataFrame:
 
 
 def misses(docs: DataFrame, cached: DataFrame) -> DataFrame:
-    """One text (content_digest, text) per digest that ``cached`` lacks. Digests
-    alone are grouped; only the row picked for each then brings its text."""
-    rows = with_digest(docs)
-    picked = (rows.groupBy("content_digest").agg(F.min(F.struct("doc_id")).alias("picked"))
-              .join(cached, "content_digest", "left_anti")
-              .select(F.col("content_digest").alias("d"), F.col("picked.doc_id").alias("i")))
-    return (rows.join(picked, (F.col("content_digest") == F.col("d")) & F.col("doc_id").eqNullSafe(F.col("i")))
-            .select("content_digest", "text"))
+    """One text (content_digest, text) per digest that ``cached`` lacks. Copies go
+    before the shuffle, and what is left moves once, by digest."""
+    distinct = with_digest(docs).groupBy("content_digest").agg(F.first("text").alias("text"))
+    return distinct.join(cached, "content_digest", "left_anti")
 
 
 def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str) -> DataFrame:
@@ -59,15 +55,9 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str) -> DataF
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = loaded(tokenizer_path)
-        last = None
         for b in batches:
-            digests, counts = [], []
-            for digest, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                if digest != last:  # repeated rows of the picked document arrive side by side
-                    digests.append(digest)
-                    counts.append(len(words.ids(text.as_py())) // 4)
-                last = digest
-            yield pa.record_batch([pa.array(digests, pa.binary()), pa.array([version] * len(digests), pa.string()),
+            counts = [len(words.ids(text.as_py())) // 4 for text in b.column(1)]
+            yield pa.record_batch([b.column(0), pa.array([version] * len(counts), pa.string()),
                                    pa.array(counts, pa.int64())], ["content_digest", "tokenizer_digest", "n_tokens"])
 
     (misses(docs, cached).mapInArrow(encode, CACHE_SCHEMA)
