@@ -200,6 +200,6 @@ def judged(docs: DataFrame, *keep: str) -> DataFrame:
 
 
 def kept_rows(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that pass, with all their columns."""
-    others = [c for c in docs.columns if c not in ("doc_id", "lang", "source")]
-    return judged(docs, *others).where("kept").select(docs.columns)
+    """The rows of ``docs`` that pass, with all their columns (carried as one, so that no name clashes)."""
+    whole = docs.select("doc_id", "lang", "source", "text", F.struct(*docs.columns).alias("__row"))
+    return judged(whole, "__row").where("kept").select("__row.*")
