@@ -30,7 +30,7 @@ def extract_qualified(spark: SparkSession, sf_dir: str) -> DataFrame:
     ws = Workspace(spark, sf_dir, "extract_qualified")
     spark.sql(f"CREATE TABLE {ws.table('customer')} USING parquet "
               f"LOCATION '{ws.sf_dir}/customer.parquet'")
-    return extract_table(spark, "customer", dataset=ws.db).df
+    return extract_table(spark, "customer", dataset=ws.db, project="spark_catalog").df
 
 
 def extract_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,8 +152,11 @@ def view_immutable(spark: SparkSession, sf_dir: str) -> DataFrame:
 def persist_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     ws = Workspace(spark, sf_dir, "persist_records")
     r = extract_table(spark, "orders", dataset=ws.src, persist=True, output_view=f"{ws.db}__orders")
-    return r.df.agg(F.count("*").alias("records"),
-                    F.lit(r.stats["output_columns"]).cast("int").alias("output_columns"))
+    cached = r.df.storageLevel.useMemory
+    r.df.unpersist()
+    return ws.read("orders").agg(F.count("*").alias("n_rows"), F.lit(r.stats["records"]).alias("records"),
+                                 F.lit(cached).alias("cached"),
+                                 F.lit(r.stats["output_columns"]).cast("int").alias("output_columns"))
 
 
 QUERIES = {
@@ -185,5 +188,5 @@ ORACLE = {
     "repartition_n_cols": "SELECT l_orderkey, count(*) AS n_rows, CAST(1 AS BIGINT) AS n_parts FROM lineitem GROUP BY l_orderkey",
     "repartition_cols": "SELECT l_orderkey, count(*) AS n_rows, CAST(1 AS BIGINT) AS n_parts FROM lineitem GROUP BY l_orderkey",
     "view_immutable": "SELECT TRUE AS raised, count(*) AS n_rows FROM orders",
-    "persist_records": "SELECT count(*) AS records, CAST(6 AS INTEGER) AS output_columns FROM orders",
+    "persist_records": "SELECT count(*) AS n_rows, count(*) AS records, TRUE AS cached, CAST(6 AS INTEGER) AS output_columns FROM orders",
 }

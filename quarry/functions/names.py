@@ -33,12 +33,19 @@ def quote(part: str) -> str:
     return "`" + part.replace("`", "``") + "`"
 
 
-def qualify(table: str, dataset: str | None = None, project: str | None = None) -> str:
-    """``project.dataset.table`` as a quoted identifier; unset parts are left out."""
+def qualify(table: str, dataset: str | None = None, project: str | None = None, *,
+            current: str | None = None) -> str:
+    """``project.dataset.table`` as a quoted identifier; unset parts are left
+    out. With a project but no dataset, ``current`` (the current database) is
+    the dataset: a project is a catalog, never taken for a database."""
     parts = split_name(table)
     if dataset:
         parts = split_name(dataset) + parts[-1:]
     if project:
+        if len(parts) == 1:
+            if not current:
+                raise ValueError(f"project {project!r} needs a dataset, or a current database")
+            parts = [current, *parts]
         parts = [*split_name(project), *parts[-2:]]
     return ".".join(quote(p) for p in parts)
 

@@ -27,5 +27,38 @@ def substitute(sql: str, params: dict[str, str] | None) -> str:
     return _PLACEHOLDER.sub(lambda m: str(params[m.group(1)]), sql)
 
 
-def text_placeholders(sql: str) -> set[str]:
-    return {m.group(1) for m in _PLACEHOLDER.finditer(sql)}
+def statements_of(sql: str) -> list[str]:
+    """The statements of ``sql``: what stands between semicolons that are in no
+    quotes and no comments. Pieces without any word are left out."""
+    out, cur, i, n, word = [], [], 0, len(sql), False
+    while i < n:
+        ch = sql[i]
+        j = i + 1
+        if ch in "'\"`":  # to the closing quote; a backslash escapes in strings
+            while j < n and sql[j] != ch:
+                j += 2 if sql[j] == "\\" and ch != "`" else 1
+            j, word = min(j + 1, n), True
+        elif sql.startswith("--", i):
+            j = sql.find("\n", i)
+            j = n if j < 0 else j
+        elif sql.startswith("/*", i):
+            depth, j = 1, i + 2
+            while j < n and depth:  # bracketed comments nest
+                if sql.startswith("/*", j):
+                    depth, j = depth + 1, j + 2
+                elif sql.startswith("*/", j):
+                    depth, j = depth - 1, j + 2
+                else:
+                    j += 1
+        elif ch == ";":
+            if word:
+                out.append("".join(cur).strip())
+            cur, word, i = [], False, j
+            continue
+        elif not ch.isspace():
+            word = True
+        cur.append(sql[i:j])
+        i = j
+    if word:
+        out.append("".join(cur).strip())
+    return out

@@ -11,9 +11,12 @@ Rules for appending ``incoming`` to a table with schema ``target``:
   when ``allow_field_addition``, else the append is refused;
 * a column only in the table is filled with typed NULLs; if it is
   required, that needs ``allow_field_relaxation``;
-* with ``allow_field_relaxation`` a required column becomes nullable when
-  the incoming column is nullable or absent (decided from the schema, no
-  extra pass over the data);
+* with ``allow_field_relaxation`` a required column that the call does not
+  itself list as required becomes nullable when it is absent from
+  ``incoming`` or holds a NULL there (one aggregate over the columns in
+  question, and only then);
+* a column that the call lists as required must exist, in the table or in
+  ``incoming``; one that the append adds is enforced and recorded like any;
 * a column in both with a different type is refused, unless the incoming
   type widens losslessly to the table's (int to bigint, float to double),
   in which case it is cast.
@@ -48,13 +51,18 @@ def _canon(t: DataType) -> str:
 
 def plan_append(target: StructType, partition_cols: list[str], incoming: DataFrame,
                 required: list[str], allow_field_addition: bool,
-                allow_field_relaxation: bool) -> AppendPlan:
+                allow_field_relaxation: bool, called: list[str] = ()) -> AppendPlan:
+    """``required``: what the table records; ``called``: what this call lists."""
     tgt = {f.name.lower(): f for f in target.fields}
     inc = {f.name.lower(): f for f in incoming.schema.fields}
     part = {c.lower() for c in partition_cols}
-    req = {c.lower() for c in required}
+    firm = {c.lower() for c in called}
+    req = {c.lower() for c in required} | firm
 
     problems = []
+    unknown = [c for c in called if c.lower() not in tgt and c.lower() not in inc]
+    if unknown:
+        problems.append(f"required column(s) {unknown} are neither in the table nor in the input")
     added = [f for k, f in inc.items() if k not in tgt]
     if added and not allow_field_addition:
         problems.append(f"new column(s) {[f.name for f in added]} need allow_field_addition=True")
@@ -67,15 +75,20 @@ def plan_append(target: StructType, partition_cols: list[str], incoming: DataFra
     for f in missing:
         if f.name.lower() in part:
             problems.append(f"partition column {f.name!r} is missing")
+        elif f.name.lower() in firm:
+            problems.append(f"column {f.name!r}, required by this call, is missing")
         elif f.name.lower() in req and not allow_field_relaxation:
             problems.append(f"required column {f.name!r} is missing; needs allow_field_relaxation=True")
-    relaxed = []
-    if allow_field_relaxation:
-        relaxed = [tgt[k].name for k in req if k in tgt and (k not in inc or inc[k].nullable)]
     if problems:
         raise SchemaMismatch("; ".join(problems))
+    relaxed = []
+    if allow_field_relaxation:
+        loose = sorted(k for k in req - firm if k in tgt)
+        holding = _holding_nulls(incoming, [inc[k].name for k in loose if k in inc and inc[k].nullable])
+        relaxed = [tgt[k].name for k in loose if k not in inc or inc[k].name in holding]
 
-    still = [tgt[k].name for k in req if k in tgt and tgt[k].name not in relaxed]
+    known = {**{f.name.lower(): f.name for f in added}, **{k: f.name for k, f in tgt.items()}}
+    still = [known[k] for k in sorted(req) if k in known and known[k] not in relaxed]
     data_cols = [f for f in target.fields if f.name.lower() not in part]
     part_cols = [f for f in target.fields if f.name.lower() in part]
     cols = []
@@ -91,6 +104,13 @@ def plan_append(target: StructType, partition_cols: list[str], incoming: DataFra
     return AppendPlan(cols, added, relaxed, still)
 
 
+def _holding_nulls(df: DataFrame, columns: list[str]) -> set[str]:
+    if not columns:
+        return set()
+    row = df.agg(*[F.count(F.when(col(c).isNull(), 1)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    return {c for i, c in enumerate(columns) if row[i]}
+
+
 def guard_required(df: DataFrame, required: list[str], table: str) -> DataFrame:
     """Fail the job on a NULL in any required column, in the same pass."""
     if not required:

@@ -25,28 +25,42 @@ Plans, by case:
 
 from __future__ import annotations
 
+import itertools
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
+from pyspark.sql.types import BooleanType, DateType, NumericType, TimestampNTZType, TimestampType
 
 from ..functions.columns import col
 from ..sources.catalog import DERIVED_DAY
 
 MAX_CLUSTERED_FIELDS = 4
+_NARROW = (NumericType, DateType, TimestampType, TimestampNTZType, BooleanType)
+#: An estimate of a join can be far above its size: no more ranges than this (100 TB at 1 GB).
+_MAX_RANGES = 100_000
 _TIEBREAK = "__quarry_row"
+_DAY_MICROS = 86_400_000_000
 
 
-def day_column(df: DataFrame, partition_field: str) -> tuple[DataFrame, str]:
+def day_column(df: DataFrame, partition_field: str, name: str | None = None) -> tuple[DataFrame, str]:
     """The partition column for ``partition_field``: the field itself if it
-    is a DATE, else a derived ``__day`` (the date of a timestamp, in the
-    session time zone for zoned timestamps)."""
+    is a DATE, else a derived column: the date of a timestamp, for zoned
+    timestamps its date in UTC whatever the session's zone, so that one
+    instant has one day. It is called ``name``, or by the first of ``__day``,
+    ``__day_1``, ... that no column has."""
     field = _field(df, partition_field)
     if isinstance(field.dataType, DateType):
         return df, field.name
     if isinstance(field.dataType, (TimestampType, TimestampNTZType)):
-        return df.withColumn(DERIVED_DAY, F.to_date(col(field.name))), DERIVED_DAY
+        taken = {c.lower() for c in df.columns}
+        free = (DERIVED_DAY + (f"_{i}" if i else "") for i in itertools.count())
+        name = name or next(c for c in free if c not in taken)
+        at = col(field.name)
+        day = F.to_date(at) if isinstance(field.dataType, TimestampNTZType) else \
+            F.date_from_unix_date(F.floor(F.unix_micros(at) / F.lit(_DAY_MICROS)).cast("int"))
+        return df.withColumn(name, day), name
     raise TypeError(f"partition_field {partition_field!r} must be a DATE or TIMESTAMP column, "
                     f"not {field.dataType.simpleString()}")
 
@@ -57,7 +71,7 @@ def check_clustered(df: DataFrame, fields: Sequence[str]) -> list[str]:
     return [_field(df, f).name for f in fields]
 
 
-def lay_out(df: DataFrame, day_col: str | None, clustered: Sequence[str]) -> DataFrame:
+def lay_out(df: DataFrame, day_col: str | None, clustered: Sequence[str], ranges: int | None = None) -> DataFrame:
     clustered = list(clustered)
     if day_col:
         if _adaptive(df):
@@ -66,16 +80,42 @@ def lay_out(df: DataFrame, day_col: str | None, clustered: Sequence[str]) -> Dat
             df = _ranged(df, [day_col, *clustered])
         return df.sortWithinPartitions(*[col(c) for c in (day_col, *clustered)]) if clustered else df
     if clustered:
-        return _ranged(df, clustered).sortWithinPartitions(*[col(c) for c in clustered])
+        return _ranged(df, clustered, ranges).sortWithinPartitions(*[col(c) for c in clustered])
     return df
 
 
-def _ranged(df: DataFrame, keys: list[str]) -> DataFrame:
-    # Spark cannot hash maps; the other columns identify the row well enough.
-    hashable = [col(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
-    row_hash = F.xxhash64(F.spark_partition_id(), *hashable)
-    ranged = df.withColumn(_TIEBREAK, row_hash).repartitionByRange(*[col(k) for k in keys], col(_TIEBREAK))
-    return ranged.drop(_TIEBREAK)
+def _ranged(df: DataFrame, keys: list[str], ranges: int | None = None) -> DataFrame:
+    # The narrow columns tell rows apart well enough; hashing long texts and
+    # arrays of every row would cost more than an uneven split of their copies.
+    narrow = [col(f.name) for f in df.schema.fields if isinstance(f.dataType, _NARROW)]
+    tiebreak = F.xxhash64(F.spark_partition_id(), *(narrow or [col(k) for k in keys]))
+    by = [*[col(k) for k in keys], col(_TIEBREAK)]
+    ranges = ranges or range_count(df)
+    df = df.withColumn(_TIEBREAK, tiebreak)
+    return (df.repartitionByRange(ranges, *by) if ranges else df.repartitionByRange(*by)).drop(_TIEBREAK)
+
+
+def range_count(df: DataFrame) -> int | None:
+    """Ranges for a clustered write: the plan's size estimate over the advisory
+    partition size, if that is more than the session's shuffle partitions. Else
+    None: the session's count, whose small neighbours adaptive execution merges
+    (it never splits a range, so many bytes need many ranges from the start)."""
+    conf = df.sparkSession.conf
+    initial = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    count = int(initial or conf.get("spark.sql.shuffle.partitions"))
+    wanted = math.ceil(estimated_bytes(df) / advisory_bytes(df))
+    return min(wanted, _MAX_RANGES) if wanted > count else None
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate for the plan's output; nothing is run."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def advisory_bytes(df: DataFrame) -> int:
+    text = df.sparkSession.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes").lower().rstrip("b")
+    unit = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}.get(text[-1:], 1)
+    return int(text.rstrip("kmgt")) * unit
 
 
 def _adaptive(df: DataFrame) -> bool:

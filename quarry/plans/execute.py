@@ -10,16 +10,17 @@ a row to the driver. The call blocks until the work is done and raises a
 from __future__ import annotations
 
 import contextlib
+import threading
 import uuid
 from typing import Any
 
-from pyspark.errors import ParseException
 from pyspark.sql import SparkSession
 
 from ..errors import Checks, StageError, wrap
 from ..functions.names import quote, split_name
 from ..logs import timed
-from ..functions.params import substitute, text_placeholders
+from ..functions.params import statements_of, substitute
+from ..sources import files
 
 STAGE = "execute_sql"
 
@@ -50,11 +51,16 @@ def execute_sql(
     the statement runs, as job group and session tag, so it can be found
     and cancelled. ``ansi`` runs the text in standard-SQL mode
     (``spark.sql.ansi.enabled``) whatever the session says, restored after.
-    ``script``: text with several ``;``-separated statements runs as one
-    SQL script (``BEGIN ... END``). ``None`` (default) tries the text as it
-    is and, if it does not parse and holds a ``;``, runs it as a script --
-    a parse error has run nothing, so the retry is safe. ``True`` always
-    wraps, ``False`` never does.
+    Text with several ``;``-separated statements runs them one by one; each
+    bare query among them is forced with the no-op sink, so no row reaches the
+    driver. A ``BEGIN ... END`` script is handed to Spark whole, which does
+    collect its bare queries. ``script``: ``False`` takes the text as one
+    statement, whatever it holds; ``None`` and ``True`` split it.
+
+    The namespace and the ANSI switch belong to the session, so calls run one
+    after the other within a process (one lock), or threads would make each
+    other's tables in the wrong database. Work that other threads start on
+    the same session by other means sees the call's settings meanwhile.
     """
     chk = Checks(STAGE)
     chk.require(input_uri is not None or sql is not None, "one of sql or input_uri is required")
@@ -66,9 +72,15 @@ def execute_sql(
     chk.require(sql_params is None or isinstance(sql_params, dict), "sql_params must be a dict")
     chk.boolean("ansi", ansi)
     chk.require(script in (None, True, False), f"script must be None, True or False, got {script!r}")
-    if sql is not None and input_uri is None and isinstance(sql, str):
+    text = sql
+    if isinstance(input_uri, str) and input_uri.strip():
         try:
-            substitute(sql, sql_params)
+            text = files.read_small_text(spark, input_uri)
+        except Exception:  # an unreadable file fails the run, with the stage detail
+            text = None
+    if isinstance(text, str) and (sql_params is None or isinstance(sql_params, dict)):
+        try:
+            substitute(text, sql_params)
         except KeyError as exc:
             chk.require(False, str(exc).strip('"'))
     chk.raise_if_any()
@@ -83,13 +95,15 @@ def execute_sql(
     }
     try:
         with timed(detail):
-            text = _read_text(spark, input_uri) if input_uri is not None else sql
+            if text is None:
+                text = files.read_small_text(spark, input_uri)
             final = substitute(text, sql_params)
             detail["sql"] = final
-            bind = {k: v for k, v in sql_params.items() if k not in text_placeholders(text)}
-            with _current_namespace(spark, project, dataset), _tagged(spark, tag), _ansi(spark, ansi):
-                result = _run(spark, final, bind, script, detail)
-                result.write.format("noop").mode("overwrite").save()
+            with _settings(spark, project, dataset, ansi), _tagged(spark, tag):
+                for statement in _statements(final, script):
+                    detail["sql"] = statement
+                    result = spark.sql(statement, args=sql_params) if sql_params else spark.sql(statement)
+                    result.write.format("noop").mode("overwrite").save()
             return None
     except StageError:
         raise
@@ -97,42 +111,20 @@ def execute_sql(
         raise wrap(STAGE, detail, exc) from exc
 
 
-def _script_forms(text: str) -> list[str]:
-    """``BEGIN ... END`` around the text; the last statement needs a ``;``
-    unless it already has one (possibly hidden behind a trailing comment),
-    so both forms are offered and the first that parses is used."""
-    body = text.strip()
-    if body[:5].upper() == "BEGIN" and body.rstrip(";").rstrip()[-3:].upper() == "END":
-        return [body]
-    body = body.rstrip(";").rstrip()
-    return [f"BEGIN\n{body}\n;\nEND", f"BEGIN\n{body}\nEND"]
+def _statements(text: str, script: bool | None) -> list[str]:
+    if script is False or text.lstrip()[:5].upper() == "BEGIN":
+        return [text]
+    return statements_of(text) or [text]
 
 
-def _run(spark: SparkSession, text: str, bind: dict, script: bool | None, detail: dict):
-    def sql(t: str):
-        return spark.sql(t, args=bind) if bind else spark.sql(t)
-    if not script:
-        try:
-            return sql(text)
-        except ParseException:
-            if script is False or ";" not in text.strip().rstrip(";"):
-                raise
-    forms = _script_forms(text)
-    for i, form in enumerate(forms):
-        detail["sql"] = form
-        try:
-            return sql(form)
-        except ParseException as exc:
-            # only the ';' we added can be at fault for the next form to help
-            if i == len(forms) - 1 or "';'" not in str(exc):
-                raise
-
-
-def _read_text(spark: SparkSession, uri: str) -> str:
-    rows = spark.read.text(uri, wholetext=True).collect()
-    if len(rows) != 1:
-        raise ValueError(f"input_uri must name exactly one file, {uri} matched {len(rows)}")
-    return rows[0][0]
+_SESSION = threading.RLock()
+
+
+@contextlib.contextmanager
+def _settings(spark: SparkSession, project: str | None, dataset: str | None, ansi: bool):
+    """Namespace and ANSI mode for one call, one call at a time."""
+    with _SESSION, _current_namespace(spark, project, dataset), _ansi(spark, ansi):
+        yield
 
 
 @contextlib.contextmanager

@@ -51,13 +51,17 @@ def build_session(master: str | None = None, *, app: str = "quarry",
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables (``spark.checkpoint.dir``).
 
-    Set only when unset (local tests); never a machine-local folder when the
-    cluster names one.
+    Set only when unset, and only on a ``local[...]`` master (tests): on a
+    cluster a machine-local folder would be lost with its machine, so an
+    unset folder is an error there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a folder that "
+                               "the driver and all executors share")
         spark.sparkContext.setCheckpointDir(
             tempfile.mkdtemp(prefix="run-", dir=os.environ.get("TMPDIR", "/tmp")))
         root = spark.sparkContext.getCheckpointDir()

@@ -1,7 +1,8 @@
 """Partition expiry (L9): drop day partitions older than the table's setting.
 
-A day partition expires when ``day (00:00) + partition_expiration_ms`` is
-at or before ``as_of``. The partition list is catalog metadata (one entry
+A day partition expires when ``day (00:00 UTC) + partition_expiration_ms`` is
+at or before ``as_of``; days are UTC days (see ``layout.day_column``), so the
+session's time zone plays no part. The partition list is catalog metadata (one entry
 per day), never table rows. All expired days go in one
 ``ALTER TABLE ... DROP PARTITION`` and, for directories the engine owns,
 their files are deleted too -- otherwise a later ``MSCK REPAIR`` would
@@ -13,8 +14,10 @@ from __future__ import annotations
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions.columns import col
 from ..functions.names import quote
 from ..sources import catalog, files
 
@@ -22,15 +25,23 @@ _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def expired_days(days: list[str], expiration_ms: int, as_of: dt.datetime) -> list[str]:
-    keep_after = as_of - dt.timedelta(milliseconds=expiration_ms)
-    out = []
-    for d in days:
-        if d == _NULL_PARTITION:
-            continue
-        start = dt.datetime.combine(dt.date.fromisoformat(d), dt.time())
-        if start <= keep_after:
-            out.append(d)
-    return out
+    last = last_expired(expiration_ms, as_of)
+    return [d for d in days if d != _NULL_PARTITION and last is not None and dt.date.fromisoformat(d) <= last]
+
+
+def last_expired(expiration_ms: int, as_of: dt.datetime) -> dt.date | None:
+    """The last day that has expired; None if the calendar does not go back that far."""
+    try:
+        return (as_of - dt.timedelta(milliseconds=expiration_ms)).date()
+    except OverflowError:
+        return None
+
+
+def unexpired(df: DataFrame, day_col: str, expiration_ms: int | None, as_of: dt.datetime) -> DataFrame:
+    """``df`` without rows that the table's expiry would drop right after the
+    write, so that they are neither shuffled nor written."""
+    last = None if expiration_ms is None else last_expired(expiration_ms, as_of)
+    return df if last is None else df.filter(col(day_col).isNull() | (col(day_col) > F.lit(last)))
 
 
 def expire_partitions(spark: SparkSession, target: str, as_of: dt.datetime | None = None,
@@ -55,7 +66,7 @@ def expire_partitions(spark: SparkSession, target: str, as_of: dt.datetime | Non
     specs = ", ".join(f"PARTITION ({quote(day_col)} = DATE'{d}')" for d in gone)
     spark.sql(f"ALTER TABLE {target} DROP IF EXISTS {specs}")
     if props.get(catalog.PROP_OWNED) == "true":
-        root = (props.get(catalog.PROP_LOCATION) or catalog.location(spark, target) or "").rstrip("/")
+        root = (catalog.location(spark, target) or "").rstrip("/")
         # Directory deletes are metadata calls; on an object store each one
         # lists and deletes many keys, so run them side by side.
         with ThreadPoolExecutor(max_workers=min(16, len(gone))) as pool:

@@ -19,13 +19,15 @@ from ..errors import Checks, StageError, wrap
 from ..functions.names import qualify, quote
 from ..logs import timed
 from ..operators import evolution, layout
-from ..sources import catalog
+from ..sources import catalog, files
 from ..streaming.guards import refuse_streaming
 from . import expiry, staging
 
 STAGE = "load_table"
 SAVE_MODES = ("Append", "ErrorIfExists", "Ignore", "Overwrite")
 DISPOSITIONS = ("CREATE_IF_NEEDED", "CREATE_NEVER")
+#: A thousand years; beyond it dates run out.
+MAX_EXPIRATION_MS = 31_557_600_000_000
 
 
 class TableExists(RuntimeError):
@@ -63,12 +65,13 @@ def load_table(
     save_mode: str = "Overwrite",
     create_disposition: str = "CREATE_IF_NEEDED",
     partition_field: str | None = None,
-    partition_expiration_ms: int | str | None = None,
+    partition_expiration_ms: int | str | None = None,  # "" drops a recorded one
     as_of: dt.datetime | str | None = None,
     clustered_fields: str | Sequence[str] | None = None,
     allow_field_addition: bool = False,
     allow_field_relaxation: bool = False,
-    required_columns: Sequence[str] = (),
+    clustered_ranges: int | None = None,
+    required_columns: Sequence[str] | None = None,
     staging_dir: str | None = None,
     id: str | None = None,  # noqa: A002 -- the stage key is called id
     name: str | None = None,
@@ -82,11 +85,17 @@ def load_table(
     ``ErrorIfExists``. ``create_disposition="CREATE_NEVER"`` refuses to
     create a missing table.
 
+    An overwrite keeps the settings the replaced table records (partition
+    field, expiry, clustering, required columns) unless the call gives new
+    ones; an empty one (``""`` or ``[]``) drops it.
+
     ``partition_field``: a top-level DATE or TIMESTAMP column; the table is
-    partitioned by its day. ``partition_expiration_ms``: after each load,
-    days with ``day + ms <= as_of`` (default now, UTC) are dropped.
-    ``clustered_fields``: up to four columns (comma-separated or a list);
-    files are range-clustered and sorted on them.
+    partitioned by its day (in UTC). ``partition_expiration_ms``: days with
+    ``day + ms <= as_of`` (default now, UTC) are left out of the write, and
+    dropped after each load. ``clustered_fields``: up to four columns
+    (comma-separated or a list); files are range-clustered and sorted on
+    them, in as many ranges as the size of the input asks for, or
+    ``clustered_ranges``.
 
     ``required_columns`` are recorded and enforced (a NULL fails the
     write). ``allow_field_addition`` / ``allow_field_relaxation`` let an
@@ -96,41 +105,46 @@ def load_table(
     database's location); the published table lives there. A replacing
     write is published by one ``SET LOCATION`` (own unpartitioned table,
     same columns) or by drop + rename; the table's own properties and
-    comment are kept; leftovers of an interrupted load older than a day are
-    swept first. Appends that add columns to the engine's own table write
-    the rows before widening the schema, so a failure changes nothing.
+    comment are kept, and the replaced version's files for a day (see
+    :mod:`quarry.sinks.staging`). Appends that add columns to the engine's
+    own table write the rows before widening the schema, so a failure
+    changes nothing. If something fails after the rows were committed, the
+    error's detail has ``committed: True``: do not load them again.
 
     Returns the input rows: for ``Append``/``Ignore`` the input frame; for
     a write that replaced or created the table, a frame over the written
     table (same rows; safe even when the input was the table itself).
     """
     mode = _mode(save_mode)
-    clustered = _fields(clustered_fields)
-    required = _fields(required_columns)
+    clustered = None if clustered_fields is None else _fields(clustered_fields)
+    required = None if required_columns is None else _fields(required_columns)
     chk = Checks(STAGE)
     chk.text("input_view", input_view, required=True)
     chk.text("table", table, required=True)
     chk.text("dataset", dataset)
     chk.text("project", project)
-    chk.text("partition_field", partition_field)
+    if partition_field != "":
+        chk.text("partition_field", partition_field)
+    chk.positive_int("clustered_ranges", clustered_ranges)
     chk.text("staging_dir", staging_dir)
     chk.require(mode is not None, f"save_mode must be one of {list(SAVE_MODES)}, got {save_mode!r}")
     chk.require(create_disposition in DISPOSITIONS,
                 f"create_disposition must be one of {list(DISPOSITIONS)}, got {create_disposition!r}")
     chk.boolean("allow_field_addition", allow_field_addition)
     chk.boolean("allow_field_relaxation", allow_field_relaxation)
-    expiration = None
-    if partition_expiration_ms is not None:
+    expiration = partition_expiration_ms
+    if expiration not in (None, ""):
         try:
             expiration = int(partition_expiration_ms)
-            chk.require(expiration >= 0, "partition_expiration_ms must not be negative")
+            chk.require(0 <= expiration <= MAX_EXPIRATION_MS,
+                        f"partition_expiration_ms must be from 0 to {MAX_EXPIRATION_MS}, got {expiration}")
         except (TypeError, ValueError):
             chk.require(False, f"partition_expiration_ms must be an integer, got {partition_expiration_ms!r}")
     try:
         expiry.as_utc(as_of)
     except (TypeError, ValueError, AttributeError):
         chk.require(False, f"as_of must be a datetime, date or ISO-8601 text, got {as_of!r}")
-    chk.require(len(clustered) <= layout.MAX_CLUSTERED_FIELDS,
+    chk.require(len(clustered or []) <= layout.MAX_CLUSTERED_FIELDS,
                 f"at most {layout.MAX_CLUSTERED_FIELDS} clustered_fields, got {clustered}")
     chk.raise_if_any()
 
@@ -139,7 +153,7 @@ def load_table(
         "inputView": input_view, "table": table, "dataset": dataset, "project": project,
         "saveMode": (mode or "").lower(), "createDisposition": create_disposition,
         "partitionField": partition_field, "partitionExpirationMs": expiration,
-        "clusteredFields": clustered, "allowFieldAddition": allow_field_addition,
+        "clusteredFields": clustered or [], "allowFieldAddition": allow_field_addition,
         "allowFieldRelaxation": allow_field_relaxation, "intermediateFormat": "parquet",
         "params": dict(params or {}),
     }
@@ -147,9 +161,13 @@ def load_table(
         with timed(detail):
             df = spark.table(input_view)
             refuse_streaming(df, STAGE, input_view)
-            target = qualify(table, dataset, project)
+            target = qualify(table, dataset, project, current=spark.catalog.currentDatabase())
             detail["resolved"] = target
+            detail["committed"] = False
             info = catalog.table_info(spark, target)
+            if info is None and (finished := staging.finish_interrupted(spark, target)):
+                detail["finishedInterrupted"] = finished
+                info = catalog.table_info(spark, target)
             kind = info.tableType if info else None
             exists = kind is not None
             detail["tableExisted"] = exists
@@ -167,7 +185,8 @@ def load_table(
             old_props = catalog.properties(spark, target) if exists else {}
             if exists and mode == "Append":
                 props = _append(spark, df, target, old_props, partition_field, expiration, clustered,
-                                required, allow_field_addition, allow_field_relaxation, detail)
+                                required or [], allow_field_addition, allow_field_relaxation, detail,
+                                expiry.as_utc(as_of), clustered_ranges)
                 out = df
             else:
                 staging_root = staging_dir or staging.default_staging_root(spark, target)
@@ -175,11 +194,12 @@ def load_table(
                 if info is not None and info.description:
                     kept["comment"] = info.description
                 props = _replace(spark, df, target, old_props if exists else None, partition_field,
-                                 expiration, clustered, required, staging_root, detail, kept)
+                                 expiration, clustered, required, staging_root, detail, kept,
+                                 expiry.as_utc(as_of), clustered_ranges)
                 out = spark.table(target)
-                if catalog.DERIVED_DAY in out.columns:
-                    out = out.drop(catalog.DERIVED_DAY)
-            detail["written"] = True
+                if catalog.is_derived(props):
+                    out = out.drop(props[catalog.PROP_DAY_COLUMN])
+            detail["written"] = detail["committed"] = True
             dropped = expiry.expire_partitions(spark, target, as_of, props)
             detail["expiredPartitions"] = dropped
             return out
@@ -190,23 +210,37 @@ def load_table(
 
 
 def _replace(spark: SparkSession, df: DataFrame, target: str, old_props: dict | None,
-             partition_field: str | None, expiration: int | None, clustered: list[str],
-             required: list[str], staging_root: str, detail: dict,
-             kept: dict[str, str]) -> dict[str, str]:
+             partition_field: str | None, expiration: int | str | None, clustered: list[str] | None,
+             required: list[str] | None, staging_root: str, detail: dict,
+             kept: dict[str, str], as_of: dt.datetime, ranges: int | None) -> dict[str, str]:
     """Staged write of a new table version; returns the properties it records.
 
     ``kept`` are the replaced table's own properties and comment: the rows
-    and schema are replaced, the table's description is not."""
+    and schema are replaced, the table's description is not. Nor are its
+    recorded settings, where the call gives none (None)."""
+    old = old_props or {}
     props: dict[str, str] = {**kept, catalog.PROP_OWNED: "true"}
+    if catalog.is_derived(old):  # a frame over the table itself brings the derived column along
+        day = next((f for f in df.schema.fields if f.name.lower() == old[catalog.PROP_DAY_COLUMN].lower()), None)
+        df = df.drop(day.name) if day is not None and day.dataType.simpleString() == "date" else df
+    if partition_field is None:
+        partition_field = old.get(catalog.PROP_PARTITION_FIELD)
+        if expiration is None and partition_field and old.get(catalog.PROP_EXPIRATION_MS):
+            expiration = int(old[catalog.PROP_EXPIRATION_MS])
+    if clustered is None:
+        clustered = catalog.csv(old.get(catalog.PROP_CLUSTERED))
+    if required is None:
+        required = catalog.csv(old.get(catalog.PROP_REQUIRED))
     day_col = None
     if partition_field:
         df, day_col = layout.day_column(df, partition_field)
         props[catalog.PROP_PARTITION_FIELD] = partition_field
         props[catalog.PROP_DAY_COLUMN] = day_col
-    if expiration is not None:
+    if expiration not in (None, ""):
         if not day_col:
             raise ValueError("partition_expiration_ms needs partition_field")
         props[catalog.PROP_EXPIRATION_MS] = str(expiration)
+        df = expiry.unexpired(df, day_col, expiration, as_of)
     clustered = layout.check_clustered(df, clustered)
     if clustered:
         props[catalog.PROP_CLUSTERED] = ",".join(clustered)
@@ -216,21 +250,19 @@ def _replace(spark: SparkSession, df: DataFrame, target: str, old_props: dict |
     if required:
         props[catalog.PROP_REQUIRED] = ",".join(required)
     df = evolution.guard_required(df, required, target)
-    df = layout.lay_out(df, day_col, clustered)
-    live = (old_props or {}).get(catalog.PROP_LOCATION)
-    swept = staging.sweep_leftovers(spark, target, staging_root, keep=live)
-    if swept:
-        detail["sweptLeftovers"] = swept
+    df = layout.lay_out(df, day_col, clustered, ranges)
+    props[catalog.PROP_SCHEMA] = staging.schema_digest(df)
     side, directory = staging.write_version(spark, df, target, staging_root=staging_root,
                                             partition_cols=[day_col] if day_col else [])
     detail["stagedAt"] = directory
     detail["publish"] = staging.publish(spark, side, target, old_props, props, directory)
-    return {**props, catalog.PROP_LOCATION: directory}
+    return props
 
 
 def _append(spark: SparkSession, df: DataFrame, target: str, props: dict[str, str],
-            partition_field: str | None, expiration: int | None, clustered: list[str],
-            required: list[str], allow_add: bool, allow_relax: bool, detail: dict) -> dict[str, str]:
+            partition_field: str | None, expiration: int | str | None, clustered: list[str] | None,
+            required: list[str], allow_add: bool, allow_relax: bool, detail: dict,
+            as_of: dt.datetime, ranges: int | None) -> dict[str, str]:
     """Insert into the existing table, evolving its schema as allowed; returns
     the table's properties after the append."""
     recorded_field = props.get(catalog.PROP_PARTITION_FIELD)
@@ -239,19 +271,23 @@ def _append(spark: SparkSession, df: DataFrame, target: str, props: dict[str, st
     if partition_field and not recorded_field:
         raise ValueError(f"{target} is not day-partitioned; cannot append with partition_field")
     day_col = props.get(catalog.PROP_DAY_COLUMN)
-    if expiration is not None and not day_col:
+    if expiration not in (None, "") and not day_col:
         raise ValueError("partition_expiration_ms needs a day-partitioned table")
-    if recorded_field and day_col == catalog.DERIVED_DAY:
-        df, _ = layout.day_column(df, recorded_field)
-    req = sorted(set(catalog.csv(props.get(catalog.PROP_REQUIRED))) | set(required))
+    if recorded_field and catalog.is_derived(props):
+        df, _ = layout.day_column(df, recorded_field, day_col)
+    if day_col:
+        recorded_ms = props.get(catalog.PROP_EXPIRATION_MS)
+        keeps = expiration if expiration is not None else int(recorded_ms) if recorded_ms else None
+        df = expiry.unexpired(df, day_col, None if keeps == "" else keeps, as_of)
     part_cols = catalog.partition_columns(spark, target)
     current = spark.table(target).schema
-    plan = evolution.plan_append(current, part_cols, df, req, allow_add, allow_relax)
+    plan = evolution.plan_append(current, part_cols, df, catalog.csv(props.get(catalog.PROP_REQUIRED)),
+                                 allow_add, allow_relax, required)
 
     aligned = df.select(*plan.columns)
     aligned = evolution.guard_required(aligned, plan.still_required, target)
     clustered = layout.check_clustered(aligned, clustered or catalog.csv(props.get(catalog.PROP_CLUSTERED)))
-    aligned = layout.lay_out(aligned, day_col, clustered)
+    aligned = layout.lay_out(aligned, day_col, clustered, ranges)
 
     if plan.added:
         cols = ", ".join(f"{quote(f.name)} {evolution.ddl_type(f)}" for f in plan.added)
@@ -261,27 +297,50 @@ def _append(spark: SparkSession, df: DataFrame, target: str, props: dict[str, st
             # The engine's own parquet table: write the rows first (visible
             # only when the job commits), then widen the schema, so a failed
             # job changes neither the rows nor the schema.
-            location = props.get(catalog.PROP_LOCATION) or catalog.location(spark, target)
+            location = catalog.location(spark, target)
             w = aligned.write.mode("append").format("parquet")
             if part_cols:
                 w = w.partitionBy(*part_cols)
             w.save(location)
+            detail["committed"] = True
             spark.sql(add_columns)
             if part_cols:
-                spark.sql(f"ALTER TABLE {target} RECOVER PARTITIONS")
+                _register_new_days(spark, target, location, part_cols[0])
+            if catalog.has_statistics(spark, target):
+                # the catalog doesn't know of rows written by path, and a planner that
+                # believes the old size broadcasts what is too large
+                spark.sql(f"ANALYZE TABLE {target} COMPUTE STATISTICS NOSCAN")
         else:
             spark.sql(add_columns)
             aligned.write.insertInto(target, overwrite=False)
     else:
         aligned.write.insertInto(target, overwrite=False)
+    detail["committed"] = True
 
     new_props = {}
     if set(plan.still_required) != set(catalog.csv(props.get(catalog.PROP_REQUIRED))) or required:
         new_props[catalog.PROP_REQUIRED] = ",".join(plan.still_required)
     if plan.relaxed:
         detail["relaxedColumns"] = plan.relaxed
-    if expiration is not None:
+    if expiration not in (None, ""):
         new_props[catalog.PROP_EXPIRATION_MS] = str(expiration)
+    if plan.added:
+        # another shape than the one recorded: the next overwrite compares anew
+        catalog.unset_properties(spark, target, [catalog.PROP_SCHEMA])
     catalog.set_properties(spark, target, new_props)
     spark.catalog.refreshTable(target)
     return {**props, **new_props}
+
+
+def _register_new_days(spark: SparkSession, target: str, location: str, day_col: str) -> None:
+    """Add the day folders that the catalog does not list yet: one entry per
+    day is compared, the files in them are not listed."""
+    listed = {r[0] for r in spark.sql(f"SHOW PARTITIONS {target}").collect()}
+    new = [n for n in files.list_children(spark, location) if n.startswith(f"{day_col}=") and n not in listed]
+    specs = []
+    for n in new:
+        day = n.split("=", 1)[1]
+        specs.append(f"PARTITION ({quote(day_col)} = " + ("NULL" if day == "__HIVE_DEFAULT_PARTITION__"
+                                                          else f"DATE'{day}'") + ")")
+    if specs:
+        spark.sql(f"ALTER TABLE {target} ADD IF NOT EXISTS {' '.join(specs)}")

@@ -1,36 +1,50 @@
 """Staged write and publish (L13): overwrite that never destroys its source.
 
-1. The rows are written once, as parquet, to a fresh directory under the
-   staging root, and registered as a side table ``<table>__quarry_<id>``.
-   ``saveAsTable`` with a path does both and registers partitions. A
-   failed job leaves the live table untouched; its directory is removed.
-2. Publish is metadata only. The written files become the table where
-   they are -- no copy, no per-file rename, which on object stores would be
-   a copy of every byte. When the engine's own unpartitioned table keeps
-   its columns, one ``ALTER TABLE ... SET LOCATION`` repoints it (a single
-   catalog update). Otherwise ``DROP TABLE`` the old one, then ``ALTER
-   TABLE ... RENAME`` the side table: two commands, not one transaction,
-   so a reader between them sees no table.
-3. The old table's directory is deleted only if the engine made it.
-4. A driver lost between 1 and 2 leaves a directory (and perhaps a side
-   table) behind; the next overwrite of the same table sweeps those older
-   than a grace period.
-
-Because the source is read fully before the old table is dropped, a table
+1. A side table ``<table>__quarry_<id>`` is registered over a fresh directory
+   under the staging root *before* any row is written, with its full target
+   name, the time and the application as properties. Then the rows are
+   inserted. A failed job leaves the live table untouched; the side table and
+   its directory are removed.
+2. Publish is metadata only. The written files become the table where they
+   are -- no copy, no per-file rename, which on object stores would be a copy
+   of every byte. When the engine's own unpartitioned table keeps its columns
+   (column metadata included), one ``ALTER TABLE ... SET LOCATION`` repoints
+   it. Otherwise the side table is marked as being published, ``DROP TABLE``
+   removes the old one and ``ALTER TABLE ... RENAME`` gives the side table its
+   name: two commands, not one transaction. A driver lost between them leaves
+   a marked side table as the only copy: the next load of the target (or
+   :func:`finish_interrupted`) renames it into place.
+3. The replaced version stays: its directory is noted in the table's
+   properties, and only an overwrite that comes more than ``KEEP_HOURS`` later
+   deletes it. Frames and views held over it go on working until then.
+4. Nothing is ever deleted by its name or age alone. What a lost driver left
+   unpublished is removed by :func:`sweep_leftovers`, which a user calls: it
+   looks only at side tables registered for that very target by another
+   application, and at none while the target itself is missing.
+
+The location of a table is the catalog's alone; it is not recorded twice.
+
+Because the source is read fully before the old table is replaced, a table
 may be overwritten from itself ("UPDATE/DELETE as SELECT").
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.names import parts_of, quote, sibling
+from ..functions.names import parts_of, qualify, quote, sibling
 from ..sources import catalog, files
 
+WRITING, PUBLISHING = "writing", "publishing"
+#: A replaced version is kept for this long at least.
+KEEP_HOURS = 24.0
+_VERSION = re.compile(r".+-[0-9a-f]{16}")
+
 
 def default_staging_root(spark: SparkSession, target: str) -> str:
     """The target database's location: shared storage the catalog already uses."""
@@ -39,58 +53,100 @@ def default_staging_root(spark: SparkSession, target: str) -> str:
     return spark.catalog.getDatabase(db).locationUri.rstrip("/")
 
 
-def sweep_leftovers(spark: SparkSession, target: str, staging_root: str, *,
-                    grace_hours: float = 24.0, keep: str | None = None) -> list[str]:
-    """Remove what an interrupted load of ``target`` left behind.
+def identity(spark: SparkSession, target: str) -> str:
+    """Catalog, database and table of ``target``, whatever parts were left out."""
+    parts = parts_of(target)
+    current = [spark.catalog.currentCatalog(), spark.catalog.currentDatabase()]
+    return ".".join(quote(p.lower()) for p in [*current[:3 - len(parts)], *parts])
+
+
+def schema_digest(df: DataFrame) -> str:
+    """A digest of names, types and column metadata, in order."""
+    return hashlib.sha256(df.schema.json().encode()).hexdigest()
+
 
-    A driver lost between writing a version and publishing it leaves a
-    version directory (and perhaps a side table) that nothing points to.
-    Those of this table older than ``grace_hours`` are dropped; younger
-    ones may belong to a load still running and are left alone, as is the
-    live version ``keep``.
-    """
+def _side_tables(spark: SparkSession, target: str) -> list[tuple[str, dict[str, str]]]:
+    """Side tables registered for exactly this target, with their properties."""
     table = parts_of(target)[-1]
-    cutoff = (time.time() - grace_hours * 3600) * 1000
-    swept = []
     db = ".".join(quote(p) for p in parts_of(target)[:-1]) or quote(spark.catalog.currentDatabase())
-    side_name = re.compile(re.escape(table) + r"__quarry_[0-9a-f]{16}", re.IGNORECASE)
-    for row in spark.sql(f"SHOW TABLES IN {db} LIKE '{_like(table)}__quarry_*'").collect():
-        if row["isTemporary"] or not side_name.fullmatch(row["tableName"]):
+    own = identity(spark, target)
+    found = []
+    for row in spark.sql(f"SHOW TABLES IN {db} LIKE '{table.replace(chr(39), '')}__quarry_*'").collect():
+        if not row["isTemporary"]:
+            side = sibling(target, row["tableName"])
+            props = catalog.properties(spark, side)
+            if props.get(catalog.PROP_SIDE_OF) == own:
+                found.append((side, props))
+    return found
+
+
+def finish_interrupted(spark: SparkSession, target: str) -> str | None:
+    """If ``target`` is missing because a publish broke off after the old table
+    was dropped, put the new version in place. Returns its former name."""
+    marked = [(props.get(catalog.PROP_STARTED, "0"), side) for side, props in _side_tables(spark, target)
+              if props.get(catalog.PROP_STATE) == PUBLISHING]
+    if not marked:
+        return None
+    side = max(marked)[1]
+    _rename(spark, side, target)
+    catalog.unset_properties(spark, target, catalog.SIDE_PROPS)
+    return side
+
+
+def sweep_leftovers(spark: SparkSession, table: str, dataset: str | None = None, project: str | None = None, *,
+                    older_than_hours: float) -> list[str]:
+    """Remove what lost drivers left unpublished of ``table``, and return it.
+
+    Only side tables that were registered for this target, more than
+    ``older_than_hours`` ago (choose more than the longest load takes), by
+    another application than this one; with the directory the catalog names
+    for them. None at all if the target does not exist, as one of them may be
+    its only copy."""
+    target = qualify(table, dataset, project, current=spark.catalog.currentDatabase())
+    if catalog.object_type(spark, target) is None:
+        return []
+    live = catalog.location(spark, target) or ""
+    before = (time.time() - older_than_hours * 3600) * 1000
+    swept = []
+    for side, props in _side_tables(spark, target):
+        started = props.get(catalog.PROP_STARTED)
+        if started is None or float(started) > before \
+                or props.get(catalog.PROP_WRITER) == spark.sparkContext.applicationId:
             continue
-        side = sibling(target, row["tableName"])
-        loc = catalog.location(spark, side) or ""
-        mtimes = dict(files.children_with_mtime(spark, loc.rsplit("/", 1)[0])) if loc else {}
-        if mtimes.get(loc.rsplit("/", 1)[-1], 0) < cutoff:
-            spark.sql(f"DROP TABLE IF EXISTS {side}")
-            swept.append(side)
-    pattern = re.compile(re.escape(table) + r"-[0-9a-f]{16}", re.IGNORECASE)
-    for name, mtime in files.children_with_mtime(spark, staging_root):
-        path = f"{staging_root.rstrip('/')}/{name}"
-        if pattern.fullmatch(name) and mtime < cutoff and not (keep and files.same_path(path, keep)):
-            files.delete_tree(spark, path)
-            swept.append(path)
+        directory = catalog.location(spark, side)
+        spark.sql(f"DROP TABLE IF EXISTS {side}")
+        if directory and not files.same_path(spark, directory, live):
+            files.delete_tree(spark, directory)
+        swept.append(side)
     return swept
 
 
-def _like(name: str) -> str:
-    return name.replace("'", "")
+def _rename(spark: SparkSession, side: str, target: str) -> None:
+    """The new name stands without a catalog: it stays in the side table's."""
+    name = ".".join(quote(p) for p in parts_of(target)[-2:])
+    spark.sql(f"ALTER TABLE {side} RENAME TO {name}")
 
 
 def write_version(spark: SparkSession, df: DataFrame, target: str, *, staging_root: str,
                   partition_cols: list[str]) -> tuple[str, str]:
-    """Write ``df`` as a new table version; returns (side table, its directory).
-    Its properties are set by :func:`publish`, on whichever table keeps them."""
+    """Write ``df`` as a new table version; returns (side table, its directory)."""
     token = uuid.uuid4().hex[:16]
     table = parts_of(target)[-1]
-    directory = f"{staging_root.rstrip('/')}/{table}-{token}"
+    directory = files.qualified(spark, f"{staging_root.rstrip('/')}/{table}-{token}")
     side = sibling(target, f"{table}__quarry_{token}")
+    last = {c.lower() for c in partition_cols}
+    ordered = df.select(*[quote(c) for c in df.columns if c.lower() not in last], *[quote(c) for c in partition_cols])
     try:
+        empty = ordered.limit(0).write.format("parquet").option("path", directory)
+        if partition_cols:
+            empty = empty.partitionBy(*partition_cols)
+        empty.mode("errorifexists").saveAsTable(side)
+        catalog.set_properties(spark, side, {
+            catalog.PROP_SIDE_OF: identity(spark, target), catalog.PROP_STARTED: str(int(time.time() * 1000)),
+            catalog.PROP_WRITER: spark.sparkContext.applicationId, catalog.PROP_STATE: WRITING})
         # Spark's default commit protocol: a task attempt lost mid-commit
         # never leaves its files behind, so a retried task cannot duplicate rows.
-        w = df.write.format("parquet").option("path", directory)
-        if partition_cols:
-            w = w.partitionBy(*partition_cols)
-        w.mode("errorifexists").saveAsTable(side)
+        ordered.write.insertInto(side, overwrite=True)
     except BaseException:
         spark.sql(f"DROP TABLE IF EXISTS {side}")
         files.delete_tree(spark, directory)
@@ -98,47 +154,56 @@ def write_version(spark: SparkSession, df: DataFrame, target: str, *, staging_ro
     return side, directory
 
 
-def publish(spark: SparkSession, side: str, target: str, old_props: dict[str, str] | None,
-            props: dict[str, str], directory: str) -> str:
-    """Put the side table's version in place under the target's name; drop
-    the old version. Returns how: ``"set_location"`` or ``"rename"``.
+def _retired(props: dict[str, str]) -> list[tuple[int, str]]:
+    """(time in ms, directory) of replaced versions that are still there."""
+    lines = [x.split("|", 1) for x in props.get(catalog.PROP_RETIRED, "").split("\n") if "|" in x]
+    return [(int(ms), path) for ms, path in lines]
+
 
-    When the engine owns the old table, both are unpartitioned and the
-    columns are unchanged, one ``ALTER TABLE ... SET LOCATION`` repoints the
-    table: a single catalog update, so readers never find it missing.
-    Otherwise the old table is dropped and the side table renamed -- two
-    catalog updates with a moment in between where the name is free.
+def publish(spark: SparkSession, side: str, target: str, old_props: dict[str, str] | None,
+            props: dict[str, str], directory: str, keep_hours: float = KEEP_HOURS) -> str:
+    """Put the side table's version in place under the target's name. Returns
+    how: ``"set_location"`` or ``"rename"``.
 
     ``old_props`` are the replaced table's properties (None if there was no
-    table); its directory is deleted only if the engine made it."""
-    if old_props is not None and old_props.get(catalog.PROP_OWNED) == "true":
+    table). Its directory, if the engine made it, is noted as replaced; those
+    noted more than ``keep_hours`` ago are deleted."""
+    now = int(time.time() * 1000)
+    owned = old_props is not None and old_props.get(catalog.PROP_OWNED) == "true"
+    retired = _retired(old_props or {}) if owned else []
+    if owned:
+        retired.append((now, catalog.location(spark, target)))
+    due = [path for ms, path in retired if now - ms >= keep_hours * 3_600_000]
+    left = [(ms, path) for ms, path in retired if path not in due]
+    new = {**props, catalog.PROP_OWNED: "true"}
+    if left:
+        new[catalog.PROP_RETIRED] = "\n".join(f"{ms}|{path}" for ms, path in left)
+    if owned and props.get(catalog.PROP_SCHEMA) == old_props.get(catalog.PROP_SCHEMA) is not None:
         shape = catalog.column_shape(spark, target)
         if catalog.is_plain(shape) and shape == catalog.column_shape(spark, side):
-            old_dir = old_props.get(catalog.PROP_LOCATION) or catalog.location(spark, target)
-            spark.sql(f"ALTER TABLE {target} SET LOCATION {catalog.quote_path(directory)}")
-            new = {**props, catalog.PROP_OWNED: "true", catalog.PROP_LOCATION: directory}
+            # notes first: if the driver is lost in between, the live directory is
+            # merely noted as replaced, and never deleted while it is the location
             catalog.set_properties(spark, target, new)
-            catalog.unset_properties(spark, target, [k for k in old_props
-                                                     if k.startswith("quarry.") and k not in new])
+            spark.sql(f"ALTER TABLE {target} SET LOCATION {catalog.quote_path(directory)}")
+            catalog.unset_properties(spark, target, [k for k in old_props if k.startswith("quarry.") and k not in new])
             spark.sql(f"DROP TABLE {side}")  # external: its files are now the target's
             spark.catalog.refreshTable(target)
-            if old_dir and not files.same_path(old_dir, directory):
-                files.delete_tree(spark, old_dir)
+            _delete(spark, due, directory)
             return "set_location"
-    catalog.set_properties(spark, side, {**props, catalog.PROP_OWNED: "true",
-                                         catalog.PROP_LOCATION: directory})
-    old_dir = None
+    catalog.set_properties(spark, side, {**new, catalog.PROP_STATE: PUBLISHING})
     if old_props is not None:
-        if old_props.get(catalog.PROP_OWNED) == "true":
-            old_dir = old_props.get(catalog.PROP_LOCATION) or catalog.location(spark, target)
         spark.sql(f"DROP TABLE {target}")
     try:
-        spark.sql(f"ALTER TABLE {side} RENAME TO {target}")
+        _rename(spark, side, target)
     except Exception as exc:
-        raise RuntimeError(f"{target} was dropped but the new version could not be renamed into "
-                           f"place; its rows are in table {side}: {exc}") from exc
-    if old_dir:
-        files.delete_tree(spark, old_dir)
+        raise RuntimeError(f"{target} was dropped but the new version could not be renamed into place; its rows "
+                           f"are in table {side}, and the next load of {target} puts it in place: {exc}") from exc
+    catalog.unset_properties(spark, target, catalog.SIDE_PROPS)
+    _delete(spark, due, directory)
     return "rename"
 
 
+def _delete(spark: SparkSession, due: list[str], live: str) -> None:
+    for path in due:
+        if _VERSION.fullmatch(path.rstrip("/").rsplit("/", 1)[-1]) and not files.same_path(spark, path, live):
+            files.delete_tree(spark, path)

@@ -10,15 +10,28 @@ from pyspark.sql import SparkSession
 
 # Fixed table-property keys the engine records on the tables it writes.
 PROP_OWNED = "quarry.owned"                      # engine made the location, may delete it
-PROP_LOCATION = "quarry.location"                # the directory the engine wrote
+PROP_SCHEMA = "quarry.schema_digest"             # of names, types and column metadata
+PROP_RETIRED = "quarry.replaced_versions"        # time|directory of versions not yet deleted
 PROP_PARTITION_FIELD = "quarry.partition_field"  # user's date/timestamp field
 PROP_DAY_COLUMN = "quarry.day_column"            # physical partition column
 PROP_EXPIRATION_MS = "quarry.partition_expiration_ms"
 PROP_CLUSTERED = "quarry.clustered_fields"
 PROP_REQUIRED = "quarry.required_columns"
 PROP_EXPIRES_AT = "quarry.expires_at"             # materialised view results
+PROP_SIDE_OF = "quarry.side_of"                  # of a side table: its full target
+PROP_STARTED = "quarry.started"                  # when its write began, ms
+PROP_WRITER = "quarry.writer"                    # the application that writes it
+PROP_STATE = "quarry.state"                      # writing, or publishing (it may be the only copy)
+SIDE_PROPS = [PROP_SIDE_OF, PROP_STARTED, PROP_WRITER, PROP_STATE]
 DERIVED_DAY = "__day"
 
+
+def is_derived(props: dict[str, str]) -> bool:
+    """Whether the table's day column was derived from its partition field."""
+    day, field = props.get(PROP_DAY_COLUMN), props.get(PROP_PARTITION_FIELD)
+    return bool(day) and day.lower() != (field or "").lower()
+
+
 def table_info(spark: SparkSession, name: str):
     """The catalog's ``Table`` entry, or None if there is no such object."""
     try:
@@ -96,6 +109,10 @@ def is_plain(shape: list[tuple]) -> bool:
     return not any(str(c[0]).startswith("#") for c in shape)
 
 
+def has_statistics(spark: SparkSession, name: str) -> bool:
+    return any(r["col_name"] == "Statistics" for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect())
+
+
 def quote_path(path: str) -> str:
     return "'" + _esc(path) + "'"
 

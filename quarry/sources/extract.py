@@ -78,10 +78,10 @@ def extract_table(
       written by ``load_table``; the filter is on the partition column, so
       only those partitions are listed and read.
     * ``persist`` caches and counts; ``stats['records']`` is then set.
-    * ``stats['num_partitions']`` is reported when it is free (an explicit
-      ``num_partitions``) or asked for with ``collect_stats`` (or
-      ``persist``): otherwise it costs a query planning (~60 ms) for a scan,
-      and running the shuffles for views and key-only repartitioning.
+    * ``stats['num_partitions']`` is always there for a table that is not
+      repartitioned by key alone (an explicit ``num_partitions``, or the
+      planned scan's). For views and key-only repartitioning it would mean
+      running their shuffles: there it comes with ``collect_stats`` or ``persist``.
     """
     if isinstance(partition_by, str):
         partition_by = [c.strip() for c in partition_by.split(",") if c.strip()]
@@ -117,7 +117,7 @@ def extract_table(
     }
     try:
         with timed(detail):
-            target = qualify(table, dataset, project)
+            target = qualify(table, dataset, project, current=spark.catalog.currentDatabase())
             detail["resolved"] = target
             kind = catalog.object_type(spark, target)
             if kind is None:
@@ -137,7 +137,7 @@ def extract_table(
 
             pairs = None
             if schema_view:
-                pairs = metadata.read_metadata_view(spark, schema_view)
+                pairs = metadata.read_metadata_view(spark, schema_view, len(df.columns))
             elif schema_uri:
                 pairs = metadata.read_metadata_file(spark, schema_uri)
             if pairs:
@@ -159,6 +159,8 @@ def extract_table(
                 stats["num_partitions"] = distribute.partition_count(df)
             elif num_partitions is not None:
                 stats["num_partitions"] = num_partitions  # D2/D3 give exactly this many
+            elif kind not in ("VIEW", "TEMPORARY") and not partition_by:
+                stats["num_partitions"] = distribute.partition_count(df)  # a scan: planned, not run
             detail.update({"outputColumns": stats["output_columns"]})
             if "records" in stats:
                 detail["records"] = stats["records"]
@@ -179,9 +181,10 @@ def _materialize(spark: SparkSession, df: DataFrame, project: str | None, datase
     """Write the view's result once as a table in ``dataset`` and read that."""
     _drop_expired_materializations(spark, project, dataset)
     target = qualify(f"{_MATERIALIZED_PREFIX}{uuid.uuid4().hex[:16]}", dataset, project)
-    df.write.format("parquet").mode("errorifexists").saveAsTable(target)
     expires = dt.datetime.now(dt.timezone.utc) + dt.timedelta(minutes=expiration_minutes)
-    catalog.set_properties(spark, target, {catalog.PROP_EXPIRES_AT: expires.isoformat()})
+    # the expiry is part of the table's creation: a driver lost right after leaves no table without one
+    df.writeTo(target).using("parquet").tableProperty(catalog.PROP_EXPIRES_AT, expires.isoformat()).create()
+    detail["materializationExpiresAt"] = expires.isoformat()
     detail["materializedAs"] = target
     return spark.table(target)
 
@@ -204,12 +207,13 @@ def _day_partitions(spark: SparkSession, target: str, df: DataFrame,
     """Prune to ``day_range`` and hide a derived day column.
 
     A table written with a timestamp ``partition_field`` carries a derived
-    ``__day`` partition column. A filter on the timestamp cannot prune it,
+    ``__day`` partition column (``__day_1``, ... if the name was taken). A filter on the timestamp cannot prune it,
     a filter on ``__day`` can: that is what ``day_range`` is for.
     """
-    if day_range is None and catalog.DERIVED_DAY not in df.columns:
+    if day_range is None and not any(c.startswith(catalog.DERIVED_DAY) for c in df.columns):
         return df  # nothing to prune or hide: skip the catalog round trip
-    day_col = catalog.properties(spark, target).get(catalog.PROP_DAY_COLUMN)
+    props = catalog.properties(spark, target)
+    day_col = props.get(catalog.PROP_DAY_COLUMN)
     if day_range is not None:
         if not day_col:
             raise ValueError(f"day_range given but {target} is not day-partitioned")
@@ -218,9 +222,7 @@ def _day_partitions(spark: SparkSession, target: str, df: DataFrame,
             df = df.filter(F.col(day_col) >= F.lit(lo))
         if hi is not None:
             df = df.filter(F.col(day_col) <= F.lit(hi))
-    if day_col == catalog.DERIVED_DAY:
-        df = df.drop(catalog.DERIVED_DAY)
-    return df
+    return df.drop(day_col) if catalog.is_derived(props) else df
 
 
 def _as_date(x: Any) -> dt.date | None:

@@ -16,11 +16,6 @@ def _fs_and_path(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs_and_path(spark, path)
-    return bool(fs.exists(p))
-
-
 def delete_tree(spark: SparkSession, path: str) -> bool:
     """Recursively delete ``path``; True if something was deleted."""
     fs, p = _fs_and_path(spark, path)
@@ -43,19 +38,6 @@ def total_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(p).getLength())
 
 
-def children_with_mtime(spark: SparkSession, path: str) -> list[tuple[str, int]]:
-    """(name, modification time in ms) of each entry directly below ``path``."""
-    fs, p = _fs_and_path(spark, path)
-    if not fs.exists(p):
-        return []
-    return [(st.getPath().getName(), int(st.getModificationTime())) for st in fs.listStatus(p)]
-
-
-def set_mtime(spark: SparkSession, path: str, mtime_ms: int) -> None:
-    fs, p = _fs_and_path(spark, path)
-    fs.setTimes(p, mtime_ms, -1)
-
-
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write one small text file (SQL scripts, metadata lists)."""
     fs, p = _fs_and_path(spark, path)
@@ -66,11 +48,26 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
-def same_path(a: str, b: str) -> bool:
-    def norm(s: str) -> str:
-        s = s.rstrip("/")
-        for prefix in ("file://", "file:"):
-            if s.startswith(prefix):
-                return s[len(prefix):]
-        return s
-    return norm(a) == norm(b)
+#: Config files (SQL text, column metadata) may have this many bytes.
+SMALL_TEXT = 16 << 20
+
+
+def read_small_text(spark: SparkSession, uri: str) -> str:
+    """The text of exactly one file of at most ``SMALL_TEXT`` bytes; checked before it is read."""
+    fs, p = _fs_and_path(spark, uri)
+    found = [st for st in (fs.globStatus(p) or []) if st.isFile()]
+    if len(found) != 1:
+        raise ValueError(f"{uri} must name exactly one file, it matches {len(found)}")
+    if found[0].getLen() > SMALL_TEXT:
+        raise ValueError(f"{uri} has {found[0].getLen()} bytes, more than the {SMALL_TEXT} of a config file")
+    return spark.read.text(found[0].getPath().toString(), wholetext=True).first()[0]
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as its file system spells it: scheme, authority, no doubled slashes."""
+    fs, p = _fs_and_path(spark, path)
+    return fs.makeQualified(p).toString().rstrip("/")
+
+
+def same_path(spark: SparkSession, a: str, b: str) -> bool:
+    return qualified(spark, a) == qualified(spark, b)

@@ -20,11 +20,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..functions.columns import col
+from . import files
 
 
 def read_metadata_file(spark: SparkSession, uri: str) -> list[tuple[str, dict]]:
     """JSON lines, or one JSON array, at any Hadoop URI (a small config file)."""
-    blob = "".join(r[0] for r in spark.read.text(uri, wholetext=True).collect()).strip()
+    blob = files.read_small_text(spark, uri).strip()
     if blob.startswith("["):
         entries = json.loads(blob)
     else:
@@ -38,13 +39,17 @@ def read_metadata_file(spark: SparkSession, uri: str) -> list[tuple[str, dict]]:
     return _to_pairs(rows)
 
 
-def read_metadata_view(spark: SparkSession, view: str) -> list[tuple[str, dict]]:
+def read_metadata_view(spark: SparkSession, view: str, columns: int) -> list[tuple[str, dict]]:
+    """One row per column at most: a view with more than ``columns`` rows is refused, not collected."""
     df = spark.table(view)
     if "metadata" in df.columns and not isinstance(df.schema["metadata"].dataType, StringType):
         df = df.withColumn("metadata", F.to_json("metadata"))
     if "description" not in df.columns:
         df = df.withColumn("description", F.lit(None).cast("string"))
-    return _to_pairs(r.asDict() for r in df.select("name", "metadata", "description").collect())
+    rows = df.select("name", "metadata", "description").limit(columns + 1).collect()
+    if len(rows) > columns:
+        raise ValueError(f"{view} has more rows than the table has columns ({columns}): it is no column metadata")
+    return _to_pairs(r.asDict() for r in rows)
 
 
 def _to_pairs(rows) -> list[tuple[str, dict]]:

@@ -27,7 +27,7 @@ def test_project_is_a_catalog(spark, ws):
 
 def test_scan_is_lazy_and_registers_view(spark, ws):
     r = extract_table(spark, "orders", dataset=ws.src, output_view="t_orders")
-    assert r.stats == {"output_columns": 6}
+    assert r.stats == {"output_columns": 6, "num_partitions": 1}
     assert "records" not in r.stats
     assert extract_table(spark, "orders", dataset=ws.src, num_partitions=5).stats["num_partitions"] == 5
     assert "num_partitions" not in extract_table(spark, "orders", dataset=ws.src,

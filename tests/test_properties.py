@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from quarry.functions.names import qualify, quote, split_name
-from quarry.functions.params import substitute, text_placeholders
+from quarry.functions.params import statements_of, substitute
 from quarry.sinks.expiry import expired_days
 
 ident = st.text(alphabet=st.characters(blacklist_categories=("Cs",), blacklist_characters="\x00"),
@@ -33,7 +33,16 @@ def test_substitute_replaces_every_placeholder(params):
     assert "${" not in out
     for k, v in params.items():
         assert f"c_{k} = '{v}'" in out
-    assert text_placeholders(sql) == set(params)
+
+
+pieces = st.lists(st.sampled_from(["select 1", "select ';'", "-- a ; b\nselect 2", "/* ; /* ; */ */ select 3",
+                                   'select ";"', "select `a;b`", "select 'it\\'s;'"]), min_size=1, max_size=5)
+
+
+@given(pieces, st.sampled_from([";", " ;\n", ";;", "; -- only a comment\n;"]))
+def test_statements_split_only_outside_quotes_and_comments(parts, sep):
+    found = statements_of(sep.join(parts) + ";")
+    assert [f.split("\n")[-1] if "only" in f else f for f in found] == parts
 
 
 days = st.dates(min_value=dt.date(2000, 1, 1), max_value=dt.date(2030, 1, 1))
@@ -49,11 +58,18 @@ def test_expiry_rule(ds, ms, as_of):
         assert (d.isoformat() in gone) == (start + dt.timedelta(milliseconds=ms) <= as_of)
 
 
-def test_same_path_ignores_scheme_and_trailing_slash():
+def test_same_path_ignores_spelling(spark):
     from quarry.sources.files import same_path
-    assert same_path("file:/tmp/a/", "/tmp/a")
-    assert same_path("file:///tmp/a", "/tmp/a")
-    assert not same_path("/tmp/a", "/tmp/b")
+    assert same_path(spark, "file:/tmp/a/", "/tmp/a")
+    assert same_path(spark, "file:///tmp/a", "/tmp//a")
+    assert not same_path(spark, "/tmp/a", "/tmp/b")
+
+
+def test_project_alone_takes_the_current_database():
+    import pytest
+    assert qualify("t", None, "c", current="d") == "`c`.`d`.`t`"
+    with pytest.raises(ValueError):
+        qualify("t", None, "c")
 
 
 def test_sibling_keeps_the_namespace():
