@@ -36,6 +36,8 @@ from ..session import fresh_dir
 from .common import BASE, INVERSE, content, mixed, pieces, powers, stored, text_bytes
 
 CHUNK_ROWS = 512
+#: Bytes of a chunk, at most (or one text): longer texts come in chunks of fewer rows.
+CHUNK_BYTES = 8 << 20
 #: Chunks that share an anchor before its windows travel one by one.
 HOT_CHUNKS = 500
 SENT = "shard int, chunk long, meta binary, body binary"
@@ -92,9 +94,13 @@ def chunked(docs: DataFrame) -> Chunked:
     rows = docs.toDF(*[f"c{i}" for i in range(len(columns))])
     text = f"c{columns.index('text')}"
     rows = (rows.withColumn(text, content(text)).withColumn("id", F.monotonically_increasing_id())
-            .withColumn("row", F.col("id").bitwiseAND((1 << 33) - 1))
-            .withColumn("chunk", F.shiftleft(F.shiftright("id", 33), 33) + F.floor(F.col("row") / CHUNK_ROWS))
-            .drop("id"))
+            .withColumn("row", F.col("id").bitwiseAND((1 << 33) - 1)))
+    # rows per chunk by the text's length: 512, 256, ... 1
+    few = F.lit(0)
+    for k in range(1, CHUNK_ROWS.bit_length()):
+        few = F.when(F.octet_length(text) <= CHUNK_BYTES >> k, F.lit(k)).otherwise(few)
+    chunk = "(id >> 33) * (1L << 38) + few * (1L << 34) + (row div (1L << few))"
+    rows = rows.withColumn("few", few).withColumn("chunk", F.expr(chunk)).drop("id", "few")
     buckets = max(shuffles, 1)
     out = Chunked(spark, f"chunked_{uuid.uuid4().hex}", columns, types, buckets)
     rows.write.bucketBy(buckets, "chunk").option("path", fresh_dir(spark, "chunked")).saveAsTable(out.name)

@@ -79,11 +79,19 @@ BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def powers(n: int, base: int = BASE) -> np.ndarray:
-    """base**0 ... base**(n-1) modulo 2**64."""
-    out = np.full(max(n, 1), np.uint64(base))
-    out[0] = 1
-    return np.multiply.accumulate(out)[:n]
+    """base**0 ... base**(n-1) modulo 2**64; a process keeps the first few million."""
+    kept = _POWERS.get(base)
+    if kept is None or len(kept) < n:
+        out = np.full(max(n, 1 << 22), np.uint64(base))
+        out[0] = 1
+        kept = np.multiply.accumulate(out)
+        if len(kept) <= 1 << 23:
+            _POWERS[base] = kept
+    return kept[:n]
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
