@@ -203,3 +203,77 @@ def kept_rows(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns (carried as one, so that no name clashes)."""
     whole = docs.select("doc_id", "lang", "source", "text", F.struct(*docs.columns).alias("__row"))
     return judged(whole, "__row").where("kept").select("__row.*")
+
+
+def duckdb_sql() -> str:
+    """The same for DuckDB, over a table ``documents``."""
+    n, pairs = len(FEATURES), _pairs()
+    features = ", ".join(FEATURES)
+    space = "[ \\t\\n\\x0b\\f\\r]"
+
+    def measured(name: str, rows: str, estimate: str) -> str:
+        """CTEs that solve y = L^-1 (x - m) one coordinate after the other."""
+        out, last = [], f"SELECT r.*, e.* EXCLUDE (grp) FROM {rows} r JOIN {estimate} e USING (grp)"
+        for i in range(n):
+            y = " - ".join([f"f{i} - m{i}", *[f"l{i}{j} * y{j}" for j in range(i)]])
+            out.append(f"{name}_{i} AS MATERIALIZED (SELECT *, ({y}) / l{i}{i} AS y{i} FROM ({last}))")
+            last = f"SELECT * FROM {name}_{i}"
+        out.append(f"{name} AS MATERIALIZED (SELECT *, round({' + '.join(f'y{i} * y{i}' for i in range(n))}, 3) AS d2 "
+                   f"FROM {name}_{n - 1})")
+        return ",\n".join(out)
+
+    def root(name: str, source: str) -> str:
+        out, last = [], source
+        for i, j in pairs:
+            c = " - ".join([f"c{i}{j}" + (f" + {FLOOR[i] ** 2!r}" if i == j else ""),
+                            *[f"l{i}{k} * l{j}{k}" for k in range(j)]])
+            value = f"sqrt(greatest({c}, 1e-9))" if i == j else f"({c}) / l{j}{j}"
+            out.append(f"{name}_{i}{j} AS MATERIALIZED (SELECT *, {value} AS l{i}{j} FROM {last})")
+            last = f"{name}_{i}{j}"
+        keep = ", ".join([*[f"m{i}" for i in range(n)], *[f"l{i}{j}" for i, j in pairs]])
+        out.append(f"{name} AS MATERIALIZED (SELECT grp, {keep} FROM {last})")
+        return ",\n".join(out)
+
+    share = lambda part, of, each: f"ln(1 + 20 * {part} / ({of} + {each}))"
+    ctes = [f"""t AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
+        w AS (SELECT *, list_filter(regexp_split_to_array(text, '{space}+'), lambda x: x <> '') AS words,
+              list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ \\t\\n\\x0b\\f\\r]')) AS lines FROM t),
+        g AS (SELECT rid, i, array_to_string(words[i:i + {WINDOW - 1}], ' ') AS g FROM
+              (SELECT rid, words, unnest(range(1, len(words) - {WINDOW - 2})) AS i FROM w)),
+        c AS (SELECT DISTINCT rid, unnest(range(i, i + {WINDOW})) AS i FROM
+              (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS n FROM g) WHERE n > 1),
+        s AS (SELECT rid, doc_id, lang, source, len(words) AS n_words,
+              length(regexp_replace(text, '{space}', '', 'g')) AS word_chars,
+              length(text) - length(translate(text, '{SYMBOLS}', '')) AS n_symbols,
+              len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+              len(lines) AS n_lines, length(text) - length(translate(text, '{CAPITALS}', '')) AS n_capitals
+              FROM w LEFT JOIN (SELECT rid, count(*) AS n_repeat_words FROM c GROUP BY 1) USING (rid)),
+        x AS MATERIALIZED (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+              ln((word_chars + 150) / (n_words + 25)) AS f0, {share('n_symbols', 'n_words', 20)} AS f1,
+              {share('n_capitals', 'word_chars', 100)} AS f2, {share('n_dup_lines', 'n_lines', 5)} AS f3,
+              {share('n_repeat_words', 'n_words', 20)} AS f4,
+              'own' || coalesce(lang, chr(1)) || chr(2) || coalesce(source, chr(1)) AS own FROM s),
+        large AS (SELECT own FROM x WHERE NOT base_failed GROUP BY 1 HAVING count(*) >= {GROUP_ROWS}),
+        rows_ AS MATERIALIZED (SELECT own AS grp, {features} FROM x WHERE NOT base_failed AND own IN (FROM large)
+              UNION ALL SELECT 'all', {features} FROM x WHERE NOT base_failed),
+        middle AS MATERIALIZED (SELECT grp, {', '.join(f'quantile_cont(round(f{i}, 3), 0.5) AS m{i}' for i in range(n))}
+              FROM rows_ GROUP BY 1),
+        spread AS MATERIALIZED (SELECT grp, {', '.join(f'any_value(m{i}) AS m{i}' for i in range(n))}, {', '.join(
+            f'power(1.4826 * quantile_cont(round(abs(f{i} - m{i}), 3), 0.5), 2) AS c{i}{i}' for i in range(n))}, {', '.join(
+            f'0.0::DOUBLE AS c{i}{j}' for i, j in pairs if i != j)} FROM rows_ JOIN middle USING (grp) GROUP BY 1)""",
+            root("e0", "spread")]
+    for step in range(STEPS):
+        k = step + 1
+        ctes += [measured(f"d{k}", "rows_", f"e{step}"), f"""q{k} AS MATERIALIZED (SELECT grp, quantile_cont(round(ln(1 + d2), 3), {SHARE}) AS near
+              FROM d{k} GROUP BY 1),
+        v{k} AS MATERIALIZED (SELECT grp, {', '.join(f'avg(f{i}) AS m{i}' for i in range(n))}, {', '.join(
+            f'avg(f{i} * f{j}) - avg(f{i}) * avg(f{j}) AS c{i}{j}' for i, j in pairs)}
+              FROM d{k} JOIN q{k} USING (grp) WHERE round(ln(1 + d2), 3) <= near GROUP BY 1)""", root(f"e{k}", f"v{k}")]
+    ctes += [measured("z", "rows_", f"e{STEPS}"), f"""a AS MATERIALIZED (SELECT e{STEPS}.* EXCLUDE ({', '.join(f'l{i}{j}' for i, j in pairs)}), {', '.join(
+        f'l{i}{j} * sqrt(scale / {CHI2_MEDIAN}) AS l{i}{j}' for i, j in pairs)} FROM e{STEPS} JOIN
+              (SELECT grp, greatest(1.0, exp(quantile_cont(round(ln(1 + d2), 3), 0.5)) - 1) AS scale FROM z GROUP BY 1) USING (grp)),
+        y AS MATERIALIZED (SELECT *, CASE WHEN own IN (FROM large) THEN own ELSE 'all' END AS grp FROM x)""",
+             measured("o", "y", "a")]
+    return "WITH " + ",\n".join(ctes) + f"""
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT base_failed AND d2 <= {CUTOFF} AS kept FROM o"""

@@ -67,7 +67,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "d2")
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def op10_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,5 +97,23 @@ ORACLE = {
         SELECT doc_id, len(words) AS n_words, coalesce(n_removed, 0) AS n_removed,
                sha256(coalesce(kept, '')) AS kept_sha256
         FROM w LEFT JOIN k USING (doc_id)""",
+    "op5_suffix_dedup": """
+        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n
+                   FROM documents),
+        s AS (SELECT doc_id, i, md5(substr(h, CAST(2 * i + 1 AS BIGINT), 400)) AS k
+              FROM (SELECT doc_id, h, unnest(range(0, n - 199)) AS i FROM d)),
+        r AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS p
+              FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY k) AS c FROM s) WHERE c > 1),
+        g AS (SELECT doc_id, i, sum(CASE WHEN i <= p + 200 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM r),
+        runs AS (SELECT doc_id, min(i) AS a, max(i) + 200 AS b FROM g GROUP BY doc_id, g),
+        kept AS (SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS b FROM runs
+                 UNION ALL SELECT doc_id, coalesce(max(b), 0), n FROM d LEFT JOIN runs USING (doc_id) GROUP BY doc_id, n),
+        t AS (SELECT doc_id, string_agg(substr(h, CAST(2 * a + 1 AS BIGINT), CAST(2 * (b - a) AS BIGINT)), '' ORDER BY a) AS t
+              FROM kept JOIN d USING (doc_id) GROUP BY doc_id)
+        SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(t)) AS kept_sha256
+        FROM d JOIN t USING (doc_id)
+        LEFT JOIN (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM runs GROUP BY doc_id) USING (doc_id)""",
+    "op9_quality_rules": quality_rules.duckdb_sql(),
     "op3_url_templates": url_templates.duckdb_sql(URL_RULES),
 }
