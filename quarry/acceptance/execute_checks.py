@@ -63,24 +63,26 @@ def execute_params(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def execute_error(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A job that fails at run time (a data check on every row) raises, with
-    the stage detail, and creates nothing."""
+    the stage detail, and adds no row to the table it was to insert into."""
     ws = Workspace(spark, sf_dir, "execute_error")
+    execute_sql(spark, f"CREATE TABLE {ws.table('keys')} AS SELECT o_orderkey, o_totalprice FROM orders",
+                dataset=ws.src)
     raised = False
     try:
-        execute_sql(spark, f"CREATE TABLE {ws.table('bad')} AS SELECT o_orderkey, "
-                           "assert_true(o_totalprice < 0) AS checked FROM orders", dataset=ws.src)
+        execute_sql(spark, f"INSERT INTO {ws.table('keys')} SELECT o_orderkey, "
+                           "if(o_totalprice < 0, 0, raise_error('a price')) FROM orders", dataset=ws.src)
     except StageError as exc:
-        raised = "sql" in exc.detail and not spark.catalog.tableExists(ws.table("bad"))
-    return ws.read("orders").agg(F.lit(raised).alias("raised"))
+        raised = "sql" in exc.detail
+    return extract_table(spark, "keys", dataset=ws.db).df.withColumn("raised", F.lit(raised))
 
 
 def execute_default_db(spark: SparkSession, sf_dir: str) -> DataFrame:
     ws = Workspace(spark, sf_dir, "execute_default_db")
     before = spark.catalog.currentDatabase()
-    execute_sql(spark, f"CREATE TABLE region_copy AS SELECT * FROM {ws.source('region')}", dataset=ws.db)
+    execute_sql(spark, f"CREATE TABLE orders_copy AS SELECT * FROM {ws.source('orders')}", dataset=ws.db)
     if spark.catalog.currentDatabase() != before:
         raise AssertionError("current database not restored")
-    return extract_table(spark, "region_copy", dataset=ws.db).df
+    return extract_table(spark, "orders_copy", dataset=ws.db).df
 
 
 def execute_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,7 +92,7 @@ def execute_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "FROM orders GROUP BY o_orderstatus", dataset=ws.src, job_name=tag)
     ran = len(spark.sparkContext.statusTracker().getJobIdsForGroup(tag)) > 0
     tagged = ran and tag not in spark.getTags()
-    return extract_table(spark, "by_status", dataset=ws.db).df.agg(F.lit(tagged).alias("tagged"))
+    return extract_table(spark, "by_status", dataset=ws.db).df.withColumn("tagged", F.lit(tagged))
 
 
 def _statement(key: str):
@@ -117,8 +119,8 @@ ORACLE = {
     "execute_ctas": SEGMENT_ORDERS,
     "execute_uri": SEGMENT_ORDERS,
     "execute_params": "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 100000 AND o_orderstatus = 'F'",
-    "execute_error": "SELECT TRUE AS raised",
-    "execute_default_db": "SELECT * FROM region",
-    "execute_tagged": "SELECT TRUE AS tagged",
+    "execute_error": "SELECT o_orderkey, o_totalprice, TRUE AS raised FROM orders",
+    "execute_default_db": "SELECT * FROM orders",
+    "execute_tagged": "SELECT o_orderstatus, count(*) AS n, TRUE AS tagged FROM orders GROUP BY 1",
     **{key: statements.duckdb_text(key) for key in statements.SPARK},
 }

@@ -79,8 +79,9 @@ def extract_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_table(spark, "lineitem", dataset=ws.src).df.agg(F.count("*").alias("n_rows"))
 
 
-def _descriptions_df(spark: SparkSession, df: DataFrame) -> DataFrame:
-    return spark.createDataFrame(column_descriptions(df), "column_name string, description string")
+def _named_by_description(df: DataFrame) -> DataFrame:
+    """The rows, each column that has a description under that as its name."""
+    return df.withColumnsRenamed(dict(column_descriptions(df)))
 
 
 def extract_metadata_file(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,7 +95,7 @@ def extract_metadata_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = extract_table(spark, "orders_described", dataset=ws.db).df
     if column_descriptions(back) != column_descriptions(r.df):
         raise AssertionError("column metadata lost in the write")
-    return _descriptions_df(spark, back)
+    return _named_by_description(back)
 
 
 def extract_metadata_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,12 +106,9 @@ def extract_metadata_view(spark: SparkSession, sf_dir: str) -> DataFrame:
                                "name string, metadata string")
     md_view = ws.view(md, "columns")
     df = extract_table(spark, "orders", dataset=ws.src, schema_view=md_view).df
-    shaped = df.filter(F.col("o_totalprice") > 0).select("o_orderkey", "o_custkey", "o_orderstatus")
+    shaped = df.filter(F.col("o_orderstatus") != "P").select(*reversed(df.columns))
     load_table(spark, ws.view(shaped, "shaped"), "orders_shaped", dataset=ws.db)
-    back = extract_table(spark, "orders_shaped", dataset=ws.db).df
-    if back.count() != df.filter(F.col("o_totalprice") > 0).count():
-        raise AssertionError("rows lost in the write")
-    return _descriptions_df(spark, back)
+    return _named_by_description(extract_table(spark, "orders_shaped", dataset=ws.db).df)
 
 
 def _partitions_per_key(df: DataFrame, key: str) -> DataFrame:
@@ -182,8 +180,8 @@ ORACLE = {
     "extract_view": "SELECT o_custkey, count(*) AS n_orders, sum(o_totalprice) AS spend FROM orders GROUP BY o_custkey",
     "extract_view_materialized": "SELECT o_custkey, count(*) AS n_orders, sum(o_totalprice) AS spend FROM orders GROUP BY o_custkey",
     "extract_count": "SELECT count(*) AS n_rows FROM lineitem",
-    "extract_metadata_file": "SELECT * FROM (VALUES ('o_orderkey','order key'),('o_custkey','customer key')) t(column_name, description)",
-    "extract_metadata_view": "SELECT * FROM (VALUES ('o_orderkey','order key'),('o_custkey','customer key')) t(column_name, description)",
+    "extract_metadata_file": "SELECT o_orderkey AS \"order key\", o_custkey AS \"customer key\", * EXCLUDE (o_orderkey, o_custkey) FROM orders",
+    "extract_metadata_view": "SELECT o_orderkey AS \"order key\", o_custkey AS \"customer key\", * EXCLUDE (o_orderkey, o_custkey) FROM orders WHERE o_orderstatus <> 'P'",
     "repartition_n": "SELECT count(*) AS n_rows, CAST(8 AS BIGINT) AS n_parts FROM lineitem",
     "repartition_n_cols": "SELECT l_orderkey, count(*) AS n_rows, CAST(1 AS BIGINT) AS n_parts FROM lineitem GROUP BY l_orderkey",
     "repartition_cols": "SELECT l_orderkey, count(*) AS n_rows, CAST(1 AS BIGINT) AS n_parts FROM lineitem GROUP BY l_orderkey",
