@@ -5,11 +5,10 @@ import pytest
 
 import __spark_entry__ as entry
 from compare_oracle import _rows
-from conftest import SF01
+from quarry.acceptance.registry import ORACLE, QUERIES
 from quarry.acceptance.workspace import TABLES
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+SF01 = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +21,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry_smoke(spark):
