@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from quarry.llm import bagminhash, exact_dedup, phrase_automata, suffix_dedup
 
-from conftest import odd_rows  # noqa: E402  (tests/llm/conftest.py)
-
 
 def rows_of(df):
     return [(r["doc_id"], r["text"] or "") for r in df.select("doc_id", "text").collect()]
@@ -175,7 +173,7 @@ def test_suffix_dedup(odd, documents, window, gram, hot):
 def test_suffix_dedup_carries_all_columns(odd, empty):
     out = suffix_dedup.deduplicated(odd)
     assert out.columns[:len(odd.columns)] == [f"c{i}" for i in range(len(odd.columns))]
-    assert out.count() == len(odd_rows())
+    assert out.count() == odd.count()
     assert suffix_dedup.deduplicated(empty).count() == 0
 
 
