@@ -137,10 +137,11 @@ def write_version(spark: SparkSession, df: DataFrame, target: str, *, staging_ro
     last = {c.lower() for c in partition_cols}
     ordered = df.select(*[quote(c) for c in df.columns if c.lower() not in last], *[quote(c) for c in partition_cols])
     try:
-        empty = ordered.limit(0).write.format("parquet").option("path", directory)
         if partition_cols:
-            empty = empty.partitionBy(*partition_cols)
-        empty.mode("errorifexists").saveAsTable(side)
+            (ordered.limit(0).write.format("parquet").option("path", directory).partitionBy(*partition_cols)
+             .mode("errorifexists").saveAsTable(side))
+        else:  # no job, only the catalog
+            spark.catalog.createTable(side, path=directory, source="parquet", schema=ordered.schema)
         catalog.set_properties(spark, side, {
             catalog.PROP_SIDE_OF: identity(spark, target), catalog.PROP_STARTED: str(int(time.time() * 1000)),
             catalog.PROP_WRITER: spark.sparkContext.applicationId, catalog.PROP_STATE: WRITING})
