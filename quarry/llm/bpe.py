@@ -24,8 +24,9 @@ PLAIN = re.compile(f"[!-~{LETTER}]+")
 PREFIXED = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[0-9]+| ?[^\\s{LETTER}0-9]+")
 LOWERED = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[0-9]|[^\\s{LETTER}0-9]+")
 AT_BLANK = re.compile(r"(?<=\S)(?= \S)")
-#: Words a process remembers; then it starts afresh.
-REMEMBER = 400_000
+#: Words a process remembers in each of two generations: a full one becomes
+#: the older, and a word found there moves on, so common words are never lost.
+REMEMBER = 250_000
 
 
 def byte_letters() -> list[str]:
@@ -48,6 +49,7 @@ class WordIds:
         self.model = self.tokenizer.model
         self.remember = remember
         self.seen: dict = {}
+        self.older: dict = {}
         self.parts: dict[str, bytes] = {}
         self.newline: bytes | None = None
         pre = spec.get("pre_tokenizer") or {}
@@ -89,9 +91,9 @@ class WordIds:
 
     def _lookup(self, words: list, new) -> list[bytes]:
         """The ids of each word, from memory or else by ``new``."""
-        seen = self.seen
-        if len(seen) >= self.remember:
-            seen.clear()
+        if len(self.seen) >= self.remember:
+            self.seen, self.older = {}, self.seen
+        seen, older = self.seen, self.older
         out = list(map(seen.get, words))
         if None in out:
             for i, found in enumerate(out):
@@ -99,7 +101,9 @@ class WordIds:
                     w = words[i]
                     found = seen.get(w)
                     if found is None:
-                        found = new(w)
+                        found = older.get(w)
+                        if found is None:
+                            found = new(w)
                         if len(w) <= 64:
                             seen[w] = found
                     out[i] = found

@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame
 
 BLANK = "▁"
 BEFORE_BLANK = re.compile(f"(?<=[^{BLANK}])(?={BLANK})")
+#: Words a process remembers in each of two generations: a full one becomes
+#: the older, and a word found there moves on, so common words are never lost.
 REMEMBER = 300_000
 PAIRS = 1_000_000
 SCHEMA = "doc_id long, ids array<int>, decoded string"
@@ -70,6 +72,7 @@ class PrefixEncoder:
         self.parts: dict[int, tuple[int, int]] = {}  # the two tokens a token was merged from
         self.fits: dict[int, bool] = {}
         self.seen: dict[str, tuple] = {}
+        self.older: dict[str, tuple] = {}
         automaton = ahocorasick.Automaton()
         reached = 0
         for piece in sorted(pieces, key=len):
@@ -156,26 +159,24 @@ class PrefixEncoder:
             return []
         spelled = BLANK + text.replace(" ", BLANK)
         words = spelled.split(BLANK)[1:]
-        seen, new = self.seen, self._with_blank
         if "" in words:  # blanks next to each other
-            words, seen, new = BEFORE_BLANK.split(spelled), {}, self.word
-        elif len(seen) >= REMEMBER:
-            seen.clear()
-        found = list(map(seen.get, words))
+            return list(chain.from_iterable(map(self.word, BEFORE_BLANK.split(spelled))))
+        if len(self.seen) >= REMEMBER:
+            self.seen, self.older = {}, self.seen
+        found = list(map(self.seen.get, words))
         if None in found:
             for i, ids in enumerate(found):
                 if ids is None:
-                    w = words[i]
-                    ids = seen.get(w)
-                    if ids is None:
-                        ids = new(w)
-                        if len(w) <= 64:
-                            seen[w] = ids
-                    found[i] = ids
+                    found[i] = self._remembered(words[i])
         return list(chain.from_iterable(found))
 
-    def _with_blank(self, word: str) -> tuple[int, ...]:
-        return self.word(BLANK + word)
+    def _remembered(self, word: str) -> tuple[int, ...]:
+        ids = self.seen.get(word) or self.older.get(word)
+        if ids is None:
+            ids = self.word(BLANK + word)
+        if len(word) <= 64:
+            self.seen[word] = ids
+        return ids
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: spellings with blanks, byte pieces joined to
