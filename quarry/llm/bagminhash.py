@@ -12,13 +12,16 @@ filled (else it is doubled), so most shingles cost a single draw.
 Signatures are cut into ``BANDS`` bands of ``ROWS`` slots; texts that agree in
 a band are candidates, and a link is a pair whose exact multiset similarity is
 ``THRESHOLD`` or more. At that similarity a pair agrees in no band with a
-probability of 3e-6. Not all pairs of a bucket are looked at: in each round
-some members lead, the others are compared with the leaders alone, links are
-joined to classes, and a bucket is done when its members are of one class or
-all but one have led. Leaders double from round to round, and come from the
-smaller classes of the bucket; so a bucket of many near copies takes one or two
-rounds of as many comparisons as it has members, and still no link that would
-join two classes is lost.
+probability of 3e-6. In buckets of up to ``SMALL`` members all pairs are
+compared. In a larger one the member that meets most others in all its buckets
+(the centre of a group of near copies) leads, and the others are compared with
+it alone. Links are joined to classes; then, round by round, the next member
+outside the hub's class leads, until a round joins no more classes. So a group
+of copies costs a few times its members, not its pairs. What stays uncompared
+are pairs of large buckets neither of which is like a leader of any bucket they
+share: with ``exhaustive`` rounds go on, with more leaders each, until all
+pairs of classes in a bucket are compared, which in a dense group grows with
+its square (README has figures for both).
 
 Exact copies are one node from the start. Classes are found by alternating
 large-star and small-star steps over tables in the shared folder.
@@ -39,12 +42,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Rolling, content, mixed, pieces, stored, text_bytes, words_of
-from .exact_dedup import one_of_repeats
+from .exact_dedup import rows_that_stay
 
 SHINGLE = 5
 BANDS = 24
 ROWS = 4
 THRESHOLD = (4, 5)  # similarity 4/5
+#: In buckets of this size all pairs are compared: a constant times its members.
+SMALL = 8
 
 
 def shingles(raw: np.ndarray, starts: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -115,9 +120,13 @@ def band_keys(signature: np.ndarray, bands: int, size: int) -> np.ndarray:
     return h
 
 
+def digest_of(text: Column) -> Column:
+    return F.unhex(F.substring(F.sha2(text, 256), 1, 32))
+
+
 def _rows(docs: DataFrame) -> DataFrame:
     text = content()
-    return docs.select("doc_id", text.alias("text"), F.unhex(F.substring(F.sha2(text, 256), 1, 32)).alias("digest"))
+    return docs.select("doc_id", text.alias("text"), digest_of(text).alias("digest"))
 
 
 def nodes_of(docs: DataFrame, bands: int = BANDS, size: int = ROWS) -> DataFrame:
@@ -144,10 +153,14 @@ def nodes_of(docs: DataFrame, bands: int = BANDS, size: int = ROWS) -> DataFrame
 
 
 def members_of(nodes: DataFrame) -> DataFrame:
-    """(key, node) of the buckets with two members or more."""
-    every = nodes.select(F.explode("keys").alias("key"), "node")
-    shared = every.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    return stored(nodes.sparkSession, every.join(shared, "key"), "members")
+    """(key, node, total, n, pull) of the buckets with two members or more: n is the
+    size of the bucket, pull how many members the node meets in all its buckets."""
+    spark = nodes.sparkSession
+    every = nodes.select(F.explode("keys").alias("key"), "node", "total")
+    shared = every.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    members = stored(spark, every.join(shared, "key"), "members")
+    pull = members.groupBy("node").agg(F.sum(F.col("n") - 1).alias("pull"))
+    return stored(spark, members.join(pull, "node"), "members")
 
 
 def elements_of(docs: DataFrame, nodes: DataFrame, members: DataFrame) -> DataFrame:
@@ -184,90 +197,89 @@ def verified(pairs: DataFrame, elements: DataFrame, threshold: tuple[int, int] =
             .select("a", "b", (F.col("common") / union).alias("similarity")))
 
 
+def _is_stars(edges: DataFrame) -> bool:
+    """Whether every node of ``edges`` (a, b) is either a centre, or the end of one edge."""
+    ends = (edges.select(F.col("b").alias("node"), F.lit(1).alias("ends"), F.lit(0).alias("centre"))
+            .unionByName(edges.select(F.col("a").alias("node"), F.lit(0).alias("ends"), F.lit(1).alias("centre"))))
+    by_node = ends.groupBy("node").agg(F.sum("ends").alias("ends"), F.max("centre").alias("centre"))
+    return by_node.where("ends > 1 OR (ends = 1 AND centre = 1)").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of the undirected ``edges`` (a, b): label is the
     least node of its component."""
     spark = edges.sparkSession
     low, high = F.least("a", "b"), F.greatest("a", "b")
     now = stored(spark, edges.where("a <> b").select(low.alias("a"), high.alias("b")).distinct(), "edges")
-    last = None
-    while True:
+    while not _is_stars(now):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         # large star: larger neighbours to the least one
-        star = (now.join(least, "a").select(F.col("m").alias("a"), F.col("b"))
-                .where("a <> b").distinct())
+        star = now.join(least, "a").select(F.col("m").alias("a"), F.col("b"))
         # small star: smaller neighbours, and the node itself, to the least of them
         down = star.groupBy("b").agg(F.min("a").alias("m"))
         moved = star.join(down, "b").select(F.col("m").alias("a"), F.col("a").alias("b"))
         own = down.select(F.col("m").alias("a"), "b")
         now = stored(spark, moved.unionByName(own).where("a <> b").distinct(), "edges")
-        # with every node at its least neighbour and no more change, the edges are stars
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == last:
-            break
-        last = state
     centres = now.select(F.col("a").alias("node"), F.col("a").alias("label")).distinct()
     return now.select(F.col("b").alias("node"), F.col("a").alias("label")).unionByName(centres)
 
 
-def link(members: DataFrame, nodes: DataFrame, elements: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(links, labels): all verified pairs, and (node, label) of the nodes that have any."""
-    spark = members.sparkSession
-    links = tested = labels = None
-    sizes = nodes.select("node", "total")
+def _leaders(members: DataFrame, count: int) -> DataFrame:
+    """The ``count`` members of each bucket that meet most others."""
+    rank = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("pull"), "node"))
+    return members.withColumn("rank", rank).where(F.col("rank") <= count).drop("rank")
+
+
+def _compared(members: DataFrame, leading: DataFrame, elements: DataFrame) -> DataFrame:
+    """Links between the members of each bucket and its leaders, of other classes than theirs."""
     p, q = THRESHOLD
-    leaders_per_bucket = 1
+    lead = leading.select("key", F.col("node").alias("lead"), F.col("label").alias("lead_label"),
+                          F.col("total").alias("lead_total"))
+    # a pair of too different sizes can't reach the threshold
+    alike = q * F.least("total", "lead_total") >= p * F.greatest("total", "lead_total")
+    pairs = (members.join(lead, "key").where(F.col("label") != F.col("lead_label")).where(alike)
+             .select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct())
+    return stored(members.sparkSession, verified(pairs, elements), "links")
+
+
+def link(members: DataFrame, elements: DataFrame, exhaustive: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(links, labels): verified pairs, and (node, label) of the nodes that have any."""
+    spark = members.sparkSession
+    start = members.withColumn("label", F.col("node"))
+    small, large = start.where(F.col("n") <= SMALL), start.where(F.col("n") > SMALL)
+    hubs = stored(spark, _leaders(large, 1), "hubs")
+    links = _compared(small, small, elements).unionByName(_compared(large, hubs, elements)).distinct()
+    labels = stored(spark, components(links.select("a", "b")), "labels")
+    rest = large.drop("label").join(hubs.select("key", F.col("node").alias("hub")), "key").where("node <> hub")
+    many = 1
     while True:
-        if labels is None:
-            current = members.withColumn("label", F.col("node"))
-        else:
-            current = (members.join(labels, "node", "left")
-                       .select("key", "node", F.coalesce("label", "node").alias("label")))
-        mixed_keys = (current.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+        named = rest.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        hub_label = labels.select(F.col("node").alias("hub"), F.col("label").alias("hub_label"))
+        # members of the hub's class have nothing to gain from each other
+        named = (named.join(hub_label, "hub", "left")
+                 .withColumn("hub_label", F.coalesce("hub_label", "hub")))
+        mixed_keys = (named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
                       .where("lo <> hi").select("key"))
-        current = stored(spark, current.join(mixed_keys, "key"), "open")
-        if current.isEmpty():
-            break
-        rank = F.row_number().over(Window.partitionBy("key").orderBy("node"))
-        if labels is None:
-            leading = current
-        else:
-            main = (current.groupBy("key", "label").count().groupBy("key")
-                    .agg(F.max(F.struct("count", "label"))["label"].alias("main")))
-            leading = current.join(main, "key").where("label <> main").drop("main")
-        leading = (leading.withColumn("rank", rank).where(F.col("rank") <= leaders_per_bucket)
-                   .select("key", F.col("node").alias("lead"), F.col("label").alias("lead_label")))
-        leading = stored(spark, leading, "leading")
-        pairs = (current.join(leading, "key").where("node <> lead AND label <> lead_label")
-                 .select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct())
-        # a pair of too different sizes can't reach the threshold
-        pairs = (pairs.join(sizes.select(F.col("node").alias("a"), F.col("total").alias("na")), "a")
-                 .join(sizes.select(F.col("node").alias("b"), F.col("total").alias("nb")), "b")
-                 .where(q * F.least("na", "nb") >= p * F.greatest("na", "nb")).select("a", "b"))
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(spark, pairs, "pairs")
-        found = stored(spark, verified(pairs, elements), "links")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        links = found if links is None else links.unionByName(found)
+        current = stored(spark, named.join(mixed_keys, "key"), "open")
+        leading = stored(spark, _leaders(current.where("label <> hub_label"), many), "leading")
+        found = _compared(current, leading, elements)
+        if leading.isEmpty() or not exhaustive and found.isEmpty():
+            return links, labels
+        links = links.unionByName(found).distinct()
         labels = stored(spark, components(links.select("a", "b")), "labels")
-        members = stored(spark, current.select("key", "node")
-                         .join(leading.select("key", F.col("lead").alias("node")), ["key", "node"], "left_anti"), "members")
-        leaders_per_bucket *= 2
-    if links is None:
-        links = spark.createDataFrame([], "a long, b long, similarity double")
-        labels = spark.createDataFrame([], "node long, label long")
-    return links, labels
+        rest = (current.drop("label", "hub_label")
+                .join(leading.select("key", "node"), ["key", "node"], "left_anti"))
+        many *= 32 if exhaustive else 1
 
 
-def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def near_duplicates(docs: DataFrame, exhaustive: bool = False) -> tuple[DataFrame, DataFrame]:
     """(classes, links). classes: doc_id, digest, node, label, class_id (the least
     doc_id of the class), class_size, kept (the row that stays of the class);
     links: verified pairs of nodes with their similarity."""
     nodes = nodes_of(docs)
     members = members_of(nodes)
-    links, labels = link(members, nodes, elements_of(docs, nodes, members))
+    links, labels = link(members, elements_of(docs, nodes, members), exhaustive)
     named = (nodes.select("node", "digest").join(labels, "node", "left")
              .select("node", "digest", F.coalesce("label", "node").alias("label")))
     rows = _rows(docs).select("doc_id", "digest").join(named, "digest")
@@ -283,8 +295,4 @@ def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 def kept_rows(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, one per class, with all their columns."""
     classes, _ = near_duplicates(docs)
-    staying = (classes.where("kept").select(F.col("doc_id").alias("__i"), F.col("digest").alias("__d")))
-    rows = docs.withColumn("__digest", F.unhex(F.substring(F.sha2(content(), 256), 1, 32)))
-    kept = rows.join(staying, (F.col("__digest") == F.col("__d")) & F.col("doc_id").eqNullSafe(F.col("__i")),
-                     "left_semi")
-    return one_of_repeats(kept, docs.columns)
+    return rows_that_stay(docs, classes.where("kept"), digest_of)

@@ -220,19 +220,19 @@ def arrivals(docs: DataFrame) -> list[DataFrame]:
 
 def kept_rows(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    spark = docs.sparkSession
-    decided = stored(spark, dedup(arrivals(docs)).where("kept").select("doc_id", "digest"), "kept")
-    rows = docs.withColumn("__digest", digest_of(content()))
-    staying = rows.join(decided.select(F.col("digest").alias("__d"), F.col("doc_id").alias("__i")),
-                        (F.col("__digest") == F.col("__d")) & F.col("doc_id").eqNullSafe(F.col("__i")), "left_semi")
-    return one_of_repeats(staying, docs.columns)
-
-
-def one_of_repeats(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """One row per (id, text): repeats of the very row that stays are dropped.
-    Only when there are any, told by a count over ids and digests, are rows moved."""
-    twice = rows.groupBy("__digest", "doc_id").count().where("count > 1")
-    if twice.isEmpty():
-        return rows.select(columns)
-    return rows.dropDuplicates(["__digest", "doc_id"]).select(columns)
-
+    decided = dedup(arrivals(docs)).where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    return rows_that_stay(docs, decided, digest_of)
+
+
+def rows_that_stay(docs: DataFrame, staying: DataFrame, digest) -> DataFrame:
+    """The rows of ``docs`` named by (doc_id, digest) in ``staying``, which has one
+    row for each copy of them; of repeats of one row, one. Whether there are any
+    is told from ``staying``, without moving texts."""
+    keys = stored(docs.sparkSession, staying.groupBy("doc_id", "digest").agg(F.count("*").alias("n")), "staying")
+    rows = (docs.withColumn("__digest", digest(content()))
+            .join(keys.select(F.col("digest").alias("__d"), F.col("doc_id").alias("__i"), F.col("n").alias("__n")),
+                  (F.col("__digest") == F.col("__d")) & F.col("doc_id").eqNullSafe(F.col("__i"))))
+    if keys.where("n > 1").isEmpty():
+        return rows.select(docs.columns)
+    again = rows.where("__n > 1").dropDuplicates(["__digest", "doc_id"])
+    return rows.where("__n = 1").select(docs.columns).unionByName(again.select(docs.columns))
