@@ -13,24 +13,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import bagminhash, exact_dedup, packing, quality_rules, suffix_dedup
-from quarry.llm.common import stored, table
+from quarry.llm.common import release, stored, table
 from quarry.llm.queries import tokenizer
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    # a stage's input is written: what the stages before it kept aside can go
+    release(spark)
     return quality_rules.kept_rows(docs)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark)
     return exact_dedup.kept_rows(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark)
     return bagminhash.kept_rows(docs)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without repeated strings; n_chars is counted anew."""
+    release(spark)
     cleaned = suffix_dedup.deduplicated(docs)
     out = cleaned.select(*[F.col(f"c{i}").alias(name) for i, name in enumerate(docs.columns)])
     if "n_chars" in out.columns:
@@ -39,6 +44,7 @@ def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark)
     pieces = packing.pack(docs, packing.bpe_with_end(tokenizer("word_bpe_49k.json"), 2))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
                          "offset", "loss_tokens")
@@ -54,5 +60,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages one after the other, each written and read again."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stored(spark, stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = stored(spark, stage(spark, docs, sf_dir), name.replace(" ", "-"), keep=True)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -32,8 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import fresh_dir
-from .common import BASE, INVERSE, content, mixed, pieces, powers, stored, text_bytes
+from .common import BASE, INVERSE, content, mixed, pieces, powers, release, scratch, stored, text_bytes
 
 CHUNK_ROWS = 512
 #: Bytes of a chunk, at most (or one text): longer texts come in chunks of fewer rows.
@@ -76,12 +75,14 @@ class Chunked:
     columns: list[str]
     types: list[str]
     buckets: int
+    path: str
 
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
 
     def drop(self) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        release(self.spark, self.path)
 
     def column(self, name: str) -> str:
         return f"c{self.columns.index(name)}"
@@ -102,8 +103,8 @@ def chunked(docs: DataFrame) -> Chunked:
     chunk = "(id >> 33) * (1L << 38) + few * (1L << 34) + (row div (1L << few))"
     rows = rows.withColumn("few", few).withColumn("chunk", F.expr(chunk)).drop("id", "few")
     buckets = max(shuffles, 1)
-    out = Chunked(spark, f"chunked_{uuid.uuid4().hex}", columns, types, buckets)
-    rows.write.bucketBy(buckets, "chunk").option("path", fresh_dir(spark, "chunked")).saveAsTable(out.name)
+    out = Chunked(spark, f"chunked_{uuid.uuid4().hex}", columns, types, buckets, scratch(spark, "chunked"))
+    rows.write.bucketBy(buckets, "chunk").option("path", out.path).saveAsTable(out.name)
     return out
 
 

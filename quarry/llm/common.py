@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_dir
+from ..sources import files
 
 SPACES = (9, 10, 11, 12, 13, 32)  # the bytes that separate words
 
@@ -24,14 +25,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+#: Scratch folders this process has made and not yet deleted.
+_SCRATCH: list[str] = []
+
+
+def scratch(spark: SparkSession, label: str) -> str:
+    """A fresh folder in the shared scratch folder; ``release`` deletes it."""
+    _SCRATCH.append(fresh_dir(spark, label))
+    return _SCRATCH[-1]
+
+
+def stored(spark: SparkSession, df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """``df`` written as Parquet in the shared scratch folder and read back:
-    cuts the lineage, and survives the loss of any executor."""
-    path = fresh_dir(spark, label)
+    cuts the lineage, and survives the loss of any executor. ``keep``: not for
+    ``release`` to delete."""
+    path = fresh_dir(spark, label) if keep else scratch(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, *paths: str) -> None:
+    """Deletes scratch folders that this process has made: ``paths``, or all.
+    Frames that still read them can't be run any more, so a caller releases
+    them once what it made of them is written elsewhere."""
+    for path in list(paths or _SCRATCH):
+        if path in _SCRATCH:
+            _SCRATCH.remove(path)
+            files.delete_tree(spark, path)
+
+
 def content(col: Column | str = "text") -> Column:
     """The text an operator works on: null counts as empty."""
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))

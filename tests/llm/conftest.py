@@ -47,3 +47,12 @@ def empty(spark):
 @pytest.fixture(scope="session")
 def documents(spark):
     return spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+
+
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    """Small tables: three shuffle partitions are enough to have several tasks."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", old)

@@ -10,7 +10,7 @@ def test_stages(spark):
     columns, before = docs.columns, docs.count()
     counts = [before]
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        docs = corpus_pipeline.stored(spark, stage(spark, docs, sf), name.replace(" ", "-"))
+        docs = corpus_pipeline.stored(spark, stage(spark, docs, sf), name.replace(" ", "-"), keep=True)
         assert docs.columns == columns
         counts.append(docs.count())
     assert counts[0] > counts[1] > counts[2] >= counts[3] == counts[4]
@@ -24,14 +24,15 @@ def test_run_equals_its_stages(spark):
     first = spark.read.parquet(f"{sf}/documents.parquet")
     kept = quality_rules.judged(first).where("kept").select("doc_id")
     left = exact_dedup.dedup(exact_dedup.arrivals(first.join(kept, "doc_id", "left_semi"))).where("kept")
-    out = corpus_pipeline.run(spark, sf)
-    assert {r["doc_id"] for r in out.select("doc_id").collect()} <= {r["doc_id"] for r in left.collect()}
+    allowed = {r["doc_id"] for r in left.collect()}
+    out = corpus_pipeline.run(spark, sf)  # deletes scratch tables of before
+    assert {r["doc_id"] for r in out.select("doc_id").collect()} <= allowed
 
 
 def test_odd_rows_pass_every_stage(spark, odd, empty):
     for docs in (odd, empty):
         columns = docs.columns
         for name, stage in corpus_pipeline.STAGES[:-1]:
-            docs = corpus_pipeline.stored(spark, stage(spark, docs, ""), name.replace(" ", "-"))
+            docs = corpus_pipeline.stored(spark, stage(spark, docs, ""), name.replace(" ", "-"), keep=True)
             assert docs.columns == columns
         corpus_pipeline.STAGES[-1][1](spark, docs, "").count()
