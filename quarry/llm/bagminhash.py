@@ -15,13 +15,14 @@ a band are candidates, and a link is a pair whose exact multiset similarity is
 probability of 3e-6. In buckets of up to ``SMALL`` members all pairs are
 compared. In a larger one the member that meets most others in all its buckets
 (the centre of a group of near copies) leads, and the others are compared with
-it alone. Links are joined to classes; then, round by round, the next member
-outside the hub's class leads, until a round joins no more classes. So a group
-of copies costs a few times its members, not its pairs. What stays uncompared
-are pairs of large buckets neither of which is like a leader of any bucket they
-share: with ``exhaustive`` rounds go on, with more leaders each, until all
-pairs of classes in a bucket are compared, which in a dense group grows with
-its square (README has figures for both).
+it first. Links are joined to classes; then all pairs of a bucket that are not
+of one class yet are compared, so every pair that shares a band is decided.
+
+Most of those are told apart without their shingles: a text keeps, for each of
+64 * ``BITS`` hash values, whether an odd number of its shingles has it. Two
+texts differ in at least as many shingles as these bits differ; where that is
+too many for the threshold, the pair can't be a link. What passes is verified.
+Large buckets are dealt out in cells of two blocks of about ``BLOCK`` members.
 
 Exact copies are one node from the start. Classes are found by alternating
 large-star and small-star steps over tables in the shared folder.
@@ -35,6 +36,7 @@ columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -48,8 +50,12 @@ SHINGLE = 5
 BANDS = 24
 ROWS = 4
 THRESHOLD = (4, 5)  # similarity 4/5
-#: In buckets of this size all pairs are compared: a constant times its members.
+#: In buckets of this size all pairs are compared at once: a constant times its members.
 SMALL = 8
+#: Words of 64 bits in the parity bits of a text.
+BITS = 32
+#: Members in a block of a large bucket, about.
+BLOCK = 1024
 
 
 def shingles(raw: np.ndarray, starts: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -163,8 +169,18 @@ def members_of(nodes: DataFrame) -> DataFrame:
     return stored(spark, members.join(pull, "node"), "members")
 
 
+def parity_bits(row: np.ndarray, values: np.ndarray, rows: int, words: int = BITS) -> np.ndarray:
+    """(rows x words) 64 bits each: whether an odd number of the row's values falls on the bit."""
+    out = np.zeros((rows, words), np.uint64)
+    h = mixed(values ^ np.uint64(0x8EBC6AF09C88C6E3))
+    word = ((h >> np.uint64(32)) * np.uint64(words)) >> np.uint64(32)
+    np.bitwise_xor.at(out, (row, word.astype(np.int64)), np.uint64(1) << (h & np.uint64(63)))
+    return out
+
+
 def elements_of(docs: DataFrame, nodes: DataFrame, members: DataFrame) -> DataFrame:
-    """(node, elements) of the candidates: a sorted hash for each shingle and each of its occurrences."""
+    """(node, elements, bits) of the candidates: a sorted hash for each shingle and each of its
+    occurrences, and the parity bits of these."""
     wanted = (nodes.join(members.select("node").distinct(), "node", "left_semi")
               .select("node", F.col("digest").alias("d"), F.col("one")))
     rows = _rows(docs)
@@ -177,10 +193,13 @@ def elements_of(docs: DataFrame, nodes: DataFrame, members: DataFrame) -> DataFr
             nth = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
             values = np.where(nth == 0, shingle[of], mixed(shingle[of] + nth.astype(np.uint64)))
             offsets = np.searchsorted(row[of], np.arange(part.num_rows + 1)).astype(np.int32)
+            bits = parity_bits(row[of], values, part.num_rows)
             yield pa.record_batch([part.column("node"), pa.ListArray.from_arrays(
-                pa.array(offsets), pa.array(values.view(np.int64)))], ["node", "elements"])
+                pa.array(offsets), pa.array(values.view(np.int64))), pa.ListArray.from_arrays(
+                pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * BITS), pa.array(bits.view(np.int64).ravel()))],
+                ["node", "elements", "bits"])
 
-    found = texts.select("node", "text").mapInArrow(elements, "node long, elements array<long>")
+    found = texts.select("node", "text").mapInArrow(elements, "node long, elements array<long>, bits array<long>")
     return stored(docs.sparkSession, found.dropDuplicates(["node"]), "elements")
 
 
@@ -225,10 +244,10 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("b").alias("node"), F.col("a").alias("label")).unionByName(centres)
 
 
-def _leaders(members: DataFrame, count: int) -> DataFrame:
-    """The ``count`` members of each bucket that meet most others."""
+def _leaders(members: DataFrame) -> DataFrame:
+    """The member of each bucket that meets most others."""
     rank = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("pull"), "node"))
-    return members.withColumn("rank", rank).where(F.col("rank") <= count).drop("rank")
+    return members.withColumn("rank", rank).where("rank = 1").drop("rank")
 
 
 def _compared(members: DataFrame, leading: DataFrame, elements: DataFrame) -> DataFrame:
@@ -243,43 +262,57 @@ def _compared(members: DataFrame, leading: DataFrame, elements: DataFrame) -> Da
     return stored(members.sparkSession, verified(pairs, elements), "links")
 
 
-def link(members: DataFrame, elements: DataFrame, exhaustive: bool = False) -> tuple[DataFrame, DataFrame]:
+def _possible(members: DataFrame, elements: DataFrame) -> DataFrame:
+    """The pairs (a, b) of the buckets that have different labels and may reach the
+    threshold by their sizes and parity bits."""
+    p, q = THRESHOLD
+    blocks = F.ceil(F.col("n") / BLOCK)
+    cut = stored(members.sparkSession, members.join(elements.select("node", "bits"), "node").select(
+        "key", "node", "label", "total", "bits", (blocks - 1).alias("last"),
+        F.pmod(F.xxhash64("node"), blocks).alias("block")), "open")
+    # each block meets itself and every other one in a cell (i, j) of its own
+    left = cut.select("key", F.col("block").alias("i"), F.explode(F.sequence("block", "last")).alias("j"),
+                      F.col("node").alias("a"), F.col("label").alias("la"), F.col("total").alias("ta"),
+                      F.col("bits").alias("ba"))
+    right = cut.select("key", F.explode(F.sequence(F.lit(0).cast("long"), "block")).alias("i"),
+                       F.col("block").alias("j"), F.col("node").alias("b"), F.col("label").alias("lb"),
+                       F.col("total").alias("tb"), F.col("bits").alias("bb"))
+    once = (F.col("i") < F.col("j")) | (F.col("a") < F.col("b"))
+    alike = q * F.least("ta", "tb") >= p * F.greatest("ta", "tb")
+    differ = reduce(Column.__add__, [F.bit_count(F.get("ba", F.lit(k)).bitwiseXOR(F.get("bb", F.lit(k))))
+                                     for k in range(BITS)])
+    near = (q + p) * differ <= (q - p) * (F.col("ta") + F.col("tb"))
+    pairs = left.join(right, ["key", "i", "j"]).where(once & (F.col("la") != F.col("lb")) & alike & near)
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def link(members: DataFrame, elements: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(links, labels): verified pairs, and (node, label) of the nodes that have any."""
     spark = members.sparkSession
     start = members.withColumn("label", F.col("node"))
     small, large = start.where(F.col("n") <= SMALL), start.where(F.col("n") > SMALL)
-    hubs = stored(spark, _leaders(large, 1), "hubs")
+    hubs = stored(spark, _leaders(large), "hubs")
     links = _compared(small, small, elements).unionByName(_compared(large, hubs, elements)).distinct()
     labels = stored(spark, components(links.select("a", "b")), "labels")
-    rest = large.drop("label").join(hubs.select("key", F.col("node").alias("hub")), "key").where("node <> hub")
-    many = 1
-    while True:
-        named = rest.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        hub_label = labels.select(F.col("node").alias("hub"), F.col("label").alias("hub_label"))
-        # members of the hub's class have nothing to gain from each other
-        named = (named.join(hub_label, "hub", "left")
-                 .withColumn("hub_label", F.coalesce("hub_label", "hub")))
-        mixed_keys = (named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-                      .where("lo <> hi").select("key"))
-        current = stored(spark, named.join(mixed_keys, "key"), "open")
-        leading = stored(spark, _leaders(current.where("label <> hub_label"), many), "leading")
-        found = _compared(current, leading, elements)
-        if leading.isEmpty() or not exhaustive and found.isEmpty():
-            return links, labels
-        links = links.unionByName(found).distinct()
-        labels = stored(spark, components(links.select("a", "b")), "labels")
-        rest = (current.drop("label", "hub_label")
-                .join(leading.select("key", "node"), ["key", "node"], "left_anti"))
-        many *= 32 if exhaustive else 1
-
-
-def near_duplicates(docs: DataFrame, exhaustive: bool = False) -> tuple[DataFrame, DataFrame]:
+    # pairs with the hub are compared, pairs of one class have nothing to gain from it
+    rest = (large.drop("label").join(hubs.select("key", F.col("node").alias("hub")), "key").where("node <> hub")
+            .join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
+    open_keys = (rest.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+                 .where("lo <> hi").select("key"))
+    found = stored(spark, verified(_possible(rest.join(open_keys, "key", "left_semi"), elements), elements), "links")
+    if found.isEmpty():
+        return links, labels
+    joined = labels.select(F.col("label").alias("a"), F.col("node").alias("b")).unionByName(found.select("a", "b"))
+    return links.unionByName(found), stored(spark, components(joined), "labels")
+
+
+def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(classes, links). classes: doc_id, digest, node, label, class_id (the least
     doc_id of the class), class_size, kept (the row that stays of the class);
     links: verified pairs of nodes with their similarity."""
     nodes = nodes_of(docs)
     members = members_of(nodes)
-    links, labels = link(members, elements_of(docs, nodes, members), exhaustive)
+    links, labels = link(members, elements_of(docs, nodes, members))
     named = (nodes.select("node", "digest").join(labels, "node", "left")
              .select("node", "digest", F.coalesce("label", "node").alias("label")))
     rows = _rows(docs).select("doc_id", "digest").join(named, "digest")

@@ -1,0 +1,76 @@
+"""Near duplicates in band buckets far above ``SMALL`` members, against brute force."""
+
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from quarry.llm import bagminhash
+
+from .conftest import SCHEMA
+from .test_copies import near_classes
+
+
+def template_rows(singles: int = 150, pairs: int = 30) -> list[tuple]:
+    """Copies of one text of 210 shingles with three words changed, each of which
+    costs five shingles: 0.75 alike, or 0.79 if they changed one place in common.
+    Each of the pairs has two places in common and is 0.83 alike."""
+    r = random.Random(7)
+    base = [f"w{i}" for i in range(214)]
+    used, places = set(), []
+
+    def fits(three) -> bool:
+        return not any(two in used for two in twos(three))
+
+    def twos(three) -> list[tuple]:
+        a, b, c = sorted(three)
+        return [(a, b), (a, c), (b, c)]
+
+    while len(places) < singles + pairs:
+        three = r.sample(range(4, 209, 5), 3)
+        if not fits(three):
+            continue
+        if len(places) < 2 * pairs:
+            other = [*three[:2], r.choice([x for x in range(4, 209, 5) if x not in three])]
+            if any(two in used for two in twos(other)):
+                continue
+            places.append(other)
+            used.update(twos(other))
+        places.append(three)
+        used.update(twos(three))
+    rows = []
+    for k, three in enumerate(places):
+        words = list(base)
+        for at in three:
+            words[at] = f"own{k}_{at}"
+        text = " ".join(words)
+        rows.append((k, text, "en", "src", len(text)))
+    r.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("block", [1024, 16])
+def test_true_pairs_of_a_large_bucket(spark, monkeypatch, block):
+    monkeypatch.setattr(bagminhash, "BLOCK", block)
+    rows = template_rows()
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    classes, _ = bagminhash.near_duplicates(docs)
+    found = defaultdict(list)
+    for r in classes.collect():
+        found[r["label"]].append(r["doc_id"])
+    want = near_classes([(r[0], r[1]) for r in rows])
+    assert Counter(len(ids) for ids in want.elements()) == {1: 120, 2: 30}
+    assert Counter(tuple(sorted(ids, key=str)) for ids in found.values()) == want
+    nodes = bagminhash.nodes_of(docs)
+    assert bagminhash.members_of(nodes).agg({"n": "max"}).first()[0] > 8 * bagminhash.SMALL
+
+
+def test_parity_bits_never_exceed_the_difference():
+    r = np.random.default_rng(3)
+    for size, own in ((30, 2), (300, 40), (3000, 900), (20_000, 20_000)):
+        common = r.integers(0, 2**64, size, dtype=np.uint64)
+        a, b = (np.concatenate([common, r.integers(0, 2**64, own, dtype=np.uint64)]) for _ in range(2))
+        bits = bagminhash.parity_bits(np.repeat([0, 1], len(a)), np.concatenate([a, b]), 2)
+        differ = int(np.bitwise_count(bits[0] ^ bits[1]).sum())
+        assert 0 < differ <= 2 * own
