@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from quarry.llm import bagminhash
 
 from .conftest import SCHEMA
@@ -74,3 +75,11 @@ def test_parity_bits_never_exceed_the_difference():
         bits = bagminhash.parity_bits(np.repeat([0, 1], len(a)), np.concatenate([a, b]), 2)
         differ = int(np.bitwise_count(bits[0] ^ bits[1]).sum())
         assert 0 < differ <= 2 * own
+
+
+def test_pipeline_stage_keeps_one_row_of_each_group(spark):
+    rows = template_rows()
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    kept = [r["doc_id"] for r in corpus_pipeline.near(spark, docs, "").collect()]
+    groups = list(near_classes([(r[0], r[1]) for r in rows]).elements())
+    assert sorted(kept) == sorted(min(ids) for ids in groups)
