@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_dir
-from . import (bagminhash, exact_dedup, packing, phrase_automata, quality_rules, sentencepiece_prefix,
-               suffix_dedup, token_counts, toxicity, url_templates)
+from . import (bagminhash, exact_dedup, hard_negatives, html_extraction, packing, phrase_automata, quality_rules,
+               sentencepiece_prefix, suffix_dedup, token_counts, toxicity, url_templates, whitening)
 from .common import table
 
 
@@ -75,9 +75,25 @@ def op10_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mined(table(spark, sf_dir, "embeddings"),
+                                relabel="CASE WHEN id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``deviation`` is null where it exceeds a long."""
+    rows = whitening.whitened(table(spark, sf_dir, "embeddings"))
+    return rows.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extracted(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_url_templates, op4_sentencepiece,
                                   op5_suffix_dedup, op6_packing, op7_bagminhash, op8_toxicity,
-                                  op9_quality_rules, op10_phrase_automata)}
+                                  op9_quality_rules, op10_phrase_automata, op11_hard_negatives,
+                                  op12_whitening, op13_html_extraction)}
 
 ORACLE = {
     "op2_exact_dedup": """
@@ -116,4 +132,6 @@ ORACLE = {
         LEFT JOIN (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM runs GROUP BY doc_id) USING (doc_id)""",
     "op9_quality_rules": quality_rules.duckdb_sql(),
     "op3_url_templates": url_templates.duckdb_sql(URL_RULES),
+    "op11_hard_negatives": hard_negatives.duckdb_sql(),
+    "op13_html_extraction": html_extraction.duckdb_sql(),
 }

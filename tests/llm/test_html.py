@@ -1,0 +1,87 @@
+"""Main text of pages: marked and unmarked layouts, broken markup, odd rows."""
+
+import random
+import time
+
+import pytest
+
+from quarry.llm import html_extraction
+from quarry.llm.html_extraction import main_text
+
+SCHEMA = "page_id long, url string, html string"
+
+
+def prose(r: random.Random, words: int) -> str:
+    return " ".join(f"{r.choice('abcdefgh')}{r.randrange(100)}{',' if k % 9 == 4 else ''}" for k in range(words)) + "."
+
+
+def paragraphs(r, n):
+    return [prose(r, r.randrange(3, 90)) for _ in range(n)]
+
+
+LAYOUTS = {
+    "article": "<nav><ul>{menu}</ul></nav><header>{short}</header><article><h1>{title}</h1>{body}</article><aside>{other}"
+               "</aside><footer>{short}</footer>",
+    "divs": "<div id='header'>{short}</div><div class='main-nav'><ul>{menu}</ul></div><div id=x1><div id=x2>{body}</div></div>"
+            "<div class=\"sidebar-content\">{other}</div><div class='comments'>{other}{other}</div>",
+    "unmarked": "<div><ul>{menu}</ul></div><div><div>{body}</div><div><a href=1>{short}</a> <a href=2>{short}</a></div></div>"
+                "<div><ul>{menu}</ul></div>",
+    "main": "<div class='cookie-notice' role=dialog><p>{other}</p></div><main><section>{body}</section></main>"
+            "<section id='respond'><form><p>{other}</p></form></section>",
+    "unclosed": "<div class=ad>{other}</div><article><h1>{title}<p>{open}</article><div class='reader-comments'>{other}",
+    "hidden": "<div hidden>{other}</div><div style='display: none'>{other}</div><div>{body}</div>"
+              "<div aria-hidden='true'>{other}</div>",
+    "inside": "<article class='post has-sidebar'><h1>{title}</h1>{body}<ul>{menu}</ul><div class='share'>{short}</div>"
+              "<section class='comment-list'>{other}</section></article>",
+}
+
+
+@pytest.mark.parametrize("layout", sorted(LAYOUTS))
+def test_layouts(layout):
+    r = random.Random(layout)
+    for _ in range(30):
+        body, title = paragraphs(r, r.randrange(4, 12)), prose(r, 5)
+        other = "".join(f"<p>{p}</p>" for p in paragraphs(r, 2))
+        page = LAYOUTS[layout].format(
+            menu="".join(f"<li><a href='/{k}'>{prose(r, 2)}</a></li>" for k in range(6)), short=prose(r, 3), title=title,
+            body="".join(f"<p>{p}</p>" for p in body), open="<p>".join(body), other=other)
+        want = [title, *body] if "{title}" in LAYOUTS[layout] else body
+        page = f"<!DOCTYPE html><html><head><title>t</title><script>var t='</p><p>no';</script></head><body>{page}</body></html>"
+        assert main_text(page) == "\n".join(want)
+
+
+def test_text_of_a_block():
+    assert main_text("<p> a&amp;b\n\t c&nbsp;&lt;d&gt; <b>e</b>f<br>g <i>&#x68;</i>&bogus; &amp</p><p>second, one") == \
+        "a&b c <d> ef g h&bogus; &\nsecond, one"
+    assert main_text("<p title='a > b' data-x=\"</p>\">text, here<!-- <p>no</p> --> and</p ><P>MORE") == "text, here and\nMORE"
+    assert main_text("no markup, at all\n\nhere") == "no markup, at all here"
+    assert main_text("<table><tr><td>one, cell<td>two, cells</table>") == "one, cell\ntwo, cells"
+    assert main_text("<ul><li>first, item<li>second, item</ul>") == "first, item\nsecond, item"
+
+
+def test_no_text():
+    for source in ("", "<html><body></body></html>", "<nav>menu</nav>", "<script>x = '<p>y</p>'", "<!-- <p>a</p>"):
+        assert main_text(source) == ""
+
+
+@pytest.mark.parametrize("source", ["<" * 200_000, "<a " * 60_000, "<a b='" * 60_000, "<p>" * 60_000 + "x", "<!--" * 60_000,
+                                    "<div>" * 60_000 + "y", "<div><p>z" * 30_000, "<b>" * 60_000 + "</i>" * 60_000,
+                                    "<ul><li>" * 20_000, "&" * 200_000, "<script>" * 50_000, "a, " * 300_000])
+def test_broken_pages_take_linear_time(source):
+    began = time.process_time()
+    main_text(source)
+    assert time.process_time() - began < 10
+
+
+def test_odd_rows(spark):
+    from pyspark.sql import functions as F
+
+    page = "<article><p>text, of a page</p></article>"
+    rows = [(1, "u", page), (1, "u", page), (None, None, None), (2, "v", ""), (3, None, page * 3), (4, "w", "<p>" + "long, " * 200_000)]
+    df = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit(7) for c in ("text", "n_chars", "lang")})
+    got = sorted(map(tuple, html_extraction.extracted(df).collect()), key=str)
+    one = "text, of a page"
+    want = [(1, "u", one, 15), (1, "u", one, 15), (None, None, "", 0), (2, "v", "", 0), (3, None, "\n".join([one] * 3), 47),
+            (4, "w", ("long, " * 200_000).strip(), 1_199_999)]
+    assert got == sorted(want, key=str)
+    assert html_extraction.extracted(spark.createDataFrame([], SCHEMA)).collect() == []

@@ -12,14 +12,14 @@ SF = "/root/testdata/sf0.01"
 
 def test_one_query_per_operator():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 14)]
     assert "pipeline" in entry.queries() and set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "embeddings", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = QUERIES[name](spark, SF)
     got = [tuple(r) for r in df.collect()]
