@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import execute_checks, extract_checks, load_checks
+from . import execute_checks, extract_checks, join_checks, load_checks
 
-QUERIES = {**extract_checks.QUERIES, **load_checks.QUERIES, **execute_checks.QUERIES}
-ORACLE = {**extract_checks.ORACLE, **load_checks.ORACLE, **execute_checks.ORACLE}
+_CHECKS = (extract_checks, load_checks, execute_checks, join_checks)
+QUERIES = {name: query for checks in _CHECKS for name, query in checks.QUERIES.items()}
+ORACLE = {name: sql for checks in _CHECKS for name, sql in checks.ORACLE.items()}
 
 assert set(QUERIES) == set(ORACLE), set(QUERIES) ^ set(ORACLE)

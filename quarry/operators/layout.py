@@ -37,7 +37,7 @@ from ..functions.columns import col
 from ..sources.catalog import DERIVED_DAY
 
 MAX_CLUSTERED_FIELDS = 4
-_NARROW = (NumericType, DateType, TimestampType, TimestampNTZType, BooleanType)
+NARROW = (NumericType, DateType, TimestampType, TimestampNTZType, BooleanType)
 #: An estimate of a join can be far above its size: no more ranges than this (100 TB at 1 GB).
 _MAX_RANGES = 100_000
 _TIEBREAK = "__quarry_row"
@@ -87,7 +87,7 @@ def lay_out(df: DataFrame, day_col: str | None, clustered: Sequence[str], ranges
 def _ranged(df: DataFrame, keys: list[str], ranges: int | None = None) -> DataFrame:
     # The narrow columns tell rows apart well enough; hashing long texts and
     # arrays of every row would cost more than an uneven split of their copies.
-    narrow = [col(f.name) for f in df.schema.fields if isinstance(f.dataType, _NARROW)]
+    narrow = [col(f.name) for f in df.schema.fields if isinstance(f.dataType, NARROW)]
     tiebreak = F.xxhash64(F.spark_partition_id(), *(narrow or [col(k) for k in keys]))
     by = [*[col(k) for k in keys], col(_TIEBREAK)]
     ranges = ranges or range_count(df)

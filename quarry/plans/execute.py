@@ -10,11 +10,11 @@ a row to the driver. The call blocks until the work is done and raises a
 from __future__ import annotations
 
 import contextlib
-import threading
 import uuid
 from typing import Any
 
 from pyspark.sql import SparkSession
+from pyspark.sql.session import _monkey_patch_RDD
 
 from ..errors import Checks, StageError, wrap
 from ..functions.names import quote, split_name
@@ -46,7 +46,7 @@ def execute_sql(
 
     ``sql_params`` fill ``${name}`` placeholders as text and bind the
     remaining ``:name`` markers as values. ``project`` / ``dataset`` set the
-    current catalog / database for the call and are restored afterwards.
+    current catalog / database for the call alone.
     ``job_name`` (default ``jobId_[<job_id>_]<uuid>``) tags every Spark job
     the statement runs, as job group and session tag, so it can be found
     and cancelled. ``ansi`` runs the text in standard-SQL mode
@@ -57,10 +57,12 @@ def execute_sql(
     collect its bare queries. ``script``: ``False`` takes the text as one
     statement, whatever it holds; ``None`` and ``True`` split it.
 
-    The namespace and the ANSI switch belong to the session, so calls run one
-    after the other within a process (one lock), or threads would make each
-    other's tables in the wrong database. Work that other threads start on
-    the same session by other means sees the call's settings meanwhile.
+    Each call runs in a clone of the session's state (settings, namespace,
+    temp views, functions), so calls in several threads overlap and none sees
+    another's database. The calling session is left as it is, but for temp
+    views: those the call makes or drops are there, or gone, for the next one.
+    ``SET`` and temporary functions of the text end with the call. Its jobs can
+    be cancelled by their group, ``SparkContext.cancelJobGroup(job_name)``.
     """
     chk = Checks(STAGE)
     chk.require(input_uri is not None or sql is not None, "one of sql or input_uri is required")
@@ -99,10 +101,10 @@ def execute_sql(
                 text = files.read_small_text(spark, input_uri)
             final = substitute(text, sql_params)
             detail["sql"] = final
-            with _settings(spark, project, dataset, ansi), _tagged(spark, tag):
+            with _own_session(spark, project, dataset, ansi) as own, _tagged(own, tag):
                 for statement in _statements(final, script):
                     detail["sql"] = statement
-                    result = spark.sql(statement, args=sql_params) if sql_params else spark.sql(statement)
+                    result = own.sql(statement, args=sql_params) if sql_params else own.sql(statement)
                     result.write.format("noop").mode("overwrite").save()
             return None
     except StageError:
@@ -117,47 +119,40 @@ def _statements(text: str, script: bool | None) -> list[str]:
     return statements_of(text) or [text]
 
 
-_SESSION = threading.RLock()
-
-
 @contextlib.contextmanager
-def _settings(spark: SparkSession, project: str | None, dataset: str | None, ansi: bool):
-    """Namespace and ANSI mode for one call, one call at a time."""
-    with _SESSION, _current_namespace(spark, project, dataset), _ansi(spark, ansi):
-        yield
-
-
-@contextlib.contextmanager
-def _current_namespace(spark: SparkSession, project: str | None, dataset: str | None):
-    if not project and not dataset:
-        yield
-        return
-    cat = spark.catalog
-    old_catalog, old_db = cat.currentCatalog(), cat.currentDatabase()
-    try:
-        if project:
-            cat.setCurrentCatalog(project)
-        if dataset:
-            spark.sql(f"USE {'.'.join(quote(p) for p in split_name(dataset))}")
-        yield
-    finally:
-        cat.setCurrentCatalog(old_catalog)
-        spark.sql(f"USE {quote(old_db)}")
-
-
-@contextlib.contextmanager
-def _ansi(spark: SparkSession, on: bool):
-    key = "spark.sql.ansi.enabled"
-    old = spark.conf.get(key)
-    want = "true" if on else "false"
-    if old == want:
-        yield
-        return
-    spark.conf.set(key, want)
-    try:
-        yield
-    finally:
-        spark.conf.set(key, old)
+def _own_session(spark: SparkSession, project: str | None, dataset: str | None, ansi: bool):
+    """A clone of the session's state for one call: its settings, current
+    namespace, temp views and functions, to change as the call likes. The temp
+    views that a call which succeeds made, replaced or dropped are handed back."""
+    own = SparkSession(spark.sparkContext, spark._jsparkSession.cloneSession())
+    _monkey_patch_RDD(spark)  # the newest session has taken rdd.toDF() for itself
+    before = _temp_views(own)
+    if project:
+        own.catalog.setCurrentCatalog(project)
+    if dataset:
+        own.sql(f"USE {'.'.join(quote(p) for p in split_name(dataset))}")
+    own.conf.set("spark.sql.ansi.enabled", "true" if ansi else "false")
+    yield own
+    after = _temp_views(own)
+    views = _catalog_of(spark)
+    for name, made in after.items():
+        if name not in before or not made.equals(before[name]):
+            views.createTempView(name, made, True)
+    for name in before.keys() - after.keys():
+        views.dropTempView(name)
+
+
+def _catalog_of(spark: SparkSession):
+    return spark._jsparkSession.sessionState().catalog()
+
+
+def _temp_views(spark: SparkSession) -> dict:
+    """The session's own temp views, by name, as its catalog holds them."""
+    views = _catalog_of(spark)
+    listed = views.listLocalTempViews("*")
+    names = [listed.apply(k).table() for k in range(listed.size())]
+    found = {name: views.getRawTempView(name) for name in names}
+    return {name: view.get() for name, view in found.items() if view.isDefined()}
 
 
 @contextlib.contextmanager

@@ -180,3 +180,51 @@ def test_placeholders_of_a_file_are_checked_first(spark, ws):
     files.write_text(spark, path, "SELECT ${missing}")
     with pytest.raises(ConfigError):
         execute_sql(spark, input_uri=path)
+
+
+def test_calls_in_threads_overlap(spark):
+    import time
+    from concurrent.futures import ThreadPoolExecutor
+
+    def dawdle(k):
+        time.sleep(4)
+        return k
+
+    spark.udf.register("dawdle", dawdle, "long")
+    spaces = [Workspace(spark, "/root/testdata/sf0.001", "test") for _ in range(2)]
+    before = (spark.catalog.currentCatalog(), spark.catalog.currentDatabase(), spark.conf.get("spark.sql.ansi.enabled"))
+
+    def make(ws):
+        began = time.time()
+        execute_sql(spark, f"CREATE TABLE slow AS SELECT dawdle(n_nationkey) AS k FROM {ws.source('nation')} "
+                           "WHERE n_nationkey = 1", dataset=ws.db)
+        return began, time.time()
+
+    with ThreadPoolExecutor(2) as pool:
+        (a, b), (c, d) = pool.map(make, spaces)
+    assert min(b, d) - max(a, c) > 2  # of statements that take four seconds each
+    assert all(spark.table(ws.table("slow")).count() == 1 for ws in spaces)
+    after = (spark.catalog.currentCatalog(), spark.catalog.currentDatabase(), spark.conf.get("spark.sql.ansi.enabled"))
+    assert after == before
+
+
+def test_a_call_leaves_its_temp_views_and_nothing_else(spark, ws):
+    name = f"{ws.db}_v"
+    spark.createDataFrame([(1,)], "a int").createOrReplaceTempView(f"{name}_old")
+    execute_sql(spark, f"SET spark.sql.shuffle.partitions = 3; CREATE TEMP VIEW {name} AS SELECT 7 AS x; "
+                       f"DROP VIEW {name}_old")
+    assert spark.conf.get("spark.sql.shuffle.partitions") != "3"
+    assert spark.table(name).first()["x"] == 7
+    assert not spark.catalog.tableExists(f"{name}_old")
+    execute_sql(spark, f"CREATE TABLE {ws.table('from_view')} AS SELECT * FROM {name}")
+    assert spark.table(ws.table("from_view")).first()["x"] == 7
+    execute_sql(spark, f"CREATE OR REPLACE TEMP VIEW {name} AS SELECT n_name FROM {ws.source('nation')}")
+    assert spark.table(name).count() == 25
+    assert spark.sparkContext.parallelize([(1,)]).toDF(["a"]).sparkSession is spark
+
+
+def test_a_failed_call_changes_no_view(spark, ws):
+    name = f"{ws.db}_w"
+    with pytest.raises(StageError):
+        execute_sql(spark, f"CREATE TEMP VIEW {name} AS SELECT 1 AS x; SELECT * FROM missing_table")
+    assert not spark.catalog.tableExists(name)
