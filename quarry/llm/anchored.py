@@ -145,6 +145,8 @@ def _sums(value: np.ndarray, base: int, inverse: int) -> tuple[np.ndarray, np.nd
 def stretches(kind: Kind, raw: np.ndarray, starts: np.ndarray) -> Stretches:
     value, symbols, at = kind.symbols(raw, starts)
     sums, back = _sums(value, BASE, INVERSE)
+    if len(value) > int(INDEX_MASK):
+        raise ValueError(f"{len(value)} symbols in one piece of a chunk, the most is 2**28 - 1")
     n, grams = len(value) - kind.gram + 1, kind.window - kind.gram + 1
     none = np.zeros(0, np.int64)
     if len(value) < kind.window:

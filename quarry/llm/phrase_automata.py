@@ -2,23 +2,28 @@
 words that occurs more than once, all occurrences but the first are removed.
 
 Anchors (see ``anchored``) bring together the stretches in which a sequence may
-recur. Each shard confirms its recurring passages: runs of windows whose word
-sequence starts at two places or more. It compiles the passages into an
-Aho-Corasick automaton (pyahocorasick, over word numbers) and streams every
-stretch it was sent, which come from all documents, through it, to locate every
-occurrence of a passage, whole or as part of another. Of the occurrences of one
-window the first stays: the one of the smallest ``doc_id``, then of the
-smallest start.
+recur. Each shard groups their windows by a hash and takes from these candidates
+its passages: the longest sequences all of whose windows have the same
+occurrences, so that every window lies in one passage. It compiles them into
+Aho-Corasick automata (pyahocorasick, over word numbers) and streams the
+stretches it was sent, which come from all documents, through them. What they
+find decides: a passage that is found at two places or more recurs, and of its
+occurrences the first stays, the one of the smallest ``doc_id``, then of the
+smallest start. (Windows that a hash put together though their words differ are
+not found under each other's passage; they get passages of their own.)
 
 Defined cases: a null text has no words; a null ``doc_id`` comes before all
 others; rows that share a ``doc_id`` come in the order of the table as stored
-for the run; other columns are ignored. Words are told apart by 64-bit hashes
-of their bytes, and travel as the upper halves of them: two sequences would
-have to differ only in words that agree there.
+for the run; other columns are ignored; a chunk (or one text) of 2**28 words or
+more is an error (``ValueError``). Words are told apart by 64-bit hashes of
+their bytes. The windows of anchors that more than ``HOT_CHUNKS`` chunks share
+meet no automaton: they are told apart by 128-bit hashes of their words' hashes.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,15 +34,15 @@ from .common import Rolling, mixed, text_bytes, words_of
 
 WINDOW = 20
 GRAM = 8
-#: Passages in one automaton, at most: its size in memory.
-PASSAGES = 20_000
+#: Words in one automaton, at most (or one passage): its size in memory.
+AUTOMATON_WORDS = 400_000
 FIRST, LATER = 2, 1
 
 
 def _words(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     s, e, row = words_of(raw, starts)
     value = Rolling(raw).of(s, e) if len(s) else np.zeros(0, np.uint64)
-    return value, (value >> np.uint64(32)).astype(np.uint32), np.searchsorted(row, np.arange(len(starts)))
+    return value, value, np.searchsorted(row, np.arange(len(starts)))
 
 
 def _sequence_hashes(symbols: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
@@ -47,53 +52,80 @@ def _sequence_hashes(symbols: np.ndarray, at: np.ndarray, window: int) -> np.nda
     return h
 
 
-def passages(symbols: np.ndarray, begin: np.ndarray, windows: np.ndarray, recurs: np.ndarray, window: int) -> set:
-    """The maximal runs of recurring windows in the stretches, as tuples of words."""
-    item, step = spread(windows)
-    new = recurs & np.concatenate([[True], ~recurs[:-1] | (step[1:] == 0)])
-    head = np.flatnonzero(new)
-    run = np.cumsum(new) - 1
-    length = np.bincount(run[recurs], minlength=len(head))
-    at = begin[item[head]] + step[head]
-    return {tuple(symbols[a:a + n + window - 1].tolist()) for a, n in zip(at.tolist(), length.tolist(), strict=True)}
-
-
-def locate(found: set, symbols: np.ndarray, begin: np.ndarray, size: np.ndarray, window: int) -> np.ndarray:
-    """Window starts (among ``symbols``) covered by an occurrence of any of the
-    passages, by automata over at most ``PASSAGES`` of them."""
+def passages(kind: np.ndarray, weight: np.ndarray, item: np.ndarray, alive: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Windows, in order of stretch and place, with their candidate ``kind``, the
+    number of copies of each and its stretch: the first window and the number of
+    windows of each passage, among those that are ``alive`` and recur."""
+    total = np.bincount(kind, weight * alive)
+    use = alive & (total[kind] >= 2)
+    count = np.bincount(kind[use], minlength=len(total))
+    x = np.flatnonzero(use[:-1] & use[1:] & (item[:-1] == item[1:])) if len(kind) > 1 else np.zeros(0, np.int64)
+    # two kinds are linked if neither ever stands without the other next to it
+    pair, of, times = np.unique(kind[x] * len(total) + kind[x + 1], return_inverse=True, return_counts=True)
+    linked = (times == count[pair // len(total)]) & (times == count[pair % len(total)])
+    on = np.zeros(len(kind) + 1, bool)  # whether the window before belongs to the same passage
+    on[x[linked[of]] + 1] = True
+    heads = np.flatnonzero(use & ~on[:-1])
+    _, one = np.unique(kind[heads], return_index=True)
+    heads = heads[one]
+    ends = np.flatnonzero(~on)  # where no passage goes on
+    return heads, ends[np.searchsorted(ends, heads, "right")] - heads
+
+
+def automata(patterns: list[tuple]) -> Iterator:
+    """Automata that give the number of the pattern that ends at a place."""
     import ahocorasick
 
-    mark = np.zeros(len(symbols) + 1, np.int64)
-    every = sorted(found)
-    texts = [tuple(symbols[a:a + n].tolist()) for a, n in zip(begin.tolist(), size.tolist(), strict=True)]
-    for lo in range(0, len(every), PASSAGES):
+    lo = 0
+    while lo < len(patterns):
         automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-        for p in every[lo:lo + PASSAGES]:
-            automaton.add_word(p, len(p))
+        words = 0
+        while lo < len(patterns) and (not words or words + len(patterns[lo]) <= AUTOMATON_WORDS):
+            automaton.add_word(patterns[lo], lo)
+            words += len(patterns[lo])
+            lo += 1
         automaton.make_automaton()
-        ends, lengths = [], []
-        for a, text in zip(begin.tolist(), texts, strict=True):
-            for end, length in automaton.iter(text):
-                ends.append(a + end)
-                lengths.append(length)
-        first = np.array(ends, np.int64) - np.array(lengths, np.int64) + 1
-        np.add.at(mark, first, 1)
-        np.add.at(mark, np.array(ends, np.int64) - window + 2, -1)
-    return np.cumsum(mark)[:-1] > 0
-
-
-def _earliest(key: list[np.ndarray], order: np.ndarray, row: np.ndarray, at: np.ndarray, of: np.ndarray,
-              chunk: np.ndarray, copies: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For occurrences with a window's ``key``: whether the window recurs, and
-    whether this is its first occurrence."""
-    by = np.lexsort((at, row, chunk, order, *key))
-    new = np.concatenate([[True], np.any([k[by][1:] != k[by][:-1] for k in key], axis=0)]) if len(by) else \
-        np.zeros(0, bool)
-    group = np.cumsum(new) - 1
-    recurs, first = np.zeros(len(by), bool), np.zeros(len(by), bool)
-    recurs[by] = np.bincount(group, copies[by])[group] >= 2 if len(by) else False
-    first[by] = new
-    return recurs, first
+        yield automaton
+
+
+def locate(patterns: list[tuple], texts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(pattern, text, first place) of every occurrence of any pattern in the texts."""
+    which, text, first = [], [], []
+    for automaton in automata(patterns):
+        for k, words in enumerate(texts):
+            for end, found in automaton.iter(words):
+                which.append(found)
+                text.append(k)
+                first.append(end + 1 - len(patterns[found]))
+    return np.array(which, np.int64), np.array(text, np.int64), np.array(first, np.int64)
+
+
+def _occurrences(shard: Shard, one: np.ndarray, which: np.ndarray, window: int) \
+        -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(passage, distinct stretch, first window in it, number of windows) of all that
+    the automata find; passages are numbered anew in each round."""
+    meta = shard.meta
+    size, begin = meta["windows"][one].astype(np.int64), shard.begin[one]
+    copies = np.bincount(which, meta["copies"], len(one))
+    item, step = spread(size)
+    _, kind = np.unique(_sequence_hashes(shard.symbols, begin[item] + step, window), return_inverse=True)
+    weight, offset = copies[item], np.cumsum(size) - size
+    alive = np.bincount(kind, weight)[kind] >= 2
+    held = np.unique(item[alive])  # stretches that hold a candidate
+    _, numbers = np.unique(shard.symbols, return_inverse=True)
+    texts = [tuple(numbers[a:a + n].tolist()) for a, n in zip(begin[held], size[held] + window - 1, strict=True)]
+    while True:
+        heads, length = passages(kind, weight, item, alive)
+        if not len(heads):
+            return
+        at = begin[item[heads]] + step[heads]
+        patterns = [tuple(numbers[a:a + n + window - 1].tolist()) for a, n in zip(at, length, strict=True)]
+        passage, text, first = locate(patterns, texts)
+        stretch, n = held[text], length[passage]
+        yield passage, stretch, first, n
+        unit, k = spread(n)
+        alive[offset[stretch[unit]] + first[unit] + k] = False
+        alive[heads] = False
 
 
 def answer_shard(kind: Kind, shard: Shard) -> list[tuple]:
@@ -101,38 +133,47 @@ def answer_shard(kind: Kind, shard: Shard) -> list[tuple]:
     if len(shard.meta):
         meta = shard.meta
         _, one, which = np.unique(meta["stretch"], return_index=True, return_inverse=True)
-        item, step = spread(meta["windows"])
-        at = shard.begin[item] + step
-        h = _sequence_hashes(shard.symbols, at, kind.window)
-        recurs, first = _earliest([h], meta["order"][item], meta["row"][item], meta["at"][item] + step, item,
-                                  shard.chunk[item], meta["copies"][item])
-        # confirmed on the distinct stretches, located in them, and laid back over all
-        own = np.zeros(len(meta), bool)
-        own[one] = True
-        distinct = np.flatnonzero(own)
-        inside = own[item]
-        found = passages(shard.symbols, shard.begin[distinct], meta["windows"][distinct], recurs[inside], kind.window)
-        here = locate(found, shard.symbols, shard.begin[distinct], meta["symbols"][distinct].astype(np.int64),
-                      kind.window)
-        hit = here[(shard.begin[one][which])[item] + step]
-        item, step, first = item[hit], step[hit], first[hit]
-        out += anchored.bit_rows(shard.chunk[item], meta["stretch"][item], step, np.where(first, FIRST, LATER))
+        by_stretch = np.argsort(which, kind="stable")
+        entries = np.bincount(which, minlength=len(one))
+        start = np.cumsum(entries) - entries
+        for passage, stretch, first, n in _occurrences(shard, one, which, kind.window):
+            found, nth = spread(entries[stretch])  # of each occurrence, all entries with its stretch
+            entry = by_stretch[start[stretch[found]] + nth]
+            recurs, earliest = _earliest([passage[found]], meta["order"][entry], meta["row"][entry],
+                                         meta["at"][entry] + first[found], shard.chunk[entry], meta["copies"][entry])
+            found, entry, earliest = found[recurs], entry[recurs], earliest[recurs]
+            unit, k = spread(n[found])
+            out += anchored.bit_rows(shard.chunk[entry][unit], meta["stretch"][entry][unit], first[found][unit] + k,
+                                     np.where(earliest, FIRST, LATER)[unit])
     if len(shard.singles):
         s = shard.singles
-        recurs, first = _earliest([s["low"], s["high"]], s["order"], s["row"], s["at"], s["k"], shard.single_chunk,
-                                  s["copies"])
+        recurs, first = _earliest([s["low"], s["high"]], s["order"], s["row"], s["at"], shard.single_chunk, s["copies"])
         out += anchored.bit_rows(shard.single_chunk[recurs], s["stretch"][recurs], s["k"][recurs],
                                  np.where(first[recurs], FIRST, LATER))
     return out
 
 
+def _earliest(key: list[np.ndarray], order: np.ndarray, row: np.ndarray, at: np.ndarray, chunk: np.ndarray,
+              copies: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of occurrences of what ``key`` names: whether it recurs, and whether this is
+    its first occurrence."""
+    by = np.lexsort((at, row, chunk, order, *key))
+    new = np.concatenate([[True], np.any([k[by][1:] != k[by][:-1] for k in key], axis=0)]) if len(by) else \
+        np.zeros(0, bool)
+    group = np.cumsum(new) - 1
+    recurs, first = np.zeros(len(by), bool), np.zeros(len(by), bool)
+    recurs[by] = np.bincount(group, copies[by])[group] >= 2 if len(by) else False
+    first[by] = new
+    return recurs, first
+
+
 def deduplicated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = anchored.HOT_CHUNKS) -> DataFrame:
     """(doc_id, n_words, n_removed, spans, kept) for every row: spans are the start
     and end, in words, of each removed run, one after the other; kept is the
     remaining words joined by single blanks."""
     kind = Kind(window, gram, _words, hot)
     base = anchored.chunked(docs.select("doc_id", "text"))
-    found = anchored.marks(base, kind, np.uint32, lambda shard: answer_shard(kind, shard), "doc_id")
+    found = anchored.marks(base, kind, np.uint64, lambda shard: answer_shard(kind, shard), "doc_id")
     text = base.column("text")
 
     def lay(left: pa.Table, right: pa.Table) -> list[pa.RecordBatch]:

@@ -4,10 +4,11 @@ import hashlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from quarry.llm import bagminhash, exact_dedup, phrase_automata, suffix_dedup
+from quarry.llm import anchored, bagminhash, common, exact_dedup, phrase_automata, suffix_dedup
 
 
 def rows_of(df):
@@ -203,3 +204,51 @@ def test_phrase_automata(spark, odd, documents, empty, window, gram, hot):
     got = [r for r in phrase_automata.deduplicated(odd, window, gram, hot).collect() if r["n_words"] == 400]
     assert sorted(r["n_removed"] for r in got) == [0, 400, 400]
     assert phrase_automata.deduplicated(empty).count() == 0
+
+
+def alike_words():
+    """Two words that agree in the upper halves of their hashes."""
+    words = [f"id{k}" for k in range(400_000)]
+    raw = "".join(words).encode()
+    end = np.cumsum([len(w) for w in words])
+    value = common.Rolling(np.frombuffer(raw, np.uint8)).of(np.concatenate([[0], end[:-1]]), end) >> np.uint64(32)
+    order = np.argsort(value, kind="stable")
+    k = int(np.flatnonzero(value[order][1:] == value[order][:-1])[0])
+    return words[order[k]], words[order[k + 1]]
+
+
+@pytest.mark.parametrize("hot", [0, 500])
+def test_windows_that_differ_in_one_word_stay(spark, hot):
+    a, b = alike_words()
+    frame = [f"word{k}" for k in range(19)]
+    rows = [(1, " ".join([*frame[:9], a, *frame[9:]])), (2, " ".join([*frame[:9], b, *frame[9:]])),
+            (3, " ".join(frame + ["x"])), (4, " ".join(frame + ["x"]))]
+    got = phrase_automata.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"), hot=hot).collect()
+    assert {r["doc_id"]: r["n_removed"] for r in got} == {1: 0, 2: 0, 3: 0, 4: 20}
+
+
+def shard_of(texts, window):
+    """A shard as it would be received, one stretch for each text."""
+    raw, starts = common.text_bytes(pa.array(texts))
+    value, _, at = phrase_automata._words(raw, starts)
+    meta = np.zeros(len(texts), anchored.META)
+    meta["stretch"] = [hash(t) & (1 << 63) - 1 for t in texts]
+    meta["symbols"] = np.diff(at)
+    meta["windows"] = meta["symbols"] - window + 1
+    meta["copies"], meta["order"] = 1, range(len(texts))
+    return anchored.Shard(meta, np.arange(len(texts)), value, at[:-1], np.zeros(0, anchored.SINGLE), np.zeros(0, np.int64))
+
+
+def test_automata_decide(monkeypatch):
+    """Occurrences come from the automata alone; colliding hashes change nothing."""
+    kind = anchored.Kind(4, 2, phrase_automata._words)
+    texts = ["a b c d e f g", "x b c d e y", "b c d e f", "p q r s t", "p q r s t u", "z q r s t"]
+    honest = phrase_automata.answer_shard(kind, shard_of(texts, 4))
+    assert honest
+    monkeypatch.setattr(phrase_automata, "_sequence_hashes", lambda symbols, at, window: np.zeros(len(at), np.uint64))
+    blind = phrase_automata.answer_shard(kind, shard_of(texts, 4))
+    unpacked = lambda rows: Counter((c, int(r["stretch"]), int(r["k"]) + j, int(r["state"])) for c, _, blob in rows
+                                    for r in np.frombuffer(blob, anchored.RUN) for j in range(int(r["length"])))
+    assert unpacked(blind) == unpacked(honest)
+    monkeypatch.setattr(phrase_automata, "locate", lambda *_: (np.zeros(0, np.int64),) * 3)
+    assert phrase_automata.answer_shard(kind, shard_of(texts, 4)) == []
