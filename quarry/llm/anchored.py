@@ -104,7 +104,7 @@ def chunked(docs: DataFrame) -> Chunked:
     rows = rows.withColumn("few", few).withColumn("chunk", F.expr(chunk)).drop("id", "few")
     buckets = max(shuffles, 1)
     out = Chunked(spark, f"chunked_{uuid.uuid4().hex}", columns, types, buckets, scratch(spark, "chunked"))
-    rows.write.bucketBy(buckets, "chunk").option("path", out.path).saveAsTable(out.name)
+    rows.write.bucketBy(buckets, "chunk").option("path", out.path).mode("overwrite").saveAsTable(out.name)
     return out
 
 

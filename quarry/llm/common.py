@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 import os
 from collections.abc import Iterator
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -25,33 +27,57 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-#: Scratch folders this process has made and not yet deleted.
-_SCRATCH: list[str] = []
+class Scope:
+    """The scratch folders that one piece of work makes. What a frame still reads
+    can't be told from here: whoever opened a scope releases it once the frames
+    made in it are written elsewhere or not wanted any more."""
 
+    def __init__(self):
+        self.paths: list[str] = []
 
-def scratch(spark: SparkSession, label: str) -> str:
-    """A fresh folder in the shared scratch folder; ``release`` deletes it."""
-    _SCRATCH.append(fresh_dir(spark, label))
-    return _SCRATCH[-1]
+    def release(self, spark: SparkSession) -> None:
+        while self.paths:
+            files.delete_tree(spark, self.paths.pop())
+
+
+_SCOPE: ContextVar[Scope | None] = ContextVar("scope", default=None)
 
 
-def stored(spark: SparkSession, df: DataFrame, label: str, keep: bool = False) -> DataFrame:
-    """``df`` written as Parquet in the shared scratch folder and read back:
-    cuts the lineage, and survives the loss of any executor. ``keep``: not for
-    ``release`` to delete."""
-    path = fresh_dir(spark, label) if keep else scratch(spark, label)
-    df.write.parquet(path)
+@contextlib.contextmanager
+def scope() -> Iterator[Scope]:
+    """Scratch folders made inside, by this thread, belong to the scope."""
+    own = Scope()
+    before = _SCOPE.set(own)
+    try:
+        yield own
+    finally:
+        _SCOPE.reset(before)
+
+
+def scratch(spark: SparkSession, label: str) -> str:
+    """A fresh folder in the shared scratch folder. It goes with its scope, or else
+    when the driver's JVM ends."""
+    path = fresh_dir(spark, label)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(place)
+    fs.deleteOnExit(place)
+    if (own := _SCOPE.get()) is not None:
+        own.paths.append(path)
+    return path
+
+
+def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    """``df`` written as Parquet in the shared scratch folder and read back: cuts
+    the lineage, and survives the loss of any executor."""
+    path = scratch(spark, label)
+    df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession, *paths: str) -> None:
-    """Deletes scratch folders that this process has made: ``paths``, or all.
-    Frames that still read them can't be run any more, so a caller releases
-    them once what it made of them is written elsewhere."""
-    for path in list(paths or _SCRATCH):
-        if path in _SCRATCH:
-            _SCRATCH.remove(path)
-            files.delete_tree(spark, path)
+def release(spark: SparkSession, path: str) -> None:
+    """Deletes a scratch folder that nothing reads any more."""
+    files.delete_tree(spark, path)
 
 
 def content(col: Column | str = "text") -> Column:

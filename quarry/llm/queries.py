@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import fresh_dir
 from . import (bagminhash, exact_dedup, hard_negatives, html_extraction, packing, phrase_automata, quality_rules,
                sentencepiece_prefix, suffix_dedup, token_counts, toxicity, url_templates, whitening)
-from .common import table
+from .common import scratch, table
 
 
 def tokenizer(name: str) -> str:
@@ -19,7 +18,7 @@ def tokenizer(name: str) -> str:
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"),
-                                       fresh_dir(spark, "token-cache"))
+                                       scratch(spark, "token-cache"))
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
 
 
