@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from .. import extract_table, load_table
 from ..errors import StageError
 from ..sinks.load import TableExists, TableMissing
+from ..sources import catalog
 from .workspace import Workspace
 
 
@@ -62,6 +63,27 @@ def load_error_if_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                    F.count("*").alias("n_rows"))
 
 
+def load_append_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same load twice, by its id: the rows are there once."""
+    ws = Workspace(spark, sf_dir, "load_append_once")
+    for view, load_id in ((_finished(ws), "finished"), (_others(ws), "others"), (_others(ws), "others"),
+                          (_finished(ws), "finished")):
+        load_table(spark, view, "orders_out", dataset=ws.db, save_mode="Append", load_id=load_id)
+    return _read_back(spark, ws, "orders_out")
+
+
+def load_overwrite_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A bare overwrite by another schema: the mode is all that decides; settings
+    whose columns are gone go with them."""
+    ws = Workspace(spark, sf_dir, "load_overwrite_schema")
+    load_table(spark, ws.view(ws.read("events"), "events"), "replaced", dataset=ws.db, partition_field="ts",
+               partition_expiration_ms=EXPIRATION_MS, as_of=EXPIRY_AS_OF, clustered_fields="user_id",
+               required_columns=["event_id"])
+    load_table(spark, ws.view(ws.read("orders"), "orders"), "replaced", dataset=ws.db)
+    kept = len(catalog.partition_columns(spark, ws.table("replaced")))
+    return _read_back(spark, ws, "replaced").withColumn("n_partition_columns", F.lit(kept))
+
+
 def load_create_never(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``CREATE_NEVER`` overwrites a table that is there and refuses one that
     is not; a table made all the same would add its rows."""
@@ -264,6 +286,8 @@ def stream_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "load_overwrite": load_overwrite,
     "load_append": load_append,
+    "load_append_once": load_append_once,
+    "load_overwrite_schema": load_overwrite_schema,
     "load_ignore": load_ignore,
     "load_error_if_exists": load_error_if_exists,
     "load_create_never": load_create_never,
@@ -285,6 +309,8 @@ QUERIES = {
 ORACLE = {
     "load_overwrite": "SELECT * FROM orders WHERE o_orderstatus <> 'F'",
     "load_append": "SELECT * FROM orders",
+    "load_append_once": "SELECT * FROM orders",
+    "load_overwrite_schema": "SELECT *, 0 AS n_partition_columns FROM orders",
     "load_ignore": "SELECT * FROM orders WHERE o_orderstatus = 'F'",
     "load_error_if_exists": "SELECT TRUE AS raised, count(*) AS n_rows FROM orders WHERE o_orderstatus = 'F'",
     "load_create_never": "SELECT * FROM orders WHERE o_orderstatus <> 'F'",

@@ -65,6 +65,12 @@ def day_column(df: DataFrame, partition_field: str, name: str | None = None) ->
                     f"not {field.dataType.simpleString()}")
 
 
+def can_partition(df: DataFrame, name: str) -> bool:
+    """Whether ``df`` has a column of that name that ``day_column`` takes."""
+    return any(f.name.lower() == name.lower() and isinstance(f.dataType, (DateType, TimestampType, TimestampNTZType))
+               for f in df.schema.fields)
+
+
 def check_clustered(df: DataFrame, fields: Sequence[str]) -> list[str]:
     if len(fields) > MAX_CLUSTERED_FIELDS:
         raise ValueError(f"at most {MAX_CLUSTERED_FIELDS} clustered fields, got {len(fields)}")

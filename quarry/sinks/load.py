@@ -9,10 +9,14 @@ required-column guard are applied on both paths.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
+import time
+import uuid
 from collections.abc import Sequence
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..errors import Checks, StageError, wrap
@@ -21,7 +25,7 @@ from ..logs import timed
 from ..operators import evolution, layout
 from ..sources import catalog, files
 from ..streaming.guards import refuse_streaming
-from . import expiry, staging
+from . import expiry, ledger, staging
 
 STAGE = "load_table"
 SAVE_MODES = ("Append", "ErrorIfExists", "Ignore", "Overwrite")
@@ -73,6 +77,7 @@ def load_table(
     clustered_ranges: int | None = None,
     required_columns: Sequence[str] | None = None,
     staging_dir: str | None = None,
+    load_id: str | None = None,
     id: str | None = None,  # noqa: A002 -- the stage key is called id
     name: str | None = None,
     description: str | None = None,
@@ -87,7 +92,16 @@ def load_table(
 
     An overwrite keeps the settings the replaced table records (partition
     field, expiry, clustering, required columns) unless the call gives new
-    ones; an empty one (``""`` or ``[]``) drops it.
+    ones; an empty one (``""`` or ``[]``) drops it, and so does a new schema
+    without its columns (the detail's ``droppedSettings`` names those).
+
+    ``load_id`` makes an append happen once: a call with an id that was loaded
+    before does nothing (``repeated`` in the detail), also if the driver was lost
+    at any point of the call before (:mod:`quarry.sinks.ledger`).
+
+    Any number of threads and drivers may load one table: appends run one after
+    the other, versions of an overwrite are written side by side, and one is
+    published at a time (:mod:`quarry.sinks.lease`).
 
     ``partition_field``: a top-level DATE or TIMESTAMP column; the table is
     partitioned by its day (in UTC). ``partition_expiration_ms``: days with
@@ -127,6 +141,8 @@ def load_table(
         chk.text("partition_field", partition_field)
     chk.positive_int("clustered_ranges", clustered_ranges)
     chk.text("staging_dir", staging_dir)
+    chk.text("load_id", load_id)
+    chk.require(load_id is None or mode == "Append", "load_id needs save_mode Append")
     chk.require(mode is not None, f"save_mode must be one of {list(SAVE_MODES)}, got {save_mode!r}")
     chk.require(create_disposition in DISPOSITIONS,
                 f"create_disposition must be one of {list(DISPOSITIONS)}, got {create_disposition!r}")
@@ -154,7 +170,7 @@ def load_table(
         "saveMode": (mode or "").lower(), "createDisposition": create_disposition,
         "partitionField": partition_field, "partitionExpirationMs": expiration,
         "clusteredFields": clustered or [], "allowFieldAddition": allow_field_addition,
-        "allowFieldRelaxation": allow_field_relaxation, "intermediateFormat": "parquet",
+        "allowFieldRelaxation": allow_field_relaxation, "intermediateFormat": "parquet", "loadId": load_id,
         "params": dict(params or {}),
     }
     try:
@@ -164,10 +180,7 @@ def load_table(
             target = qualify(table, dataset, project, current=spark.catalog.currentDatabase())
             detail["resolved"] = target
             detail["committed"] = False
-            info = catalog.table_info(spark, target)
-            if info is None and (finished := staging.finish_interrupted(spark, target)):
-                detail["finishedInterrupted"] = finished
-                info = catalog.table_info(spark, target)
+            info, found_props = _found(spark, target, detail)
             kind = info.tableType if info else None
             exists = kind is not None
             detail["tableExisted"] = exists
@@ -182,26 +195,49 @@ def load_table(
             if kind in ("VIEW", "TEMPORARY"):
                 raise TypeError(f"{target} is a view; load writes tables only")
 
-            old_props = catalog.properties(spark, target) if exists else {}
+            def append() -> dict[str, str]:
+                return _append(spark, df, target, catalog.properties(spark, target), partition_field, expiration,
+                               clustered, required or [], allow_field_addition, allow_field_relaxation, detail,
+                               expiry.as_utc(as_of), clustered_ranges, load_id)
+
+            props, out = None, df
             if exists and mode == "Append":
-                props = _append(spark, df, target, old_props, partition_field, expiration, clustered,
-                                required or [], allow_field_addition, allow_field_relaxation, detail,
-                                expiry.as_utc(as_of), clustered_ranges)
-                out = df
-            else:
+                with staging.claim(spark, target):
+                    if catalog.object_type(spark, target) is not None:
+                        props = append()
+            if props is None:
+                old_props = found_props if mode != "Append" else {}
                 staging_root = staging_dir or staging.default_staging_root(spark, target)
                 kept = catalog.user_properties(old_props)
                 if info is not None and info.description:
                     kept["comment"] = info.description
-                props = _replace(spark, df, target, old_props if exists else None, partition_field,
-                                 expiration, clustered, required, staging_root, detail, kept,
-                                 expiry.as_utc(as_of), clustered_ranges)
-                out = spark.table(target)
-                if catalog.is_derived(props):
-                    out = out.drop(props[catalog.PROP_DAY_COLUMN])
-            detail["written"] = detail["committed"] = True
-            dropped = expiry.expire_partitions(spark, target, as_of, props)
-            detail["expiredPartitions"] = dropped
+                side, directory, new = _write_version(
+                    spark, df, target, old_props, partition_field, expiration, clustered, required, staging_root,
+                    detail, kept, expiry.as_utc(as_of), clustered_ranges, load_id)
+                with staging.claim(spark, target) as lease:
+                    there = catalog.object_type(spark, target) is not None
+                    if there and mode != "Overwrite":  # made by another writer meanwhile
+                        staging.discard(spark, side, directory)
+                        if mode == "ErrorIfExists":
+                            raise TableExists(f"{target} already exists (save_mode ErrorIfExists)")
+                        if mode == "Ignore":
+                            detail["written"] = False
+                            return df
+                        props = append()
+                    else:
+                        now = catalog.properties(spark, target) if there else None
+                        for key in (catalog.PROP_UID, catalog.PROP_FIRST_LOAD):
+                            if now and key in now:
+                                new[key] = now[key]
+                        detail["publish"] = staging.publish(spark, side, target, now, new, directory, lease=lease)
+                        props, out = new, spark.table(target)
+                        if catalog.is_derived(props):
+                            out = out.drop(props[catalog.PROP_DAY_COLUMN])
+            detail["committed"] = True
+            detail["written"] = not detail.get("repeated", False)
+            expires = props.get(catalog.PROP_EXPIRATION_MS)
+            with staging.claim(spark, target) if expires else contextlib.nullcontext():
+                detail["expiredPartitions"] = expiry.expire_partitions(spark, target, as_of, props)
             return out
     except StageError:
         raise
@@ -209,28 +245,67 @@ def load_table(
         raise wrap(STAGE, detail, exc) from exc
 
 
-def _replace(spark: SparkSession, df: DataFrame, target: str, old_props: dict | None,
-             partition_field: str | None, expiration: int | str | None, clustered: list[str] | None,
-             required: list[str] | None, staging_root: str, detail: dict,
-             kept: dict[str, str], as_of: dt.datetime, ranges: int | None) -> dict[str, str]:
-    """Staged write of a new table version; returns the properties it records.
+def _found(spark: SparkSession, target: str, detail: dict) -> tuple[Any, dict[str, str]]:
+    """The target's catalog entry and properties, (None, {}) if there is no such
+    table. One that is missing for a moment only, or because a publish broke
+    off, is waited for or put in place."""
+    while True:
+        try:
+            info = catalog.table_info(spark, target)
+            if info is None:
+                if finished := staging.finish_interrupted(spark, target):
+                    detail["finishedInterrupted"] = finished
+                info = catalog.table_info(spark, target)
+                if info is None and not staging.being_published(spark, target):
+                    return None, {}
+            if info is not None:
+                return info, catalog.properties(spark, target) if info.tableType not in ("VIEW", "TEMPORARY") else {}
+        except AnalysisException as exc:  # replaced between two look-ups
+            if "TABLE_OR_VIEW_NOT_FOUND" not in str(exc):
+                raise
+        time.sleep(0.05)
+
+
+def _write_version(spark: SparkSession, df: DataFrame, target: str, old: dict[str, str],
+                   partition_field: str | None, expiration: int | str | None, clustered: list[str] | None,
+                   required: list[str] | None, staging_root: str, detail: dict, kept: dict[str, str],
+                   as_of: dt.datetime, ranges: int | None, load_id: str | None) -> tuple[str, str, dict[str, str]]:
+    """Writes a new table version; returns its side table, its directory and the
+    properties it is to record.
 
     ``kept`` are the replaced table's own properties and comment: the rows
     and schema are replaced, the table's description is not. Nor are its
-    recorded settings, where the call gives none (None)."""
-    old = old_props or {}
-    props: dict[str, str] = {**kept, catalog.PROP_OWNED: "true"}
+    recorded settings (in ``old``), where the call gives none (None) and the
+    new schema has their columns; others go, and the detail names them."""
+    props: dict[str, str] = {**kept, catalog.PROP_OWNED: "true",
+                             catalog.PROP_UID: old.get(catalog.PROP_UID) or uuid.uuid4().hex}
+    if load_id is not None:
+        props[catalog.PROP_FIRST_LOAD] = ledger.digest(load_id)
+    elif catalog.PROP_FIRST_LOAD in old:
+        props[catalog.PROP_FIRST_LOAD] = old[catalog.PROP_FIRST_LOAD]
     if catalog.is_derived(old):  # a frame over the table itself brings the derived column along
         day = next((f for f in df.schema.fields if f.name.lower() == old[catalog.PROP_DAY_COLUMN].lower()), None)
         df = df.drop(day.name) if day is not None and day.dataType.simpleString() == "date" else df
-    if partition_field is None:
-        partition_field = old.get(catalog.PROP_PARTITION_FIELD)
-        if expiration is None and partition_field and old.get(catalog.PROP_EXPIRATION_MS):
-            expiration = int(old[catalog.PROP_EXPIRATION_MS])
+    gone = []
+    if partition_field is None and (recorded := old.get(catalog.PROP_PARTITION_FIELD)):
+        if layout.can_partition(df, recorded):
+            partition_field = recorded
+            if expiration is None and old.get(catalog.PROP_EXPIRATION_MS):
+                expiration = int(old[catalog.PROP_EXPIRATION_MS])
+        else:
+            gone.append(f"partition_field {recorded}")
+    has = {c.lower() for c in df.columns}
     if clustered is None:
         clustered = catalog.csv(old.get(catalog.PROP_CLUSTERED))
+        if not {c.lower() for c in clustered} <= has:
+            gone.append(f"clustered_fields {','.join(clustered)}")
+            clustered = []
     if required is None:
-        required = catalog.csv(old.get(catalog.PROP_REQUIRED))
+        recorded = catalog.csv(old.get(catalog.PROP_REQUIRED))
+        required = [c for c in recorded if c.lower() in has]
+        gone += [f"required column {c}" for c in recorded if c.lower() not in has]
+    if gone:
+        detail["droppedSettings"] = gone
     day_col = None
     if partition_field:
         df, day_col = layout.day_column(df, partition_field)
@@ -255,16 +330,33 @@ def _replace(spark: SparkSession, df: DataFrame, target: str, old_props: dict |
     side, directory = staging.write_version(spark, df, target, staging_root=staging_root,
                                             partition_cols=[day_col] if day_col else [])
     detail["stagedAt"] = directory
-    detail["publish"] = staging.publish(spark, side, target, old_props, props, directory)
-    return props
+    return side, directory, props
 
 
 def _append(spark: SparkSession, df: DataFrame, target: str, props: dict[str, str],
             partition_field: str | None, expiration: int | str | None, clustered: list[str] | None,
             required: list[str], allow_add: bool, allow_relax: bool, detail: dict,
-            as_of: dt.datetime, ranges: int | None) -> dict[str, str]:
-    """Insert into the existing table, evolving its schema as allowed; returns
-    the table's properties after the append."""
+            as_of: dt.datetime, ranges: int | None, load_id: str | None) -> dict[str, str]:
+    """Insert into the existing table, under its lease, evolving its schema as
+    allowed; returns the table's properties after the append."""
+    owned = props.get(catalog.PROP_OWNED) == "true"
+    spark.catalog.refreshTable(target)  # another session may have moved it
+    entry = None
+    if owned and catalog.PROP_UID in props:
+        root, at = staging.default_staging_root(spark, target), catalog.location(spark, target)
+        for left in ledger.unfinished(spark, root, props[catalog.PROP_UID], at):
+            _in_place(spark, target, left, catalog.partition_columns(spark, target))
+    if load_id is not None:
+        if not owned:
+            raise ValueError(f"load_id needs a table that the engine made, {target} is not")
+        if catalog.PROP_UID not in props:
+            props = {**props, catalog.PROP_UID: uuid.uuid4().hex}
+            catalog.set_properties(spark, target, {catalog.PROP_UID: props[catalog.PROP_UID]})
+        entry = ledger.Entry(spark, staging.default_staging_root(spark, target), props[catalog.PROP_UID],
+                             catalog.location(spark, target), ledger.digest(load_id))
+        if entry.is_done() or props.get(catalog.PROP_FIRST_LOAD) == ledger.digest(load_id):
+            detail["repeated"] = detail["committed"] = True
+            return props
     recorded_field = props.get(catalog.PROP_PARTITION_FIELD)
     if partition_field and recorded_field and partition_field.lower() != recorded_field.lower():
         raise ValueError(f"{target} is partitioned by {recorded_field!r}, not {partition_field!r}")
@@ -289,31 +381,33 @@ def _append(spark: SparkSession, df: DataFrame, target: str, props: dict[str, st
     clustered = layout.check_clustered(aligned, clustered or catalog.csv(props.get(catalog.PROP_CLUSTERED)))
     aligned = layout.lay_out(aligned, day_col, clustered, ranges)
 
+    add_columns = ""
     if plan.added:
         cols = ", ".join(f"{quote(f.name)} {evolution.ddl_type(f)}" for f in plan.added)
         add_columns = f"ALTER TABLE {target} ADD COLUMNS ({cols})"
         detail["addedColumns"] = [f.name for f in plan.added]
-        if props.get(catalog.PROP_OWNED) == "true":
-            # The engine's own parquet table: write the rows first (visible
-            # only when the job commits), then widen the schema, so a failed
-            # job changes neither the rows nor the schema.
-            location = catalog.location(spark, target)
-            w = aligned.write.mode("append").format("parquet")
-            if part_cols:
-                w = w.partitionBy(*part_cols)
-            w.save(location)
-            detail["committed"] = True
+    if entry is not None:
+        entry.write(aligned, part_cols)
+        if add_columns:
             spark.sql(add_columns)
-            if part_cols:
-                _register_new_days(spark, target, location, part_cols[0])
-            if catalog.has_statistics(spark, target):
-                # the catalog doesn't know of rows written by path, and a planner that
-                # believes the old size broadcasts what is too large
-                spark.sql(f"ANALYZE TABLE {target} COMPUTE STATISTICS NOSCAN")
-        else:
-            spark.sql(add_columns)
-            aligned.write.insertInto(target, overwrite=False)
+        entry.commit()
+        detail["committed"] = True
+        _in_place(spark, target, entry, part_cols)
+    elif plan.added and owned:
+        # The engine's own parquet table: write the rows first (visible
+        # only when the job commits), then widen the schema, so a failed
+        # job changes neither the rows nor the schema.
+        location = catalog.location(spark, target)
+        w = aligned.write.mode("append").format("parquet")
+        if part_cols:
+            w = w.partitionBy(*part_cols)
+        w.save(location)
+        detail["committed"] = True
+        spark.sql(add_columns)
+        _tell_catalog(spark, target, location, part_cols)
     else:
+        if add_columns:
+            spark.sql(add_columns)
         aligned.write.insertInto(target, overwrite=False)
     detail["committed"] = True
 
@@ -332,6 +426,22 @@ def _append(spark: SparkSession, df: DataFrame, target: str, props: dict[str, st
     return {**props, **new_props}
 
 
+def _in_place(spark: SparkSession, target: str, entry: ledger.Entry, part_cols: list[str]) -> None:
+    """Carries a committed load forward to where readers see it."""
+    entry.carry_forward()
+    _tell_catalog(spark, target, entry.location, part_cols)
+    entry.finish()
+
+
+def _tell_catalog(spark: SparkSession, target: str, location: str, part_cols: list[str]) -> None:
+    """The catalog doesn't know of rows written by path."""
+    if part_cols:
+        _register_new_days(spark, target, location, part_cols[0])
+    if catalog.has_statistics(spark, target):
+        # a planner that believes the old size broadcasts what is too large
+        spark.sql(f"ANALYZE TABLE {target} COMPUTE STATISTICS NOSCAN")
+
+
 def _register_new_days(spark: SparkSession, target: str, location: str, day_col: str) -> None:
     """Add the day folders that the catalog does not list yet: one entry per
     day is compared, the files in them are not listed."""

@@ -17,7 +17,10 @@
 3. The replaced version stays: its directory is noted in the table's
    properties, and only an overwrite that comes more than ``KEEP_HOURS`` later
    deletes it. Frames and views held over it go on working until then.
-4. Nothing is ever deleted by its name or age alone. What a lost driver left
+4. One publisher at a time: a publish holds the target's lease
+   (:mod:`quarry.sinks.lease`), and so does an append while it writes, so neither
+   changes the table under the other. Versions are written without it.
+5. Nothing is ever deleted by its name or age alone. What a lost driver left
    unpublished is removed by :func:`sweep_leftovers`, which a user calls: it
    looks only at side tables registered for that very target by another
    application, and at none while the target itself is missing.
@@ -34,11 +37,14 @@ import hashlib
 import re
 import time
 import uuid
+from contextlib import AbstractContextManager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.names import parts_of, qualify, quote, sibling
 from ..sources import catalog, files
+from .lease import Lease, held
 
 WRITING, PUBLISHING = "writing", "publishing"
 #: A replaced version is kept for this long at least.
@@ -74,7 +80,10 @@ def _side_tables(spark: SparkSession, target: str) -> list[tuple[str, dict[str,
     for row in spark.sql(f"SHOW TABLES IN {db} LIKE '{table.replace(chr(39), '')}__quarry_*'").collect():
         if not row["isTemporary"]:
             side = sibling(target, row["tableName"])
-            props = catalog.properties(spark, side)
+            try:
+                props = catalog.properties(spark, side)
+            except AnalysisException:  # published or dropped since it was listed
+                continue
             if props.get(catalog.PROP_SIDE_OF) == own:
                 found.append((side, props))
     return found
@@ -83,14 +92,33 @@ def _side_tables(spark: SparkSession, target: str) -> list[tuple[str, dict[str,
 def finish_interrupted(spark: SparkSession, target: str) -> str | None:
     """If ``target`` is missing because a publish broke off after the old table
     was dropped, put the new version in place. Returns its former name."""
-    marked = [(props.get(catalog.PROP_STARTED, "0"), side) for side, props in _side_tables(spark, target)
-              if props.get(catalog.PROP_STATE) == PUBLISHING]
-    if not marked:
+    if not _marked(spark, target):
         return None
-    side = max(marked)[1]
-    _rename(spark, side, target)
-    catalog.unset_properties(spark, target, catalog.SIDE_PROPS)
-    return side
+    # a publisher holds the lease as long as a side table is marked: while we
+    # hold it, what is marked was left by a writer that is gone
+    with claim(spark, target):
+        marked = _marked(spark, target)
+        if not marked or catalog.object_type(spark, target) is not None:
+            return None
+        side = max(marked)[1]
+        _rename(spark, side, target)
+        catalog.unset_properties(spark, target, catalog.SIDE_PROPS)
+        return side
+
+
+def _marked(spark: SparkSession, target: str) -> list[tuple[str, str]]:
+    """(start, side table) of the side tables that were being published."""
+    return [(props.get(catalog.PROP_STARTED, "0"), side) for side, props in _side_tables(spark, target)
+            if props.get(catalog.PROP_STATE) == PUBLISHING]
+
+
+def being_published(spark: SparkSession, target: str) -> bool:
+    return bool(_marked(spark, target))
+
+
+def claim(spark: SparkSession, target: str) -> AbstractContextManager[Lease]:
+    """The lease of ``target``; see :mod:`quarry.sinks.lease`."""
+    return held(spark, default_staging_root(spark, target), identity(spark, target))
 
 
 def sweep_leftovers(spark: SparkSession, table: str, dataset: str | None = None, project: str | None = None, *,
@@ -149,8 +177,7 @@ def write_version(spark: SparkSession, df: DataFrame, target: str, *, staging_ro
         # never leaves its files behind, so a retried task cannot duplicate rows.
         ordered.write.insertInto(side, overwrite=True)
     except BaseException:
-        spark.sql(f"DROP TABLE IF EXISTS {side}")
-        files.delete_tree(spark, directory)
+        discard(spark, side, directory)
         raise
     return side, directory
 
@@ -161,10 +188,17 @@ def _retired(props: dict[str, str]) -> list[tuple[int, str]]:
     return [(int(ms), path) for ms, path in lines]
 
 
+def discard(spark: SparkSession, side: str, directory: str) -> None:
+    """Removes a version that is not to be published."""
+    spark.sql(f"DROP TABLE IF EXISTS {side}")
+    files.delete_tree(spark, directory)
+
+
 def publish(spark: SparkSession, side: str, target: str, old_props: dict[str, str] | None,
-            props: dict[str, str], directory: str, keep_hours: float = KEEP_HOURS) -> str:
+            props: dict[str, str], directory: str, keep_hours: float = KEEP_HOURS, lease: Lease | None = None) -> str:
     """Put the side table's version in place under the target's name. Returns
-    how: ``"set_location"`` or ``"rename"``.
+    how: ``"set_location"`` or ``"rename"``. ``lease``: the target's, under which
+    ``old_props`` were read; it is looked at once more before the catalog changes.
 
     ``old_props`` are the replaced table's properties (None if there was no
     table). Its directory, if the engine made it, is noted as replaced; those
@@ -173,7 +207,9 @@ def publish(spark: SparkSession, side: str, target: str, old_props: dict[str, st
     owned = old_props is not None and old_props.get(catalog.PROP_OWNED) == "true"
     retired = _retired(old_props or {}) if owned else []
     if owned:
-        retired.append((now, catalog.location(spark, target)))
+        live = catalog.location(spark, target)
+        # a driver lost before it moved the location has noted the live directory: it is replaced only now
+        retired = [(ms, path) for ms, path in retired if not files.same_path(spark, path, live)] + [(now, live)]
     due = [path for ms, path in retired if now - ms >= keep_hours * 3_600_000]
     left = [(ms, path) for ms, path in retired if path not in due]
     new = {**props, catalog.PROP_OWNED: "true"}
@@ -182,6 +218,8 @@ def publish(spark: SparkSession, side: str, target: str, old_props: dict[str, st
     if owned and props.get(catalog.PROP_SCHEMA) == old_props.get(catalog.PROP_SCHEMA) is not None:
         shape = catalog.column_shape(spark, target)
         if catalog.is_plain(shape) and shape == catalog.column_shape(spark, side):
+            if lease is not None:
+                lease.check()
             # notes first: if the driver is lost in between, the live directory is
             # merely noted as replaced, and never deleted while it is the location
             catalog.set_properties(spark, target, new)
@@ -192,6 +230,8 @@ def publish(spark: SparkSession, side: str, target: str, old_props: dict[str, st
             _delete(spark, due, directory)
             return "set_location"
     catalog.set_properties(spark, side, {**new, catalog.PROP_STATE: PUBLISHING})
+    if lease is not None:
+        lease.check()
     if old_props is not None:
         spark.sql(f"DROP TABLE {target}")
     try:

@@ -23,6 +23,8 @@ PROP_STARTED = "quarry.started"                  # when its write began, ms
 PROP_WRITER = "quarry.writer"                    # the application that writes it
 PROP_STATE = "quarry.state"                      # writing, or publishing (it may be the only copy)
 SIDE_PROPS = [PROP_SIDE_OF, PROP_STARTED, PROP_WRITER, PROP_STATE]
+PROP_UID = "quarry.table_uid"                    # stays with the table through overwrites
+PROP_FIRST_LOAD = "quarry.first_load"            # digest of the load id that made the table
 DERIVED_DAY = "__day"
 
 

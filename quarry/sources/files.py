@@ -1,12 +1,16 @@
 """Small file-system helpers over Hadoop's FileSystem API.
 
 These work on any Hadoop-compatible store the cluster is configured for
-(HDFS, object stores, local files in tests). They touch metadata only:
-list a directory, delete a directory the engine itself made.
+(HDFS, object stores, local files in tests). They touch metadata and small
+files only: list a directory, move a file the engine made, delete a directory.
 """
 
 from __future__ import annotations
 
+import os
+import time
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -71,3 +75,85 @@ def qualified(spark: SparkSession, path: str) -> str:
 
 def same_path(spark: SparkSession, a: str, b: str) -> bool:
     return qualified(spark, a) == qualified(spark, b)
+
+
+def rename(spark: SparkSession, source: str, target: str) -> bool:
+    """Renames a file or directory; False if it is not there or the target is."""
+    fs, p = _fs_and_path(spark, source)
+    to = spark._jvm.org.apache.hadoop.fs.Path(target)
+    return bool(fs.exists(p)) and not fs.exists(to) and bool(fs.rename(p, to))
+
+
+def make_dirs(spark: SparkSession, path: str) -> None:
+    fs, p = _fs_and_path(spark, path)
+    fs.mkdirs(p)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs_and_path(spark, path)
+    return bool(fs.exists(p))
+
+
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """Paths below ``path``, relative to it, of the files that readers see."""
+    fs, p = _fs_and_path(spark, path)
+    root, found, listed = fs.makeQualified(p).toString().rstrip("/"), [], fs.listFiles(p, True)
+    while listed.hasNext():
+        name = listed.next().getPath().toString()[len(root) + 1:]
+        if not any(part.startswith((".", "_")) and "=" not in part for part in name.split("/")):
+            found.append(name)
+    return sorted(found)
+
+
+def create_exclusive(spark: SparkSession, path: str, text: str) -> bool:
+    """Makes a small file; False if it is there already. Of many that try at once
+    one succeeds."""
+    fs, p = _fs_and_path(spark, path)
+    fs.mkdirs(p.getParent())
+    if fs.getScheme() == "file":  # Hadoop's local create looks first and then makes it
+        try:
+            handle = os.open(p.toUri().getPath(), os.O_CREAT | os.O_EXCL | os.O_WRONLY)
+        except FileExistsError:
+            return False
+        with os.fdopen(handle, "w") as f:
+            f.write(text)
+        return True
+    try:
+        out = fs.create(p, False)
+    except Py4JJavaError:
+        if fs.exists(p):
+            return False
+        raise
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return True
+
+
+def read_if_there(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, None if there is none."""
+    fs, p = _fs_and_path(spark, path)
+    try:
+        stream = fs.open(p)
+    except Py4JJavaError:
+        if fs.exists(p):
+            raise
+        return None
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def modified_ms(spark: SparkSession, path: str) -> int | None:
+    fs, p = _fs_and_path(spark, path)
+    try:
+        return int(fs.getFileStatus(p).getModificationTime())
+    except Py4JJavaError:
+        return None
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    fs, p = _fs_and_path(spark, path)
+    fs.setTimes(p, int(time.time() * 1000), -1)
