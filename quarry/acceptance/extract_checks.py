@@ -74,6 +74,38 @@ def extract_view_materialized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.df
 
 
+def extract_view_reused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A view read three times: its table serves the second read, and after an
+    append to the view's source a new one is made."""
+    ws = Workspace(spark, sf_dir, "extract_view_reused")
+    ws.read("orders").where("o_orderstatus = 'F'").write.saveAsTable(ws.table("source"))
+    spark.sql(f"CREATE VIEW {ws.table('by_customer')} AS SELECT o_custkey, count(*) AS n_orders "
+              f"FROM {ws.table('source')} GROUP BY o_custkey")
+
+    def read():
+        return extract_table(spark, "by_customer", dataset=ws.db, views_enabled=True, view_materialization_dataset=ws.db)
+
+    reused = [read().detail.get("materializationReused", False) for _ in range(2)]
+    ws.read("orders").where("o_orderstatus <> 'F'").write.insertInto(ws.table("source"))
+    last = read()
+    reused.append(last.detail.get("materializationReused", False))
+    return last.df.withColumn("reused", F.lit(",".join(map(str, reused))))
+
+
+def extract_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and nulls counted while the first action runs: a table write."""
+    ws = Workspace(spark, sf_dir, "extract_observed")
+    ws.read("documents").join(ws.read("labels"), "doc_id", "left").select("doc_id", "lang", "quality", "toxic") \
+        .write.saveAsTable(ws.table("labelled"))
+    r = extract_table(spark, "labelled", dataset=ws.db, output_view=f"{ws.db}__seen", observe=True,
+                      observe_nulls=["quality", "lang"])
+    load_table(spark, f"{ws.db}__seen", "copied", dataset=ws.db)
+    seen = r.observed()
+    return extract_table(spark, "copied", dataset=ws.db).df.select(
+        "doc_id", "quality", F.lit(seen["records"]).alias("records"), F.lit(seen["nulls"]["quality"]).alias("no_quality"),
+        F.lit(seen["nulls"]["lang"]).alias("no_lang"))
+
+
 def extract_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     ws = Workspace(spark, sf_dir, "extract_count")
     return extract_table(spark, "lineitem", dataset=ws.src).df.agg(F.count("*").alias("n_rows"))
@@ -163,6 +195,8 @@ QUERIES = {
     "extract_capped": extract_capped,
     "extract_view": extract_view,
     "extract_view_materialized": extract_view_materialized,
+    "extract_view_reused": extract_view_reused,
+    "extract_observed": extract_observed,
     "extract_count": extract_count,
     "extract_metadata_file": extract_metadata_file,
     "extract_metadata_view": extract_metadata_view,
@@ -179,6 +213,8 @@ ORACLE = {
     "extract_capped": "SELECT count(*) AS n_rows, TRUE AS within_cap FROM lineitem",
     "extract_view": "SELECT o_custkey, count(*) AS n_orders, sum(o_totalprice) AS spend FROM orders GROUP BY o_custkey",
     "extract_view_materialized": "SELECT o_custkey, count(*) AS n_orders, sum(o_totalprice) AS spend FROM orders GROUP BY o_custkey",
+    "extract_view_reused": "SELECT o_custkey, count(*) AS n_orders, 'False,True,False' AS reused FROM orders GROUP BY o_custkey",
+    "extract_observed": "SELECT doc_id, quality, count(*) OVER () AS records, count(*) FILTER (quality IS NULL) OVER () AS no_quality, count(*) FILTER (lang IS NULL) OVER () AS no_lang FROM documents LEFT JOIN labels USING (doc_id)",
     "extract_count": "SELECT count(*) AS n_rows FROM lineitem",
     "extract_metadata_file": "SELECT o_orderkey AS \"order key\", o_custkey AS \"customer key\", * EXCLUDE (o_orderkey, o_custkey) FROM orders",
     "extract_metadata_view": "SELECT o_orderkey AS \"order key\", o_custkey AS \"customer key\", * EXCLUDE (o_orderkey, o_custkey) FROM orders WHERE o_orderstatus <> 'P'",

@@ -202,6 +202,24 @@ def load_field_addition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_back(spark, ws, "docs").select("doc_id", "lang", "n_chars")
 
 
+def load_field_addition_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A struct, also inside an array, that gains a field: old rows read NULL."""
+    ws = Workspace(spark, sf_dir, "load_field_addition_nested")
+
+    def shaped(status: str, *more: str) -> DataFrame:
+        inner = F.struct("o_totalprice", *more)
+        return (ws.read("orders").where(F.col("o_orderstatus") == status)
+                .select("o_orderkey", inner.alias("price"), F.array(inner).alias("prices")))
+
+    load_table(spark, ws.view(shaped("F"), "narrow"), "nested", dataset=ws.db)
+    load_table(spark, ws.view(shaped("O", "o_orderpriority"), "wide"), "nested", dataset=ws.db, save_mode="Append",
+               allow_field_addition=True)
+    load_table(spark, ws.view(shaped("P"), "again"), "nested", dataset=ws.db, save_mode="Append")
+    return _read_back(spark, ws, "nested").select(
+        "o_orderkey", "price.o_totalprice", "price.o_orderpriority",
+        F.col("prices")[0]["o_orderpriority"].alias("in_array"))
+
+
 def load_field_addition_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
     ws = Workspace(spark, sf_dir, "load_field_addition_refused")
     docs = ws.read("documents")
@@ -298,6 +316,7 @@ QUERIES = {
     "load_expired": load_expired,
     "load_clustered": load_clustered,
     "load_field_addition": load_field_addition,
+    "load_field_addition_nested": load_field_addition_nested,
     "load_field_addition_refused": load_field_addition_refused,
     "load_field_relaxation": load_field_relaxation,
     "load_field_relaxation_refused": load_field_relaxation_refused,
@@ -321,6 +340,7 @@ ORACLE = {
     "load_overwrite_metadata": "SELECT o_orderkey, o_totalprice, 'second' AS description FROM orders",
     "load_clustered": "SELECT count(*) AS n_rows, TRUE AS many_files, CAST(0 AS BIGINT) AS overlapping_files FROM orders",
     "load_field_addition": "SELECT doc_id, lang, CAST(NULL AS BIGINT) AS n_chars FROM documents WHERE lang = 'de' UNION ALL SELECT doc_id, lang, n_chars FROM documents WHERE lang <> 'de'",
+    "load_field_addition_nested": "SELECT o_orderkey, o_totalprice, CASE WHEN o_orderstatus = 'O' THEN o_orderpriority END AS o_orderpriority, CASE WHEN o_orderstatus = 'O' THEN o_orderpriority END AS in_array FROM orders",
     "load_field_addition_refused": "SELECT TRUE AS raised, count(*) AS n_rows FROM documents WHERE lang = 'de'",
     "load_field_relaxation": "SELECT doc_id, quality FROM labels UNION ALL SELECT d.doc_id, CAST(NULL AS INTEGER) AS quality FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)",
     "load_field_relaxation_refused": "SELECT TRUE AS raised, count(*) AS n_rows FROM labels",

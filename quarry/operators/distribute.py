@@ -8,10 +8,16 @@ of shuffling again.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
+from typing import Any
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
+
+from ..functions.columns import col
 
 STORAGE_LEVELS = {
     name: getattr(StorageLevel, name)
@@ -60,6 +66,42 @@ def persist(df: DataFrame, level: str | StorageLevel | None) -> tuple[DataFrame,
     return df, df.count()
 
 
+@dataclass
+class Observed:
+    """Counts that come with the first action on a frame."""
+
+    observation: Observation
+    columns: list[str]
+
+    def get(self) -> dict[str, Any]:
+        found = self.observation.get
+        return {"records": found["records"], "nulls": {c: found[f"nulls_{i}"] for i, c in enumerate(self.columns)}}
+
+
+def observe(df: DataFrame, null_columns: Sequence[str] = ()) -> tuple[DataFrame, Observed]:
+    """The frame with a count of its rows, and of the nulls of some columns, taken
+    as they pass: partial counts per task, merged on the driver, no shuffle and no
+    job. Filters of later steps are not pushed below the count, and the columns
+    are read."""
+    by_name = {f.name.lower(): f.name for f in df.schema.fields}
+    missing = [c for c in null_columns if c.lower() not in by_name]
+    if missing:
+        raise ValueError(f"observe_nulls: {missing} not in {df.columns}")
+    columns = [by_name[c.lower()] for c in null_columns]
+    observation = Observation(f"quarry-{uuid.uuid4().hex}")
+    counts = [F.count(F.when(col(c).isNull(), 1)).alias(f"nulls_{i}") for i, c in enumerate(columns)]
+    return df.observe(observation, F.count(F.lit(1)).alias("records"), *counts), Observed(observation, columns)
+
+
+def persist_observed(df: DataFrame, level: str | StorageLevel | None, null_columns: Sequence[str]) \
+        -> tuple[DataFrame, Observed]:
+    """Cache, and fill the cache with the action that is observed."""
+    df = df.persist((STORAGE_LEVELS[level] if isinstance(level, str) else level) or StorageLevel.MEMORY_AND_DISK)
+    seen, observed = observe(df, null_columns)
+    seen.write.format("noop").mode("overwrite").save()
+    return df, observed
+
+
 def partition_count(df: DataFrame) -> int:
     """Number of partitions of the frame's RDD.
 

@@ -381,19 +381,20 @@ def _append(spark: SparkSession, df: DataFrame, target: str, props: dict[str, st
     clustered = layout.check_clustered(aligned, clustered or catalog.csv(props.get(catalog.PROP_CLUSTERED)))
     aligned = layout.lay_out(aligned, day_col, clustered, ranges)
 
-    add_columns = ""
-    if plan.added:
-        cols = ", ".join(f"{quote(f.name)} {evolution.ddl_type(f)}" for f in plan.added)
-        add_columns = f"ALTER TABLE {target} ADD COLUMNS ({cols})"
+    grown = bool(plan.added or plan.widened)
+    if grown:
         detail["addedColumns"] = [f.name for f in plan.added]
+        detail["widenedColumns"] = sorted(plan.widened)
+        if plan.widened and not owned:
+            raise evolution.SchemaMismatch(f"{sorted(plan.widened)} gain fields, which needs a table that the engine "
+                                           f"made; {target} is not")
     if entry is not None:
         entry.write(aligned, part_cols)
-        if add_columns:
-            spark.sql(add_columns)
+        _grow(spark, target, plan)
         entry.commit()
         detail["committed"] = True
         _in_place(spark, target, entry, part_cols)
-    elif plan.added and owned:
+    elif grown and owned:
         # The engine's own parquet table: write the rows first (visible
         # only when the job commits), then widen the schema, so a failed
         # job changes neither the rows nor the schema.
@@ -403,11 +404,10 @@ def _append(spark: SparkSession, df: DataFrame, target: str, props: dict[str, st
             w = w.partitionBy(*part_cols)
         w.save(location)
         detail["committed"] = True
-        spark.sql(add_columns)
+        _grow(spark, target, plan)
         _tell_catalog(spark, target, location, part_cols)
     else:
-        if add_columns:
-            spark.sql(add_columns)
+        _grow(spark, target, plan)
         aligned.write.insertInto(target, overwrite=False)
     detail["committed"] = True
 
@@ -418,7 +418,7 @@ def _append(spark: SparkSession, df: DataFrame, target: str, props: dict[str, st
         detail["relaxedColumns"] = plan.relaxed
     if expiration not in (None, ""):
         new_props[catalog.PROP_EXPIRATION_MS] = str(expiration)
-    if plan.added:
+    if grown:
         # another shape than the one recorded: the next overwrite compares anew
         catalog.unset_properties(spark, target, [catalog.PROP_SCHEMA])
     catalog.set_properties(spark, target, new_props)
@@ -426,6 +426,15 @@ def _append(spark: SparkSession, df: DataFrame, target: str, props: dict[str, st
     return {**props, **new_props}
 
 
+def _grow(spark: SparkSession, target: str, plan: evolution.AppendPlan) -> None:
+    """Gives the table the columns, and its columns the fields, that the plan adds."""
+    if plan.widened:
+        catalog.widen_columns(spark, target, plan.widened)
+    if plan.added:
+        cols = ", ".join(f"{quote(f.name)} {evolution.ddl_type(f)}" for f in plan.added)
+        spark.sql(f"ALTER TABLE {target} ADD COLUMNS ({cols})")
+
+
 def _in_place(spark: SparkSession, target: str, entry: ledger.Entry, part_cols: list[str]) -> None:
     """Carries a committed load forward to where readers see it."""
     entry.carry_forward()

@@ -7,6 +7,9 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
+from pyspark.sql.types import DataType, StructField, StructType
+
+from ..functions.names import parts_of, quote
 
 # Fixed table-property keys the engine records on the tables it writes.
 PROP_OWNED = "quarry.owned"                      # engine made the location, may delete it
@@ -98,6 +101,19 @@ def unset_properties(spark: SparkSession, name: str, keys: list[str]) -> None:
         spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES IF EXISTS ({body})")
 
 
+def widen_columns(spark: SparkSession, name: str, kinds: dict[str, DataType]) -> None:
+    """Sets the types of columns to ones with more fields inside. SQL has no command
+    for it on parquet tables; the session catalog has. Files written before read
+    NULL for fields that they lack."""
+    session = spark._jsparkSession.sessionState()
+    table = session.sqlParser().parseTableIdentifier(".".join(quote(p) for p in parts_of(name)[-2:]))
+    fields = [StructField(f.name, kinds.get(f.name, f.dataType), f.nullable, f.metadata)
+              for f in spark.table(name).schema.fields if f.name not in set(partition_columns(spark, name))]
+    schema = spark._jvm.org.apache.spark.sql.types.DataType.fromJson(StructType(fields).json())
+    session.catalog().alterTableDataSchema(table, schema)
+    spark.catalog.refreshTable(name)
+
+
 def column_shape(spark: SparkSession, name: str) -> list[tuple]:
     """Name, type and comment of each column, plus any partition or bucket
     section, as ``DESCRIBE`` reports them: catalog metadata only, no file

@@ -8,7 +8,6 @@ and column pruning into the parquet scan.
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import Any
@@ -21,7 +20,7 @@ from ..functions.names import qualify
 from ..logs import timed
 from ..operators import distribute
 from ..streaming.guards import refuse_streaming
-from . import catalog, metadata
+from . import catalog, materialized, metadata
 
 STAGE = "extract_table"
 
@@ -31,6 +30,13 @@ class ExtractResult:
     df: DataFrame
     stats: dict[str, Any] = field(default_factory=dict)
     detail: dict[str, Any] = field(default_factory=dict)
+    observation: distribute.Observed | None = None
+
+    def observed(self) -> dict[str, Any]:
+        """``{"records": rows, "nulls": {column: nulls}}``; waits for the first action on ``df``."""
+        if self.observation is None:
+            raise ValueError("extract_table was called without observe=True")
+        return self.observation.get()
 
 
 class ViewsNotEnabled(RuntimeError):
@@ -56,6 +62,8 @@ def extract_table(
     partition_by: Sequence[str] = (),
     day_range: tuple[Any, Any] | None = None,
     persist: bool = False,
+    observe: bool = False,
+    observe_nulls: Sequence[str] = (),
     storage_level: str | None = None,
     collect_stats: bool = False,
     id: str | None = None,  # noqa: A002 -- the stage key is called id
@@ -68,9 +76,11 @@ def extract_table(
     * ``max_parallelism`` caps the scan's partitions (coalesce, no shuffle).
     * A persistent view is read only with ``views_enabled``; with a
       ``view_materialization_dataset`` its result is first written there as
-      a table and that table is read (the view then runs once). Such
-      tables expire after ``materialization_expiration_minutes``; expired
-      ones in the dataset are dropped when the next one is made.
+      a table and that table is read. While that table is current (not
+      expired, and no source of the view has changed) it is read again
+      without running the view. Such tables expire after
+      ``materialization_expiration_minutes``; see
+      :mod:`quarry.sources.materialized`.
     * ``schema_view`` (wins) or ``schema_uri`` adds column metadata.
     * ``num_partitions`` / ``partition_by`` repartition as in
       :func:`quarry.operators.distribute.repartition`.
@@ -78,6 +88,10 @@ def extract_table(
       written by ``load_table``; the filter is on the partition column, so
       only those partitions are listed and read.
     * ``persist`` caches and counts; ``stats['records']`` is then set.
+    * ``observe`` counts the rows, and the nulls of ``observe_nulls``, while the
+      first action on ``df`` (or on a view of it that keeps all its rows) runs;
+      the result's :meth:`ExtractResult.observed` then has them, without a job
+      of their own. With ``persist`` that action is the one that fills the cache.
     * ``stats['num_partitions']`` is always there for a table that is not
       repartitioned by key alone (an explicit ``num_partitions``, or the
       planned scan's). For views and key-only repartitioning it would mean
@@ -99,6 +113,8 @@ def extract_table(
     for k, v in (("immutable_view", immutable_view), ("views_enabled", views_enabled),
                  ("persist", persist), ("collect_stats", collect_stats)):
         chk.boolean(k, v)
+    chk.boolean("observe", observe)
+    chk.require(observe or not observe_nulls, "observe_nulls needs observe=True")
     chk.require(all(isinstance(c, str) and c for c in partition_by),
                 f"partition_by must be column names, got {partition_by!r}")
     chk.require(storage_level is None or storage_level in distribute.STORAGE_LEVELS,
@@ -130,8 +146,9 @@ def extract_table(
                 if not views_enabled:
                     raise ViewsNotEnabled(f"{target} is a view; reading views needs views_enabled=True")
                 if view_materialization_dataset:
-                    df = _materialize(spark, df, view_materialization_project, view_materialization_dataset,
-                                      materialization_expiration_minutes, detail)
+                    df = materialized.materialize(spark, target, view_materialization_project,
+                                                  view_materialization_dataset, materialization_expiration_minutes,
+                                                  detail)
             elif kind != "TEMPORARY":
                 df = _day_partitions(spark, target, df, day_range)
 
@@ -146,6 +163,9 @@ def extract_table(
             df = distribute.cap_parallelism(df, max_parallelism)
             df = distribute.repartition(df, num_partitions, partition_by)
 
+            observation = None
+            if observe and not persist:
+                df, observation = distribute.observe(df, observe_nulls)
             if output_view:
                 if immutable_view:
                     df.createTempView(output_view)
@@ -153,7 +173,10 @@ def extract_table(
                     df.createOrReplaceTempView(output_view)
 
             stats: dict[str, Any] = {"output_columns": len(df.schema)}
-            if persist:
+            if persist and observe:
+                df, observation = distribute.persist_observed(df, storage_level, observe_nulls)
+                stats["records"] = observation.get()["records"]
+            elif persist:
                 df, stats["records"] = distribute.persist(df, storage_level)
             if collect_stats or persist:
                 stats["num_partitions"] = distribute.partition_count(df)
@@ -166,42 +189,13 @@ def extract_table(
                 detail["records"] = stats["records"]
             if "num_partitions" in stats:
                 detail["numPartitions"] = stats["num_partitions"]
-            return ExtractResult(df, stats, detail)
+            return ExtractResult(df, stats, detail, observation)
     except StageError:
         raise
     except Exception as exc:  # every failure carries the stage detail
         raise wrap(STAGE, detail, exc) from exc
 
 
-_MATERIALIZED_PREFIX = "_quarry_view_"
-
-
-def _materialize(spark: SparkSession, df: DataFrame, project: str | None, dataset: str,
-                 expiration_minutes: int, detail: dict) -> DataFrame:
-    """Write the view's result once as a table in ``dataset`` and read that."""
-    _drop_expired_materializations(spark, project, dataset)
-    target = qualify(f"{_MATERIALIZED_PREFIX}{uuid.uuid4().hex[:16]}", dataset, project)
-    expires = dt.datetime.now(dt.timezone.utc) + dt.timedelta(minutes=expiration_minutes)
-    # the expiry is part of the table's creation: a driver lost right after leaves no table without one
-    df.writeTo(target).using("parquet").tableProperty(catalog.PROP_EXPIRES_AT, expires.isoformat()).create()
-    detail["materializationExpiresAt"] = expires.isoformat()
-    detail["materializedAs"] = target
-    return spark.table(target)
-
-
-def _drop_expired_materializations(spark: SparkSession, project: str | None, dataset: str) -> None:
-    """Catalog-only sweep: names by pattern, then each candidate's expiry."""
-    ns = qualify("x", dataset, project).rsplit(".", 1)[0]
-    now = dt.datetime.now(dt.timezone.utc)
-    for row in spark.sql(f"SHOW TABLES IN {ns} LIKE '{_MATERIALIZED_PREFIX}*'").collect():
-        if row["isTemporary"]:
-            continue
-        name = f"{ns}.`{row['tableName']}`"
-        expires = catalog.properties(spark, name).get(catalog.PROP_EXPIRES_AT)
-        if expires and dt.datetime.fromisoformat(expires) <= now:
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
-
-
 def _day_partitions(spark: SparkSession, target: str, df: DataFrame,
                     day_range: tuple[Any, Any] | None) -> DataFrame:
     """Prune to ``day_range`` and hide a derived day column.
