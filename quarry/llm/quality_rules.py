@@ -43,6 +43,8 @@ FLOOR = (0.05, 0.25, 0.25, 0.25, 0.25)
 SHARE = 0.75
 STEPS = 3
 GROUP_ROWS = 200
+#: Rows of a table with one row per group, of some twenty numbers, that may be broadcast: 16 MB at most.
+BROADCAST_GROUPS = 100_000
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -134,9 +136,17 @@ def _root(estimate: DataFrame) -> DataFrame:
     return estimate.drop(*[f"c{i}{j}" for i, j in _pairs()])
 
 
+def _beside(rows: DataFrame, per_group: DataFrame) -> DataFrame:
+    """``rows`` with what ``per_group`` (stored) has of their group. Up to
+    ``BROADCAST_GROUPS`` groups, counted here, that table goes to the rows; beyond,
+    the join is left to adaptive execution, which splits a hot group."""
+    few = per_group.count() <= BROADCAST_GROUPS
+    return rows.join(F.broadcast(per_group) if few else per_group, "group")
+
+
 def _measured(rows: DataFrame, estimate: DataFrame) -> DataFrame:
     """Adds d2, the squared distance of each row by its group's estimate."""
-    out = rows.join(estimate, "group")
+    out = _beside(rows, estimate)
     for i, f in enumerate(FEATURES):
         y = F.col(f) - F.col(f"m{i}")
         for j in range(i):
@@ -159,7 +169,7 @@ def estimates(rows: DataFrame) -> DataFrame:
     spark = rows.sparkSession
     middle = rows.groupBy("group").agg(*[_quantile(f, 0.5).alias(f"m{i}") for i, f in enumerate(FEATURES)])
     middle = stored(spark, middle, "mcd-middle")
-    spread = rows.join(middle, "group").groupBy("group").agg(*[
+    spread = _beside(rows, middle).groupBy("group").agg(*[
         F.pow(1.4826 * _quantile(F.abs(F.col(f) - F.col(f"m{i}")), 0.5), 2).alias(f"c{i}{i}")
         for i, f in enumerate(FEATURES)])
     start = middle.join(spread, "group").withColumns({f"c{i}{j}": F.lit(0.0) for i, j in _pairs() if i != j})
@@ -167,7 +177,7 @@ def estimates(rows: DataFrame) -> DataFrame:
     for _ in range(STEPS):
         measured = _measured(rows, estimate)
         near = stored(spark, measured.groupBy("group").agg(_quantile(_log("d2"), SHARE).alias("near")), "mcd-near")
-        inner = measured.join(near, "group").where(F.round(_log("d2"), 3) <= F.col("near"))
+        inner = _beside(measured, near).where(F.round(_log("d2"), 3) <= F.col("near"))
         moments = inner.groupBy("group").agg(
             *[F.avg(f).alias(f"m{i}") for i, f in enumerate(FEATURES)],
             *[F.avg(F.col(FEATURES[i]) * F.col(FEATURES[j])).alias(f"s{i}{j}") for i, j in _pairs()])
@@ -187,9 +197,10 @@ def judged(docs: DataFrame, *keep: str) -> DataFrame:
     sound = rows.where(~F.col("base_failed")).select(own.alias("group"), *FEATURES)
     large = stored(spark, sound.groupBy("group").count().where(F.col("count") >= GROUP_ROWS).select("group"), "groups")
     pooled = sound.withColumn("group", F.lit("all"))
-    found = estimates(sound.join(large, "group").unionByName(pooled))
-    grouped = (rows.withColumn("own", own).join(large.select(F.col("group").alias("own"), F.lit(True).alias("is_large")),
-                                                "own", "left")
+    found = estimates(_beside(sound, large).unionByName(pooled))
+    named = large.select(F.col("group").alias("own"), F.lit(True).alias("is_large"))
+    grouped = (rows.withColumn("own", own)
+               .join(F.broadcast(named) if large.count() <= BROADCAST_GROUPS else named, "own", "left")
                .withColumn("group", F.when(F.col("is_large"), F.col("own")).otherwise(F.lit("all")))
                .drop("own", "is_large"))
     scaled = found.withColumns({f"l{i}{j}": F.col(f"l{i}{j}") * F.sqrt(F.col("middle_d2") / CHI2_MEDIAN)
