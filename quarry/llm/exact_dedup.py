@@ -1,13 +1,16 @@
 """Exact dedup of arriving batches against immutable snapshots.
 
-A snapshot holds the distinct texts of the batches before it: *exact buckets*
+A snapshot holds the distinct texts that a batch brought: *exact buckets*
 (shard, digest, text) and one static binary-fuse filter per shard over the
 digests, both written once and never changed. Of an arriving batch, digests
 are grouped among themselves first; each distinct one is then screened by the
-filter of its shard. What the filter rejects is new for certain; what it lets
-through (true copies, and about 2**-16 of the others) joins the exact buckets.
-Texts under one digest are then compared byte by byte, within the batch and
-against the buckets; should two differ, their rows are grouped by text instead.
+filter of its shard, snapshot by snapshot. What a filter rejects is new to that
+snapshot for certain, and is looked for no further there; what it lets through
+(true copies, and about 2**-16 of the others) joins the exact buckets, and those
+found there extend the group of that snapshot. The others start groups of their
+own. Texts under one digest are then compared byte by byte, within the batch
+and against the buckets; should two differ, their rows are grouped by text
+instead.
 
 Defined cases: a null text counts as empty; nothing else is normalised. Of
 equal texts the row with the largest ``doc_id`` stays (null sorts lowest); if
@@ -17,8 +20,11 @@ results; other columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -136,23 +142,43 @@ def snapshot(rows: DataFrame, groups: DataFrame, shard_rows: int = SHARD_ROWS) -
 
 
 def screen(groups: DataFrame, snap: Snapshot, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """The digests of ``groups`` (distinct) that the filters of ``snap`` let
-    through. A shard's digests are dealt over as many tasks as their number asks for."""
+    """``groups`` (one row per digest), each with ``passed``: whether the filters of
+    ``snap`` let its digest through. A shard's digests are dealt over as many tasks
+    as their number asks for."""
     parts = max(1, -(-groups.count() // (snap.shards * shard_rows)))
-    arriving = groups.select("digest", shard_of(snap.shards).alias("shard"),
+    arriving = groups.select("digest", "keep_id", "group_size", shard_of(snap.shards).alias("shard"),
                              F.pmod(F.xxhash64("digest", F.lit(2)), F.lit(parts)).cast("int").alias("part"),
                              F.xxhash64("digest", F.lit(1)).alias("key"))
     filters = snap.filters.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
 
-    def probe(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return left[["digest"]].iloc[:0]
-        f = right.iloc[0]
-        return left.loc[probe_filter(left["key"].to_numpy().view(np.uint64), int(f["seed"]), int(f["segment"]),
-                                     int(f["segments"]), f["prints"]), ["digest"]]
+    def probe(left: pa.Table, right: pa.Table) -> pa.Table:
+        keys = left["key"].to_numpy().view(np.uint64)
+        if right.num_rows and left.num_rows:
+            f = right.to_pylist()[0]
+            passed = probe_filter(keys, f["seed"], f["segment"], f["segments"], f["prints"])
+        else:  # the snapshot has nothing in this shard
+            passed = np.zeros(len(keys), bool)
+        return left.select(["digest", "keep_id", "group_size"]).append_column("passed", pa.array(passed, pa.bool_()))
 
+    kind = groups.schema["keep_id"].dataType.simpleString()
     return (arriving.groupBy("shard", "part").cogroup(filters.groupBy("shard", "part"))
-            .applyInPandas(probe, "digest string"))
+            .applyInArrow(probe, f"digest string, keep_id {kind}, group_size long, passed boolean"))
+
+
+def homes(groups: DataFrame, snaps: list[Snapshot], own: int, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """``groups`` with ``home``: the number of the snapshot whose buckets hold the
+    digest, else ``own``. Only what a filter lets through is joined to buckets."""
+    found, left = [], groups
+    for number, snap in enumerate(snaps):
+        seen = stored(groups.sparkSession, screen(left, snap, shard_rows), "screened")
+        let_through = seen.where("passed").drop("passed")
+        held = let_through.join(snap.buckets.select("digest", F.lit(number).alias("home")), "digest", "left")
+        found.append(held.where("home IS NOT NULL"))
+        left = seen.where("NOT passed").drop("passed").unionByName(held.where("home IS NULL").drop("home"))
+    out = left.withColumn("home", F.lit(own))
+    for one in found:  # false positives have ended here
+        out = out.unionByName(one)
+    return stored(groups.sparkSession, out, "homes")
 
 
 def dedup(batches: list[DataFrame], digest=digest_of, shard_rows: int = SHARD_ROWS) -> DataFrame:
@@ -161,51 +187,47 @@ def dedup(batches: list[DataFrame], digest=digest_of, shard_rows: int = SHARD_RO
     frozen as a snapshot."""
     spark = batches[0].sparkSession
     snaps: list[Snapshot] = []
-    all_pairs, suspects = [], []
+    pairs, members, texts = [], [], []
     for k, batch in enumerate(batches):
         rows = rows_of(batch, digest)
-        pairs = stored(spark, pairs_of(rows), "pairs")
-        groups = groups_of(pairs)
-        known = [stored(spark, screen(groups, s, shard_rows), "screened") for s in snaps]
+        own = stored(spark, pairs_of(rows), "pairs")
+        placed = homes(groups_of(own), snaps, k, shard_rows)
         # rows whose digest others share, here or in a snapshot: their bytes are compared
-        shared = groups.where("group_size > 1").select("digest")
-        for s, let_through in zip(snaps, known, strict=True):
-            hit = s.buckets.join(let_through, "digest", "left_semi")  # false positives end here
-            shared = shared.union(hit.select("digest"))
-            suspects.append(hit.select("digest", "text"))
-        suspects.append(rows.join(shared, "digest", "left_semi").select("digest", "text"))
-        all_pairs.append(pairs)
+        shared = placed.where((F.col("group_size") > 1) | (F.col("home") < k)).select("digest")
+        texts.append(rows.join(shared, "digest", "left_semi").select("digest", "text"))
+        for number, snap in enumerate(snaps):
+            hit = placed.where(F.col("home") == number).select("digest")
+            texts.append(snap.buckets.join(hit, "digest", "left_semi").select("digest", "text"))
+        pairs.append(own.withColumn("batch", F.lit(k)))
+        members.append(placed.withColumn("batch", F.lit(k)))
         if k < len(batches) - 1:
-            fresh = groups
-            for s, let_through in zip(snaps, known, strict=True):
-                fresh = fresh.join(s.buckets.join(let_through, "digest", "left_semi").select("digest"),
-                                   "digest", "left_anti")
-            snaps.append(snapshot(rows, fresh, shard_rows))
-    pairs, texts = all_pairs[0], suspects[0]
-    for p in all_pairs[1:]:
-        pairs = pairs.unionByName(p)
-    for s in suspects[1:]:
-        texts = texts.unionByName(s)
+            snaps.append(snapshot(rows, placed.where(F.col("home") == k), shard_rows))
+    every, member, text = (reduce(DataFrame.unionByName, x) for x in (pairs, members, texts))
     # a digest whose smallest and largest text differ stands for more than one text
-    mixed_up = stored(spark, texts.groupBy("digest").agg(F.min("text").alias("low"), F.max("text").alias("high"))
+    mixed_up = stored(spark, text.groupBy("digest").agg(F.min("text").alias("low"), F.max("text").alias("high"))
                       .where("low <> high").select("digest"), "mixed")
     out = ["doc_id", "keep_id", "group_size", "kept", "digest"]
     if mixed_up.isEmpty():
-        return _decided(pairs, "digest").select(out)
-    plain = pairs.join(mixed_up, "digest", "left_anti")
-    again = rows_of(batches[0], digest)
-    for b in batches[1:]:
-        again = again.unionByName(rows_of(b, digest))
+        return _decided(every, member).select(out)
+    plain = _decided(every.join(mixed_up, "digest", "left_anti"), member).select(out)
+    again = reduce(DataFrame.unionByName, [rows_of(b, digest) for b in batches])
     again = (again.join(mixed_up, "digest", "left_semi")
              .groupBy("digest", "text", "doc_id").agg(F.count("*").alias("repeats")))
-    return _decided(plain, "digest").select(out).unionByName(_decided(again, "digest", "text").select(out))
+    return plain.unionByName(_laid_out(again.join(groups_of(again, "text"), ["digest", "text"])).select(out))
+
+
+def _decided(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """Every row with its group: what each batch has of a digest, added up by the
+    snapshot that the digest is at home in."""
+    whole = members.groupBy("home", "digest").agg(F.max("keep_id").alias("keep_id"),
+                                                  F.sum("group_size").alias("group_size"))
+    groups = members.select("batch", "home", "digest").join(whole, ["home", "digest"])
+    return _laid_out(pairs.join(groups.drop("home"), ["batch", "digest"]))
 
 
-def _decided(pairs: DataFrame, *by: str) -> DataFrame:
-    """Every row with its group; of the repeats of the row that stays, the first is kept."""
-    groups = groups_of(pairs, *by[1:])
-    joined = pairs.join(groups, list(by))
-    copies = joined.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("repeats"))))
+def _laid_out(pairs: DataFrame) -> DataFrame:
+    """A row for each repeat; of the repeats of the row that stays, the first is kept."""
+    copies = pairs.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("repeats"))))
     return copies.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1))
 
 

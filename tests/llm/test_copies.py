@@ -58,6 +58,21 @@ def test_three_batches(documents):
     assert Counter((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in got) == want_exact(rows_of(documents))
 
 
+def test_the_filters_decide(documents, monkeypatch):
+    """Filters that reject every digest leave copies across batches apart; ones that
+    let every digest through change nothing, as the buckets decide then."""
+    want = want_exact(rows_of(documents))
+
+    def groups():
+        got = exact_dedup.dedup(exact_dedup.arrivals(documents), shard_rows=20).collect()
+        return Counter((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in got)
+
+    monkeypatch.setattr(exact_dedup, "probe_filter", lambda keys, *_: keys == keys)
+    assert groups() == want
+    monkeypatch.setattr(exact_dedup, "probe_filter", lambda keys, *_: keys != keys)
+    assert groups() != want
+
+
 def test_exact_kept_rows(odd, empty):
     kept = exact_dedup.kept_rows(odd)
     assert kept.columns == odd.columns
