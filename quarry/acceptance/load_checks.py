@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import extract_table, load_table
 from ..errors import StageError
+from ..sinks import upkeep
 from ..sinks.load import TableExists, TableMissing
 from ..sources import catalog
 from .workspace import Workspace
@@ -170,6 +171,29 @@ def load_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.count(F.when(F.col("overlaps"), 1)).alias("overlapping_files"))
 
 
+def load_reclustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A clustered table that an append has overlapped, after its upkeep: all
+    rows, no overlap, and the files that overlapped nothing by their old names."""
+    ws = Workspace(spark, sf_dir, "load_reclustered")
+    name = ws.table("orders_clustered")
+    load_table(spark, ws.view(ws.read("orders"), "orders"), "orders_clustered", dataset=ws.db,
+               clustered_fields="o_custkey", clustered_ranges=12)
+    middle = ws.read("customer").agg(F.max("c_custkey")).first()[0] // 2
+    upper = ws.read("orders").where((F.col("o_custkey") > middle) & (F.col("o_orderstatus") == "F"))
+    load_table(spark, ws.view(upper, "upper"), "orders_clustered", dataset=ws.db, save_mode="Append")
+    ranges = upkeep.file_ranges(spark.table(name), ["o_custkey"], [])
+    before = {r["file"]: r["lo"] for r in ranges.collect()}
+    hit = {r["file"] for r in upkeep.overlapping(ranges).collect()}
+    done = upkeep.recluster(spark, "orders_clustered", dataset=ws.db)
+    ranges = upkeep.file_ranges(spark.table(name), ["o_custkey"], [])
+    after = {r["file"] for r in ranges.collect()}
+    left = upkeep.overlapping(ranges).count()
+    return _read_back(spark, ws, "orders_clustered").select(
+        "o_orderkey", "o_custkey", F.lit(left).cast("int").alias("overlapping_files"),
+        F.lit(0 < done["overlapping"] == len(hit) < len(before)).alias("some_rewritten"),
+        F.lit(before.keys() - hit <= after and not hit & after).alias("others_untouched"))
+
+
 def overlapping(ranges: DataFrame, lo: str, hi: str, scratch: str) -> DataFrame:
     """Flag each range whose start lies before the end of a range that starts
     earlier (ties broken by end), without sending all ranges to one task.
@@ -315,6 +339,7 @@ QUERIES = {
     "load_overwrite_metadata": load_overwrite_metadata,
     "load_expired": load_expired,
     "load_clustered": load_clustered,
+    "load_reclustered": load_reclustered,
     "load_field_addition": load_field_addition,
     "load_field_addition_nested": load_field_addition_nested,
     "load_field_addition_refused": load_field_addition_refused,
@@ -339,6 +364,7 @@ ORACLE = {
     "load_overwrite_partitioned": "SELECT CAST(ts AS DATE) AS day, count(*) AS n_rows, 'event_id,ts,user_id,event_type,value,props' AS columns FROM events WHERE CAST(ts AS DATE) > DATE '2024-01-21' GROUP BY 1",
     "load_overwrite_metadata": "SELECT o_orderkey, o_totalprice, 'second' AS description FROM orders",
     "load_clustered": "SELECT count(*) AS n_rows, TRUE AS many_files, CAST(0 AS BIGINT) AS overlapping_files FROM orders",
+    "load_reclustered": "WITH m AS (SELECT max(c_custkey) // 2 AS m FROM customer) SELECT o_orderkey, o_custkey, 0 AS overlapping_files, TRUE AS some_rewritten, TRUE AS others_untouched FROM (SELECT o_orderkey, o_custkey FROM orders UNION ALL SELECT o_orderkey, o_custkey FROM orders, m WHERE o_custkey > m AND o_orderstatus = 'F')",
     "load_field_addition": "SELECT doc_id, lang, CAST(NULL AS BIGINT) AS n_chars FROM documents WHERE lang = 'de' UNION ALL SELECT doc_id, lang, n_chars FROM documents WHERE lang <> 'de'",
     "load_field_addition_nested": "SELECT o_orderkey, o_totalprice, CASE WHEN o_orderstatus = 'O' THEN o_orderpriority END AS o_orderpriority, CASE WHEN o_orderstatus = 'O' THEN o_orderpriority END AS in_array FROM orders",
     "load_field_addition_refused": "SELECT TRUE AS raised, count(*) AS n_rows FROM documents WHERE lang = 'de'",

@@ -40,6 +40,8 @@ MAX_CLUSTERED_FIELDS = 4
 NARROW = (NumericType, DateType, TimestampType, TimestampNTZType, BooleanType)
 #: An estimate of a join can be far above its size: no more ranges than this (100 TB at 1 GB).
 _MAX_RANGES = 100_000
+#: An exabyte: what Spark says of rows whose size it doesn't know, and of joins with them.
+_NO_ESTIMATE = 1 << 60
 _TIEBREAK = "__quarry_row"
 _DAY_MICROS = 86_400_000_000
 
@@ -109,8 +111,9 @@ def range_count(df: DataFrame) -> int | None:
     conf = df.sparkSession.conf
     initial = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
     count = int(initial or conf.get("spark.sql.shuffle.partitions"))
-    wanted = math.ceil(estimated_bytes(df) / advisory_bytes(df))
-    return min(wanted, _MAX_RANGES) if wanted > count else None
+    estimate = estimated_bytes(df)
+    wanted = math.ceil(estimate / advisory_bytes(df))
+    return min(wanted, _MAX_RANGES) if wanted > count and estimate < _NO_ESTIMATE else None
 
 
 def estimated_bytes(df: DataFrame) -> int:

@@ -25,7 +25,7 @@ from ..logs import timed
 from ..operators import evolution, layout
 from ..sources import catalog, files
 from ..streaming.guards import refuse_streaming
-from . import expiry, ledger, staging
+from . import expiry, ledger, staging, upkeep
 
 STAGE = "load_table"
 SAVE_MODES = ("Append", "ErrorIfExists", "Ignore", "Overwrite")
@@ -340,12 +340,13 @@ def _append(spark: SparkSession, df: DataFrame, target: str, props: dict[str, st
     """Insert into the existing table, under its lease, evolving its schema as
     allowed; returns the table's properties after the append."""
     owned = props.get(catalog.PROP_OWNED) == "true"
-    spark.catalog.refreshTable(target)  # another session may have moved it
     entry = None
     if owned and catalog.PROP_UID in props:
         root, at = staging.default_staging_root(spark, target), catalog.location(spark, target)
+        upkeep.carry_forward(spark, at)
         for left in ledger.unfinished(spark, root, props[catalog.PROP_UID], at):
             _in_place(spark, target, left, catalog.partition_columns(spark, target))
+    spark.catalog.refreshTable(target)  # another session may have moved it
     if load_id is not None:
         if not owned:
             raise ValueError(f"load_id needs a table that the engine made, {target} is not")

@@ -1,0 +1,138 @@
+"""Upkeep of clustered tables: overlaps, what stays, and swaps that break off."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from quarry import StageError, load_table
+from quarry.sinks import upkeep
+from quarry.sources import catalog, files
+
+
+def clustered(spark, ws, days=False):
+    base = spark.range(4000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("v"),
+                                    F.expr("DATE'2024-01-01' + CAST(id % 3 AS INT)").alias("d"))
+    more = {"partition_field": "d"} if days else {}
+    load_table(spark, ws.view(base, "base"), "t", dataset=ws.db, clustered_fields="k", clustered_ranges=8, **more)
+    return base
+
+
+def names(spark, ws):
+    return set(files.data_files(spark, catalog.location(spark, ws.table("t"))))
+
+
+def overlaps(spark, ws):
+    days = catalog.partition_columns(spark, ws.table("t"))
+    spark.catalog.refreshTable(ws.table("t"))
+    return upkeep.overlapping(upkeep.file_ranges(spark.table(ws.table("t")), ["k"], days)).count()
+
+
+def rows(spark, ws):
+    return sorted(map(tuple, spark.table(ws.table("t")).select("k", "v", "d").collect()))
+
+
+@pytest.mark.parametrize("days", [False, True])
+def test_only_overlapping_files_are_rewritten(spark, ws, days):
+    base = clustered(spark, ws, days)
+    assert upkeep.recluster(spark, "t", dataset=ws.db)["overlapping"] == 0
+    old = names(spark, ws)
+    extra = base.where("k > 3000 AND d = DATE'2024-01-02'")
+    load_table(spark, ws.view(extra, "extra"), "t", dataset=ws.db, save_mode="Append")
+    assert overlaps(spark, ws) > 1
+    want = rows(spark, ws)
+    done = upkeep.recluster(spark, "t", dataset=ws.db)
+    assert overlaps(spark, ws) == 0 and rows(spark, ws) == want
+    assert done["overlapping"] < done["files"] and done["components"] >= 1
+    kept = old & names(spark, ws)
+    assert len(kept) >= len(old) - done["overlapping"] + 1 and kept
+    if days:  # other days are as they were
+        assert {n for n in old if "d=2024-01-02" not in n} <= names(spark, ws)
+    assert upkeep.recluster(spark, "t", dataset=ws.db)["overlapping"] == 0
+
+
+def test_two_components_do_not_span_what_lies_between(spark, ws):
+    base = clustered(spark, ws)
+    old = names(spark, ws)
+    ends = base.where("k < 200 OR k > 3800").repartition(1)
+    for part in ("k < 200", "k > 3800"):
+        load_table(spark, ws.view(ends.where(part), "ends"), "t", dataset=ws.db, save_mode="Append", clustered_fields="k",
+                   clustered_ranges=1)
+    done = upkeep.recluster(spark, "t", dataset=ws.db)
+    assert done["components"] == 2 and overlaps(spark, ws) == 0
+    assert len(old & names(spark, ws)) == 6  # of eight, those between the first and the last
+
+
+@pytest.mark.parametrize("moves", [1, 2, 4])
+@pytest.mark.parametrize("by", ["recluster", "append"])
+def test_a_swap_that_broke_off_is_carried_forward(spark, ws, monkeypatch, moves, by):
+    class Killed(BaseException):
+        pass
+
+    base = clustered(spark, ws)
+    load_table(spark, ws.view(base.where("k % 2 = 0"), "even"), "t", dataset=ws.db, save_mode="Append")
+    want, done, move = rows(spark, ws), [0], upkeep._move
+
+    def broken(*a):
+        done[0] += 1
+        if done[0] > moves:
+            raise Killed
+        move(*a)
+
+    with monkeypatch.context() as m:
+        m.setattr(upkeep, "_move", broken)
+        with pytest.raises(Killed):
+            upkeep.recluster(spark, "t", dataset=ws.db)
+    if by == "append":
+        one = base.where("k = 5")
+        load_table(spark, ws.view(one, "one"), "t", dataset=ws.db, save_mode="Append")
+        want = sorted([*want, tuple(one.first())])
+    else:
+        upkeep.recluster(spark, "t", dataset=ws.db)
+    assert rows(spark, ws) == want
+
+
+def test_what_was_not_committed_goes(spark, ws, monkeypatch):
+    base = clustered(spark, ws)
+    load_table(spark, ws.view(base.where("k % 2 = 0"), "even"), "t", dataset=ws.db, save_mode="Append")
+    want, old = rows(spark, ws), names(spark, ws)
+    with monkeypatch.context() as m:
+        m.setattr(upkeep, "_commit", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(StageError):
+            upkeep.recluster(spark, "t", dataset=ws.db)
+    assert rows(spark, ws) == want and names(spark, ws) == old
+    assert upkeep.recluster(spark, "t", dataset=ws.db)["overlapping"] > 1 and rows(spark, ws) == want
+    assert files.list_children(spark, f"{catalog.location(spark, ws.table('t'))}/{upkeep.FOLDER}") == []
+
+
+def test_only_clustered_tables(spark, ws):
+    load_table(spark, ws.view(spark.range(3), "r"), "t", dataset=ws.db)
+    with pytest.raises(StageError):
+        upkeep.recluster(spark, "t", dataset=ws.db)
+
+
+def test_components_against_brute_force(spark):
+    r = random.Random(4)
+    spans = []
+    for k in range(60):
+        lo = r.randrange(300)
+        spans.append((f"f{k:02}", r.choice(["a", "b", None]), lo, lo + r.choice([0, 0, 1, 5, 20])))
+    df = spark.createDataFrame(spans, "file string, day string, lo int, hi int")
+    got = {x["file"]: x["component"] for x in upkeep.overlapping(df).collect()}
+    parent = {s[0]: s[0] for s in spans}
+
+    def find(x):
+        return x if parent[x] == x else find(parent[x])
+
+    for a in spans:
+        for b in spans:
+            if a[0] < b[0] and a[1] == b[1] and a[2] < b[3] and b[2] < a[3]:
+                parent[find(a[0])] = find(b[0])
+    groups = {}
+    for s in spans:
+        groups.setdefault(find(s[0]), set()).add(s[0])
+    inside = {f for f, *_ in got.items()}
+    # a point that lies strictly inside a range is in its component; one that touches an end need not be
+    for members in groups.values():
+        if len(members) > 1:
+            assert members <= inside and len({got[f] for f in members}) == 1
