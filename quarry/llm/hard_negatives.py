@@ -236,11 +236,13 @@ def mined(rows: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embeddi
     left = (anchor_blocks.withColumn("part", F.shiftright("block", 32).cast("int"))
             .withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))))
     columns = [*anchor_blocks.columns, *[c for c in right.columns if c.startswith("r_")]]
+    # laid out over the grid either side is larger than Spark's estimate of it, so neither is broadcast
+    left = left.hint("merge")
     cells = left.join(right, ["part", "slice"])
     positives = stored(spark, _first_of_anchor(cells.select(columns).mapInArrow(positive_pairs, PAIRS)),
                        "negatives-positives")
     by_block = positives.groupBy("block").agg(F.collect_list(F.struct("at", "score")).alias("positives"))
-    negatives = (left.join(by_block, "block").join(right, ["part", "slice"]).select(*columns, "positives")
+    negatives = (left.join(by_block, "block").hint("merge").join(right, ["part", "slice"]).select(*columns, "positives")
                  .mapInArrow(negative_pairs, PAIRS))
     keys = positives.unionByName(negatives).rdd.map(lambda p: (sort_key(*p), None))
     found = keys.repartitionAndSortWithinPartitions(parallel, by_anchor).mapPartitions(windows)

@@ -14,13 +14,17 @@ distance to it (the parse), then by their bytes, eight at a time, in corpus
 order; a suffix that has become alone leaves the sort, and those that share all
 ``WINDOW`` bytes with a neighbour are repeats.
 
-Bytes are compared in full; only windows of triggers shared by very many chunks
-are compared by 128-bit hashes (see ``anchored``).
+The suffixes of different stretches are compared by their bytes. Two things are
+told apart by hashes: a stretch that occurs twice, by a 64-bit hash of its bytes
+and length, and windows of triggers that more than ``HOT_CHUNKS`` chunks share,
+by 128 bits (see ``anchored``). No suffix array of the parse or of the
+dictionary is built.
 
 Defined cases: a null text counts as empty; a null ``doc_id`` is kept; repeated
 rows are copies of each other like any equal texts; other columns are ignored
 (or carried along by ``deduplicated``). A cut that splits a character drops the
 rest of that character from the returned text, but not from ``kept`` (bytes).
+A text of 2**28 bytes or more is an error (``ValueError``).
 """
 
 from __future__ import annotations
