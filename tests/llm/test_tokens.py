@@ -48,6 +48,25 @@ def test_sentencepiece_equals_the_library(documents, odd):
     assert own.decode(broken) == library.decode(broken)
 
 
+def test_parts_encoded_together_equal_the_library(documents, odd):
+    """Also with a memory that overruns, parts too long for the table and characters outside it."""
+    import sentencepiece
+
+    path = tokenizer("piece_bpe_32k.model")
+    table = sentencepiece_prefix.PartTable(sentencepiece_prefix.PrefixEncoder(path), remember=500)
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    assert table.encoder.cuts_at_signs
+    r = random.Random(2)
+    bits = ["a", "B", " ", "  ", "\n", "é", "ß", "ał", "12", "!", "...", "\x1c", "😀", "▁", "ing", "the ", "tion", "×", "q" * 60]
+    fuzz = ["".join(r.choice(bits) for _ in range(r.randrange(25))) for _ in range(1500)]
+    texts = TRICKY + fuzz + texts_of(documents) + texts_of(odd)
+    for at in range(0, len(texts), 97):
+        for text, (packed, raw) in zip(texts[at:at + 97], table.texts(texts[at:at + 97])):
+            ids = list(struct.unpack(f"<{len(packed) // 4}i", packed))
+            assert ids == library.encode(text)
+            assert table.encoder.shown(raw, ids[:1]) == library.decode(ids)
+
+
 def test_encode_decode_keeps_every_row(odd, empty):
     out = sentencepiece_prefix.encode_decode(odd, tokenizer("piece_bpe_32k.model")).collect()
     assert Counter(r["doc_id"] for r in out) == Counter(r["doc_id"] for r in odd.collect())
