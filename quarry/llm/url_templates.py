@@ -1,10 +1,10 @@
 """URL filter: rules by host and path, and for the rest a path-template tree,
 in DataFrame functions only.
 
-The tree is grown per host, one path segment at a time. Below a node, a
-segment that a fair share of the node's urls have (``LITERAL_SHARE``, and
-``LITERAL_ROWS`` of them) stays as it is; all others are variable and become
-the wildcard ``*``. Segments below ``DEPTH`` are one wildcard ``**``. Urls that a
+The tree is grown per host, one path segment at a time, from distinct paths:
+repeating rows changes nothing. Below a node, a segment that a fair share of the
+node's paths have (``LITERAL_SHARE``) stays as it is; all others are variable and
+become the wildcard ``*``. Segments below ``DEPTH`` are one wildcard ``**``. Urls that a
 rule fits are the labels. Branches of one parent whose share of allowed urls
 doesn't differ from that of all of them together (a test of proportions at
 ``SIMILAR`` standard errors) are merged and judged as one. A template is
@@ -16,7 +16,8 @@ that has a third of all urls is counted with map-side aggregation.
 
 Defined cases: a url that is null or lacks ``://`` has an empty host and path,
 fits no rule and is judged with the others of the empty host; a null
-``page_id`` is kept; repeated rows count each; other columns are ignored.
+``page_id`` is kept; repeated rows each get their row and count once in the tree;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +30,6 @@ from pyspark.sql import functions as F
 from .common import stored
 
 DEPTH = 4
-LITERAL_ROWS = 10
 LITERAL_SHARE = 0.02
 SIMILAR = 2.0
 PURITY = 0.3
@@ -68,10 +68,9 @@ def templates(rows: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     for d in range(1, DEPTH + 1):
         node = f"node{d - 1}"
         below = grown.where(_segment(d).isNotNull())
-        each = below.groupBy(node, _segment(d).alias("s")).agg(F.count("*").alias("n"))
-        total = below.groupBy(node).agg(F.count("*").alias("of"))
-        found = (each.join(total, node)
-                 .where((F.col("n") >= LITERAL_ROWS) & (F.col("n") >= LITERAL_SHARE * F.col("of")))
+        each = below.groupBy(node, _segment(d).alias("s")).agg(F.count_distinct("path").alias("n"))
+        total = each.groupBy(node).agg(F.sum("n").alias("of"))
+        found = (each.join(total, node).where(F.col("n") >= LITERAL_SHARE * F.col("of"))
                  .select(F.col(node).alias("at"), "s"))
         found = stored(rows.sparkSession, found, "literal")
         literal.append(found)
@@ -88,8 +87,9 @@ def templates(rows: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
 
 def purity(rows: DataFrame) -> DataFrame:
     """(template, purity) by the labels of its urls, similar branches of a parent taken together."""
+    each = rows.select("parent", "template", "path", "ruling").distinct()  # a path has one ruling
     allowed = F.sum((F.col("ruling") == ALLOW).cast("long"))
-    counts = rows.groupBy("parent", "template").agg(F.coalesce(allowed, F.lit(0)).alias("allowed"),
+    counts = each.groupBy("parent", "template").agg(F.coalesce(allowed, F.lit(0)).alias("allowed"),
                                                     F.count("ruling").alias("labelled"))
     counts = stored(rows.sparkSession, counts, "templates")
     known = counts.where("labelled > 0")
@@ -128,16 +128,16 @@ def duckdb_sql(rules: list[tuple[str, str, str]]) -> str:
              f"""r0 AS (SELECT *, {case[0]} AS rule, {case[1]} AS ruling, host AS node0,
             string_split(substr(path, 2), '/') AS seg FROM u)"""]
     for d in range(1, DEPTH + 1):
-        parts.append(f"""l{d} AS (SELECT a, s FROM (SELECT node{d - 1} AS a, seg[{d}] AS s, count(*) AS n,
-            sum(count(*)) OVER (PARTITION BY node{d - 1}) AS total FROM r{d - 1} WHERE seg[{d}] IS NOT NULL
-            GROUP BY node{d - 1}, seg[{d}]) WHERE n >= {LITERAL_ROWS} AND n >= {LITERAL_SHARE} * total)""")
+        parts.append(f"""l{d} AS (SELECT a, s FROM (SELECT node{d - 1} AS a, seg[{d}] AS s, count(DISTINCT path) AS n,
+            sum(count(DISTINCT path)) OVER (PARTITION BY node{d - 1}) AS total FROM r{d - 1} WHERE seg[{d}] IS NOT NULL
+            GROUP BY node{d - 1}, seg[{d}]) WHERE n >= {LITERAL_SHARE} * total)""")
         parts.append(f"""r{d} AS (SELECT r{d - 1}.*, node{d - 1} || CASE WHEN seg[{d}] IS NULL THEN ''
             ELSE '/' || coalesce(s, '*') END AS node{d} FROM r{d - 1} LEFT JOIN l{d} ON node{d - 1} = a AND seg[{d}] = s)""")
     parent = " ".join(f"WHEN least(len(seg), {DEPTH}) = {d} THEN node{d - 1}" for d in range(1, DEPTH + 1))
     parts += [f"""t AS (SELECT *, node{DEPTH} || CASE WHEN len(seg) > {DEPTH} THEN '/**' ELSE '' END AS template,
             CASE {parent} ELSE node0 END AS parent FROM r{DEPTH})""",
               """c AS (SELECT parent, template, count(*) FILTER (ruling = 'allow') AS allowed, count(ruling) AS labelled
-            FROM t GROUP BY parent, template)""",
+            FROM (SELECT DISTINCT parent, template, path, ruling FROM t) GROUP BY parent, template)""",
               """p AS (SELECT parent, (sum(allowed) + 1) / (sum(labelled) + 2) AS p FROM c WHERE labelled > 0 GROUP BY 1)""",
               f"""s AS (SELECT c.* FROM c JOIN p USING (parent) WHERE labelled > 0
             AND abs(allowed / labelled - p) <= {SIMILAR} * sqrt(p * (1 - p) / labelled))""",

@@ -99,24 +99,25 @@ def url_brute(urls):
     segs = [r[1][1:].split("/") for r in rows]
     parents = list(nodes)
     for d in range(deep):
-        each = Counter((n, s[d]) for n, s in zip(nodes, segs) if len(s) > d)
-        total = Counter(n for n, s in zip(nodes, segs) if len(s) > d)
+        distinct = {(n, s[d], r[1]) for n, s, r in zip(nodes, segs, rows) if len(s) > d}
+        each = Counter((n, s) for n, s, _ in distinct)
+        total = Counter(n for n, _, _ in distinct)
         new = []
         for i, (n, s) in enumerate(zip(nodes, segs)):
             if len(s) <= d:
                 new.append(n)
                 continue
             c = each[(n, s[d])]
-            literal = c >= url_templates.LITERAL_ROWS and c >= url_templates.LITERAL_SHARE * total[n]
+            literal = c >= url_templates.LITERAL_SHARE * total[n]
             parents[i] = n
             new.append(n + "/" + (s[d] if literal else "*"))
         nodes = new
     templates = [n + ("/**" if len(s) > deep else "") for n, s in zip(nodes, segs)]
     stats = {}
-    for r, t, p in zip(rows, templates, parents):
+    for t, p, _, ruling in {(t, p, r[1], r[3]) for r, t, p in zip(rows, templates, parents)}:
         a = stats.setdefault((p, t), [0, 0])
-        a[0] += r[3] == "allow"
-        a[1] += r[3] is not None
+        a[0] += ruling == "allow"
+        a[1] += ruling is not None
     purity = {}
     for p in {p for p, _ in stats}:
         own = {t: s for (q, t), s in stats.items() if q == p}
@@ -148,6 +149,23 @@ def test_url_templates(spark):
     assert none.count() == 0
 
 
+def test_repeated_rows_leave_every_verdict(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
+    once = {(r["host"], r["path"]): (r["verdict"], r["template"]) for r in url_templates.judged(pages, URL_RULES).collect()}
+    again = pages.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(20))))
+    assert {(r["host"], r["path"]): (r["verdict"], r["template"])
+            for r in url_templates.judged(again, URL_RULES).collect()} == once
+
+
+def test_purity_rejects_a_template(spark):
+    """Variable segments of which rules block nearly all: the rest goes with them."""
+    urls = [f"http://h.org/a/{k}" for k in range(200)]
+    rules = [("h.org", f"/a/{k}", "block") for k in range(20, 100)]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    verdicts = Counter((r["rule"] is None, r["verdict"]) for r in url_templates.judged(df, rules).collect())
+    assert verdicts[True, "block"] > 0 and verdicts[True, "allow"] == 0
+
+
 # --- toxicity ----------------------------------------------------------------------------
 
 
