@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import execute_sql, extract_table
 from ..errors import StageError
+from ..operators.batched import histogram_quantile, sessions
 from ..plans import statements
 from ..sources import files
 from .workspace import Workspace
@@ -95,6 +96,28 @@ def execute_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_table(spark, "by_status", dataset=ws.db).df.withColumn("tagged", F.lit(tagged))
 
 
+def execute_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An aggregate with merge, for this call alone: the price below which nine
+    tenths of the line items of each return flag lie, to a hundred."""
+    ws = Workspace(spark, sf_dir, "execute_aggregate")
+    execute_sql(spark, f"CREATE TABLE {ws.table('prices')} AS SELECT key AS l_returnflag, result AS price "
+                       "FROM ninth(TABLE(SELECT * FROM ninth_partial(TABLE("
+                       "SELECT l_returnflag, l_extendedprice FROM lineitem))) PARTITION BY key)",
+                dataset=ws.src, functions={"ninth": histogram_quantile(0.9, 100)})
+    return extract_table(spark, "prices", dataset=ws.db).df
+
+
+def execute_table_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table function, for this call alone: each user's sessions, ended by six hours without an event."""
+    ws = Workspace(spark, sf_dir, "execute_table_function")
+    execute_sql(spark, f"CREATE TABLE {ws.table('sessions')} AS SELECT key AS user_id, first, last, n "
+                       "FROM sessions(TABLE(SELECT user_id, timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01', "
+                       "CAST(ts AS TIMESTAMP_NTZ)) AS at FROM events) "
+                       "PARTITION BY user_id ORDER BY at)",
+                dataset=ws.src, functions={"sessions": sessions(6 * 3_600_000_000)})
+    return extract_table(spark, "sessions", dataset=ws.db).df
+
+
 def _statement(key: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ws = Workspace(spark, sf_dir, key)
@@ -112,6 +135,8 @@ QUERIES = {
     "execute_error": execute_error,
     "execute_default_db": execute_default_db,
     "execute_tagged": execute_tagged,
+    "execute_aggregate": execute_aggregate,
+    "execute_table_function": execute_table_function,
     **{key: _statement(key) for key in statements.SPARK},
 }
 
@@ -122,5 +147,13 @@ ORACLE = {
     "execute_error": "SELECT o_orderkey, o_totalprice, TRUE AS raised FROM orders",
     "execute_default_db": "SELECT * FROM orders",
     "execute_tagged": "SELECT o_orderstatus, count(*) AS n, TRUE AS tagged FROM orders GROUP BY 1",
+    "execute_aggregate": """
+        SELECT l_returnflag, quantile_disc(floor(l_extendedprice / 100), 0.9) * 100.0::DOUBLE AS price
+        FROM lineitem GROUP BY 1""",
+    "execute_table_function": """
+        WITH e AS (SELECT user_id, epoch_us(ts) AS t FROM events),
+        s AS (SELECT *, t - lag(t) OVER (PARTITION BY user_id ORDER BY t) > 6 * 3600000000 AS cut FROM e),
+        n AS (SELECT *, count(*) FILTER (cut) OVER (PARTITION BY user_id ORDER BY t) AS session FROM s)
+        SELECT user_id, min(t) AS first, max(t) AS last, count(*) AS n FROM n GROUP BY user_id, session""",
     **{key: statements.duckdb_text(key) for key in statements.SPARK},
 }

@@ -17,6 +17,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.session import _monkey_patch_RDD
 
 from ..errors import Checks, StageError, wrap
+from ..functions import batched
 from ..functions.names import quote, split_name
 from ..logs import timed
 from ..functions.params import statements_of, substitute
@@ -37,6 +38,7 @@ def execute_sql(
     job_id: str | None = None,
     ansi: bool = True,
     script: bool | None = None,
+    functions: dict[str, Any] | None = None,
     id: str | None = None,  # noqa: A002 -- the stage key is called id
     name: str | None = None,
     description: str | None = None,
@@ -56,6 +58,10 @@ def execute_sql(
     driver. A ``BEGIN ... END`` script is handed to Spark whole, which does
     collect its bare queries. ``script``: ``False`` takes the text as one
     statement, whatever it holds; ``None`` and ``True`` split it.
+    ``functions`` are known to the text of this call by their names: aggregates
+    with merge (``functions.batched.MergedAggregate``), ``arrow_udtf`` table
+    functions, ``arrow_udf`` and ``pandas_udf`` functions; functions that Python
+    would call row by row are refused.
 
     Each call runs in a clone of the session's state (settings, namespace,
     temp views, functions), so calls in several threads overlap and none sees
@@ -74,6 +80,10 @@ def execute_sql(
     chk.require(sql_params is None or isinstance(sql_params, dict), "sql_params must be a dict")
     chk.boolean("ansi", ansi)
     chk.require(script in (None, True, False), f"script must be None, True or False, got {script!r}")
+    chk.require(functions is None or isinstance(functions, dict), "functions must be a dict")
+    for known, function in (functions.items() if isinstance(functions, dict) else ()):
+        fault = batched.problem(known, function)
+        chk.require(fault is None, str(fault))
     text = sql
     if isinstance(input_uri, str) and input_uri.strip():
         try:
@@ -102,6 +112,7 @@ def execute_sql(
             final = substitute(text, sql_params)
             detail["sql"] = final
             with _own_session(spark, project, dataset, ansi) as own, _tagged(own, tag):
+                batched.register(own, functions or {})
                 for statement in _statements(final, script):
                     detail["sql"] = statement
                     result = own.sql(statement, args=sql_params) if sql_params else own.sql(statement)
