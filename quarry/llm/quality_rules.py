@@ -2,12 +2,17 @@
 
 Each text gets a vector of transformed statistics: word length, and the shares
 of symbols, capitals, repeated lines and repeated words. Per language and
-source, a minimum-covariance-determinant estimate gives centre and scatter:
-from medians and absolute deviations, concentration steps take the three
-quarters of the rows that lie nearest, estimate mean and covariance from them,
-and measure all rows again (one deterministic start). Distances are scaled to
-the median of chi-square; a row beyond ``CUTOFF`` is rejected. Groups under
-``GROUP_ROWS`` rows take the estimate over all rows.
+source, per language, and over all rows, a minimum-covariance-determinant
+estimate gives centre and scatter. There are three deterministic starts, around
+the medians: absolute deviations alone; with the correlations of the hyperbolic
+tangents of the standardised rows; and with those of their spatial signs. From
+each, concentration steps take the three quarters of the rows that lie nearest,
+estimate mean and covariance from them, and measure all rows again. The start
+that ends with the least determinant wins. Scatters are scaled so that the
+median distance is that of chi-square. A language and source is judged by its
+own estimate and its language's, mixed in the weights n and ``GROUP_ROWS`` for n
+rows that pass the base rule; a language likewise by its own and that over all
+rows. A row beyond ``CUTOFF`` is rejected.
 
 Estimates are sums and counts with map-side aggregation: a group that holds a
 third of all rows is no task of its own. Quantiles are taken of values rounded
@@ -41,7 +46,9 @@ CUTOFF = 250.0
 #: Standard deviations below this don't count as smaller: a feature most rows have at zero has no scatter of its own.
 FLOOR = (0.05, 0.25, 0.25, 0.25, 0.25)
 SHARE = 0.75
+STARTS = 3
 STEPS = 3
+#: The rows at which a group's own estimate counts as much as that of the level above it.
 GROUP_ROWS = 200
 #: Rows of a table with one row per group, of some twenty numbers, that may be broadcast: 16 MB at most.
 BROADCAST_GROUPS = 100_000
@@ -126,26 +133,26 @@ def _pairs() -> list[tuple[int, int]]:
     return [(i, j) for i in range(len(FEATURES)) for j in range(i + 1)]
 
 
-def _root(estimate: DataFrame) -> DataFrame:
-    """Adds the Cholesky factor l_ij of the covariance c_ij (with the floor on its diagonal)."""
+def _root(estimate: DataFrame, floor: tuple[float, ...] = FLOOR) -> DataFrame:
+    """The Cholesky factor l_ij of the covariance c_ij (with the floor on its diagonal) in its place."""
     for i, j in _pairs():
-        c = F.col(f"c{i}{j}") + (F.lit(FLOOR[i] ** 2) if i == j else F.lit(0.0))
+        c = F.col(f"c{i}{j}") + (F.lit(floor[i] ** 2) if i == j else F.lit(0.0))
         for k in range(j):
             c = c - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
         estimate = estimate.withColumn(f"l{i}{j}", F.sqrt(F.greatest(c, F.lit(1e-9))) if i == j else c / F.col(f"l{j}{j}"))
     return estimate.drop(*[f"c{i}{j}" for i, j in _pairs()])
 
 
-def _beside(rows: DataFrame, per_group: DataFrame) -> DataFrame:
+def _beside(rows: DataFrame, per_group: DataFrame, *on: str) -> DataFrame:
     """``rows`` with what ``per_group`` (stored) has of their group. Up to
     ``BROADCAST_GROUPS`` groups, counted here, that table goes to the rows; beyond,
     the join is left to adaptive execution, which splits a hot group."""
     few = per_group.count() <= BROADCAST_GROUPS
-    return rows.join(F.broadcast(per_group) if few else per_group, "group")
+    return rows.join(F.broadcast(per_group) if few else per_group, list(on) or ["group"])
 
 
-def _measured(rows: DataFrame, estimate: DataFrame) -> DataFrame:
-    """Adds d2, the squared distance of each row by its group's estimate."""
+def _measured(rows: DataFrame, estimate: DataFrame, *keep: str) -> DataFrame:
+    """Adds d2, the squared distance of each row by its group's estimate (by each, if there are several)."""
     out = _beside(rows, estimate)
     for i, f in enumerate(FEATURES):
         y = F.col(f) - F.col(f"m{i}")
@@ -153,7 +160,7 @@ def _measured(rows: DataFrame, estimate: DataFrame) -> DataFrame:
             y = y - F.col(f"l{i}{j}") * F.col(f"y{j}")
         out = out.withColumn(f"y{i}", y / F.col(f"l{i}{i}"))
     d2 = sum((F.col(f"y{i}") * F.col(f"y{i}") for i in range(1, len(FEATURES))), F.col("y0") * F.col("y0"))
-    return out.select(*rows.columns, F.round(d2, 3).alias("d2"))
+    return out.select(*rows.columns, *keep, F.round(d2, 3).alias("d2"))
 
 
 def _quantile(col: str | Column, at: float) -> Column:
@@ -164,49 +171,100 @@ def _log(d2: str) -> Column:
     return F.log(1 + F.col(d2))
 
 
-def estimates(rows: DataFrame) -> DataFrame:
-    """Centre, Cholesky factor and scale of each group of ``rows`` (group, f0...)."""
+def _starts(rows: DataFrame) -> DataFrame:
+    """(group, n, start, m_i, l_ij): the estimates that concentration begins with."""
     spark = rows.sparkSession
-    middle = rows.groupBy("group").agg(*[_quantile(f, 0.5).alias(f"m{i}") for i, f in enumerate(FEATURES)])
+    middle = rows.groupBy("group").agg(F.count(F.lit(1)).alias("n"),
+                                       *[_quantile(f, 0.5).alias(f"m{i}") for i, f in enumerate(FEATURES)])
     middle = stored(spark, middle, "mcd-middle")
     spread = _beside(rows, middle).groupBy("group").agg(*[
-        F.pow(1.4826 * _quantile(F.abs(F.col(f) - F.col(f"m{i}")), 0.5), 2).alias(f"c{i}{i}")
-        for i, f in enumerate(FEATURES)])
-    start = middle.join(spread, "group").withColumns({f"c{i}{j}": F.lit(0.0) for i, j in _pairs() if i != j})
-    estimate = stored(spark, _root(start), "mcd-start")
+        (1.4826 * _quantile(F.abs(F.col(f) - F.col(f"m{i}")), 0.5)).alias(f"s{i}") for i, f in enumerate(FEATURES)])
+    spread = stored(spark, middle.join(spread, "group"), "mcd-spread")
+    out = _beside(rows, spread)
+    for i, f in enumerate(FEATURES):
+        out = out.withColumn(f"y{i}", (F.col(f) - F.col(f"m{i}")) / F.sqrt(F.col(f"s{i}") * F.col(f"s{i}") + FLOOR[i] ** 2))
+    norm2 = sum((F.col(f"y{i}") * F.col(f"y{i}") for i in range(1, len(FEATURES))), F.col("y0") * F.col("y0"))
+    out = out.withColumn("norm2", F.greatest(norm2, F.lit(1e-9)))
+    moments = out.groupBy("group").agg(*[
+        made for i, j in _pairs() for made in (
+            F.avg(F.tanh(f"y{i}") * F.tanh(f"y{j}")).alias(f"t{i}{j}"),
+            F.avg(F.col(f"y{i}") * F.col(f"y{j}") / F.col("norm2")).alias(f"u{i}{j}"))])
+    known = stored(spark, spread.join(moments, "group"), "mcd-moments")
+
+    def scatter(kind: str | None, i: int, j: int) -> Column:
+        both = F.col(f"s{i}") * F.col(f"s{j}")
+        if kind is None or i == j:
+            return both if i == j else F.lit(0.0)
+        own = F.col(f"{kind}{i}{i}") * F.col(f"{kind}{j}{j}")
+        return F.when(own > 1e-12, both * F.col(f"{kind}{i}{j}") / F.sqrt(own)).otherwise(F.lit(0.0))
+
+    begun = [known.select("group", "n", F.lit(k).alias("start"), *[f"m{i}" for i in range(len(FEATURES))],
+                          *[scatter(kind, i, j).alias(f"c{i}{j}") for i, j in _pairs()])
+             for k, kind in enumerate((None, "t", "u"))]
+    return stored(spark, _root(begun[0].unionByName(begun[1]).unionByName(begun[2])), "mcd-start")
+
+
+def estimates(rows: DataFrame) -> DataFrame:
+    """Number of rows, centre, Cholesky factor and scale of each group of ``rows`` (group, f0...), stored."""
+    spark = rows.sparkSession
+    estimate = _starts(rows)
+    counts = estimate.where("start = 0").select("group", "n")
     for _ in range(STEPS):
-        measured = _measured(rows, estimate)
-        near = stored(spark, measured.groupBy("group").agg(_quantile(_log("d2"), SHARE).alias("near")), "mcd-near")
-        inner = _beside(measured, near).where(F.round(_log("d2"), 3) <= F.col("near"))
-        moments = inner.groupBy("group").agg(
+        measured = _measured(rows, estimate, "start")
+        near = measured.groupBy("group", "start").agg(_quantile(_log("d2"), SHARE).alias("near"))
+        near = stored(spark, near, "mcd-near")
+        inner = _beside(measured, near, "group", "start").where(F.round(_log("d2"), 3) <= F.col("near"))
+        moments = inner.groupBy("group", "start").agg(
             *[F.avg(f).alias(f"m{i}") for i, f in enumerate(FEATURES)],
             *[F.avg(F.col(FEATURES[i]) * F.col(FEATURES[j])).alias(f"s{i}{j}") for i, j in _pairs()])
         moments = moments.withColumns({f"c{i}{j}": F.col(f"s{i}{j}") - F.col(f"m{i}") * F.col(f"m{j}")
                                        for i, j in _pairs()}).drop(*[f"s{i}{j}" for i, j in _pairs()])
         estimate = stored(spark, _root(moments), "mcd-step")
-    scale = _measured(rows, estimate).groupBy("group").agg(
+    # half the logarithm of the determinant, rounded so that starts that met in one estimate are ties
+    size = F.round(sum((F.log(f"l{i}{i}") for i in range(1, len(FEATURES))), F.log("l00")), 6)
+    numbers = [f"m{i}" for i in range(len(FEATURES))] + [f"l{i}{j}" for i, j in _pairs()]
+    least = estimate.groupBy("group").agg(F.min(F.struct(size.alias("size"), "start", *numbers)).alias("e"))
+    least = stored(spark, least.select("group", *[f"e.{x}" for x in numbers]), "mcd-least")
+    scale = _measured(rows, least).groupBy("group").agg(
         F.greatest(F.lit(1.0), F.exp(_quantile(_log("d2"), 0.5)) - 1).alias("middle_d2"))
-    return stored(spark, estimate.join(scale, "group"), "mcd")
+    return stored(spark, least.join(scale, "group").join(counts, "group"), "mcd")
+
+
+def _mixed(names: DataFrame, found: DataFrame) -> DataFrame:
+    """(group, m_i, l_ij) for each of ``names`` (own, lang): its estimate of ``found``
+    mixed with those of the levels above it."""
+    centre = [f"m{i}" for i in range(len(FEATURES))]
+    scatter = [sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(1, j + 1)), F.col(f"l{i}0") * F.col(f"l{j}0"))
+               * F.col("middle_d2") / CHI2_MEDIAN for i, j in _pairs()]
+    known = found.select("group", F.col("n") / (F.col("n") + GROUP_ROWS), *centre, *scatter)
+    numbers = centre + [f"c{i}{j}" for i, j in _pairs()]
+    out = names.withColumn("all", F.lit("all"))
+    for level in ("own", "lang", "all"):
+        out = out.join(known.toDF(level, f"{level}_share", *[f"{level}_{x}" for x in numbers]), level, "left")
+
+    def upon(level: str, x: str, above: Column) -> Column:  # a group without sound rows has no estimate
+        share = F.col(f"{level}_share")
+        return F.coalesce(share * F.col(f"{level}_{x}") + (1 - share) * above, above)
+
+    out = out.select(F.col("own").alias("group"),
+                     *[upon("own", x, upon("lang", x, F.col(f"all_{x}"))).alias(x) for x in numbers])
+    return stored(names.sparkSession, _root(out, (0.0,) * len(FEATURES)), "mcd-mixed")
 
 
 def judged(docs: DataFrame, *keep: str) -> DataFrame:
     """Every row of ``docs`` with its statistics, ``base_failed``, ``d2`` (scaled) and ``kept``."""
     spark = docs.sparkSession
     rows = stored(spark, transformed(statistics(docs, *keep)), "statistics")
+    lang = F.concat_ws("\x00", F.lit("lang"), F.coalesce("lang", F.lit("\x01")))
     own = F.concat_ws("\x00", F.lit("own"), F.coalesce("lang", F.lit("\x01")), F.coalesce("source", F.lit("\x01")))
-    sound = rows.where(~F.col("base_failed")).select(own.alias("group"), *FEATURES)
-    large = stored(spark, sound.groupBy("group").count().where(F.col("count") >= GROUP_ROWS).select("group"), "groups")
-    pooled = sound.withColumn("group", F.lit("all"))
-    found = estimates(_beside(sound, large).unionByName(pooled))
-    named = large.select(F.col("group").alias("own"), F.lit(True).alias("is_large"))
-    grouped = (rows.withColumn("own", own)
-               .join(F.broadcast(named) if large.count() <= BROADCAST_GROUPS else named, "own", "left")
-               .withColumn("group", F.when(F.col("is_large"), F.col("own")).otherwise(F.lit("all")))
-               .drop("own", "is_large"))
-    scaled = found.withColumns({f"l{i}{j}": F.col(f"l{i}{j}") * F.sqrt(F.col("middle_d2") / CHI2_MEDIAN)
-                                for i, j in _pairs()}).drop("middle_d2")
-    # with no sound row at all there is no estimate; then every row has failed the base rule
-    measured = _measured(grouped, scaled) if not found.isEmpty() else grouped.withColumn("d2", F.lit(0.0))
+    sound = rows.where(~F.col("base_failed")).select(F.explode(F.array(own, lang, F.lit("all"))).alias("group"), *FEATURES)
+    found = estimates(sound)
+    grouped = rows.withColumn("group", own)
+    if found.isEmpty():  # no sound row at all: every row has failed the base rule
+        measured = grouped.withColumn("d2", F.lit(0.0))
+    else:
+        names = rows.select(own.alias("own"), lang.alias("lang")).distinct()
+        measured = _measured(grouped, _mixed(names, found))
     return measured.withColumn("kept", ~F.col("base_failed") & (F.col("d2") <= CUTOFF))
 
 
@@ -233,18 +291,32 @@ def duckdb_sql() -> str:
                    f"FROM {name}_{n - 1})")
         return ",\n".join(out)
 
-    def root(name: str, source: str) -> str:
+    def root(name: str, source: str, key: str = "grp, start", floor: tuple[float, ...] = FLOOR) -> str:
         out, last = [], source
         for i, j in pairs:
-            c = " - ".join([f"c{i}{j}" + (f" + {FLOOR[i] ** 2!r}" if i == j else ""),
+            c = " - ".join([f"c{i}{j}" + (f" + {floor[i] ** 2!r}" if i == j else ""),
                             *[f"l{i}{k} * l{j}{k}" for k in range(j)]])
             value = f"sqrt(greatest({c}, 1e-9))" if i == j else f"({c}) / l{j}{j}"
             out.append(f"{name}_{i}{j} AS MATERIALIZED (SELECT *, {value} AS l{i}{j} FROM {last})")
             last = f"{name}_{i}{j}"
         keep = ", ".join([*[f"m{i}" for i in range(n)], *[f"l{i}{j}" for i, j in pairs]])
-        out.append(f"{name} AS MATERIALIZED (SELECT grp, {keep} FROM {last})")
+        out.append(f"{name} AS MATERIALIZED (SELECT {key}, {keep} FROM {last})")
         return ",\n".join(out)
 
+    def start(k: int, kind: str) -> str:
+        def c(i: int, j: int) -> str:
+            if i == j or not kind:
+                return f"s{i} * s{j}" if i == j else "0.0::DOUBLE"
+            own = f"{kind}{i}{i} * {kind}{j}{j}"
+            return f"CASE WHEN {own} > 1e-12 THEN s{i} * s{j} * {kind}{i}{j} / sqrt({own}) ELSE 0 END"
+        return f"SELECT grp, {k} AS start, {ms}, {', '.join(f'{c(i, j)} AS c{i}{j}' for i, j in pairs)} FROM moments"
+
+    def upon(level: str, x: str, above: str) -> str:
+        return f"coalesce({level}.share * {level}.{x} + (1 - {level}.share) * {above}, {above})"
+
+    ms = ", ".join(f"m{i}" for i in range(n))
+    numbers = [*[f"m{i}" for i in range(n)], *[f"c{i}{j}" for i, j in pairs]]
+    blend = ", ".join(f"{upon('o', x, upon('l', x, f'a.{x}'))} AS {x}" for x in numbers)
     share = lambda part, of, each: f"ln(1 + 20 * {part} / ({of} + {each}))"
     ctes = [f"""t AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
         w AS (SELECT *, list_filter(regexp_split_to_array(text, '{space}+'), lambda x: x <> '') AS words,
@@ -263,28 +335,40 @@ def duckdb_sql() -> str:
               ln((word_chars + 150) / (n_words + 25)) AS f0, {share('n_symbols', 'n_words', 20)} AS f1,
               {share('n_capitals', 'word_chars', 100)} AS f2, {share('n_dup_lines', 'n_lines', 5)} AS f3,
               {share('n_repeat_words', 'n_words', 20)} AS f4,
-              'own' || coalesce(lang, chr(1)) || chr(2) || coalesce(source, chr(1)) AS own FROM s),
-        large AS (SELECT own FROM x WHERE NOT base_failed GROUP BY 1 HAVING count(*) >= {GROUP_ROWS}),
-        rows_ AS MATERIALIZED (SELECT own AS grp, {features} FROM x WHERE NOT base_failed AND own IN (FROM large)
-              UNION ALL SELECT 'all', {features} FROM x WHERE NOT base_failed),
-        middle AS MATERIALIZED (SELECT grp, {', '.join(f'quantile_cont(round(f{i}, 3), 0.5) AS m{i}' for i in range(n))}
-              FROM rows_ GROUP BY 1),
+              'own' || coalesce(lang, chr(1)) || chr(2) || coalesce(source, chr(1)) AS own,
+              'lang' || coalesce(lang, chr(1)) AS tongue FROM s),
+        rows_ AS MATERIALIZED (SELECT unnest([own, tongue, 'all']) AS grp, {features} FROM x WHERE NOT base_failed),
+        middle AS MATERIALIZED (SELECT grp, count(*) AS n, {', '.join(
+            f'quantile_cont(round(f{i}, 3), 0.5) AS m{i}' for i in range(n))} FROM rows_ GROUP BY 1),
         spread AS MATERIALIZED (SELECT grp, {', '.join(f'any_value(m{i}) AS m{i}' for i in range(n))}, {', '.join(
-            f'power(1.4826 * quantile_cont(round(abs(f{i} - m{i}), 3), 0.5), 2) AS c{i}{i}' for i in range(n))}, {', '.join(
-            f'0.0::DOUBLE AS c{i}{j}' for i, j in pairs if i != j)} FROM rows_ JOIN middle USING (grp) GROUP BY 1)""",
-            root("e0", "spread")]
+            f'1.4826 * quantile_cont(round(abs(f{i} - m{i}), 3), 0.5) AS s{i}' for i in range(n))}
+              FROM rows_ JOIN middle USING (grp) GROUP BY 1),
+        unit AS MATERIALIZED (SELECT grp, {', '.join(
+            f'(f{i} - m{i}) / sqrt(s{i} * s{i} + {FLOOR[i] ** 2!r}) AS y{i}' for i in range(n))}
+              FROM rows_ JOIN spread USING (grp)),
+        signs AS (SELECT *, greatest({' + '.join(f'y{i} * y{i}' for i in range(n))}, 1e-9) AS norm2 FROM unit),
+        moments AS MATERIALIZED (SELECT * FROM spread JOIN (SELECT grp, {', '.join(
+            f'avg(tanh(y{i}) * tanh(y{j})) AS t{i}{j}, avg(y{i} * y{j} / norm2) AS u{i}{j}' for i, j in pairs)}
+              FROM signs GROUP BY 1) USING (grp)),
+        begun AS ({' UNION ALL '.join(start(k, kind) for k, kind in enumerate(("", "t", "u")))})""",
+            root("e0", "begun")]
     for step in range(STEPS):
         k = step + 1
-        ctes += [measured(f"d{k}", "rows_", f"e{step}"), f"""q{k} AS MATERIALIZED (SELECT grp, quantile_cont(round(ln(1 + d2), 3), {SHARE}) AS near
-              FROM d{k} GROUP BY 1),
-        v{k} AS MATERIALIZED (SELECT grp, {', '.join(f'avg(f{i}) AS m{i}' for i in range(n))}, {', '.join(
+        ctes += [measured(f"d{k}", "rows_", f"e{step}"), f"""q{k} AS MATERIALIZED (SELECT grp, start, quantile_cont(round(ln(1 + d2), 3), {SHARE}) AS near
+              FROM d{k} GROUP BY 1, 2),
+        v{k} AS MATERIALIZED (SELECT grp, start, {', '.join(f'avg(f{i}) AS m{i}' for i in range(n))}, {', '.join(
             f'avg(f{i} * f{j}) - avg(f{i}) * avg(f{j}) AS c{i}{j}' for i, j in pairs)}
-              FROM d{k} JOIN q{k} USING (grp) WHERE round(ln(1 + d2), 3) <= near GROUP BY 1)""", root(f"e{k}", f"v{k}")]
-    ctes += [measured("z", "rows_", f"e{STEPS}"), f"""a AS MATERIALIZED (SELECT e{STEPS}.* EXCLUDE ({', '.join(f'l{i}{j}' for i, j in pairs)}), {', '.join(
-        f'l{i}{j} * sqrt(scale / {CHI2_MEDIAN}) AS l{i}{j}' for i, j in pairs)} FROM e{STEPS} JOIN
+              FROM d{k} JOIN q{k} USING (grp, start) WHERE round(ln(1 + d2), 3) <= near GROUP BY 1, 2)""", root(f"e{k}", f"v{k}")]
+    ctes += [f"""least AS MATERIALIZED (SELECT * FROM e{STEPS} QUALIFY row_number() OVER (PARTITION BY grp
+              ORDER BY round({' + '.join(f'ln(l{i}{i})' for i in range(n))}, 6), start) = 1)""",
+             measured("z", "rows_", "least"), f"""known AS MATERIALIZED (SELECT grp, n / (n + {GROUP_ROWS}) AS share, {ms}, {', '.join(
+                 f"({' + '.join(f'l{i}{k} * l{j}{k}' for k in range(j + 1))}) * scale / {CHI2_MEDIAN} AS c{i}{j}" for i, j in pairs)}
+              FROM least JOIN (SELECT grp, n FROM middle) USING (grp) JOIN
               (SELECT grp, greatest(1.0, exp(quantile_cont(round(ln(1 + d2), 3), 0.5)) - 1) AS scale FROM z GROUP BY 1) USING (grp)),
-        y AS MATERIALIZED (SELECT *, CASE WHEN own IN (FROM large) THEN own ELSE 'all' END AS grp FROM x)""",
-             measured("o", "y", "a")]
+        blended AS MATERIALIZED (SELECT own AS grp, {blend} FROM (SELECT DISTINCT own, tongue FROM x)
+              JOIN known a ON a.grp = 'all' LEFT JOIN known l ON l.grp = tongue LEFT JOIN known o ON o.grp = own)""",
+             root("final", "blended", "grp", (0.0,) * n),
+             "y AS MATERIALIZED (SELECT *, own AS grp FROM x)", measured("o", "y", "final")]
     return "WITH " + ",\n".join(ctes) + f"""
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
                NOT base_failed AND d2 <= {CUTOFF} AS kept FROM o"""

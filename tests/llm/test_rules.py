@@ -36,35 +36,80 @@ def test_statistics(odd, documents):
 
 
 def mcd(x):
-    """The same estimate in numpy: (squared distance of every row)."""
+    """The same estimate in numpy: centre, scatter scaled to chi-square, and the determinants of the three starts."""
     quantile = lambda v, q: np.quantile(np.floor(v * 1000 + 0.5) / 1000, q)
-    mean = np.array([quantile(c, 0.5) for c in x.T])
-    cov = np.diag([(1.4826 * quantile(np.abs(x[:, i] - mean[i]), 0.5)) ** 2 for i in range(x.shape[1])])
     floor = np.diag(np.array(quality_rules.FLOOR) ** 2)
+    middle = np.array([quantile(c, 0.5) for c in x.T])
+    mad = np.array([1.4826 * quantile(np.abs(c), 0.5) for c in (x - middle).T])
+    y = (x - middle) / np.sqrt(mad ** 2 + np.diag(floor))
 
-    def distance(y):
-        d = y - mean
+    def distance(mean, cov):
+        d = x - mean
         return np.round((d @ np.linalg.inv(cov + floor) * d).sum(axis=1), 3)
 
-    for _ in range(quality_rules.STEPS):
-        log = np.log(1 + distance(x))
-        inner = x[np.floor(log * 1000 + 0.5) / 1000 <= quantile(log, quality_rules.SHARE) + 1e-9]
-        mean, cov = inner.mean(axis=0), np.cov(inner.T, bias=True)
-    middle = max(1.0, np.exp(quantile(np.log(1 + distance(x)), 0.5)) - 1)
-    return distance, middle
+    def correlation(t):
+        s = t.T @ t / len(t)
+        own = np.outer(np.diag(s), np.diag(s))
+        out = np.where(own > 1e-12, s / np.sqrt(np.maximum(own, 1e-12)), 0.0)
+        np.fill_diagonal(out, 1.0)
+        return out
+
+    signs = y / np.sqrt(np.maximum((y * y).sum(axis=1, keepdims=True), 1e-9))
+    ends = []
+    for r in (np.eye(x.shape[1]), correlation(np.tanh(y)), correlation(signs)):
+        mean, cov = middle, np.outer(mad, mad) * r
+        for _ in range(quality_rules.STEPS):
+            log = np.log(1 + distance(mean, cov))
+            inner = x[np.floor(log * 1000 + 0.5) / 1000 <= quantile(log, quality_rules.SHARE) + 1e-9]
+            mean, cov = inner.mean(axis=0), np.cov(inner.T, bias=True).reshape(x.shape[1], -1)
+        ends.append((round(np.linalg.slogdet(cov + floor)[1] / 2, 6), len(ends), mean, cov))
+    _, _, mean, cov = min(ends, key=lambda e: e[:2])
+    scale = max(1.0, np.exp(quantile(np.log(1 + distance(mean, cov)), 0.5)) - 1) / quality_rules.CHI2_MEDIAN
+    return mean, (cov + floor) * scale, [e[0] for e in ends]
 
 
 def test_distances_against_numpy(spark):
+    """Large and small groups, each mixed with its language and all rows; null languages."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    docs = docs.withColumns({"lang": F.when(F.col("lang") == "en", "en").otherwise("xx"), "source": F.lit("s")})
+    docs = docs.withColumns({"lang": F.when(F.col("lang") == "en", "en").when(F.col("lang") != "de", "xx"),
+                             "source": F.when(F.col("doc_id") % 9 == 0, "small").otherwise("large")})
     rows = quality_rules.transformed(quality_rules.statistics(docs)).toPandas().set_index("doc_id")
     got = quality_rules.judged(docs).toPandas().set_index("doc_id")
-    for lang in ("en", "xx"):
-        own = rows[rows.lang == lang]
-        x = own[list(quality_rules.FEATURES)].to_numpy()
-        distance, middle = mcd(x[~own.base_failed.to_numpy()])
-        want = distance(x) * quality_rules.CHI2_MEDIAN / middle
-        assert np.allclose(got.loc[own.index].d2.to_numpy(), want, rtol=0.02, atol=0.02)
+    rows["lang"] = rows.lang.fillna("none")
+    sound = rows[~rows.base_failed]
+
+    def estimate(own):
+        mean, cov, _ = mcd(own[list(quality_rules.FEATURES)].to_numpy())
+        return len(own) / (len(own) + quality_rules.GROUP_ROWS), mean, cov
+
+    _, all_mean, all_cov = estimate(sound)
+    for lang, of_lang in rows.groupby("lang"):
+        w, mean, cov = estimate(sound[sound.lang == lang])
+        lang_mean, lang_cov = w * mean + (1 - w) * all_mean, w * cov + (1 - w) * all_cov
+        for source, own in of_lang.groupby("source"):
+            w, mean, cov = estimate(sound[(sound.lang == lang) & (sound.source == source)])
+            d = own[list(quality_rules.FEATURES)].to_numpy() - (w * mean + (1 - w) * lang_mean)
+            want = (d @ np.linalg.inv(w * cov + (1 - w) * lang_cov) * d).sum(axis=1)
+            assert np.allclose(got.loc[own.index].d2.to_numpy(), want, rtol=0.02, atol=0.02)
+
+
+def test_least_determinant_of_the_starts_wins(spark):
+    """Correlated features with a fifth of far rows: the starts end apart, and the least one is taken."""
+    r = np.random.default_rng(3)
+    k = len(quality_rules.FEATURES)
+    seen = 0
+    for _ in range(3):
+        x = r.normal(size=(60, k)) @ r.normal(size=(k, k)) * 2
+        x[:14] = r.normal(size=(14, k)) * 0.3 + r.normal(size=k) * 6
+        found = quality_rules.estimates(spark.createDataFrame(
+            [("g", *map(float, row)) for row in x], "group string, " + ", ".join(f"{f} double" for f in quality_rules.FEATURES)))
+        e = found.first().asDict()
+        low = np.array([[e[f"l{i}{j}"] if j <= i else 0.0 for j in range(k)] for i in range(k)])
+        mean, cov, sizes = mcd(x)
+        assert abs(np.log(np.diag(low)).sum() - min(sizes)) < 1e-4 and e["n"] == 60
+        assert np.allclose(low @ low.T * e["middle_d2"] / quality_rules.CHI2_MEDIAN, cov, rtol=1e-3, atol=1e-3)
+        seen += sizes[0] > min(sizes) + 1e-3
+    assert seen  # another start than the first was better
 
 
 def test_outliers_go_and_clean_texts_stay(spark):
