@@ -238,8 +238,9 @@ def _mixed(names: DataFrame, found: DataFrame) -> DataFrame:
                * F.col("middle_d2") / CHI2_MEDIAN for i, j in _pairs()]
     known = found.select("group", F.col("n") / (F.col("n") + GROUP_ROWS), *centre, *scatter)
     numbers = centre + [f"c{i}{j}" for i, j in _pairs()]
-    out = names.withColumn("all", F.lit("all"))
-    for level in ("own", "lang", "all"):
+    top = known.toDF("group", "share", *numbers).where("group = 'all'").first()  # one row, whatever the input
+    out = names
+    for level in ("own", "lang"):
         out = out.join(known.toDF(level, f"{level}_share", *[f"{level}_{x}" for x in numbers]), level, "left")
 
     def upon(level: str, x: str, above: Column) -> Column:  # a group without sound rows has no estimate
@@ -247,7 +248,7 @@ def _mixed(names: DataFrame, found: DataFrame) -> DataFrame:
         return F.coalesce(share * F.col(f"{level}_{x}") + (1 - share) * above, above)
 
     out = out.select(F.col("own").alias("group"),
-                     *[upon("own", x, upon("lang", x, F.col(f"all_{x}"))).alias(x) for x in numbers])
+                     *[upon("own", x, upon("lang", x, F.lit(top[x]))).alias(x) for x in numbers])
     return stored(names.sparkSession, _root(out, (0.0,) * len(FEATURES)), "mcd-mixed")
 
 
