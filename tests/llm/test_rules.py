@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -224,6 +225,54 @@ def test_toxicity_on_held_out_rows(spark):
     assert auc > 0.97 and clean.predicted.mean() < 0.01 and toxic.predicted.mean() > 0.7
 
 
+def toxic_features(text):
+    """Words, stems, neighbour pairs and skip pairs as bytes, before any hash."""
+    lowered = bytes(b + 32 if 65 <= b <= 90 else b for b in text.encode())
+    w = re.findall(rb"[0-9a-z\x80-\xff]+", lowered)
+    return ({("word", x) for x in w} | {("stem", x[:toxicity.STEM]) for x in w if len(x) > toxicity.STEM}
+            | {("pair", *x) for x in zip(w, w[1:], strict=False)} | {("skip", *x) for x in zip(w, w[2:], strict=False)})
+
+
+def test_toxicity_features_against_brute_force():
+    """Equal features get equal numbers in every text, and different ones hardly ever the same."""
+    texts = ["", "A a", "Gr\u00fc\u00dfe, gr\u00fc\u00dfe!  WORDS wordsworth words2", "one two three one two", "x" * 5000 + " end",
+             *[" ".join(f"w{k * j % 97}" for j in range(k)) for k in range(60)]]
+    raw, starts = toxicity.text_bytes(pa.array(texts))
+    row, feature = toxicity.features(raw, starts)
+    got = [set(feature[row == k].tolist()) for k in range(len(texts))]
+    want = [toxic_features(t) for t in texts]
+    everything = set().union(*want)
+    assert len(set().union(*got)) >= 0.98 * len(everything)
+    for a in range(len(texts)):
+        assert len(want[a]) * 0.98 <= len(got[a]) <= len(want[a])
+        for b in range(a):
+            assert len(want[a] & want[b]) <= len(got[a] & got[b]) <= len(want[a] & want[b]) + 0.05 * len(want[a]) + 3
+
+
+def test_ftrl_steps_against_one_coordinate_at_a_time():
+    r = np.random.default_rng(11)
+    model, z, n = toxicity.Ftrl(alpha=0.7, beta=0.9, l1=0.4, l2=0.2), Counter(), Counter()
+    end = 1 << toxicity.BITS
+
+    def weight(i):
+        l1 = 0.0 if i == end else 0.4
+        if abs(z[i]) <= l1:
+            return 0.0
+        return -(z[i] - math.copysign(l1, z[i])) / ((0.9 + math.sqrt(n[i])) / 0.7 + 0.2)
+
+    for _ in range(300):
+        at, label = sorted(set(r.integers(0, 40, 8).tolist())), int(r.integers(0, 2))
+        model.learn(np.array(at, np.int32), label)
+        w = {i: weight(i) for i in [*at, end]}
+        g = 1 / (1 + math.exp(-sum(w.values()))) - label
+        for i, own in w.items():
+            z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / 0.7 * own
+            n[i] += g * g
+    got = model.weights(slice(None))
+    assert np.allclose([got[i] for i in [*range(40), end]], [weight(i) for i in [*range(40), end]], atol=1e-9)
+    assert not got[40:end].any() and any(weight(i) == 0.0 for i in range(40)) and any(weight(i) for i in range(40))
+
+
 def test_toxicity_odd_rows(spark, odd, empty):
     labels = spark.createDataFrame([(1, 1, 1), (2, None, 0), (None, 1, 1), (4, 0, 1), (4, 0, 0), (9, 1, None)],
                                    "doc_id long, quality int, toxic int")
