@@ -3,8 +3,9 @@
 import math
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -141,40 +142,49 @@ def url_brute(urls):
         fits = [(len(h + p), h + p, v) for h, p, v in URL_RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
         _, rule, ruling = max(fits) if fits else (0, None, None)
         rows.append([host, path, rule, ruling])
-    nodes, deep = [r[0] for r in rows], url_templates.DEPTH
-    segs = [r[1][1:].split("/") for r in rows]
-    parents = list(nodes)
-    for d in range(deep):
-        distinct = {(n, s[d], r[1]) for n, s, r in zip(nodes, segs, rows) if len(s) > d}
-        each = Counter((n, s) for n, s, _ in distinct)
-        total = Counter(n for n, _, _ in distinct)
-        new = []
-        for i, (n, s) in enumerate(zip(nodes, segs)):
-            if len(s) <= d:
-                new.append(n)
-                continue
-            c = each[(n, s[d])]
-            literal = c >= url_templates.LITERAL_SHARE * total[n]
-            parents[i] = n
-            new.append(n + "/" + (s[d] if literal else "*"))
-        nodes = new
-    templates = [n + ("/**" if len(s) > deep else "") for n, s in zip(nodes, segs)]
-    stats = {}
-    for t, p, _, ruling in {(t, p, r[1], r[3]) for r, t, p in zip(rows, templates, parents)}:
-        a = stats.setdefault((p, t), [0, 0])
-        a[0] += ruling == "allow"
-        a[1] += ruling is not None
-    purity = {}
-    for p in {p for p, _ in stats}:
-        own = {t: s for (q, t), s in stats.items() if q == p}
-        known = {t: s for t, s in own.items() if s[1]}
-        rate = (sum(s[0] for s in known.values()) + 1) / (sum(s[1] for s in known.values()) + 2)
-        similar = [t for t, s in known.items()
-                   if abs(s[0] / s[1] - rate) <= url_templates.SIMILAR * math.sqrt(rate * (1 - rate) / s[1])]
-        merged = (sum(own[t][0] for t in similar), sum(own[t][1] for t in similar))
-        for t, s in own.items():
-            a, n = merged if t in similar else s
-            purity[t] = (a + 1) / (n + 2)
+    template, purity = {}, {}
+
+    def leaf(paths, name):
+        template.update(dict.fromkeys(paths, name))
+        labels = [ruling for ruling in paths.values() if ruling]
+        return name, labels.count("allow"), len(labels), True, []
+
+    def grow(name, paths, d):
+        """(template or None, allowed, labelled, whether all of it agrees, its branches)."""
+        below = defaultdict(dict)
+        ends = {k: v for k, v in paths.items() if len(segs(k)) == d}
+        rest = {k: v for k, v in paths.items() if len(segs(k)) > d}
+        share = Counter(segs(k)[d] for k in rest)
+        for k, v in rest.items():
+            s = segs(k)[d]
+            below[s if share[s] * url_templates.LITERAL_ONE_IN >= len(rest) else "*"][k] = v
+        kids = [leaf(ends, name)] if ends else []
+        kids += [grow(f"{name}/{s}", part, d + 1) for s, part in below.items()]
+        known = [k for k in kids if k[2]]
+        a, n = sum(k[1] for k in known), sum(k[2] for k in known)
+        rate = (a + 1) / (n + 2)
+        like = [k for k in known if abs(k[1] / k[2] - rate) <= url_templates.SIMILAR * math.sqrt(rate * (1 - rate) / k[2])]
+        merged = [k for k in like if k[3]]
+        judge(merged, sum(k[1] for k in merged), sum(k[2] for k in merged))
+        return None, a, n, len(like) == len(known) and all(k[3] for k in known), kids
+
+    def judge(branches, a, n):
+        for k in branches:
+            if k[0] is not None and k[2]:
+                purity[k[0]] = (a + 1) / (n + 2)
+            judge([b for b in k[4] if b[2]], a, n)
+
+    segs = lambda k: k[1][1:].split("/")
+    by_host = defaultdict(dict)
+    for host, path, _, ruling in rows:
+        by_host[host][host, path] = ruling
+    for host, paths in by_host.items():
+        grow(host, paths, 0)
+    for k, t in template.items():
+        if t not in purity:
+            same = [v for q, v in by_host[k[0]].items() if template[q] == t and v]
+            purity[t] = (same.count("allow") + 1) / (len(same) + 2)
+    templates = [template[r[0], r[1]] for r in rows]
     return Counter((r[0], r[1], r[2], r[3] or ("block" if purity[t] < url_templates.PURITY else "allow"), t)
                    for r, t in zip(rows, templates))
 
@@ -183,6 +193,7 @@ def test_url_templates(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url")
     more = [(None, None), (1, ""), (2, "no scheme"), (3, "http://"), (3, "http://"), (4, "HTTP://EXAMPLE.Net/es/x?q#f"),
             (5, "http://a.net#f"), (6, "http://b.net?q=/es/"), (7, "http://c.org/" + "/".join("abcdefgh")),
+            (7, "http://c.org/" + "/".join("abcdefgx")), (7, "http://c.org/a/b"), (7, "http://d.net/es/" + "long/" * 200 + "x" * 100000),
             (8, "x\ny://d.com/p"), (9, "http://notcom/x"), (10, "http://xcom/"), (11, "http://É.net/es/")]
     more += [(100 + i, f"http://h.net/{'es' if i % 2 else 'zz'}/{i}") for i in range(60)]
     every = pages.unionByName(spark.createDataFrame(more, "page_id long, url string"))
@@ -212,6 +223,24 @@ def test_purity_rejects_a_template(spark):
     assert verdicts[True, "block"] > 0 and verdicts[True, "allow"] == 0
 
 
+def test_subtrees_merge(spark):
+    """Branches that agree are judged together, those that differ alone, at any depth."""
+    urls = [f"http://h.org/deep/er/s{s}/{'xy'[k % 2]}{k}" for s in range(4) for k in range(100)]
+    urls += [f"http://h.org/fine/{'xy'[k % 2]}{k}" for k in range(100)]
+    rules = [("h.org", f"/deep/er/s{s}/x", "allow" if s == 3 else "block") for s in range(4)]
+    rules += [("h.org", "/fine/x", "allow")]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = url_templates.judged(pages, rules).where("rule IS NULL").collect()
+    verdicts = {r["template"]: (r["verdict"], round(r["purity"], 4)) for r in got}
+    assert verdicts["h.org/deep/er/s3/*"][0] == verdicts["h.org/fine/*"][0] == "allow"
+    assert {verdicts[f"h.org/deep/er/s{s}/*"][0] for s in range(3)} == {"block"}
+    con = duckdb.connect()
+    con.register("pages", pages.toPandas())
+    want = con.sql(f"SELECT page_id, template, verdict, purity FROM ({url_templates.duckdb_sql(rules)})").fetchall()
+    have = url_templates.judged(pages, rules).select("page_id", "template", "verdict", "purity").collect()
+    assert sorted(want) == sorted(map(tuple, have))
+
+
 # --- toxicity ----------------------------------------------------------------------------
 
 
