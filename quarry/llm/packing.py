@@ -1,7 +1,9 @@
 """Packing token sequences by vector bin packing.
 
 Every sequence has room for so many tokens, segments and loss-bearing tokens
-at once. Open remainders wait in a pool; a sequence is filled by placing, of
+at once (``LIMITS``); the first tokens of a document, its prompt, bear no loss
+(``prompt_of``). The limit on loss lies below that on tokens, so a sequence can't
+be filled from the inside of long texts alone: prompts of others go with them. Open remainders wait in a pool; a sequence is filled by placing, of
 all that fit, the one whose demand has the largest dot product with the room
 left (both as shares of the limits), so long texts, many-segment sequences and
 loss-heavy texts balance each other. When nothing fits whole, the best one is
@@ -34,6 +36,13 @@ SCHEMA = ("doc_id long, start long, length long, ids binary, doc_tokens long, se
           "`offset` long, loss_tokens long")
 #: Remainders to choose from.
 POOL = 512
+#: Tokens (a power of two), segments and loss-bearing tokens of a sequence.
+LIMITS = (4096, 256, 3840)
+
+
+def prompt_of(tokens: int) -> int:
+    """How many of a document's tokens are its prompt: a quarter, at most 256."""
+    return min(tokens // 4, 256)
 
 
 class Packer:
@@ -126,11 +135,11 @@ class Packer:
         yield from self._shut(pieces)
 
 
-def pack(docs: DataFrame, encode: Callable[[], Callable[[str], bytes]], limits: tuple[int, int, int] = (4096, 256, 4096),
-         prompt: int = 1) -> DataFrame:
+def pack(docs: DataFrame, encode: Callable[[], Callable[[str], bytes]], limits: tuple[int, int, int] = LIMITS,
+         prompt: Callable[[int], int] = prompt_of) -> DataFrame:
     """All of ``docs`` (doc_id, text) in sequences. ``encode()``, called once per
     task, gives a function from a text to its ids (little-endian unsigned 32-bit);
-    the first ``prompt`` tokens of a document bear no loss. Returns one row per
+    the first ``prompt(n)`` tokens of a document of n bear no loss. Returns one row per
     piece, with its ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,7 +166,8 @@ def pack(docs: DataFrame, encode: Callable[[], Callable[[str], bytes]], limits:
         for b in batches:
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 ids = ids_of(text.as_py() or "")
-                settle(packer.add(((doc_id, ids), len(ids) // 4, prompt)))
+                n = len(ids) // 4
+                settle(packer.add(((doc_id, ids), n, prompt(n))))
                 if size > 1 << 20:
                     yield rows()
                     out, size = [], 0

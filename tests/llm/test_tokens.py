@@ -108,7 +108,7 @@ def check_packing(docs, rows, limits):
     return by_doc
 
 
-@pytest.mark.parametrize("limits", [(4096, 256, 4096), (256, 3, 256), (256, 64, 100)])
+@pytest.mark.parametrize("limits", [packing.LIMITS, (4096, 256, 4096), (256, 3, 256), (256, 64, 100)])
 def test_packing(odd, empty, limits):
     from tokenizers import Tokenizer
 
@@ -128,6 +128,21 @@ def test_packing(odd, empty, limits):
     assert packing.pack(empty, packing.bpe_with_end(path, 2)).count() == 0
 
 
+@pytest.mark.parametrize("binding, sizes", [
+    (0, [400 + i % 7 for i in range(300)]),
+    (1, [1 + i % 3 for i in range(4000)]),
+    (2, [1 + (i * 7919) % 97 ** (1 + i % 2) for i in range(4000)])])
+def test_every_limit_binds(binding, sizes):
+    """With the limits of the query, no sequence exceeds any, each stops some, and nothing is lost."""
+    packer, full = packing.Packer(packing.LIMITS), defaultdict(lambda: [0, 0, 0])
+    settled = [p for i, n in enumerate(sizes) for p in packer.add((i, n, packing.prompt_of(n)))] + list(packer.end())
+    for _, _, length, sequence, _, loss in settled:
+        full[sequence] = [a + b for a, b in zip(full[sequence], (length, 1, loss), strict=True)]
+    assert all(a <= b for need in full.values() for a, b in zip(need, packing.LIMITS, strict=True))
+    assert sum(need[0] for need in full.values()) == sum(sizes)
+    assert any(need[binding] == packing.LIMITS[binding] for need in full.values())
+
+
 def test_packing_prefers_what_balances():
     """Of two that fit, the one whose demand points along the room left."""
     packer = packing.Packer((8, 4, 4))
